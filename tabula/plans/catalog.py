@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabula.plans import basics  # noqa: F401
+from tabula.plans import basics, grouping, missing, relational, scalars  # noqa: F401
 from tabula.plans.registry import REGISTRY, Query
 
 
