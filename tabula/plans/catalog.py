@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tabula.plans import basics, grouping, missing, relational, scalars  # noqa: F401
+from tabula.plans import (basics, charts, grouping, missing, relational,  # noqa: F401
+                          scalars, statistics)
 from tabula.plans.registry import REGISTRY, Query
 
 

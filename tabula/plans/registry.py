@@ -61,3 +61,17 @@ def rnd(col: str | Column, digits: int = 6) -> Column:
     """Round a floating column for comparison with the oracle."""
     c = F.col(col) if isinstance(col, str) else col
     return F.round(c.cast("double"), digits)
+
+
+def round_doubles(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
+    """Round every double column (or those in ``only``) for the oracle compare."""
+    targets = [f.name for f in df.schema.fields
+               if f.dataType.typeName() == "double" and (only is None or f.name in only)]
+    return df.withColumns({c: F.round(F.col(c), digits) for c in targets})
+
+
+def sql_rounded(inner: str, cols: list[str], digits: int = 6) -> str:
+    """Wrap oracle SQL so the named columns are rounded like :func:`round_doubles`."""
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does
+    repl = ", ".join(f'round("{c}", {digits}) + 0.0 as "{c}"' for c in cols)
+    return f"select * replace ({repl}) from ({inner}) _r"
