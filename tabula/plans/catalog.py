@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tabula.plans import (basics, charts, grouping, missing, relational,  # noqa: F401
-                          modelling, scalars, statistics, userfuncs)
+                          formats, modelling, scalars, statistics, userfuncs)
 from tabula.plans.registry import REGISTRY, Query
 
 
