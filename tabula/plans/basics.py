@@ -130,7 +130,7 @@ def cast_cols(spark, d):
         F.col("o_orderdate").cast("date").alias("order_day"),
         # a double → integer cast truncates in Spark; round first for the
         # nearest whole number
-        F.round("o_totalprice").cast("long").alias("price_whole"),
+        rnd("o_totalprice", 0).cast("long").alias("price_whole"),
         F.lit(0).alias("zero"),
     )
 

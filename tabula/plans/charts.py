@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabula.operators import chartdata as V
 from tabula.operators import stats as S
-from tabula.plans.registry import Tables, query, round_doubles, sql_rounded
+from tabula.plans.registry import Tables, query, rnd, round_doubles, sql_rounded
 
 
 @query("bar_counts", ids=("VIZ1",), sql="""
@@ -201,10 +201,10 @@ from lineitem group by 1""")
 def lm_line(spark, d):
     out = V.lm_line(Tables(spark, d).lineitem, "l_quantity", "l_extendedprice", ["l_returnflag"])
     return out.select("l_returnflag", F.col("n").cast("long").alias("n"),
-                      F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"),
-                      F.round("r2", 9).alias("r2"), F.round("mean_x", 9).alias("mean_x"),
-                      F.round("sxx", 3).alias("sxx"), F.round(F.col("syy") / 1e6, 3).alias("syy"),
-                      F.round("sxy", 2).alias("sxy"))
+                      rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept"),
+                      rnd("r2", 9).alias("r2"), rnd("mean_x", 9).alias("mean_x"),
+                      rnd("sxx", 3).alias("sxx"), rnd(F.col("syy") / 1e6, 3).alias("syy"),
+                      rnd("sxy", 2).alias("sxy"))
 
 
 @query("group_mean_bars", ids=("VIZ12", "AGG4"), sql=sql_rounded("""
@@ -224,7 +224,7 @@ def heat_mean(spark, d):
     o = Tables(spark, d).orders
     return (o.select("o_orderstatus", "o_orderpriority", "o_totalprice")
              .groupBy("o_orderstatus", "o_orderpriority")
-             .agg(F.round(F.avg("o_totalprice"), 2).alias("price_avg")))
+             .agg(rnd(F.avg("o_totalprice"), 2).alias("price_avg")))
 
 
 @query("line_series", ids=("VIZ14",), sql="""
@@ -233,7 +233,7 @@ from orders group by 1, 2 order by 1, 2""")
 def line_series(spark, d):
     o = Tables(spark, d).orders.withColumn("year", F.year("o_orderdate"))
     out = V.line_series(o, ["o_orderstatus"], "year", "o_totalprice")
-    return out.withColumn("o_totalprice", F.round("o_totalprice", 4))
+    return out.withColumn("o_totalprice", rnd("o_totalprice", 4))
 
 
 @query("stacked_area", ids=("VIZ15",), sql="""
@@ -342,4 +342,4 @@ def bucket_means(spark, d):
     li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice")
     j = li.join(order_seg, li.l_orderkey == order_seg.o_orderkey)
     out = V.bucket_means(j, "l_quantity", "l_extendedprice", by=["c_mktsegment"])
-    return out.withColumn("l_extendedprice_avg", F.round("l_extendedprice_avg", 6))
+    return out.withColumn("l_extendedprice_avg", rnd("l_extendedprice_avg", 6))

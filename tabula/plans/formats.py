@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabula.functions.scalar import RANGE_BUCKETS, range_bucket
 from tabula.plans.derived import (GAPS_SQL, PARTIES_SQL, customers_as_parties,
                                   orders_with_gaps, suppliers_as_parties)
-from tabula.plans.registry import Tables, query
+from tabula.plans.registry import Tables, query, rnd
 from tabula.session import scratch_path
 from tabula.sources import files as IO
 
@@ -90,8 +90,8 @@ def libsvm_roundtrip(spark, d):
     assert isinstance(got.schema["features"].dataType, VectorUDT)
     v = vector_to_array("features")
     return got.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
-                                    F.round(F.sum(v[0]), 2).alias("sum_f0"),
-                                    F.round(F.sum(v[1]), 2).alias("sum_f1"))
+                                    rnd(F.sum(v[0]), 2).alias("sum_f0"),
+                                    rnd(F.sum(v[1]), 2).alias("sum_f1"))
 
 
 @query("single_file_export", ids=("SNK3", "ACT8"), sql="""

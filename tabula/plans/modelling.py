@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabula.operators import models as M
-from tabula.plans.registry import Tables, query
+from tabula.plans.registry import Tables, query, rnd
 
 
 def _labelled(spark, d):
@@ -91,7 +91,7 @@ select '(Intercept)', round(regr_intercept(l_extendedprice, l_quantity), 4) from
 def glm_gaussian(spark, d):
     df = _labelled(spark, d)
     s = M.glm_summary(M.fit_glm(df, "l_extendedprice ~ l_quantity", "gaussian"), df)
-    return s.select("feature", F.round("estimate", 4).alias("estimate"))
+    return s.select("feature", rnd("estimate", 4).alias("estimate"))
 
 
 @query("glm_poisson", ids=("MLR9",), sql="""
@@ -101,7 +101,7 @@ def glm_poisson(spark, d):
     df = _labelled(spark, d)
     model = M.fit_glm(df, "l_quantity ~ l_returnflag", "poisson")
     pred = M.predict(model, df)
-    return pred.groupBy("l_returnflag").agg(F.round(F.first("prediction"), 6).alias("fitted"))
+    return pred.groupBy("l_returnflag").agg(rnd(F.first("prediction"), 6).alias("fitted"))
 
 
 @query("glm_families", ids=("MLR9", "UDF5"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabula.operators import joins as J
 from tabula.operators import setops as S
 from tabula.plans.derived import PARTIES_SQL, customers_as_parties, suppliers_as_parties
-from tabula.plans.registry import Tables, query
+from tabula.plans.registry import Tables, query, rnd
 
 
 @query("join_drop_key", ids=("JOIN1",), sql="""
@@ -27,7 +27,7 @@ def join_group_stats(spark, d):
     # the recipe's "count by gender ⋈ mean by gender on gender, drop the copy"
     o = Tables(spark, d).orders
     counts = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("count"))
-    means = o.groupBy("o_orderstatus").agg(F.round(F.avg("o_totalprice"), 6).alias("price_avg"))
+    means = o.groupBy("o_orderstatus").agg(rnd(F.avg("o_totalprice"), 6).alias("price_avg"))
     return J.join_drop_key(counts, means, "o_orderstatus")
 
 
@@ -42,9 +42,9 @@ from c join s on c.nationkey = s.nationkey""")
 def merge_suffixes(spark, d):
     t = Tables(spark, d)
     c = t.customer.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("c_acctbal"), 6).alias("acctbal"))
+        F.count(F.lit(1)).alias("n"), rnd(F.avg("c_acctbal"), 6).alias("acctbal"))
     s = t.supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("s_acctbal"), 6).alias("acctbal"))
+        F.count(F.lit(1)).alias("n"), rnd(F.avg("s_acctbal"), 6).alias("acctbal"))
     return J.merge(c, s, "nationkey")
 
 
@@ -70,7 +70,7 @@ def grid_points(spark, d):
     g = J.grid(Tables(spark, d).lineitem, {"qty": ("l_quantity", 10), "disc": ("l_discount", 5)})
     return g.select(F.col("qty_index").cast("long").alias("qty_index"),
                     F.col("disc_index").cast("long").alias("disc_index"),
-                    F.round("qty", 9).alias("qty"), F.round("disc", 9).alias("disc"))
+                    rnd("qty", 9).alias("qty"), rnd("disc", 9).alias("disc"))
 
 
 @query("append_rows", ids=("SET1",), sql="""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabula.functions import dates as D
 from tabula.functions import scalar as X
-from tabula.plans.registry import Tables, query
+from tabula.plans.registry import Tables, query, rnd
 
 
 @query("math_funcs", ids=("FN1", "FN2", "FN3", "FN4"), sql="""
@@ -22,7 +22,7 @@ def math_funcs(spark, d):
     p = F.col("l_extendedprice") / 7
     return li.select("l_orderkey", "l_linenumber",
                      F.ceil(p).alias("price_ceil"), F.floor(p).alias("price_floor"),
-                     F.round(p, 2).alias("price_round"),
+                     rnd(p, 2).alias("price_round"),
                      F.abs(F.col("l_discount") - 0.05).alias("disc_gap"),
                      X.power("l_quantity", 2).alias("qty_sq"))
 
