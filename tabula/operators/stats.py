@@ -247,7 +247,7 @@ def histogram(df: DataFrame, col: str, nbins: int = 10, by: Sequence[str] = (),
                           .otherwise(F.greatest(F.lit(0), raw).cast("int")).alias("bin"))
     counts = binned.groupBy(*by, F.col("bin").alias("__cbin")).agg(F.count(F.lit(1)).alias("count"))
     # every bin of every group: groups × nbins rows, generated from the stats
-    frame = stats.select(*by, "__mn", "__mx",
+    frame = stats.where(F.col("__mn").isNotNull()).select(*by, "__mn", "__mx",
                          F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
     w = (mx - mn) / F.lit(nbins)
     cond = [frame[k].eqNullSafe(counts[k]) for k in by] + [frame["bin"] == counts["__cbin"]]

@@ -1,0 +1,12 @@
+"""Streaming use of the operators.
+
+The reference has no streaming code (no watermark, window, state or late
+data), so nothing stream-specific is built here.  The operators are plain
+DataFrame transformations; those made of projections, filters and mergeable
+aggregations (``columns``, ``functions``, ``groups.group_agg``,
+``chartdata.bar_counts``/``dotplot_bins``/``lm_line``/``group_means``) apply
+unchanged to a streaming DataFrame with ``outputMode("complete")`` or
+``"update"``.  Operators that need an eager job (size-checked broadcasts,
+quantile method choice, model fits) are batch-only; run them per micro-batch
+with ``foreachBatch``.
+"""
