@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.scalar import range_bucket, range_bucket_order
-from tabula.operators.stats import (DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, _choose_method,
-                                    corr_matrix, histogram, quantile_exprs)
+from tabula.operators.stats import (DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, corr_matrix,
+                                    group_quantiles, histogram)
 from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
@@ -42,6 +42,18 @@ def _stats_of(vals: DataFrame, by: list[str], aggs: list[Column]) -> DataFrame:
     return vals.groupBy(*by).agg(*aggs) if by else vals.agg(*aggs)
 
 
+def _join_small(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+    """Join two per-group tables (one row per group each) on the group keys."""
+    if not by:
+        return a.crossJoin(b)
+    ren = b.select(*[F.col(k).alias(f"__b_{k}") for k in by], *[c for c in b.columns if c not in by])
+    cond = None
+    for k in by:
+        e = a[k].eqNullSafe(ren[f"__b_{k}"])
+        cond = e if cond is None else cond & e
+    return a.join(ren, cond).drop(*[f"__b_{k}" for k in by])
+
+
 # --------------------------------------------------------------------------
 # counts and shares (VIZ1-VIZ3, VIZ9, VIZ10)
 # --------------------------------------------------------------------------
@@ -157,14 +169,12 @@ def hexbin(df: DataFrame, x: str, y: str, bins: int = 30,
 def _box_quartiles(df: DataFrame, value: str, by: list[str], method: str,
                    accuracy: int, max_exact_distinct: int, coef: float) -> tuple[DataFrame, DataFrame]:
     vals = df.select(*by, _num(value).alias("__v")).where(F.col("__v").isNotNull())
-    method = _choose_method(vals, ["__v"], method, max_exact_distinct)
-    q = _stats_of(vals, by, [F.count(F.lit(1)).alias("n"),
-                             quantile_exprs("__v", [0.25, 0.5, 0.75], method, accuracy).alias("__q")])
-    iqr = F.col("__q")[2] - F.col("__q")[0]
-    q = q.select(*by, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                 F.col("__q")[2].alias("q3"), iqr.alias("iqr"),
-                 (F.col("__q")[0] - F.lit(coef) * iqr).alias("lower_fence"),
-                 (F.col("__q")[2] + F.lit(coef) * iqr).alias("upper_fence"))
+    q = group_quantiles(vals, "__v", [0.25, 0.5, 0.75], by, method, accuracy, max_exact_distinct)
+    iqr = F.col("__qs")[2] - F.col("__qs")[0]
+    q = q.select(*by, F.col("__n").alias("n"), F.col("__qs")[0].alias("q1"),
+                 F.col("__qs")[1].alias("median"), F.col("__qs")[2].alias("q3"), iqr.alias("iqr"),
+                 (F.col("__qs")[0] - F.lit(coef) * iqr).alias("lower_fence"),
+                 (F.col("__qs")[2] + F.lit(coef) * iqr).alias("upper_fence"))
     return vals, q
 
 
@@ -250,13 +260,14 @@ def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
     if n < 2:
         raise ValueError("n must be at least 2")
     vals = df.select(*by, _num(col).alias("__v")).where(F.col("__v").isNotNull())
-    qm = _choose_method(vals, ["__v"], method, max_exact_distinct) if bw is None else "approx"
     aggs = [F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx")]
     if bw is None:
-        aggs += [F.stddev_samp("__v").alias("__sd"),
-                 quantile_exprs("__v", [0.25, 0.75], qm, accuracy).alias("__q")]
+        aggs.append(F.stddev_samp("__v").alias("__sd"))
     stats = _stats_of(vals, by, aggs)
     if bw is None:
+        q = group_quantiles(vals, "__v", [0.25, 0.75], by, method, accuracy, max_exact_distinct) \
+            .select(*by, F.col("__qs").alias("__q"))
+        stats = _join_small(stats, q, by)
         stats = stats.withColumn("__bw", _nrd0(F.col("__sd"), F.col("__q")[1] - F.col("__q")[0],
                                                F.col("__n"), F.col("__mn")))
     else:
@@ -296,12 +307,13 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
             F.min("__x").alias("__xmn"), F.max("__x").alias("__xmx"),
             F.min("__y").alias("__ymn"), F.max("__y").alias("__ymx")]
     if h is None:
-        qm = _choose_method(vals, ["__x", "__y"], method, max_exact_distinct)
-        aggs += [F.stddev_samp("__x").alias("__sx"), F.stddev_samp("__y").alias("__sy"),
-                 quantile_exprs("__x", [0.25, 0.75], qm, accuracy).alias("__qx"),
-                 quantile_exprs("__y", [0.25, 0.75], qm, accuracy).alias("__qy")]
+        aggs += [F.stddev_samp("__x").alias("__sx"), F.stddev_samp("__y").alias("__sy")]
     stats = vals.agg(*aggs)
     if h is None:
+        qx = group_quantiles(vals, "__x", [0.25, 0.75], (), method, accuracy, max_exact_distinct)
+        qy = group_quantiles(vals, "__y", [0.25, 0.75], (), method, accuracy, max_exact_distinct)
+        stats = stats.crossJoin(qx.select(F.col("__qs").alias("__qx"))) \
+                     .crossJoin(qy.select(F.col("__qs").alias("__qy")))
         stats = stats.select(
             "__n", "__xmn", "__xmx", "__ymn", "__ymx",
             (_nrd(F.col("__sx"), F.col("__qx")[1] - F.col("__qx")[0], F.col("__n")) / 4).alias("__hx"),
@@ -438,17 +450,14 @@ def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
                                      else F.lit(None).cast("string")).alias("level2"),
                                     F.col("__c").cast("double").alias("value")))
     for cat in categorical:
-        if not numeric:
-            break
-        qs = df.groupBy(cat).agg(*[F.percentile(_num(v), [0.25, 0.5, 0.75]).alias(f"__q{i}")
-                                   for i, v in enumerate(numeric)])
-        for i, v in enumerate(numeric):
+        for v in numeric:
+            qs = group_quantiles(df, v, [0.25, 0.5, 0.75], [cat])
             for j, kind in enumerate(("q1", "median", "q3")):
                 parts.append(qs.select(F.lit(v).alias("var1"), F.lit(cat).alias("var2"),
                                        F.lit(kind).alias("kind"),
                                        F.lit(None).cast("string").alias("level1"),
                                        F.col(cat).cast("string").alias("level2"),
-                                       F.col(f"__q{i}")[j].alias("value")))
+                                       F.col("__qs")[j].alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

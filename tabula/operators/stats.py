@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabula.operators.selection import MAX_CANDIDATES, exact_quantiles
 from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
 
 MAX_EXACT_DISTINCT = 2_000_000
@@ -65,17 +66,18 @@ def summary_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 # --------------------------------------------------------------------------
 
 
-def _choose_method(df: DataFrame, cols: Sequence[str], method: str,
-                   max_exact_distinct: int) -> str:
-    if method != "auto":
-        return method
-    est = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    return "exact" if max(est) <= max_exact_distinct else "approx"
+def _max_distinct(vals: DataFrame, by: Sequence[str], col: str) -> int:
+    """HyperLogLog estimate of the largest number of distinct values in a group."""
+    est = F.approx_count_distinct(col).alias("__d")
+    per = vals.groupBy(*by).agg(est) if by else vals.agg(est)
+    got = per.agg(F.max("__d")).first()[0] if by else per.first()[0]
+    return int(got or 0)
 
 
 def quantile_exprs(col: str | Column, probs: Sequence[float], method: str = "exact",
                    accuracy: int = DEFAULT_ACCURACY) -> Column:
-    """Array of quantiles of one column (an aggregate expression)."""
+    """Array of quantiles of one column as one aggregate expression (in-memory
+    methods only; :func:`group_quantiles` also covers groups too large for them)."""
     c = F.col(col) if isinstance(col, str) else col
     if method == "exact":
         return F.percentile(c, list(probs))
@@ -89,28 +91,63 @@ def quantile_exprs(col: str | Column, probs: Sequence[float], method: str = "exa
     raise ValueError("method must be 'exact', 'disc', 'approx' or 'auto'")
 
 
+def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                    method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
+                    max_exact_distinct: int = MAX_EXACT_DISTINCT,
+                    max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+    """Quantiles of one column per group: ``(by..., __n, __qs array<double>)``.
+
+    * ``approx`` — one sketch aggregate, memory bounded by ``accuracy``;
+    * ``exact`` / ``disc`` — an HLL estimate of the largest group's distinct
+      count decides the plan: within ``max_exact_distinct`` Spark's in-memory
+      ``percentile`` / ``percentile_disc`` (one counter per distinct value);
+      beyond it the bracketing selection of :mod:`tabula.operators.selection`,
+      which never holds a group in one task;
+    * ``auto`` — in-memory exact when small, otherwise the sketch.
+    NULLs are ignored; groups without values are absent.
+    """
+    by = list(by)
+    vals = df.select(*by, F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    if method not in ("exact", "disc", "approx", "auto"):
+        raise ValueError("method must be 'exact', 'disc', 'approx' or 'auto'")
+    plan = method
+    if method != "approx":
+        small = _max_distinct(vals, by, "__v") <= max_exact_distinct
+        if method == "auto":
+            plan = "exact" if small else "approx"
+        elif not small:
+            return exact_quantiles(vals, by, probs, "cont" if method == "exact" else "disc",
+                                   accuracy, max_candidates)
+    aggs = [F.count(F.lit(1)).alias("__n"),
+            quantile_exprs("__v", probs, plan, accuracy).alias("__qs")]
+    if by:
+        return vals.groupBy(*by).agg(*aggs)
+    return vals.agg(*aggs).where(F.col("__n") > 0)
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
               accuracy: int = DEFAULT_ACCURACY,
-              max_exact_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
+              max_exact_distinct: int = MAX_EXACT_DISTINCT,
+              max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """STA2: quantiles of several columns, long ``(by..., column, prob, value)``.
 
     ``exact`` interpolates between order statistics (R type 7, SQL
     ``percentile_cont``); ``disc`` is the exact discrete quantile (SQL
-    ``percentile_disc``, same memory profile as ``exact``); ``approx`` returns
-    an element of the data within rank error ``n/accuracy``.
+    ``percentile_disc``); ``approx`` returns an element of the data within
+    rank error ``n/accuracy``; ``auto`` is exact for columns with few distinct
+    values and the sketch otherwise.  See :func:`group_quantiles` for the plan.
     """
-    method = _choose_method(df, cols, method, max_exact_distinct)
-    df = df.withColumns({f"__q{i}": F.col(c).cast("double") for i, c in enumerate(cols)})
-    aggs = [quantile_exprs(f"__q{i}", probs, method, accuracy).alias(f"q{i}")
-            for i, c in enumerate(cols)]
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    rows = []
-    for i, c in enumerate(cols):
-        for j, p in enumerate(probs):
-            rows.append(F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
-                                 F.col(f"q{i}")[j].alias("value")))
-    return wide.select(*by, F.inline(F.array(*rows)))
+    parts = []
+    for c in cols:
+        q = group_quantiles(df, c, probs, by, method, accuracy, max_exact_distinct, max_candidates)
+        rows = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
+                         F.col("__qs")[j].alias("value")) for j, p in enumerate(probs)]
+        parts.append(q.select(*by, F.inline(F.array(*rows))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

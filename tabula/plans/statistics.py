@@ -67,6 +67,19 @@ def quantiles_by_group(spark, d):
     return round_doubles(out, only=["value"])
 
 
+@query("quantiles_large_groups", ids=("STA2", "VIZ4"), sql=sql_rounded("""
+select l_returnflag, 'l_extendedprice' as "column", unnest([0.25, 0.5, 0.75]::double[]) as prob,
+       unnest(quantile_cont(l_extendedprice, [0.25, 0.5, 0.75])) as value
+from lineitem group by l_returnflag""", ["value"]))
+def quantiles_large_groups(spark, d):
+    # each return flag holds about a third of the rows; small thresholds force
+    # the bracketing plan that never holds a group in one task
+    out = S.quantiles(Tables(spark, d).lineitem, ["l_extendedprice"], [0.25, 0.5, 0.75],
+                      by=["l_returnflag"], method="exact", max_exact_distinct=1000,
+                      max_candidates=2000)
+    return round_doubles(out, only=["value"])
+
+
 @query("corr_pair", ids=("STA3",), sql="""
 select l_returnflag, round(corr(l_quantity, l_extendedprice), 9) as corr
 from lineitem group by 1""")

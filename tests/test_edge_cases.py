@@ -301,3 +301,24 @@ def test_cast_to_bad_type_is_null(spark):
     df = spark.createDataFrame([("12",), ("x",)], "s string")
     out = [r.s for r in C.cast_columns(df, {"s": "int"}).collect()]
     assert out == [12, None]
+
+
+@pytest.mark.parametrize("method,kind", [("exact", "cont"), ("disc", "disc")])
+def test_bracketed_quantiles_match_numpy(spark, method, kind):
+    rng = np.random.default_rng(11)
+    vals = rng.normal(size=3000).round(2)
+    grp = rng.integers(0, 2, size=3000)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
+    probs = [0.0, 0.05, 0.5, 0.9, 1.0]
+    # tiny thresholds force the bracketing plan (no group held in one task)
+    out = ST.group_quantiles(df, "v", probs, ["g"], method=method, max_exact_distinct=10,
+                             max_candidates=100).collect()
+    assert len(out) == 2
+    for r in out:
+        sub = np.sort(vals[grp == r.g])
+        if kind == "cont":
+            want = np.percentile(sub, [p * 100 for p in probs])
+        else:
+            want = [sub[max(math.ceil(p * len(sub)) - 1, 0)] for p in probs]
+        assert r["__n"] == len(sub)
+        assert np.allclose(r["__qs"], want)
