@@ -27,8 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.scalar import range_bucket, range_bucket_order
-from tabula.operators.stats import (DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, corr_matrix,
-                                    group_quantiles, histogram)
+from tabula.operators.stats import DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, group_quantiles
 from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
@@ -310,10 +309,16 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
         aggs += [F.stddev_samp("__x").alias("__sx"), F.stddev_samp("__y").alias("__sy")]
     stats = vals.agg(*aggs)
     if h is None:
-        qx = group_quantiles(vals, "__x", [0.25, 0.75], (), method, accuracy, max_exact_distinct)
-        qy = group_quantiles(vals, "__y", [0.25, 0.75], (), method, accuracy, max_exact_distinct)
-        stats = stats.crossJoin(qx.select(F.col("__qs").alias("__qx"))) \
-                     .crossJoin(qy.select(F.col("__qs").alias("__qy")))
+        # both axes' quartiles in one quantile plan, keyed by axis
+        axes = vals.select(F.explode(F.array(
+            F.struct(F.lit("x").alias("__axis"), F.col("__x").alias("__a")),
+            F.struct(F.lit("y").alias("__axis"), F.col("__y").alias("__a")))).alias("__e")) \
+            .select("__e.*")
+        q = group_quantiles(axes, "__a", [0.25, 0.75], ["__axis"], method, accuracy,
+                            max_exact_distinct)
+        qxy = q.agg(F.max(F.when(F.col("__axis") == "x", F.col("__qs"))).alias("__qx"),
+                    F.max(F.when(F.col("__axis") == "y", F.col("__qs"))).alias("__qy"))
+        stats = stats.crossJoin(qxy)
         stats = stats.select(
             "__n", "__xmn", "__xmx", "__ymn", "__ymx",
             (_nrd(F.col("__sx"), F.col("__qx")[1] - F.col("__qx")[0], F.col("__n")) / 4).alias("__hx"),
@@ -416,7 +421,7 @@ def bucket_means(df: DataFrame, score: str, value: str, by: Sequence[str] = (),
 
 
 def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                nbins: int = 10) -> DataFrame:
+                nbins: int = 10, method: str = "exact") -> DataFrame:
     """VIZ18: the statistic of every panel of a mixed-type pairs plot, long form.
 
     ``(var1, var2, kind, level1, level2, value)``:
@@ -425,40 +430,75 @@ def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     * numeric diagonal → ``hist`` (``nbins`` equal-width counts, level1 = bin);
     * categorical × categorical → ``count`` per level pair; diagonal → counts;
     * numeric × categorical → ``q1``/``median``/``q3`` of the numeric per level.
+
+    Panels of one kind share a pass: one aggregate for every correlation and
+    range, one for every histogram, one for every categorical count and one
+    quantile plan for every numeric-by-level box — four scans whatever the
+    number of columns, instead of one per panel.
     """
     numeric, categorical = list(numeric), list(categorical)
+    nul = F.lit(None).cast("string")
     parts: list[DataFrame] = []
-    if len(numeric) > 1:
-        cm = corr_matrix(df, numeric, digits=None).where(F.col("var1") != F.col("var2"))
-        parts.append(cm.select("var1", "var2", F.lit("corr").alias("kind"),
-                               F.lit(None).cast("string").alias("level1"),
-                               F.lit(None).cast("string").alias("level2"), "value"))
-    for c in numeric:
-        h = histogram(df, c, nbins)
-        parts.append(h.select(F.lit(c).alias("var1"), F.lit(c).alias("var2"),
-                              F.lit("hist").alias("kind"), F.col("bin").cast("string").alias("level1"),
-                              F.lit(None).cast("string").alias("level2"),
-                              F.col("count").cast("double").alias("value")))
-    for i, a in enumerate(categorical):
-        for b in categorical[i:]:
-            keys = [a] if a == b else [a, b]
-            cnt = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-            parts.append(cnt.select(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                                    F.lit("count").alias("kind"),
-                                    F.col(a).cast("string").alias("level1"),
-                                    (F.col(b).cast("string") if a != b
-                                     else F.lit(None).cast("string")).alias("level2"),
-                                    F.col("__c").cast("double").alias("value")))
-    for cat in categorical:
-        for v in numeric:
-            qs = group_quantiles(df, v, [0.25, 0.5, 0.75], [cat])
-            for j, kind in enumerate(("q1", "median", "q3")):
-                parts.append(qs.select(F.lit(v).alias("var1"), F.lit(cat).alias("var2"),
-                                       F.lit(kind).alias("kind"),
-                                       F.lit(None).cast("string").alias("level1"),
-                                       F.col(cat).cast("string").alias("level2"),
-                                       F.col("__qs")[j].alias("value")))
-    out = parts[0]
+    if numeric:
+        k = len(numeric)
+        aggs = [e for i, c in enumerate(numeric)
+                for e in (F.min(_num(c)).alias(f"__mn{i}"), F.max(_num(c)).alias(f"__mx{i}"))]
+        aggs += [F.corr(_num(numeric[i]), _num(numeric[j])).alias(f"__c{i}_{j}")
+                 for i in range(k) for j in range(i + 1, k)]
+        stats = df.agg(*aggs)
+        corr_rows = [F.struct(F.lit(numeric[i]).alias("var1"), F.lit(numeric[j]).alias("var2"),
+                              F.lit("corr").alias("kind"), nul.alias("level1"), nul.alias("level2"),
+                              F.col(f"__c{min(i, j)}_{max(i, j)}").alias("value"))
+                     for i in range(k) for j in range(k) if i != j]
+        if corr_rows:
+            parts.append(stats.select(F.inline(F.array(*corr_rows))))
+        # every histogram in one pass: each row contributes one (variable, bin)
+        # per numeric column
+        withs = attach_scalars(df.select(*[_num(c).alias(f"__v{i}") for i, c in enumerate(numeric)]),
+                               stats)
+
+        def bin_of(i: int) -> Column:
+            v, mn, mx = F.col(f"__v{i}"), F.col(f"__mn{i}"), F.col(f"__mx{i}")
+            raw = F.greatest(F.lit(0), F.ceil(F.lit(nbins) * ((v - mn) / (mx - mn))) - 1).cast("int")
+            return F.when(v.isNull(), F.lit(None).cast("int")).when(mx == mn, F.lit(0)).otherwise(raw)
+
+        binned = withs.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("var"), bin_of(i).alias("bin")) for i, c in enumerate(numeric)]))
+            .alias("__e")).select("__e.var", "__e.bin").where(F.col("bin").isNotNull())
+        counts = binned.groupBy(F.col("var").alias("__cvar"), F.col("bin").alias("__cbin")) \
+            .agg(F.count(F.lit(1)).alias("__c"))
+        frame = stats.select(F.explode(F.array(*[
+            F.when(F.col(f"__mn{i}").isNotNull(), F.lit(c)) for i, c in enumerate(numeric)]))
+            .alias("var")).where(F.col("var").isNotNull()) \
+            .select("var", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
+        hist = frame.join(counts, (frame["var"] == counts["__cvar"]) & (frame["bin"] == counts["__cbin"]),
+                          "left")
+        parts.append(hist.select(F.col("var").alias("var1"), F.col("var").alias("var2"),
+                                 F.lit("hist").alias("kind"), F.col("bin").cast("string").alias("level1"),
+                                 nul.alias("level2"),
+                                 F.coalesce(F.col("__c"), F.lit(0)).cast("double").alias("value")))
+    if categorical:
+        combos = [(a, b) for i, a in enumerate(categorical) for b in categorical[i:]]
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
+                     F.col(a).cast("string").alias("level1"),
+                     (F.col(b).cast("string") if a != b else nul).alias("level2"))
+            for a, b in combos])).alias("__e")).select("__e.*")
+        parts.append(pairs.groupBy("var1", "var2", "level1", "level2")
+                          .agg(F.count(F.lit(1)).cast("double").alias("value"))
+                          .withColumn("kind", F.lit("count")))
+    if numeric and categorical:
+        boxes = df.select(F.explode(F.array(*[
+            F.struct(F.lit(v).alias("var1"), F.lit(cat).alias("var2"),
+                     F.col(cat).cast("string").alias("level2"), _num(v).alias("x"))
+            for cat in categorical for v in numeric])).alias("__e")).select("__e.*")
+        qs = group_quantiles(boxes, "x", [0.25, 0.5, 0.75], ["var1", "var2", "level2"], method)
+        parts.append(qs.select("var1", "var2", "level2", F.inline(F.array(*[
+            F.struct(F.lit(kind).alias("kind"), F.col("__qs")[j].alias("value"))
+            for j, kind in enumerate(("q1", "median", "q3"))])))
+            .withColumn("level1", nul))
+    cols = ["var1", "var2", "kind", "level1", "level2", "value"]
+    out = parts[0].select(*cols)
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p.select(*cols))
     return out

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, cut_lineage
 
-GRID = 200             # grid of sketch quantiles per round
-MAX_CANDIDATES = 1_000_000
+GRID = 1000            # grid of sketch quantiles per round
+MAX_CANDIDATES = 200_000
 MAX_ROUNDS = 8
 
 

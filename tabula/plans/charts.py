@@ -339,7 +339,9 @@ def bucket_means(spark, d):
     orders = t.orders.select("o_orderkey", "o_custkey")
     order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "c_mktsegment")
-    li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice")
+    # lineitem is the fact table: never broadcast it, whatever its estimated
+    # size after projection; a sort-merge join on the order key scales
+    li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice").hint("merge")
     j = li.join(order_seg, li.l_orderkey == order_seg.o_orderkey)
     out = V.bucket_means(j, "l_quantity", "l_extendedprice", by=["c_mktsegment"])
     return out.withColumn("l_extendedprice_avg", rnd("l_extendedprice_avg", 6))

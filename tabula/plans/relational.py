@@ -15,7 +15,8 @@ select l_orderkey as orderkey, l_linenumber, l_quantity, o_orderstatus, o_totalp
 from lineitem join orders on l_orderkey = o_orderkey""")
 def join_drop_key(spark, d):
     t = Tables(spark, d)
-    li = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity")
+    li = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity") \
+        .hint("merge")  # the fact table: sort-merge join, never a broadcast
     o = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus", "o_totalprice")
     return J.join_drop_key(li, o, "orderkey")
 

@@ -131,7 +131,8 @@ select l_orderkey, l_linenumber,
 from j""")
 def months_days_between(spark, d):
     t = Tables(spark, d)
-    li = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("a"))
+    li = t.lineitem.select("l_orderkey", "l_linenumber",
+                           F.col("l_shipdate").cast("date").alias("a")).hint("merge")
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"),
                         F.col("o_orderdate").cast("date").alias("b"))
     j = li.join(o, "l_orderkey")
