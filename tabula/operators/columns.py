@@ -6,13 +6,14 @@ and count helpers, which are single-pass global aggregates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.plans.strategy import attach_scalars
+from tabula.plans.strategy import attach_scalars, cut_lineage
 
 # --------------------------------------------------------------------------
 # projection (PRJ1-PRJ13)
@@ -205,3 +206,20 @@ def schema_table(df: DataFrame) -> DataFrame:
         T.StructField("nullable", T.BooleanType()),
     ])
     return spark.createDataFrame(rows, schema)
+
+
+def with_cache(df: DataFrame, fn: Callable[[DataFrame], DataFrame],
+               storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """ACT7: keep ``df`` cached while ``fn`` derives a result from it, then release it.
+
+    The recipes cache a table before several actions on it.  Here the result
+    of ``fn`` (meant to be small, e.g. several aggregates) is materialised by a
+    reliable checkpoint into the shared checkpoint folder before the cache is
+    dropped, so the returned DataFrame neither holds the cache nor depends on
+    it.  Spilling to disk (``MEMORY_AND_DISK``) keeps large inputs safe.
+    """
+    cached = df.persist(storage_level)
+    try:
+        return cut_lineage(fn(cached))
+    finally:
+        cached.unpersist()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabula.operators import columns as C
 from tabula.operators import groups as G
 from tabula.plans.derived import GAPS_SQL, orders_with_gaps
 from tabula.plans.registry import Tables, query, rnd
@@ -158,3 +159,21 @@ from orders group by 1, 2""")
 def resample_year(spark, d):
     return G.resample(Tables(spark, d).orders, "o_orderdate", "year", {
         "n": F.count(F.lit(1)), "price_avg": rnd(F.avg("o_totalprice"))}, by=["o_orderstatus"])
+
+
+@query("cached_aggregates", ids=("ACT7",), sql="""
+select l_returnflag, count(*) as n, round(avg(l_extendedprice), 6) as price_avg,
+       max(l_quantity) as qty_max, min(l_quantity) as qty_min
+from lineitem group by 1""")
+def cached_aggregates(spark, d):
+    li = Tables(spark, d).lineitem.select("l_returnflag", "l_quantity", "l_extendedprice")
+
+    def several(t):
+        # two separate aggregations read the cached projection instead of the files
+        a = G.group_agg(t, ["l_returnflag"], {"n": F.count(F.lit(1)),
+                                              "price_avg": rnd(F.avg("l_extendedprice"))})
+        b = G.group_agg(t, ["l_returnflag"], {"qty_max": F.max("l_quantity"),
+                                              "qty_min": F.min("l_quantity")})
+        return a.join(b, "l_returnflag")
+
+    return C.with_cache(li, several)

@@ -11,7 +11,6 @@ master is local (tests), never on a cluster.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,9 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
-
-def _env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
