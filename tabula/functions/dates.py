@@ -20,9 +20,16 @@ def parse_date(col: str | Column, fmt: str = "MM/dd/yyyy") -> Column:
     return F.try_to_timestamp(_c(col), F.lit(fmt)).cast("date")
 
 
-def parse_unix_seconds(col: str | Column, fmt: str = "MM/dd/yyyy") -> Column:
-    """FN7 first step: text → seconds since the epoch (NULL when it does not parse)."""
-    return F.unix_seconds(F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp"))
+def parse_unix_seconds(col: str | Column, fmt: str = "MM/dd/yyyy", tz: str = "UTC") -> Column:
+    """FN7 first step: text → seconds since the epoch (NULL when it does not parse).
+
+    The text is a wall-clock time in zone ``tz`` (UTC by default), so the
+    result does not depend on the session time zone.
+    """
+    wall = F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
+    at = F.make_timestamp(F.year(wall), F.month(wall), F.dayofmonth(wall), F.hour(wall),
+                          F.minute(wall), F.second(wall).cast("decimal(16,6)"), F.lit(tz))
+    return F.unix_seconds(at)
 
 
 def parse_iso_date(col: str | Column) -> Column:
