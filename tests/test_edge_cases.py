@@ -322,3 +322,15 @@ def test_bracketed_quantiles_match_numpy(spark, method, kind):
             want = [sub[max(math.ceil(p * len(sub)) - 1, 0)] for p in probs]
         assert r["__n"] == len(sub)
         assert np.allclose(r["__qs"], want)
+
+
+def test_binned_density_close_to_exact(spark):
+    rng = np.random.default_rng(7)
+    vals = rng.gamma(2.0, 3.0, size=4000)
+    df = spark.createDataFrame([(float(v), int(i % 2)) for i, v in enumerate(vals)], "v double, g int")
+    exact = {(r.g, r["index"]): r.density for r in V.density_1d(df, "v", by=["g"], n=64).collect()}
+    binned = {(r.g, r["index"]): r.density for r in
+              V.density_1d(df, "v", by=["g"], n=64, bins=2048).collect()}
+    assert exact.keys() == binned.keys()
+    peak = max(exact.values())
+    assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
