@@ -316,10 +316,42 @@ def _linear_bins(vals: DataFrame, ranges: DataFrame, by: list[str], bins: int,
     return summed.where(F.col("__w") > 0).select(*by, point.alias("__v"), "__w")
 
 
+def _bilinear_bins(vals: DataFrame, stats: DataFrame, bins: int) -> DataFrame:
+    """``(__x, __y, __w)`` on a ``bins × bins`` lattice over the data range, each
+    point's unit weight split among the four surrounding lattice points."""
+    if bins < 2:
+        raise ValueError("bins must be at least 2")
+    withs = attach_scalars(vals, stats.select("__xmn", "__xmx", "__ymn", "__ymx"))
+
+    def axis(v: str, mn: str, mx: str) -> tuple[Column, Column]:
+        span = F.col(mx) - F.col(mn)
+        g = F.when(span > 0, (F.col(v) - F.col(mn)) / span * F.lit(bins - 1)).otherwise(F.lit(0.0))
+        lo = F.least(F.floor(g), F.lit(bins - 2))
+        return lo, g - lo
+
+    xi, xf = axis("__x", "__xmn", "__xmx")
+    yi, yf = axis("__y", "__ymn", "__ymx")
+    t = withs.select("__xmn", "__xmx", "__ymn", "__ymx", xi.alias("__xi"), xf.alias("__xf"),
+                     yi.alias("__yi"), yf.alias("__yf"))
+    one = F.lit(1.0)
+    corners = F.array(*[
+        F.struct((F.col("__xi") + dx).alias("__i"), (F.col("__yi") + dy).alias("__j"),
+                 ((F.col("__xf") if dx else one - F.col("__xf")) *
+                  (F.col("__yf") if dy else one - F.col("__yf"))).alias("__w"))
+        for dx in (0, 1) for dy in (0, 1)])
+    summed = t.select("__xmn", "__xmx", "__ymn", "__ymx", F.explode(corners).alias("__e")) \
+        .groupBy("__xmn", "__xmx", "__ymn", "__ymx", F.col("__e.__i").alias("__i"),
+                 F.col("__e.__j").alias("__j")).agg(F.sum("__e.__w").alias("__w"))
+    step = lambda lo, hi: (F.col(hi) - F.col(lo)) / F.lit(bins - 1)
+    return summed.where(F.col("__w") > 0).select(
+        (F.col("__xmn") + F.col("__i") * step("__xmn", "__xmx")).alias("__x"),
+        (F.col("__ymn") + F.col("__j") * step("__ymn", "__ymx")).alias("__y"), "__w")
+
+
 def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
                h: tuple[float, float] | None = None, method: str = "exact",
                accuracy: int = DEFAULT_ACCURACY,
-               max_exact_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
+               max_exact_distinct: int = MAX_EXACT_DISTINCT, bins: int | None = None) -> DataFrame:
     """VIZ8: bivariate Gaussian kernel density on an ``n × n`` grid (``kde2d``).
 
     Bandwidths default to ``bandwidth.nrd`` per axis and are divided by 4 as in
@@ -327,7 +359,9 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
 
     Work is split by axis: for each distinct ``x`` value the y-kernels of its
     rows are summed first (rows × n), then combined with the x-kernel
-    (distinct x × n × n) — the n² grid never multiplies the row count.
+    (distinct x × n × n) — the n² grid never multiplies the row count.  With
+    ``bins``, the points are first spread bilinearly onto a ``bins × bins``
+    lattice, bounding both steps by the lattice size.
     """
     vx, vy = _num(x), _num(y)
     vals = df.select(vx.alias("__x"), vy.alias("__y")) \
@@ -355,7 +389,10 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
             (_nrd(F.col("__sy"), F.col("__qy")[1] - F.col("__qy")[0], F.col("__n")) / 4).alias("__hy"))
     else:
         stats = stats.withColumn("__hx", F.lit(h[0] / 4.0)).withColumn("__hy", F.lit(h[1] / 4.0))
-    pairs = vals.groupBy("__x", "__y").agg(F.count(F.lit(1)).alias("__w"))
+    if bins is None:
+        pairs = vals.groupBy("__x", "__y").agg(F.count(F.lit(1)).alias("__w"))
+    else:
+        pairs = _bilinear_bins(vals, stats, bins)
     withs = attach_scalars(pairs, stats)
     step = lambda lo, hi: (F.col(hi) - F.col(lo)) / F.lit(n - 1)
     # stage 1: per distinct x and grid row j, the summed y-kernel

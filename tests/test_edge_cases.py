@@ -334,3 +334,14 @@ def test_binned_density_close_to_exact(spark):
     assert exact.keys() == binned.keys()
     peak = max(exact.values())
     assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
+
+
+def test_binned_density_2d_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    pts = rng.normal(size=(3000, 2)) * [1.0, 3.0]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
+    exact = {(r.i, r.j): r.density for r in V.density_2d(df, "x", "y", n=20).collect()}
+    binned = {(r.i, r.j): r.density for r in V.density_2d(df, "x", "y", n=20, bins=256).collect()}
+    assert exact.keys() == binned.keys()
+    peak = max(exact.values())
+    assert max(abs(exact[k] - binned[k]) for k in exact) < 5e-3 * peak
