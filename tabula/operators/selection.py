@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, cut_lineage
+from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, cut_lineage, keyed_join
 
 GRID = 1000            # grid of sketch quantiles per round
 MAX_CANDIDATES = 200_000
@@ -38,18 +38,13 @@ MAX_ROUNDS = 8
 
 def _join_targets(vals: DataFrame, state: DataFrame, by: list[str], small: bool) -> DataFrame:
     """Rows joined to the targets of their group; the target table (groups ×
-    ranks, counted once) is broadcast when ``small``."""
-    side = state.select(*[F.col(k).alias(f"__s_{k}") for k in by],
+    ranks, counted once) is broadcast when ``small``, else joined by a salted
+    shuffle join so a hot group is spread over many tasks."""
+    side = state.select(*[F.col(k).alias(f"__k_{k}") for k in by],
                         *[c for c in state.columns if c not in by])
-    if small:
-        side = F.broadcast(side)
     if not by:
-        return vals.crossJoin(side)
-    cond = None
-    for k in by:
-        e = vals[k].eqNullSafe(side[f"__s_{k}"])
-        cond = e if cond is None else cond & e
-    return vals.join(side, cond).drop(*[f"__s_{k}" for k in by])
+        return vals.crossJoin(F.broadcast(side) if small else side)
+    return keyed_join(vals, side, by, small).drop(*[f"__k_{k}" for k in by])
 
 
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

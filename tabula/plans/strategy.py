@@ -56,23 +56,44 @@ def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
 
 
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str],
-                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_rows: int = DEFAULT_BROADCAST_ROWS,
+                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Join per-group statistics (one row per key) back to the rows.
 
     Keys are matched null-safely, so a NULL group gets its own statistics as in
     ``groupBy``.  With no keys this is :func:`attach_scalars`.
+
+    Within ``max_rows`` groups (checked) the statistics are broadcast.  Beyond
+    it the join is a shuffle join made skew-proof by salting: every row gets a
+    salt in ``[0, salt_buckets)`` from a hash, every statistics row is
+    replicated once per salt, and the join key includes the salt — so a group
+    holding a third of all rows is spread over ``salt_buckets`` tasks.
     """
     if not keys:
         return attach_scalars(df, stats)
     renamed = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                            *[c for c in stats.columns if c not in keys])
-    side, _ = sized_broadcast(renamed, max_rows)
-    cond = reduce(lambda a, b: a & b,
-                  [df[k].eqNullSafe(side[f"__k_{k}"]) for k in keys])
-    joined = df.join(side, cond, "inner")
+    side, small = sized_broadcast(renamed, max_rows)
+    joined = keyed_join(df, side, keys, small, salt_buckets)
     return joined.drop(*[f"__k_{k}" for k in keys])
 
 
+def keyed_join(df: DataFrame, side: DataFrame, keys: list[str], small: bool,
+               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Inner join of rows to a side table whose key columns are named
+    ``__k_<key>`` (NULL-safe match): broadcast when ``small``, otherwise a
+    salted shuffle join (side rows replicated once per salt)."""
+    if small:
+        cond = [df[k].eqNullSafe(side[f"__k_{k}"]) for k in keys]
+        return df.join(F.broadcast(side), reduce(lambda a, b: a & b, cond), "inner")
+    salted = df.withColumn("__salt", salt_column(salt_buckets))
+    side = side.withColumn("__ksalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    cond = [salted[k].eqNullSafe(side[f"__k_{k}"]) for k in keys] + \
+        [salted["__salt"] == side["__ksalt"]]
+    joined = salted.join(side, reduce(lambda a, b: a & b, cond), "inner")
+    return joined.drop("__salt", "__ksalt")
+
+
 def salt_column(buckets: int = DEFAULT_SALT_BUCKETS, cols: list[str] | None = None) -> Column:
     """A deterministic salt in ``[0, buckets)`` from a hash of the row.
 

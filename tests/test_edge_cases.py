@@ -345,3 +345,14 @@ def test_binned_density_2d_close_to_exact(spark):
     assert exact.keys() == binned.keys()
     peak = max(exact.values())
     assert max(abs(exact[k] - binned[k]) for k in exact) < 5e-3 * peak
+
+
+def test_bracketed_quantiles_with_salted_target_join(spark):
+    rng = np.random.default_rng(13)
+    vals = rng.normal(size=2000).round(3)
+    grp = rng.integers(0, 3, size=2000)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, __v double")
+    from tabula.operators import selection as SEL
+    out = SEL.exact_quantiles(df, ["g"], [0.5], max_candidates=50, max_rows=0).collect()
+    for r in out:
+        assert r["__qs"][0] == pytest.approx(float(np.median(vals[grp == r.g])))
