@@ -116,6 +116,16 @@ def fit_glm(df: DataFrame, formula: str, family: str = "gaussian", link: str | N
     return Pipeline(stages=[_formula(formula), GeneralizedLinearRegression(**params)]).fit(df)
 
 
+def glm_coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """MLR9: ``(feature, estimate)`` of a fitted GLM, intercept last — no
+    further job (the training summary needs extra passes over the data)."""
+    glm = model.stages[-1]
+    names = feature_names(model, df) + ["(Intercept)"]
+    coefs = list(glm.coefficients.toArray()) + [glm.intercept]
+    return df.sparkSession.createDataFrame(
+        [(f, float(c)) for f, c in zip(names, coefs)], "feature string, estimate double")
+
+
 def glm_summary(model: PipelineModel, df: DataFrame, family: str | None = None) -> DataFrame:
     """MLR9 summary: ``(family, feature, estimate, std_error, t_value, p_value,
     deviance, null_deviance, aic)`` — one row per coefficient."""

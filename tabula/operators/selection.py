@@ -24,6 +24,7 @@ joined back after a size check.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -163,3 +164,58 @@ def exact_quantiles(vals: DataFrame, by: Sequence[str], probs: Sequence[float],
             r = F.greatest(F.ceil(F.col("__n").cast("double") * p) - 1, F.lit(0)).cast("long")
             outs.append(F.element_at(m, r))
     return joined.select(*by, "__n", F.array(*outs).alias("__qs"))
+
+
+def sorted_quantiles(vals: DataFrame, probs: Sequence[float], kind: str = "cont") -> DataFrame:
+    """Exact quantiles of one whole column by a distributed sort: ``(__n, __qs)``.
+
+    ``orderBy`` range-partitions and sorts the values in parallel; the sorted
+    partitions are checkpointed so that their sizes and contents are read
+    consistently; the per-partition row counts (one number per partition)
+    locate each target rank, and one ``mapInPandas`` pass picks the values at
+    those positions.  No task holds more than one partition of the column.
+    """
+    import pandas as pd
+    from pyspark import TaskContext
+
+    ordered = cut_lineage(vals.select("__v").orderBy("__v"))
+    sizes = {r["__p"]: r["__c"] for r in ordered.groupBy(F.spark_partition_id().alias("__p"))
+             .agg(F.count(F.lit(1)).alias("__c")).collect()}
+    n = sum(sizes.values())
+    spark = vals.sparkSession
+    if n == 0:
+        return spark.createDataFrame([], "__n long, __qs array<double>")
+    if kind == "cont":
+        spots = [((n - 1) * p) for p in probs]
+        ranks = sorted({int(math.floor(h)) for h in spots} | {int(math.ceil(h)) for h in spots})
+    elif kind == "disc":
+        ranks = sorted({max(int(math.ceil(p * n)) - 1, 0) for p in probs})
+    else:
+        raise ValueError("kind must be 'cont' or 'disc'")
+    starts, acc = {}, 0
+    for pid in sorted(sizes):
+        starts[pid] = acc
+        acc += sizes[pid]
+    wanted: dict[int, list[tuple[int, int]]] = {}
+    for r in ranks:
+        pid = max(p for p in starts if starts[p] <= r and sizes[p] > 0)
+        wanted.setdefault(pid, []).append((r, r - starts[pid]))
+
+    def pick(batches):
+        targets = wanted.get(TaskContext.get().partitionId())
+        if not targets:
+            return
+        part = pd.concat(list(batches), ignore_index=True)["__v"]
+        yield pd.DataFrame({"r": [r for r, _ in targets],
+                            "v": [float(part.iloc[i]) for _, i in targets]})
+
+    found = {r["r"]: r["v"] for r in ordered.mapInPandas(pick, "r long, v double").collect()}
+    out = []
+    for p in probs:
+        if kind == "cont":
+            h = (n - 1) * p
+            lo, hi = found[int(math.floor(h))], found[int(math.ceil(h))]
+            out.append(lo + (h - math.floor(h)) * (hi - lo))
+        else:
+            out.append(found[max(int(math.ceil(p * n)) - 1, 0)])
+    return spark.createDataFrame([(n, out)], "__n long, __qs array<double>")

@@ -20,10 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.operators.selection import MAX_CANDIDATES, exact_quantiles
+from tabula.operators.selection import MAX_CANDIDATES, exact_quantiles, sorted_quantiles
 from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
 
-MAX_EXACT_DISTINCT = 2_000_000
+MAX_EXACT_DISTINCT = 200_000
 DEFAULT_ACCURACY = 10_000
 
 
@@ -101,8 +101,9 @@ def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     * ``exact`` / ``disc`` — an HLL estimate of the largest group's distinct
       count decides the plan: within ``max_exact_distinct`` Spark's in-memory
       ``percentile`` / ``percentile_disc`` (one counter per distinct value);
-      beyond it the bracketing selection of :mod:`tabula.operators.selection`,
-      which never holds a group in one task;
+      beyond it, for a whole column, a distributed sort with positional picks
+      and, per group, the bracketing selection of
+      :mod:`tabula.operators.selection` — neither holds a group in one task;
     * ``auto`` — in-memory exact when small, otherwise the sketch.
     NULLs are ignored; groups without values are absent.
     """
@@ -116,8 +117,10 @@ def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
         if method == "auto":
             plan = "exact" if small else "approx"
         elif not small:
-            return exact_quantiles(vals, by, probs, "cont" if method == "exact" else "disc",
-                                   accuracy, max_candidates)
+            kind = "cont" if method == "exact" else "disc"
+            if not by:
+                return sorted_quantiles(vals, probs, kind)
+            return exact_quantiles(vals, by, probs, kind, accuracy, max_candidates)
     aggs = [F.count(F.lit(1)).alias("__n"),
             quantile_exprs("__v", probs, plan, accuracy).alias("__qs")]
     if by:

@@ -90,7 +90,7 @@ union all
 select '(Intercept)', round(regr_intercept(l_extendedprice, l_quantity), 4) from lineitem""")
 def glm_gaussian(spark, d):
     df = _labelled(spark, d)
-    s = M.glm_summary(M.fit_glm(df, "l_extendedprice ~ l_quantity", "gaussian"), df)
+    s = M.glm_coefficients(M.fit_glm(df, "l_extendedprice ~ l_quantity", "gaussian"), df)
     return s.select("feature", rnd("estimate", 4).alias("estimate"))
 
 

@@ -356,3 +356,19 @@ def test_bracketed_quantiles_with_salted_target_join(spark):
     out = SEL.exact_quantiles(df, ["g"], [0.5], max_candidates=50, max_rows=0).collect()
     for r in out:
         assert r["__qs"][0] == pytest.approx(float(np.median(vals[grp == r.g])))
+
+
+@pytest.mark.parametrize("method", ["exact", "disc"])
+def test_sorted_quantiles_match_numpy(spark, method):
+    rng = np.random.default_rng(17)
+    vals = rng.exponential(size=5000).round(4)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(7)
+    probs = [0.0, 0.01, 0.33, 0.5, 0.999, 1.0]
+    r = ST.group_quantiles(df, "v", probs, method=method, max_exact_distinct=10).first()
+    sv = np.sort(vals)
+    if method == "exact":
+        want = np.percentile(sv, [p * 100 for p in probs])
+    else:
+        want = [sv[max(math.ceil(p * len(sv)) - 1, 0)] for p in probs]
+    assert r["__n"] == 5000
+    assert np.allclose(r["__qs"], want)
