@@ -111,15 +111,18 @@ def resample(df: DataFrame, date_col: str, unit: str, aggs: Mapping[str, Column]
 
 
 def sort_by(df: DataFrame, *cols: str | Column, descending: bool | Sequence[bool] = False) -> DataFrame:
-    """SRT1: a total, range-partitioned sort (NULLs first ascending, last descending)."""
+    """SRT1/SRT2: a total, range-partitioned sort (NULLs first ascending, last
+    descending); also used to order a per-group function's result before it is
+    collected, instead of sorting it on the client."""
     flags = [descending] * len(cols) if isinstance(descending, bool) else list(descending)
     exprs = [(F.col(c) if isinstance(c, str) else c) for c in cols]
     return df.orderBy(*[e.desc() if d else e.asc() for e, d in zip(exprs, flags)])
 
 
 def top_k(df: DataFrame, k: int, *cols: str | Column, descending: bool = True) -> DataFrame:
-    """SRT3: first ``k`` rows by an order — planned as ``TakeOrderedAndProject``,
-    which keeps only ``k`` rows per partition before the final merge."""
+    """SRT3/ACT1/ACT2: first ``k`` rows by an order (``head``/``take`` made
+    deterministic) — planned as ``TakeOrderedAndProject``, which keeps only
+    ``k`` rows per partition before the final merge."""
     return sort_by(df, *cols, descending=descending).limit(k)
 
 

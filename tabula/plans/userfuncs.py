@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tabula.operators import groups as G
 from tabula.operators import udf as U
 from tabula.plans.registry import Tables, query
 
@@ -92,3 +93,14 @@ def map_list_fn(spark, d):
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
         F.sum(x * x).alias("sxx"), F.sum(x * y).alias("sxy"))
     return U.map_list(items, ols_from_moments, "l_returnflag string, slope double, intercept double")
+
+
+@query("map_groups_sorted", ids=("SRT2", "UDF4"), sql="""
+select l_returnflag as flag, max(l_quantity * 1.60) as kilometers_per_galon
+from lineitem group by 1 order by kilometers_per_galon desc""")
+def map_groups_sorted(spark, d):
+    # the recipe orders the collected per-group result on the client; here the
+    # distributed result is sorted before anything is collected
+    out = U.map_groups_inferred(_with_kpg(spark, d), ["l_returnflag"], max_kpg_named,
+                                salt_buckets=16, combine={"kilometers_per_galon": "max"})
+    return G.sort_by(out, "kilometers_per_galon", descending=True)
