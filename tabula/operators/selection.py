@@ -169,19 +169,23 @@ def exact_quantiles(vals: DataFrame, by: Sequence[str], probs: Sequence[float],
 def sorted_quantiles(vals: DataFrame, probs: Sequence[float], kind: str = "cont") -> DataFrame:
     """Exact quantiles of one whole column by a distributed sort: ``(__n, __qs)``.
 
-    ``orderBy`` range-partitions and sorts the values in parallel; the sorted
-    partitions are checkpointed so that their sizes and contents are read
-    consistently; the per-partition row counts (one number per partition)
-    locate each target rank, and one ``mapInPandas`` pass picks the values at
-    those positions.  No task holds more than one partition of the column.
+    Values are first collapsed to ``(value, count)`` (map-side partial
+    aggregation, so a value repeated in a third of the rows becomes one row
+    and cannot skew the sort), then ``orderBy`` range-partitions and sorts the
+    distinct values in parallel.  The sorted partitions are checkpointed so
+    their sizes and contents are read consistently; the per-partition row
+    counts (one number per partition) locate each target rank, and one
+    ``mapInPandas`` pass finds the values at those ranks with a running sum of
+    the counts.  No task holds more than one partition of distinct values.
     """
     import pandas as pd
     from pyspark import TaskContext
 
-    ordered = cut_lineage(vals.select("__v").orderBy("__v"))
+    counted = vals.groupBy("__v").agg(F.count(F.lit(1)).alias("__c"))
+    ordered = cut_lineage(counted.orderBy("__v"))
     sizes = {r["__p"]: r["__c"] for r in ordered.groupBy(F.spark_partition_id().alias("__p"))
-             .agg(F.count(F.lit(1)).alias("__c")).collect()}
-    n = sum(sizes.values())
+             .agg(F.sum("__c").alias("__c")).collect()}
+    n = int(sum(sizes.values()))
     spark = vals.sparkSession
     if n == 0:
         return spark.createDataFrame([], "__n long, __qs array<double>")
@@ -205,9 +209,10 @@ def sorted_quantiles(vals: DataFrame, probs: Sequence[float], kind: str = "cont"
         targets = wanted.get(TaskContext.get().partitionId())
         if not targets:
             return
-        part = pd.concat(list(batches), ignore_index=True)["__v"]
-        yield pd.DataFrame({"r": [r for r, _ in targets],
-                            "v": [float(part.iloc[i]) for _, i in targets]})
+        part = pd.concat(list(batches), ignore_index=True)
+        ends = part["__c"].cumsum().to_numpy()
+        rows = [(r, float(part["__v"].iloc[int((ends > local).argmax())])) for r, local in targets]
+        yield pd.DataFrame({"r": [r for r, _ in rows], "v": [v for _, v in rows]})
 
     found = {r["r"]: r["v"] for r in ordered.mapInPandas(pick, "r long, v double").collect()}
     out = []

@@ -40,13 +40,24 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def except_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """SET2: ``except`` — distinct rows of ``a`` not in ``b`` (EXCEPT DISTINCT)."""
-    return a.subtract(b)
+    """SET2: ``except`` — distinct rows of ``a`` not in ``b`` (EXCEPT DISTINCT).
+
+    Spark plans EXCEPT as an anti join followed by a distinct, so the join
+    itself sees every duplicate; both sides are made distinct first, so a row
+    repeated a billion times reaches the join as one row (the duplicates
+    collapse in the map-side partial aggregate) instead of landing in a single
+    join task.
+    """
+    return a.distinct().subtract(b.distinct())
 
 
 def intersect_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """SET3: ``intersect`` — distinct rows in both (INTERSECT DISTINCT)."""
-    return a.intersect(b)
+    """SET3: ``intersect`` — distinct rows in both (INTERSECT DISTINCT).
+
+    As for :func:`except_rows`, both sides are de-duplicated before the semi
+    join so hot duplicated rows cannot skew it.
+    """
+    return a.distinct().intersect(b.distinct())
 
 
 def append_common(x: DataFrame, y: DataFrame) -> DataFrame:

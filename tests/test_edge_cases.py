@@ -372,3 +372,19 @@ def test_sorted_quantiles_match_numpy(spark, method):
         want = [sv[max(math.ceil(p * len(sv)) - 1, 0)] for p in probs]
     assert r["__n"] == 5000
     assert np.allclose(r["__qs"], want)
+
+
+def test_sorted_quantiles_with_a_hot_value(spark):
+    rng = np.random.default_rng(19)
+    vals = np.concatenate([np.full(3000, 5.0), rng.normal(size=6000).round(5)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    probs = [0.1, 0.5, 0.66, 0.9]
+    r = ST.group_quantiles(df, "v", probs, max_exact_distinct=10).first()
+    assert np.allclose(r["__qs"], np.percentile(vals, [p * 100 for p in probs]))
+
+
+def test_set_operations_with_duplicates(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (3,)], "k int")
+    b = spark.createDataFrame([(2,)] * 50 + [(3,)], "k int")
+    assert sorted(r.k for r in S.except_rows(a, b).collect()) == [1]
+    assert sorted(r.k for r in S.intersect_rows(a, b).collect()) == [2, 3]
