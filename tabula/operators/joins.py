@@ -13,14 +13,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.plans.strategy import attach_scalars
+from tabula.plans.strategy import attach_scalars, salt_column
 
 
 def join_drop_key(left: DataFrame, right: DataFrame, key: str | Sequence[str],
-                  how: str = "inner") -> DataFrame:
-    """JOIN1: equi-join that keeps a single copy of the key column(s)."""
+                  how: str = "inner", salt_buckets: int | None = None) -> DataFrame:
+    """JOIN1: equi-join that keeps a single copy of the key column(s).
+
+    The strategy is Catalyst's (broadcast-hash for a small side, sort-merge
+    otherwise, AQE splitting skewed partitions at run time).  With
+    ``salt_buckets`` the join is salted explicitly for a known hot key: every
+    left row gets a hashed salt, every right row is replicated once per salt
+    (``inner`` and ``left`` joins only, where replicating the right side keeps
+    the result exact).
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return left.join(right, keys, how)
+    if not salt_buckets:
+        return left.join(right, keys, how)
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError("salted joins replicate the right side: inner or left joins only")
+    salted = left.withColumn("__salt", salt_column(salt_buckets))
+    spread = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted.join(spread, keys + ["__salt"], how).drop("__salt")
 
 
 def merge(left: DataFrame, right: DataFrame, by: str | Sequence[str],

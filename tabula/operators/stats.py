@@ -352,13 +352,15 @@ def split_by_except(df: DataFrame, fraction: float, seed: int | None = None
     any train row is removed, so the parts are disjoint by construction.  For
     tables with duplicate rows :func:`random_split` keeps every row.
     """
+    from tabula.operators.setops import except_rows
     train = sample_fraction(df, fraction, seed)
-    return train, df.subtract(train)
+    return train, except_rows(df, train)
 
 
 def split_invariants(train: DataFrame, test: DataFrame) -> DataFrame:
     """One row ``(n_union, n_overlap)``: distinct rows in either part, rows in both."""
+    from tabula.operators.setops import intersect_rows
     n_union = train.union(test).distinct().agg(F.count(F.lit(1)).alias("n_union"))
-    n_overlap = train.intersect(test).agg(F.count(F.lit(1)).alias("n_overlap"))
+    n_overlap = intersect_rows(train, test).agg(F.count(F.lit(1)).alias("n_overlap"))
     return attach_scalars(n_union, n_overlap)
 

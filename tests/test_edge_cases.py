@@ -388,3 +388,14 @@ def test_set_operations_with_duplicates(spark):
     b = spark.createDataFrame([(2,)] * 50 + [(3,)], "k int")
     assert sorted(r.k for r in S.except_rows(a, b).collect()) == [1]
     assert sorted(r.k for r in S.intersect_rows(a, b).collect()) == [2, 3]
+
+
+def test_salted_join_equals_plain(spark):
+    left = spark.createDataFrame([(k % 3, i) for i, k in enumerate([0] * 200 + list(range(50)))],
+                                 "k int, i int")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k int, name string")
+    plain = sorted(J.join_drop_key(left, right, "k").collect())
+    salted = sorted(J.join_drop_key(left, right, "k", salt_buckets=8).collect())
+    assert plain == salted and len(plain) == 250
+    with pytest.raises(ValueError):
+        J.join_drop_key(left, right, "k", how="right", salt_buckets=4)
