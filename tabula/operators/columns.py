@@ -170,12 +170,15 @@ def table_dims(df: DataFrame) -> DataFrame:
         "n_cols", F.lit(len(df.columns)).cast("long"))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, preview: int = 0) -> DataFrame:
     """ACT6 (``str``/``dtypes``): one row per column.
 
-    ``(position, column, data_type, non_null, distinct_approx)`` — the counts
-    come from one aggregation pass (HyperLogLog++ for the distinct estimate,
-    so the pass needs bounded memory whatever the column cardinality).
+    ``(position, column, data_type, non_null, distinct_approx[, first_values])``
+    — the counts come from one aggregation pass (HyperLogLog++ for the
+    distinct estimate, so the pass needs bounded memory whatever the column
+    cardinality).  ``preview=k`` adds the first ``k`` values of each column as
+    text, read from a ``limit(k)`` of the table (which ``k`` rows is up to the
+    scan order, as with ``str``).
     """
     fields = df.schema.fields
     aggs = []
@@ -183,10 +186,16 @@ def column_profile(df: DataFrame) -> DataFrame:
         aggs.append(F.count(F.col(f.name)).alias(f"n{i}"))
         aggs.append(F.approx_count_distinct(F.col(f.name)).alias(f"d{i}"))
     wide = df.agg(*aggs)
+    if preview:
+        heads = df.limit(preview).agg(*[
+            F.collect_list(F.coalesce(F.col(f.name).cast("string"), F.lit("NA"))).alias(f"h{i}")
+            for i, f in enumerate(fields)])
+        wide = attach_scalars(wide, heads)
     rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"),
                      F.lit(f.dataType.simpleString()).alias("data_type"),
                      F.col(f"n{i}").alias("non_null"),
-                     F.col(f"d{i}").alias("distinct_approx"))
+                     F.col(f"d{i}").alias("distinct_approx"),
+                     *([F.col(f"h{i}").alias("first_values")] if preview else []))
             for i, f in enumerate(fields)]
     return wide.select(F.inline(F.array(*rows)))
 

@@ -176,6 +176,23 @@ def index_to_text(df: DataFrame, col: str, labels: Sequence[str], output: str) -
     return IndexToString(inputCol=col, outputCol=output, labels=list(labels)).transform(df)
 
 
+def label_names(model: PipelineModel, df: DataFrame) -> list[str] | None:
+    """The text labels a formula indexed (``None`` when the label was numeric)."""
+    meta = model.stages[0].transform(df.limit(0)).schema["label"].metadata
+    return meta.get("ml_attr", {}).get("vals")
+
+
+def predict_labels(model: PipelineModel, df: DataFrame,
+                   output: str = "predicted_label") -> DataFrame:
+    """MLR5: predictions with the predicted class mapped back to its text label
+    (for formulas whose label column is text)."""
+    pred = predict(model, df)
+    names = label_names(model, df)
+    if names is None:
+        return pred.withColumn(output, F.col("prediction").cast("string"))
+    return index_to_text(pred, "prediction", names, output)
+
+
 def fit_mlp(df: DataFrame, formula: str, layers: Sequence[int], max_iter: int = 100,
             seed: int = 1234) -> PipelineModel:
     """MLR10: multilayer perceptron classifier (announced by the recipe, not fitted there)."""

@@ -44,6 +44,21 @@ def logit_multinomial(spark, d):
     return M.prediction_counts(M.predict(model, df))
 
 
+@query("logit_label_text", ids=("MLR3", "MLR5", "MLR11"), sql="""
+select case when l_quantity <= 16 then 'low' when l_quantity <= 33 then 'mid' else 'high' end
+       as predicted_label, count(*) as n
+from lineitem group by 1""")
+def logit_label_text(spark, d):
+    # a text label: the formula indexes it, the model predicts an index, and
+    # the index is mapped back to the text
+    li = Tables(spark, d).lineitem
+    df = li.select("l_quantity", F.when(F.col("l_quantity") <= 16, "low")
+                   .when(F.col("l_quantity") <= 33, "mid").otherwise("high").alias("band"))
+    model = M.fit_logistic(df, "band ~ l_quantity", max_iter=200, reg_param=0.0,
+                           elastic_net=0.0, family="multinomial")
+    return M.prediction_counts(M.predict_labels(model, df), "predicted_label")
+
+
 @query("logit_coefficients", ids=("MLR4",))
 def logit_coefficients(spark, d):
     # the recipe's settings (maxIter 10, regParam 0.3, elastic net 0.8); the

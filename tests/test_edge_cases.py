@@ -399,3 +399,10 @@ def test_salted_join_equals_plain(spark):
     assert plain == salted and len(plain) == 250
     with pytest.raises(ValueError):
         J.join_drop_key(left, right, "k", how="right", salt_buckets=4)
+
+
+def test_profile_preview(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k int, s string")
+    prof = C.column_profile(df, preview=2).collect()
+    assert [len(r.first_values) for r in prof] == [2, 2]
+    assert prof[1].data_type == "string" and prof[1].non_null == 2
