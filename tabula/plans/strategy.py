@@ -46,12 +46,15 @@ def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
 
     ``small`` is persisted first, so the count job and the later join read the
     same materialised rows (it is meant for aggregated side tables: one row
-    per group or per category).
+    per group or per category); a side over the bound is released again and
+    recomputed by the shuffle join that replaces the broadcast.
     """
     small = small.persist()
     n = small.count()
     if n <= max_rows:
         return F.broadcast(small), True
+    # too large to pin in executor memory for the rest of the session
+    small.unpersist()
     return small, False
 
 
