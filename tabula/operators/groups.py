@@ -143,10 +143,16 @@ def rank_categories(df: DataFrame, metric: str, name: str = "rank",
     distinct_vals = df.select(*keys).distinct()
     side, small = sized_broadcast(distinct_vals, max_rows)
     if small:
-        ranked = side.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-        return df.join(F.broadcast(ranked), keys, "inner")
-    ranked = _distributed_rank(distinct_vals, order, name)
-    return df.join(ranked, keys, "inner")
+        ranked = F.broadcast(side.withColumn(name, F.row_number().over(Window.orderBy(*order))))
+    else:
+        ranked = _distributed_rank(distinct_vals, order, name)
+    # NULL-safe match, so a NULL metric keeps its row (ranked first ascending)
+    ren = ranked.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
+    cond = None
+    for k in keys:
+        e = df[k].eqNullSafe(ren[f"__r_{k}"])
+        cond = e if cond is None else cond & e
+    return df.join(ren, cond, "inner").drop(*[f"__r_{k}" for k in keys])
 
 
 def _distributed_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:

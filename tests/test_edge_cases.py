@@ -406,3 +406,10 @@ def test_profile_preview(spark):
     prof = C.column_profile(df, preview=2).collect()
     assert [len(r.first_values) for r in prof] == [2, 2]
     assert prof[1].data_type == "string" and prof[1].non_null == 2
+
+
+def test_rank_keeps_null_metric(spark):
+    df = spark.createDataFrame([("a", 2.0), ("b", None), ("c", 1.0)], "c string, m double")
+    for max_rows in (100, 0):
+        got = {r.c: r["rank"] for r in G.rank_categories(df, "m", max_rows=max_rows).collect()}
+        assert got == {"b": 1, "c": 2, "a": 3}
