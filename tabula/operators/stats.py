@@ -236,19 +236,23 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None,
     """STA7: contingency table, one row per value of ``a``, one column per value of ``b``.
 
     The first column is named ``"{a}_{b}"`` and holds ``a`` as text, as Spark's
-    ``crosstab`` does; cells are counts (0 for unseen pairs).  The column set
-    must be known to build the plan: pass ``values`` or they are read (at most
-    ``max_values``, checked) from the distinct values of ``b``.
+    ``crosstab`` does; column names are the values of ``b`` as text (``"null"``
+    for NULL, so no row is left out); cells are counts (0 for unseen pairs).
+    The column set must be known to build the plan: pass ``values`` or they
+    are read (at most ``max_values``, checked) from the distinct values of
+    ``b`` — a bounded list of names, not data.
     """
+    keyed = df.select(F.col(a).cast("string").alias(f"{a}_{b}"),
+                      F.coalesce(F.col(b).cast("string"), F.lit("null")).alias("__b"))
     if values is None:
-        got = [r[0] for r in df.select(b).distinct().where(F.col(b).isNotNull())
-               .orderBy(b).limit(max_values + 1).collect()]
+        got = [r[0] for r in keyed.select("__b").distinct().orderBy("__b")
+               .limit(max_values + 1).collect()]
         if len(got) > max_values:
             raise ValueError(f"{b} has more than {max_values} distinct values")
         values = got
-    wide = (df.groupBy(F.col(a).cast("string").alias(f"{a}_{b}"))
-              .pivot(b, list(values)).agg(F.count(F.lit(1))))
-    return wide.fillna(0, subset=[str(v) for v in values])
+    names = [str(v) for v in values]
+    wide = keyed.groupBy(f"{a}_{b}").pivot("__b", names).agg(F.count(F.lit(1)))
+    return wide.fillna(0, subset=names)
 
 
 def frequency_table(df: DataFrame, col: str | Sequence[str]) -> DataFrame:

@@ -413,3 +413,9 @@ def test_rank_keeps_null_metric(spark):
     for max_rows in (100, 0):
         got = {r.c: r["rank"] for r in G.rank_categories(df, "m", max_rows=max_rows).collect()}
         assert got == {"b": 1, "c": 2, "a": 3}
+
+
+def test_crosstab_keeps_null_levels(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), (None, "x")], "p string, q string")
+    out = {r["p_q"]: (r.x, r["null"]) for r in ST.crosstab(df, "p", "q").collect()}
+    assert out == {"a": (1, 1), None: (1, 0)}
