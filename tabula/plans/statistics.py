@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabula.operators import stats as S
 from tabula.plans.registry import Tables, query, round_doubles, sql_rounded
+from tabula.plans.strategy import attach_scalars
 
 _LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -57,6 +58,26 @@ def quantiles_approx(spark, d):
     return round_doubles(out, only=["value"])
 
 
+@query("quantiles_sketch_error", ids=("STA2",), sql="""
+select 'l_extendedprice' as "column", unnest([0.25, 0.5, 0.75]::double[]) as prob,
+       true as within_error""")
+def quantiles_sketch_error(spark, d):
+    # the recipe's relativeError = 0.001: the sketch's answer is not unique,
+    # but its rank must lie within 0.001·n of the asked one — checked on the
+    # whole column (ties count as any rank they span)
+    li = Tables(spark, d).lineitem.select(F.col("l_extendedprice").alias("v"))
+    q = S.approx_quantiles(li, ["v"], [0.25, 0.5, 0.75], relative_error=0.001)
+    n = li.agg(F.count(F.lit(1)).alias("n"))
+    ranks = attach_scalars(li, q.select("prob", F.col("value").alias("q"))) \
+        .groupBy("prob").agg(F.count_if(F.col("v") < F.col("q")).alias("below"),
+                             F.count_if(F.col("v") <= F.col("q")).alias("upto"))
+    tol = F.lit(0.001) * F.col("n")
+    target = F.col("prob") * F.col("n")
+    return attach_scalars(ranks, n).select(
+        F.lit("l_extendedprice").alias("column"), "prob",
+        ((F.col("below") - tol <= target) & (target <= F.col("upto") + tol)).alias("within_error"))
+
+
 @query("quantiles_by_group", ids=("STA2",), sql=sql_rounded("""
 select event_type, 'value' as "column", unnest([0.5, 0.9]::double[]) as prob,
        unnest(quantile_cont(value, [0.5, 0.9])) as value
