@@ -83,10 +83,15 @@ def order_statistics(vals: DataFrame, by: Sequence[str], ranks: DataFrame,
                          F.col("__n").cast("long").alias("__cand"))
     state = cut_lineage(state)
     probs = [i / GRID for i in range(GRID + 1)]
+    previous = None
     for _ in range(MAX_ROUNDS):
         widest = state.agg(F.max("__cand")).first()[0]
-        if widest is None or widest <= max_candidates:
+        # stop when small enough, or when a block of equal values cannot be
+        # split further (the final step counts equal values as one row)
+        if widest is None or widest <= max_candidates or (previous is not None
+                                                          and widest >= previous):
             break
+        previous = widest
         rows = _join_targets(vals, state, by, small).where(_inside("__lo", "__hi"))
         sketch = rows.groupBy(*by, "__r").agg(
             F.percentile_approx("__v", probs, accuracy).alias("__grid"))

@@ -68,6 +68,11 @@ def append_common(x: DataFrame, y: DataFrame) -> DataFrame:
     return x.select(*common).unionByName(y.select(*common))
 
 
+def columns_outside(x: DataFrame, y: DataFrame) -> list[str]:
+    """SET6 helper (``outersect``): columns in exactly one of the tables, sorted."""
+    return sorted(set(x.columns) ^ set(y.columns))
+
+
 def append_fill(x: DataFrame, y: DataFrame, fill: str | None = None) -> DataFrame:
     """SET6: ``rbind.fill`` — stack on all columns of both, sorted by name.
 
@@ -78,11 +83,13 @@ def append_fill(x: DataFrame, y: DataFrame, fill: str | None = None) -> DataFram
     types = {f.name: f.dataType for f in x.schema.fields}
     types.update({f.name: f.dataType for f in y.schema.fields if f.name not in types})
 
+    outside = set(columns_outside(x, y))
+
     def complete(d: DataFrame) -> DataFrame:
         have = set(d.columns)
         cols = []
         for c in every:
-            if c in have:
+            if c in have or c not in outside:
                 cols.append(F.col(c))
             elif fill is not None and isinstance(types[c], T.StringType):
                 cols.append(F.lit(fill).alias(c))

@@ -419,3 +419,13 @@ def test_crosstab_keeps_null_levels(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), (None, "x")], "p string, q string")
     out = {r["p_q"]: (r.x, r["null"]) for r in ST.crosstab(df, "p", "q").collect()}
     assert out == {"a": (1, 1), None: (1, 0)}
+
+
+def test_bracketed_quantiles_with_a_hot_value(spark):
+    rng = np.random.default_rng(23)
+    vals = np.concatenate([np.full(2500, 1.5), rng.normal(size=2500).round(4)])
+    grp = np.zeros(len(vals), dtype=int)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
+    probs = [0.2, 0.5, 0.75, 0.95]
+    r = ST.group_quantiles(df, "v", probs, ["g"], max_exact_distinct=10, max_candidates=100).first()
+    assert np.allclose(r["__qs"], np.percentile(vals, [p * 100 for p in probs]))
