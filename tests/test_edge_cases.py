@@ -429,3 +429,18 @@ def test_bracketed_quantiles_with_a_hot_value(spark):
     probs = [0.2, 0.5, 0.75, 0.95]
     r = ST.group_quantiles(df, "v", probs, ["g"], max_exact_distinct=10, max_candidates=100).first()
     assert np.allclose(r["__qs"], np.percentile(vals, [p * 100 for p in probs]))
+
+
+def test_recipe_logistic_settings_on_cars(cars):
+    # the recipe's settings (maxIter 10, regParam 0.3, elasticNet 0.8) fitted on
+    # all 32 cars: the L1 part zeroes mpg and wt, disp and hp stay negative
+    from pyspark.sql import functions as F
+    from tabula.operators import models as M
+    df = cars.withColumn("vs", F.col("vs").cast("int"))
+    model = M.fit_logistic(df, "vs ~ mpg + disp + hp + wt")
+    coef = {r.feature: r.estimate for r in M.coefficients(model, df).collect()}
+    assert coef["mpg"] == 0.0 and coef["wt"] == 0.0
+    assert coef["disp"] < 0 and coef["hp"] < 0
+    assert coef["(Intercept)"] == pytest.approx(0.67916, abs=1e-4)
+    assert coef["disp"] == pytest.approx(-0.00162, abs=1e-5)
+    assert coef["hp"] == pytest.approx(-0.00389, abs=1e-5)
