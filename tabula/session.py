@@ -41,6 +41,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024**2,
+                 checkpoint_dir: str | None = None) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    * ``spark.sql.shuffle.partitions`` starts at one partition per
+      ``partition_bytes`` of input (AQE coalesces small ones at run time), so a
+      shuffle of the full width of the data still fits executor memory per
+      task and spills rarely;
+    * scans split files into ``partition_bytes`` pieces;
+    * AQE with skew-join splitting is on, broadcasts stay at Spark's default
+      threshold (the library broadcasts only checked or one-row sides);
+    * ``spark.checkpoint.dir`` should name a shared folder (HDFS/S3/...).
+    """
+    parts = max(200, -(-int(input_bytes) // int(partition_bytes)))
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
