@@ -16,7 +16,7 @@ Sub-packages
 ``streaming``  using the same operators on streaming DataFrames
 """
 
-from tabula.session import checkpoint_dir, local_session, scratch_path
+from tabula.session import checkpoint_dir, cluster_conf, local_session, scratch_path
 
-__all__ = ["checkpoint_dir", "local_session", "scratch_path"]
+__all__ = ["checkpoint_dir", "cluster_conf", "local_session", "scratch_path"]
 __version__ = "0.1.0"

@@ -444,3 +444,11 @@ def test_recipe_logistic_settings_on_cars(cars):
     assert coef["(Intercept)"] == pytest.approx(0.67916, abs=1e-4)
     assert coef["disp"] == pytest.approx(-0.00162, abs=1e-5)
     assert coef["hp"] == pytest.approx(-0.00389, abs=1e-5)
+
+
+def test_cluster_conf_sizes_partitions():
+    from tabula.session import cluster_conf
+    conf = cluster_conf(100 * 1024**4, checkpoint_dir="hdfs:///shared/ckpt")
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
+    assert conf["spark.checkpoint.dir"] == "hdfs:///shared/ckpt"
+    assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
