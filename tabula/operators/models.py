@@ -21,15 +21,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _formula(formula: str, handle_invalid: str = "error") -> RFormula:
-    """MLR1: R formula → ``features`` vector + ``label`` (text columns one-hot)."""
-    return RFormula(formula=formula, featuresCol="features", labelCol="label",
-                    handleInvalid=handle_invalid)
+def _free_name(df: DataFrame, base: str) -> str:
+    name, i = base, 0
+    while name in df.columns:
+        i += 1
+        name = f"{base}_{i}"
+    return name
+
+
+def _formula(df: DataFrame, formula: str, handle_invalid: str = "error") -> RFormula:
+    """MLR1: R formula → a feature vector + a label (text columns one-hot).
+
+    The output columns are ``features`` / ``label`` unless the table already
+    has columns of those names (a LIBSVM table has both, and the recipe fits
+    ``label ~ features`` on it): then fresh names are used.
+    """
+    return RFormula(formula=formula, featuresCol=_free_name(df, "features"),
+                    labelCol=_free_name(df, "label"), handleInvalid=handle_invalid)
+
+
+def _pipeline(df: DataFrame, formula: str, estimator) -> PipelineModel:
+    rf = _formula(df, formula)
+    estimator.setFeaturesCol(rf.getFeaturesCol()).setLabelCol(rf.getLabelCol())
+    return Pipeline(stages=[rf, estimator]).fit(df)
 
 
 def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
     """Names of the formula's feature slots (from the column metadata)."""
-    meta = model.stages[0].transform(df.limit(0)).schema["features"].metadata
+    rf = model.stages[0]
+    meta = rf.transform(df.limit(0)).schema[rf.getOrDefault("featuresCol")].metadata
     attrs = meta.get("ml_attr", {}).get("attrs", {})
     slots = []
     for group in attrs.values():
@@ -49,7 +69,7 @@ def fit_logistic(df: DataFrame, formula: str, max_iter: int = 10, reg_param: flo
     lr = LogisticRegression(maxIter=max_iter, regParam=reg_param,
                             elasticNetParam=elastic_net, family=family,
                             standardization=standardization)
-    return Pipeline(stages=[_formula(formula), lr]).fit(df)
+    return _pipeline(df, formula, lr)
 
 
 def coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -92,7 +112,7 @@ def fit_tree(df: DataFrame, formula: str, kind: str = "decision_tree", **params)
     """MLR6-MLR8: decision tree, random forest (``numTrees``) or boosted trees (``maxIter``)."""
     if kind not in _TREES:
         raise ValueError(f"kind must be one of {list(_TREES)}")
-    return Pipeline(stages=[_formula(formula), _TREES[kind](**params)]).fit(df)
+    return _pipeline(df, formula, _TREES[kind](**params))
 
 
 def tree_summary(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -113,7 +133,7 @@ def fit_glm(df: DataFrame, formula: str, family: str = "gaussian", link: str | N
     params = dict(family=family, maxIter=max_iter, regParam=reg_param)
     if link:
         params["link"] = link
-    return Pipeline(stages=[_formula(formula), GeneralizedLinearRegression(**params)]).fit(df)
+    return _pipeline(df, formula, GeneralizedLinearRegression(**params))
 
 
 def glm_coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -178,7 +198,8 @@ def index_to_text(df: DataFrame, col: str, labels: Sequence[str], output: str) -
 
 def label_names(model: PipelineModel, df: DataFrame) -> list[str] | None:
     """The text labels a formula indexed (``None`` when the label was numeric)."""
-    meta = model.stages[0].transform(df.limit(0)).schema["label"].metadata
+    rf = model.stages[0]
+    meta = rf.transform(df.limit(0)).schema[rf.getOrDefault("labelCol")].metadata
     return meta.get("ml_attr", {}).get("vals")
 
 
@@ -197,7 +218,7 @@ def fit_mlp(df: DataFrame, formula: str, layers: Sequence[int], max_iter: int =
             seed: int = 1234) -> PipelineModel:
     """MLR10: multilayer perceptron classifier (announced by the recipe, not fitted there)."""
     mlp = MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed)
-    return Pipeline(stages=[_formula(formula), mlp]).fit(df)
+    return _pipeline(df, formula, mlp)
 
 
 def prediction_counts(pred: DataFrame, col: str = "prediction") -> DataFrame:
