@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabula.operators import groups as G
 from tabula.operators import udf as U
-from tabula.plans.registry import Tables, query
+from tabula.plans.registry import Tables, query, rnd
 
 _KPG_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, kpg double"
 
@@ -104,3 +104,29 @@ def map_groups_sorted(spark, d):
     out = U.map_groups_inferred(_with_kpg(spark, d), ["l_returnflag"], max_kpg_named,
                                 salt_buckets=16, combine={"kilometers_per_galon": "max"})
     return G.sort_by(out, "kilometers_per_galon", descending=True)
+
+
+_MEAN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def part_sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per-part sums and row count, so that means merge exactly across parts."""
+    out = {"l_returnflag": [key[0]], "n": [len(pdf)]}
+    out.update({f"sum_{c}": [float(pdf[c].sum())] for c in _MEAN_COLS})
+    return pd.DataFrame(out)
+
+
+@query("map_groups_means", ids=("UDF3",), sql="""
+select l_returnflag, round(avg(l_quantity), 6) as mean_l_quantity,
+       round(avg(l_extendedprice), 6) as mean_l_extendedprice,
+       round(avg(l_discount), 6) as mean_l_discount, round(avg(l_tax), 6) as mean_l_tax
+from lineitem group by 1""")
+def map_groups_means(spark, d):
+    # the recipe's per-group function returns five means; split into parts, a
+    # mean is carried as (sum, count) and divided after the parts are merged
+    li = Tables(spark, d).lineitem.select("l_returnflag", *_MEAN_COLS)
+    schema = "l_returnflag string, n long, " + ", ".join(f"sum_{c} double" for c in _MEAN_COLS)
+    sums = U.map_groups(li, ["l_returnflag"], part_sums, schema, salt_buckets=16,
+                        combine={"n": "sum", **{f"sum_{c}": "sum" for c in _MEAN_COLS}})
+    return sums.select("l_returnflag", *[rnd(F.col(f"sum_{c}") / F.col("n")).alias(f"mean_{c}")
+                                         for c in _MEAN_COLS])
