@@ -143,7 +143,8 @@ def rank_categories(df: DataFrame, metric: str, name: str = "rank",
     distinct_vals = df.select(*keys).distinct()
     side, small = sized_broadcast(distinct_vals, max_rows)
     if small:
-        ranked = F.broadcast(side.withColumn(name, F.row_number().over(Window.orderBy(*order))))
+        ranked = F.broadcast(side.withColumn(
+            name, F.row_number().over(Window.orderBy(*order)).cast("long")))
     else:
         ranked = _distributed_rank(distinct_vals, order, name)
     # NULL-safe match, so a NULL metric keeps its row (ranked first ascending)
@@ -173,5 +174,5 @@ def _distributed_rank(df: DataFrame, order: list[Column], name: str) -> DataFram
         "__off", F.sum("__n").over(Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)))
     local = sorted_df.withColumn("__local", F.row_number().over(Window.partitionBy(pid).orderBy(*order)))
     out = local.join(F.broadcast(offsets.select(pid, "__off")), pid)
-    return (out.withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local"))
+    return (out.withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("long"))
                .drop(pid, "__off", "__local"))
