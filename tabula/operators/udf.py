@@ -51,12 +51,26 @@ def map_partitions(df: DataFrame, fn: PandasFn, schema: T.StructType | str) -> D
 
 def infer_schema(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                  sample_rows: int = 100) -> T.StructType:
-    """Output schema of ``fn`` learned from its result on ``sample_rows`` rows."""
+    """Output schema of ``fn`` learned from its result on ``sample_rows`` rows.
+
+    Types come from the Arrow schema of the result (an ``int32`` stays
+    ``int``); a column passed through unchanged keeps its input type exactly.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import from_arrow_schema
+
     sample = df.limit(sample_rows).toPandas()
     out = fn(sample)
     if out is None or not isinstance(out, pd.DataFrame):
         raise TypeError("the function must return a pandas DataFrame")
-    return df.sparkSession.createDataFrame(out.head(sample_rows)).schema
+    inferred = from_arrow_schema(pa.Schema.from_pandas(out, preserve_index=False))
+    source = {f.name: f.dataType for f in df.schema.fields}
+    fields = []
+    for f in inferred.fields:
+        same = (f.name in source and f.name in sample.columns
+                and out[f.name].dtype == sample[f.name].dtype)
+        fields.append(T.StructField(f.name, source[f.name] if same else f.dataType, True))
+    return T.StructType(fields)
 
 
 def map_partitions_inferred(df: DataFrame, fn: PandasFn, sample_rows: int = 100,

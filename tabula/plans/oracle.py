@@ -51,6 +51,12 @@ class Outcome:
     n_rows: int
 
 
+# Spark simple type names and the DuckDB type each must come out as
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
+             "float": "FLOAT", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+             "boolean": "BOOLEAN", "array<double>": "DOUBLE[]"}
+
+
 def compare(df: DataFrame, sql: str, con, digits: int = 6) -> Outcome:
     srecs = [tuple(r) for r in df.collect()]
     rel = con.sql(sql)
@@ -59,6 +65,10 @@ def compare(df: DataFrame, sql: str, con, digits: int = 6) -> Outcome:
     dc, dr = canonical(list(rel.columns), drecs, digits)
     if sc != dc:
         return Outcome(False, f"columns differ: spark={sc} sql={dc}", len(sr))
+    sql_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    wrong = [(c, t, sql_types[c]) for c, t in df.dtypes if SQL_TYPES.get(t, t) != sql_types[c]]
+    if wrong:
+        return Outcome(False, f"types differ (column, spark, sql): {wrong}", len(sr))
     if len(sr) != len(dr):
         return Outcome(False, f"row counts differ: spark={len(sr)} sql={len(dr)}", len(sr))
     if sr != dr:
