@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,14 +131,19 @@ def map_groups_inferred(df: DataFrame, keys: Sequence[str], fn: GroupFn,
 
 
 def map_list(items: DataFrame, fn: PandasFn, schema: T.StructType | str,
-             one_per_task: bool = True) -> DataFrame:
+             one_per_task: bool = True, max_items: int = 100_000) -> DataFrame:
     """UDF5 (``spark.lapply``): run ``fn`` over a list of work items, one task each.
 
     ``items`` is a DataFrame of parameter rows (derived by Spark, not shipped
-    from the driver); it is spread to one partition per item (bounded by the
-    item count, checked) and ``fn`` maps each item's rows to result rows.
+    from the driver).  Each item gets an index 0..n-1 (n checked against
+    ``max_items``) and the items are range-partitioned on it into n
+    partitions, one item per task; ``fn`` maps each item's rows to result rows.
     """
     if one_per_task:
-        n = items.count()
-        items = items.repartition(max(int(n), 1))
+        n = int(items.count())
+        if n > max_items:
+            raise ValueError(f"{n} work items exceed max_items={max_items}")
+        order = Window.orderBy(F.monotonically_increasing_id())
+        items = (items.withColumn("__item", F.row_number().over(order))
+                      .repartitionByRange(max(n, 1), "__item").drop("__item"))
     return map_partitions(items, fn, schema)

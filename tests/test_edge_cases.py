@@ -452,3 +452,33 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
     assert conf["spark.checkpoint.dir"] == "hdfs:///shared/ckpt"
     assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_inferred_udf_schema_keeps_types(spark):
+    import pandas as pd
+    from tabula.operators import udf as U
+    df = spark.createDataFrame([(i, float(i), f"s{i}") for i in range(20)], "k int, x double, s string")
+    out = U.map_partitions_inferred(df, lambda p: p.assign(y=p["x"] * 2, t=p["s"] + "!"))
+    assert dict(out.dtypes) == {"k": "int", "x": "double", "s": "string", "y": "double", "t": "string"}
+    assert out.count() == 20
+
+    def per_group(key, pdf):
+        return pd.DataFrame({"grp": [key[0]], "n": [len(pdf)]})
+
+    grouped = df.withColumn("g", F.col("k") % 3)
+    got = U.map_groups_inferred(grouped, ["g"], per_group, combine={"n": "sum"}, salt_buckets=4)
+    assert {r.grp: r.n for r in got.collect()} == {0: 7, 1: 7, 2: 6}
+
+
+def test_map_list_one_task_per_item(spark):
+    import pandas as pd
+    from pyspark import TaskContext
+    from tabula.operators import udf as U
+    items = spark.range(5).withColumnRenamed("id", "item")
+
+    def work(pdf):
+        return pd.DataFrame({"item": pdf["item"], "task": TaskContext.get().partitionId()})
+
+    out = U.map_list(items, work, "item long, task int").collect()
+    assert sorted(r.item for r in out) == [0, 1, 2, 3, 4]
+    assert len({r.task for r in out}) == 5
