@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.scalar import range_bucket, range_bucket_order
-from tabula.operators.stats import DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, group_quantiles
+from tabula.operators.stats import (DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, group_quantiles,
+                                    safe_corr)
 from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
@@ -136,8 +137,11 @@ def hexbin(df: DataFrame, x: str, y: str, bins: int = 30,
     vals = rows.select(_num(x).alias("__x"), _num(y).alias("__y")) \
         .where(F.col("__x").isNotNull() & F.col("__y").isNotNull())
     withs = attach_scalars(vals, stats)
-    dx = (F.col("__xmx") - F.col("__xmn")) / F.lit(bins)
-    dy = (F.col("__ymx") - F.col("__ymn")) / F.lit(bins)
+    # a constant axis gets unit cells (one column / row of hexagons)
+    dx = F.when(F.col("__xmx") > F.col("__xmn"),
+                (F.col("__xmx") - F.col("__xmn")) / F.lit(bins)).otherwise(F.lit(1.0))
+    dy = F.when(F.col("__ymx") > F.col("__ymn"),
+                (F.col("__ymx") - F.col("__ymn")) / F.lit(bins)).otherwise(F.lit(1.0))
     sx = (F.col("__x") - F.col("__xmn")) / dx
     sy = (F.col("__y") - F.col("__ymn")) / (dy * F.lit(sqrt3))
     t = withs.select("__xmn", "__ymn", dx.alias("__dx"), dy.alias("__dy"),
@@ -240,9 +244,12 @@ def _nrd0(sd: Column, iqr: Column, n: Column, mn: Column) -> Column:
     return F.lit(0.9) * lo * F.pow(n.cast("double"), F.lit(-0.2))
 
 
-def _nrd(sd: Column, iqr: Column, n: Column) -> Column:
-    """``bandwidth.nrd``: ``4·1.06·min(sd, IQR/1.34)·n^(-1/5)``."""
-    return F.lit(4 * 1.06) * F.least(sd, iqr / F.lit(1.34)) * F.pow(n.cast("double"), F.lit(-0.2))
+def _nrd(sd: Column, iqr: Column, n: Column, mn: Column) -> Column:
+    """``bandwidth.nrd``: ``4·1.06·min(sd, IQR/1.34)·n^(-1/5)``; when that is 0
+    (a constant axis) the same fallbacks as Silverman's rule keep it positive."""
+    lo = F.least(sd, iqr / F.lit(1.34))
+    lo = F.when(lo > 0, lo).when(sd > 0, sd).when(F.abs(mn) > 0, F.abs(mn)).otherwise(F.lit(1.0))
+    return F.lit(4 * 1.06) * lo * F.pow(n.cast("double"), F.lit(-0.2))
 
 
 def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
@@ -385,8 +392,10 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
         stats = stats.crossJoin(qxy)
         stats = stats.select(
             "__n", "__xmn", "__xmx", "__ymn", "__ymx",
-            (_nrd(F.col("__sx"), F.col("__qx")[1] - F.col("__qx")[0], F.col("__n")) / 4).alias("__hx"),
-            (_nrd(F.col("__sy"), F.col("__qy")[1] - F.col("__qy")[0], F.col("__n")) / 4).alias("__hy"))
+            (_nrd(F.col("__sx"), F.col("__qx")[1] - F.col("__qx")[0], F.col("__n"),
+                  F.col("__xmn")) / 4).alias("__hx"),
+            (_nrd(F.col("__sy"), F.col("__qy")[1] - F.col("__qy")[0], F.col("__n"),
+                  F.col("__ymn")) / 4).alias("__hy"))
     else:
         stats = stats.withColumn("__hx", F.lit(h[0] / 4.0)).withColumn("__hy", F.lit(h[1] / 4.0))
     if bins is None:
@@ -510,7 +519,7 @@ def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
         k = len(numeric)
         aggs = [e for i, c in enumerate(numeric)
                 for e in (F.min(_num(c)).alias(f"__mn{i}"), F.max(_num(c)).alias(f"__mx{i}"))]
-        aggs += [F.corr(_num(numeric[i]), _num(numeric[j])).alias(f"__c{i}_{j}")
+        aggs += [safe_corr(_num(numeric[i]), _num(numeric[j])).alias(f"__c{i}_{j}")
                  for i in range(k) for j in range(i + 1, k)]
         stats = df.agg(*aggs)
         corr_rows = [F.struct(F.lit(numeric[i]).alias("var1"), F.lit(numeric[j]).alias("var2"),

@@ -174,9 +174,16 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 # --------------------------------------------------------------------------
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation as an aggregate that is NULL (not an error) when a
+    column is constant: ``cov(x, y) / (sd(x)·sd(y))`` with ``try_divide``.
+    Spark's own ``corr`` divides by zero in ANSI mode on a constant column."""
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def corr_pair(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """STA3: Pearson correlation of two columns (global or per group)."""
-    e = F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr")
+    e = safe_corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr")
     return df.groupBy(*by).agg(e) if by else df.agg(e)
 
 
@@ -197,8 +204,8 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> D
     aggs = []
     for i in range(len(cols)):
         for j in range(i + 1, len(cols)):
-            aggs.append(F.corr(F.col(cols[i]).cast("double"),
-                               F.col(cols[j]).cast("double")).alias(f"c{i}_{j}"))
+            aggs.append(safe_corr(F.col(cols[i]).cast("double"),
+                                  F.col(cols[j]).cast("double")).alias(f"c{i}_{j}"))
     wide = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("__n"))
     rows = []
     for i, a in enumerate(cols):

@@ -482,3 +482,18 @@ def test_map_list_one_task_per_item(spark):
     out = U.map_list(items, work, "item long, task int").collect()
     assert sorted(r.item for r in out) == [0, 1, 2, 3, 4]
     assert len({r.task for r in out}) == 5
+
+
+def test_constant_columns_do_not_divide_by_zero(spark):
+    # ANSI mode raises on a double division by zero; every operator must
+    # handle a constant column without dividing by its zero range or spread
+    const = spark.createDataFrame([(1.0, 2.0)] * 5, "x double, y double")
+    assert V.hexbin(const, "x", "y", 10).first()["count"] == 5
+    assert V.bin2d(const, "x", "y", 10).first()["count"] == 5
+    assert V.density_2d(const, "x", "y", n=3).count() == 9
+    assert V.density_2d(const, "x", "y", n=3, bins=4).count() == 9
+    assert V.density_1d(const, "x", n=4, bins=8).count() == 4
+    assert V.pair_matrix(const, ["x", "y"], []).count() == 22
+    corr = {(r.var1, r.var2): r.value for r in ST.corr_matrix(const, ["x", "y"]).collect()}
+    assert corr[("x", "y")] is None and corr[("x", "x")] == 1.0
+    assert ST.corr_pair(const, "x", "y").first()["corr"] is None
