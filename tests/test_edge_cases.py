@@ -497,3 +497,28 @@ def test_constant_columns_do_not_divide_by_zero(spark):
     corr = {(r.var1, r.var2): r.value for r in ST.corr_matrix(const, ["x", "y"]).collect()}
     assert corr[("x", "y")] is None and corr[("x", "x")] == 1.0
     assert ST.corr_pair(const, "x", "y").first()["corr"] is None
+
+
+_STAT_CASES = {
+    "hexbin": lambda d: V.hexbin(d, "x", "y", 10),
+    "bin2d": lambda d: V.bin2d(d, "x", "y"),
+    "density_1d": lambda d: V.density_1d(d, "x", by=["g"], n=4),
+    "density_2d": lambda d: V.density_2d(d, "x", "y", n=3),
+    "box": lambda d: V.box_stats(d, "x", by=["g"]),
+    "pairs": lambda d: V.pair_matrix(d, ["x", "y"], ["g"]),
+    "histogram": lambda d: ST.histogram(d, "x", 3, by=["g"]),
+    "bivariate": lambda d: ST.bivariate_histogram(d, "x", "y", 5),
+    "quantiles_sorted": lambda d: ST.quantiles(d, ["x"], [0.5], max_exact_distinct=0),
+    "quantiles_bracket": lambda d: ST.quantiles(d, ["x"], [0.5], by=["g"], max_exact_distinct=0),
+    "crosstab": lambda d: ST.crosstab(d, "g", "g"),
+    "rank": lambda d: G.rank_categories(d, "x"),
+    "profile": lambda d: C.column_profile(d, preview=2),
+}
+
+
+@pytest.mark.parametrize("name", sorted(_STAT_CASES))
+def test_empty_and_null_inputs(spark, name):
+    empty = spark.createDataFrame([], "g string, x double, y double")
+    nulls = spark.createDataFrame([(None, None, None), ("a", None, 1.0)], "g string, x double, y double")
+    for df in (empty, nulls):
+        _STAT_CASES[name](df).collect()
