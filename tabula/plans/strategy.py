@@ -5,12 +5,13 @@ Rules applied throughout the library:
 * A side is broadcast only when its size is *proven*: either it is a global
   aggregate (exactly one row), a grid whose size is an argument, or a table
   whose row count was checked against ``max_rows`` by :func:`sized_broadcast`.
-  Beyond the bound the join stays a shuffle join, which AQE can split when one
-  key is hot (``spark.sql.adaptive.skewJoin.enabled``).
-* Hot groups are split with a deterministic salt (a hash of the row, never a
-  random number, so a recomputed task after an executor loss puts every row
-  in the same bucket again) and pre-aggregated before the shuffle on the real
-  key.
+  Beyond the bound the join is a salted shuffle join (:func:`keyed_join`), so
+  a hot key is spread over many tasks even without AQE's skew handling.
+* Hot groups are split with a salt computed from the row (a hash mixed with
+  the row's position, not a random number) and pre-aggregated before the
+  shuffle on the real key.  Spark treats the position as nondeterministic, so
+  after an executor loss it reruns the dependent stages as a whole rather than
+  mixing old and new outputs.
 * Lineage is cut with ``DataFrame.checkpoint()`` into ``spark.checkpoint.dir``
   (a shared folder), never ``localCheckpoint``.
 """
@@ -98,7 +99,7 @@ def keyed_join(df: DataFrame, side: DataFrame, keys: list[str], small: bool,
 
 
 def salt_column(buckets: int = DEFAULT_SALT_BUCKETS, cols: list[str] | None = None) -> Column:
-    """A deterministic salt in ``[0, buckets)`` from a hash of the row.
+    """A salt in ``[0, buckets)`` from a hash of the row.
 
     ``monotonically_increasing_id`` is mixed in so that identical rows (a hot
     group of copies) still spread over the buckets.
