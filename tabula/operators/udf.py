@@ -10,7 +10,7 @@ row by row.  Two additions over the plain Spark calls:
 * **hot groups**: ``applyInPandas`` hands a whole group to one task.  When the
   per-group function is decomposable (max, sum, count, min ...), pass
   ``salt_buckets`` and ``combine``: each group is split into sub-groups by a
-  deterministic salt, the function runs on the parts, and the built-in
+  salt hashed from the row, the function runs on the parts, and the built-in
   aggregates in ``combine`` merge the partial results per real group.
 """
 
