@@ -41,7 +41,11 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema=None) -> D
 def read_csv(spark: SparkSession, path: str | Sequence[str], header: bool = True,
              infer_schema: bool = True, null_value: str | None = "NA",
              sep: str = ",", schema=None) -> DataFrame:
-    """SRC4: CSV with header, type inference and a NULL marker (``na.strings``)."""
+    """SRC4: CSV with header, type inference and a NULL marker (``na.strings``).
+
+    Type inference reads the input once more before the real scan; for large
+    inputs pass ``schema`` (inference is then skipped).
+    """
     reader = spark.read.option("header", header).option("sep", sep)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
