@@ -7,12 +7,13 @@ that is the whole group.  Here exact order statistics are found by
 
 1. per group, the row count gives the target ranks (``floor``/``ceil`` of
    ``(n-1)·p`` for interpolated quantiles, ``ceil(p·n)-1`` for discrete ones);
-2. each round, a Greenwald-Khanna sketch (``percentile_approx``, memory
-   bounded by ``accuracy``) over the rows still inside a target's bracket
-   gives a fixed grid of approximate quantiles; the grid points around the
-   target's relative rank become the new, narrower bracket, and one counting
-   pass fixes the exact number of rows below it (a bracket that would miss the
-   target is rejected, so the result never depends on the sketch's error);
+2. each round is one pass over the rows still inside a target's bracket: it
+   counts the rows below and inside the bracket proposed by the previous
+   round (so the proposal becomes exact, or is rejected if it would miss the
+   target — the result never depends on the sketch's error), and a
+   Greenwald-Khanna sketch (``percentile_approx``, memory bounded by
+   ``accuracy``) of the rows inside gives a grid of approximate quantiles
+   whose points around the target's relative rank are the next proposal;
 3. when every bracket holds at most ``max_candidates`` rows, the rows inside
    are aggregated to ``(value, count)`` and ranked in a window partitioned by
    target — a partition bounded by ``max_candidates``, never by group size.
@@ -77,48 +78,54 @@ def order_statistics(vals: DataFrame, by: Sequence[str], ranks: DataFrame,
     by = list(by)
     n_targets = ranks.count()
     small = n_targets <= max_rows
-    state = ranks.select(*by, "__r", "__n", F.lit(None).cast("double").alias("__lo"),
-                         F.lit(None).cast("double").alias("__hi"),
+    nul = F.lit(None).cast("double")
+    state = ranks.select(*by, "__r", "__n", nul.alias("__lo"), nul.alias("__hi"),
                          F.lit(0).cast("long").alias("__below"),
-                         F.col("__n").cast("long").alias("__cand"))
+                         F.col("__n").cast("long").alias("__cand"),
+                         nul.alias("__plo"), nul.alias("__phi"))
     state = cut_lineage(state)
     probs = [i / GRID for i in range(GRID + 1)]
     previous = None
-    for _ in range(MAX_ROUNDS):
+    for round_no in range(MAX_ROUNDS + 1):
         widest = state.agg(F.max("__cand")).first()[0]
         # stop when small enough, or when a block of equal values cannot be
-        # split further (the final step counts equal values as one row)
-        if widest is None or widest <= max_candidates or (previous is not None
+        # split further (the final step counts equal values as one row); the
+        # first round only proposes, so progress is judged from the second on
+        if widest is None or widest <= max_candidates or (round_no >= 2
                                                           and widest >= previous):
             break
         previous = widest
+        # one pass over the rows of the current (exact) bracket: counts that
+        # verify the proposed narrower bracket, a sketch inside the proposal
+        # for the next proposal, and a sketch of the whole bracket in case the
+        # proposal is rejected
+        v = F.col("__v")
+        in_prop = (v >= F.col("__plo")) & (v <= F.col("__phi"))
         rows = _join_targets(vals, state, by, small).where(_inside("__lo", "__hi"))
-        sketch = rows.groupBy(*by, "__r").agg(
-            F.percentile_approx("__v", probs, accuracy).alias("__grid"))
+        passed = rows.groupBy(*by, "__r").agg(
+            F.count_if(v < F.col("__plo")).alias("__nbelow"),
+            F.count_if(in_prop).alias("__ncand"),
+            F.percentile_approx(F.when(in_prop, v), probs, accuracy).alias("__gin"),
+            F.percentile_approx(v, probs, accuracy).alias("__gall"))
+        merged = _join_on_keys(state, passed, by + ["__r"])
+        b2 = F.col("__below") + F.col("__nbelow")
+        ok = F.col("__plo").isNotNull() & (b2 <= F.col("__r")) & \
+            (F.col("__r") < b2 + F.col("__ncand"))
+        verified = merged.select(
+            *by, "__r", "__n",
+            F.when(ok, F.col("__plo")).otherwise(F.col("__lo")).alias("__lo"),
+            F.when(ok, F.col("__phi")).otherwise(F.col("__hi")).alias("__hi"),
+            F.when(ok, b2).otherwise(F.col("__below")).alias("__below"),
+            F.when(ok, F.col("__ncand")).otherwise(F.col("__cand")).alias("__cand"),
+            F.when(ok, F.col("__gin")).otherwise(F.col("__gall")).alias("__grid"))
         # relative position of the target inside its bracket, on the grid
         pos = (F.col("__r") - F.col("__below")).cast("double") / \
             F.greatest(F.col("__cand") - 1, F.lit(1)).cast("double")
         cell = F.floor(pos * GRID).cast("int")
-        proposal = _join_on_keys(state, sketch, by + ["__r"]).select(
+        state = cut_lineage(verified.select(
             *by, "__r", "__n", "__lo", "__hi", "__below", "__cand",
-            F.element_at("__grid", F.greatest(cell - 1, F.lit(0)) + 1).alias("__nlo"),
-            F.element_at("__grid", F.least(cell + 2, F.lit(GRID)) + 1).alias("__nhi"))
-        proposal = cut_lineage(proposal)
-        counted = _join_targets(vals, proposal, by, small).where(_inside("__lo", "__hi")) \
-            .groupBy(*by, "__r").agg(
-                F.count_if(F.col("__v") < F.col("__nlo")).alias("__nbelow"),
-                F.count_if((F.col("__v") >= F.col("__nlo")) & (F.col("__v") <= F.col("__nhi")))
-                .alias("__ncand"))
-        merged = _join_on_keys(proposal, counted, by + ["__r"]).select(
-            *by, "__r", "__n", "__lo", "__hi", "__below", "__cand", "__nlo", "__nhi",
-            (F.col("__below") + F.col("__nbelow")).alias("__b2"), "__ncand")
-        ok = (F.col("__b2") <= F.col("__r")) & (F.col("__r") < F.col("__b2") + F.col("__ncand"))
-        state = cut_lineage(merged.select(
-            *by, "__r", "__n",
-            F.when(ok, F.col("__nlo")).otherwise(F.col("__lo")).alias("__lo"),
-            F.when(ok, F.col("__nhi")).otherwise(F.col("__hi")).alias("__hi"),
-            F.when(ok, F.col("__b2")).otherwise(F.col("__below")).alias("__below"),
-            F.when(ok, F.col("__ncand")).otherwise(F.col("__cand")).alias("__cand")))
+            F.element_at("__grid", F.greatest(cell - 1, F.lit(0)) + 1).alias("__plo"),
+            F.element_at("__grid", F.least(cell + 2, F.lit(GRID)) + 1).alias("__phi")))
     # final: rank the (value, count) pairs inside each bracket
     rows = _join_targets(vals, state, by, small).where(_inside("__lo", "__hi"))
     pairs = rows.groupBy(*by, "__r", "__below", "__v").agg(F.count(F.lit(1)).alias("__c"))
