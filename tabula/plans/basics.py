@@ -191,3 +191,24 @@ union all select 5, 'o_orderdate', 'timestamp_ntz', count(o_orderdate) from orde
 union all select 6, 'o_orderpriority', 'string', count(o_orderpriority) from orders""")
 def column_profile(spark, d):
     return C.column_profile(Tables(spark, d).orders).drop("distinct_approx")
+
+
+@query("filter_like_df", ids=("FLT5",), sql="""
+select p_partkey, p_name from part where p_name like '%a%' or p_name like '%A%'""")
+def filter_like_df(spark, d):
+    # the same LIKE filter written with column expressions; it reaches the
+    # Parquet reader as StringContains filters
+    p = Tables(spark, d).part
+    return p.where(C.contains_any("p_name", ["%a%", "%A%"])).select("p_partkey", "p_name")
+
+
+@query("schema_rows", ids=("ACT6",), sql="""
+select (row_number() over ())::int as position, column_name as "column",
+       case column_type when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string'
+            when 'DOUBLE' then 'double' when 'TIMESTAMP' then 'timestamp_ntz'
+            when 'INTEGER' then 'int' else lower(column_type) end as data_type,
+       "null" = 'YES' as nullable
+from (describe orders)""")
+def schema_rows(spark, d):
+    # dtypes / printSchema as a table: built from the schema, no data is read
+    return C.schema_table(Tables(spark, d).orders)
