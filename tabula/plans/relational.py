@@ -130,3 +130,18 @@ union all select acctbal, name, nationkey, '' as segment from su""")
 def append_fill_text(spark, d):
     t = Tables(spark, d)
     return S.append_fill(customers_as_parties(t), suppliers_as_parties(t), fill="")
+
+
+@query("join_salted", ids=("JOIN1",), sql="""
+select o_orderstatus, count(*) as n, round(sum(l_extendedprice), 2) as revenue
+from lineitem join orders on l_orderkey = o_orderkey group by 1""")
+def join_salted(spark, d):
+    # the same key join with an explicit salt, as used when one order key is
+    # known to be hot: lineitem rows get a hashed salt, orders are replicated
+    # once per salt, and the result is unchanged
+    t = Tables(spark, d)
+    li = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_extendedprice")
+    o = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus")
+    j = J.join_drop_key(li, o, "orderkey", salt_buckets=8)
+    return j.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"),
+                                          rnd(F.sum("l_extendedprice"), 2).alias("revenue"))
