@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,21 +57,14 @@ def buffers(batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def batches_of(rows: Iterable, limit: int) -> Iterator[list]:
-    """Lists of at most ``limit`` items."""
-    block: list = []
-    for row in rows:
-        block.append(row)
-        if len(block) >= limit:
-            yield block
-            block = []
-    if block:
-        yield block
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once.
 
-
-def small_arrow_batches(df: DataFrame, text: str = "text") -> Column:
-    """An empty text for NULL, so Python never sees a missing one."""
-    return F.coalesce(df[text], F.lit(""))
+    A column that lambda functions refer to again and again may be put into
+    them by the optimiser (a filter that is pushed below the projection) and
+    then be computed for every element; a lambda variable may not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def salted_hash(*columns: Column | str, parts: int) -> Column:

@@ -272,7 +272,9 @@ def near_edges(fps: DataFrame, bits: int = MAX_BITS, salts: int = 4) -> DataFram
                 key, fp, probing = key[upto:], fp[upto:], probing[upto:]
         yield from edges(len(key))
 
-    keys = fps.select("fp").mapInArrow(keyed, "key bigint, fp bigint, probing boolean")
+    # about a hundred keys come of every fingerprint: small partitions first
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = fps.select("fp").repartition(parts, "fp").mapInArrow(keyed, "key bigint, fp bigint, probing boolean")
     salt = F.when(F.col("probing"), F.array(salted_hash("fp", parts=salts))).otherwise(
         F.array(*[F.lit(s) for s in range(salts)]))
     dealt = (keys.withColumn("salt", F.explode(salt)).repartition("key", "salt")

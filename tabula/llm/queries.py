@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import golay_dedup, suffix_dedup
+from tabula.llm import (bpe, classifier_chain, golay_dedup, importance, licenses, packing,
+                        rule_ensemble, simhash_tables, suffix_dedup, wrapper)
 from tabula.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,25 @@ def registered(name: str, sql: str | None = None):
     return keep
 
 
+@registered("op1_rule_ensemble")
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return rule_ensemble.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered("op2_wrapper_induction")
+def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
+@registered("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents and the bytes they decode to, as hashes."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 #: Every 200-byte string with its places, and what is left when all bytes of
 #: strings that start twice or more are gone; hex digits stand for bytes.
 SUFFIX_SQL = """
@@ -66,6 +87,44 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest_columns(suffix_dedup.repeats(table(spark, sf_dir, "documents")))
 
 
+@registered("op5_simhash_tables")
+def op5_simhash_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    found = simhash_tables.with_edits(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256",
+                        simhash_tables.as_hex(F.col("fp")).alias("fingerprint"),
+                        simhash_tables.as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
+                        "near_edited", "near_next", "n_near")
+
+
+@registered("op6_importance_rules")
+def op6_importance_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, score and verdict of all documents."""
+    found = importance.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "score", "kept")
+
+
+@registered("op7_classifier_chain")
+def op7_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probabilities of all documents."""
+    return classifier_chain.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License matches in all documents."""
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@registered("op9_bin_slack_packing")
+def op9_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with end id 1, in windows of 2048 ids."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer, end=1)
+
+
 @registered("op10_golay_simhash")
 def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by fingerprints at most three bits apart."""
