@@ -2,8 +2,8 @@
 
 Every operator takes a ``DataFrame`` (plus plain arguments) and returns a
 ``DataFrame``.  Operators stay lazy wherever Spark allows it; the few that
-need an eager job (a model fit, a size check before a broadcast, a schema
-derived from a sample) say so in their docstring.
+need an eager job (a model fit, a lineage cut, a schema learned from a first
+pass) say so in their docstring.
 
 Sub-packages
 ------------
@@ -11,9 +11,8 @@ Sub-packages
 ``functions``  column expressions: arithmetic, case chains, range buckets, dates
 ``operators``  table operators: columns, missing data, groups, joins, set
                operations, statistics, chart statistics, user functions, models
-``plans``      physical-strategy helpers (size-checked broadcast, salting) and
+``plans``      physical-strategy helpers (scalar joins, salting, lineage cuts) and
                the registry of named queries used by the correctness oracle
-``streaming``  using the same operators on streaming DataFrames
 """
 
 from tabula.session import checkpoint_dir, cluster_conf, local_session, scratch_path

@@ -10,12 +10,12 @@ Scale notes
   one partial row per task, never a whole group in one task.
 * Per-group statistics that must be fed back to the rows (box-plot fences,
   density grids, histogram ranges) are joined through
-  :func:`tabula.plans.strategy.join_group_stats` — broadcast after a row-count
-  check, shuffle join with AQE skew splitting beyond it.
-* Kernel densities aggregate equal values first (``groupBy(value).count()``)
-  and evaluate each distinct value once per grid point; the grid is generated
-  with ``sequence`` + ``explode`` and consumed by the partial aggregate in the
-  same stage.
+  :func:`tabula.plans.strategy.join_group_stats`, a plain equality join that
+  adaptive execution turns into a broadcast or splits at hot groups.
+* Kernel densities spread the values linearly over equally spaced bins first,
+  so the work is bins × grid points whatever the number of rows; the grid is
+  generated with ``sequence`` + ``explode`` and consumed by the partial
+  aggregate in the same stage.
 """
 
 from __future__ import annotations
@@ -27,9 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.scalar import range_bucket, range_bucket_order
-from tabula.operators.stats import (DEFAULT_ACCURACY, MAX_EXACT_DISTINCT, group_quantiles,
-                                    safe_corr)
-from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
+from tabula.operators.stats import DEFAULT_ACCURACY, group_quantiles, safe_corr
+from tabula.plans.strategy import attach_scalars, cut_lineage, join_group_stats
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
@@ -64,17 +63,16 @@ def bar_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
-def bar_share(df: DataFrame, x: str, fill: str, facets: Sequence[str] = (),
-              max_groups: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bar_share(df: DataFrame, x: str, fill: str, facets: Sequence[str] = ()) -> DataFrame:
     """VIZ2: proportions of ``fill`` within each ``x`` (100 % bars, spine, mosaic).
 
     ``(facets..., x, fill, count, share)``; the per-``x`` totals are one row per
-    bar, joined back after a size check.
+    bar.
     """
     keys = [*facets, x]
     counts = df.groupBy(*keys, fill).agg(F.count(F.lit(1)).alias("count"))
     totals = counts.groupBy(*keys).agg(F.sum("count").alias("__total"))
-    out = join_group_stats(counts, totals, keys, max_groups)
+    out = join_group_stats(counts, totals, keys)
     return out.withColumn("share", F.col("count") / F.col("__total")).drop("__total")
 
 
@@ -170,9 +168,9 @@ def hexbin(df: DataFrame, x: str, y: str, bins: int = 30,
 
 
 def _box_quartiles(df: DataFrame, value: str, by: list[str], method: str,
-                   accuracy: int, max_exact_distinct: int, coef: float) -> tuple[DataFrame, DataFrame]:
+                   accuracy: int, coef: float) -> tuple[DataFrame, DataFrame]:
     vals = df.select(*by, _num(value).alias("__v")).where(F.col("__v").isNotNull())
-    q = group_quantiles(vals, "__v", [0.25, 0.5, 0.75], by, method, accuracy, max_exact_distinct)
+    q = group_quantiles(vals, "__v", [0.25, 0.5, 0.75], by, method, accuracy)
     iqr = F.col("__qs")[2] - F.col("__qs")[0]
     q = q.select(*by, F.col("__n").alias("n"), F.col("__qs")[0].alias("q1"),
                  F.col("__qs")[1].alias("median"), F.col("__qs")[2].alias("q3"), iqr.alias("iqr"),
@@ -182,14 +180,12 @@ def _box_quartiles(df: DataFrame, value: str, by: list[str], method: str,
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), coef: float = 1.5,
-              notch: bool = False, method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
-              max_exact_distinct: int = MAX_EXACT_DISTINCT,
-              max_groups: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              notch: bool = False, method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """VIZ4/VIZ5: box-plot statistics per group.
 
     ``(by..., n, q1, median, q3, iqr, lower_fence, upper_fence, whisker_low,
     whisker_high, n_outliers[, notch_low, notch_high])``.  Quartiles are R
-    type 7 (``method="exact"``) or sketch-based (``"approx"``/``"auto"``);
+    type 7 (``method="exact"``) or sketch-based (``"approx"``);
     whiskers are the most extreme values inside ``coef·IQR`` of the box; the
     notch is ``median ± 1.58·IQR/√n``.
 
@@ -197,15 +193,16 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), coef: float = 1
     rows for whiskers and outlier counts (mergeable again).
     """
     by = list(by)
-    vals, q = _box_quartiles(df, value, by, method, accuracy, max_exact_distinct, coef)
-    withq = join_group_stats(vals, q.select(*by, "lower_fence", "upper_fence"), by, max_groups)
+    vals, q = _box_quartiles(df, value, by, method, accuracy, coef)
+    q = cut_lineage(q)      # used for the fences and again for the result
+    withq = join_group_stats(vals, q.select(*by, "lower_fence", "upper_fence"), by)
     v, lf, uf = F.col("__v"), F.col("lower_fence"), F.col("upper_fence")
     w = _stats_of(withq, by, [
         F.min(F.when(v >= lf, v)).alias("whisker_low"),
         F.max(F.when(v <= uf, v)).alias("whisker_high"),
         F.count_if((v < lf) | (v > uf)).alias("n_outliers")])
     if by:
-        out = join_group_stats(q, w, by, max_groups)
+        out = join_group_stats(q, w, by)
     else:
         out = attach_scalars(q, w)
     if notch:
@@ -216,17 +213,15 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), coef: float = 1
 
 
 def box_outliers(df: DataFrame, value: str, by: Sequence[str] = (), keep: Sequence[str] = (),
-                 coef: float = 1.5, method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
-                 max_exact_distinct: int = MAX_EXACT_DISTINCT,
-                 max_groups: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 coef: float = 1.5, method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """VIZ4: the outlier points of each box — rows outside ``coef·IQR``.
 
     ``(by..., keep..., value)``; the rows stay distributed.
     """
     by = list(by)
     rows = df.select(*by, *keep, _num(value).alias("__v")).where(F.col("__v").isNotNull())
-    _, q = _box_quartiles(df, value, by, method, accuracy, max_exact_distinct, coef)
-    withq = join_group_stats(rows, q.select(*by, "lower_fence", "upper_fence"), by, max_groups)
+    _, q = _box_quartiles(df, value, by, method, accuracy, coef)
+    withq = join_group_stats(rows, q.select(*by, "lower_fence", "upper_fence"), by)
     v = F.col("__v")
     return withq.where((v < F.col("lower_fence")) | (v > F.col("upper_fence"))) \
         .select(*by, *keep, v.alias(value))
@@ -254,20 +249,18 @@ def _nrd(sd: Column, iqr: Column, n: Column, mn: Column) -> Column:
 
 def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
                bw: float | None = None, method: str = "exact",
-               accuracy: int = DEFAULT_ACCURACY, max_exact_distinct: int = MAX_EXACT_DISTINCT,
-               max_groups: int = DEFAULT_BROADCAST_ROWS, bins: int | None = None) -> DataFrame:
+               accuracy: int = DEFAULT_ACCURACY, bins: int | None = 512) -> DataFrame:
     """VIZ6/VIZ7: Gaussian kernel density on ``n`` evenly spaced points from min to max.
 
     ``f(g) = 1/(N·h·√(2π)) · Σ exp(-(g - x)²/(2h²))``; ``h`` defaults to
     Silverman's rule per group.  With ``by`` this is the violin statistic.
     Output ``(by..., index, x, density, bandwidth)``.
 
-    The sum runs over the distinct values (each weighted by its count), so
-    the work is distinct values × ``n``.  For continuous data at scale pass
-    ``bins``: every value's weight is split linearly between the two nearest
-    of ``bins`` equally spaced points (linear binning, as R's ``density``
-    does), bounding the work to groups × ``bins`` × ``n`` at an error of order
-    ``(range/bins)²/h²``.
+    Every value's weight is split linearly between the two nearest of ``bins``
+    equally spaced points (linear binning, as R's ``density`` does), which
+    bounds the work to groups × ``bins`` × ``n`` at an error of order
+    ``(range/bins)²/h²``.  With ``bins=None`` the sum runs over the distinct
+    values instead: distinct values × ``n``, only for small tables.
     """
     by = list(by)
     if n < 2:
@@ -278,7 +271,7 @@ def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
         aggs.append(F.stddev_samp("__v").alias("__sd"))
     stats = _stats_of(vals, by, aggs)
     if bw is None:
-        q = group_quantiles(vals, "__v", [0.25, 0.75], by, method, accuracy, max_exact_distinct) \
+        q = group_quantiles(vals, "__v", [0.25, 0.75], by, method, accuracy) \
             .select(*by, F.col("__qs").alias("__q"))
         stats = _join_small(stats, q, by)
         stats = stats.withColumn("__bw", _nrd0(F.col("__sd"), F.col("__q")[1] - F.col("__q")[0],
@@ -289,8 +282,8 @@ def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
     if bins is None:
         weights = vals.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w"))
     else:
-        weights = _linear_bins(vals, stats.select(*by, "__mn", "__mx"), by, bins, max_groups)
-    withs = join_group_stats(weights, stats, by, max_groups)
+        weights = _linear_bins(vals, stats.select(*by, "__mn", "__mx"), by, bins)
+    withs = join_group_stats(weights, stats, by)
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("index")
     grid = withs.select(*by, "__v", "__w", "__n", "__mn", "__mx", "__bw", k)
     gx = F.col("__mn") + F.col("index") * (F.col("__mx") - F.col("__mn")) / F.lit(n - 1)
@@ -303,13 +296,12 @@ def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
         F.col("__bw").alias("bandwidth"))
 
 
-def _linear_bins(vals: DataFrame, ranges: DataFrame, by: list[str], bins: int,
-                 max_groups: int) -> DataFrame:
+def _linear_bins(vals: DataFrame, ranges: DataFrame, by: list[str], bins: int) -> DataFrame:
     """Weights of ``bins`` equally spaced points per group, each value's unit
     weight split between its two neighbours: ``(by..., __v, __w)``."""
     if bins < 2:
         raise ValueError("bins must be at least 2")
-    withr = join_group_stats(vals, ranges, by, max_groups)
+    withr = join_group_stats(vals, ranges, by)
     span = F.col("__mx") - F.col("__mn")
     g = F.when(span > 0, (F.col("__v") - F.col("__mn")) / span * F.lit(bins - 1)).otherwise(F.lit(0.0))
     lo = F.least(F.floor(g), F.lit(bins - 2))
@@ -357,8 +349,7 @@ def _bilinear_bins(vals: DataFrame, stats: DataFrame, bins: int) -> DataFrame:
 
 def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
                h: tuple[float, float] | None = None, method: str = "exact",
-               accuracy: int = DEFAULT_ACCURACY,
-               max_exact_distinct: int = MAX_EXACT_DISTINCT, bins: int | None = None) -> DataFrame:
+               accuracy: int = DEFAULT_ACCURACY, bins: int | None = 128) -> DataFrame:
     """VIZ8: bivariate Gaussian kernel density on an ``n × n`` grid (``kde2d``).
 
     Bandwidths default to ``bandwidth.nrd`` per axis and are divided by 4 as in
@@ -366,9 +357,9 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
 
     Work is split by axis: for each distinct ``x`` value the y-kernels of its
     rows are summed first (rows × n), then combined with the x-kernel
-    (distinct x × n × n) — the n² grid never multiplies the row count.  With
-    ``bins``, the points are first spread bilinearly onto a ``bins × bins``
-    lattice, bounding both steps by the lattice size.
+    (distinct x × n × n) — the n² grid never multiplies the row count.  The
+    points are first spread bilinearly onto a ``bins × bins`` lattice, which
+    bounds both steps; ``bins=None`` uses every distinct point instead.
     """
     vx, vy = _num(x), _num(y)
     vals = df.select(vx.alias("__x"), vy.alias("__y")) \
@@ -385,8 +376,7 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
             F.struct(F.lit("x").alias("__axis"), F.col("__x").alias("__a")),
             F.struct(F.lit("y").alias("__axis"), F.col("__y").alias("__a")))).alias("__e")) \
             .select("__e.*")
-        q = group_quantiles(axes, "__a", [0.25, 0.75], ["__axis"], method, accuracy,
-                            max_exact_distinct)
+        q = group_quantiles(axes, "__a", [0.25, 0.75], ["__axis"], method, accuracy)
         qxy = q.agg(F.max(F.when(F.col("__axis") == "x", F.col("__qs"))).alias("__qx"),
                     F.max(F.when(F.col("__axis") == "y", F.col("__qs"))).alias("__qy"))
         stats = stats.crossJoin(qxy)
@@ -443,6 +433,38 @@ def lm_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+def lm_band(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int = 80,
+            critical: float = 1.959963984540054) -> DataFrame:
+    """VIZ11: the fitted line with its confidence band on ``points`` evenly spaced x.
+
+    ``(by..., index, x, fit, lower, upper)``; the band is ``fit ± critical ·
+    s · √(1/n + (x - mean)²/Sxx)`` with ``s² = (Syy - slope·Sxy)/(n - 2)``, all
+    from one mergeable pass.  ``critical`` is the t quantile that the caller
+    wants (by default the normal one, for large n).  Groups with fewer than
+    three points or constant x have a NULL band.
+    """
+    if points < 2:
+        raise ValueError("points must be at least 2")
+    vx, vy = _num(x), _num(y)
+    known = F.when(vy.isNotNull(), vx)
+    aggs = [F.regr_count(vy, vx).alias("__n"), F.regr_slope(vy, vx).alias("__b"),
+            F.regr_intercept(vy, vx).alias("__a"), F.regr_avgx(vy, vx).alias("__m"),
+            F.regr_sxx(vy, vx).alias("__sxx"), F.regr_syy(vy, vx).alias("__syy"),
+            F.regr_sxy(vy, vx).alias("__sxy"), F.min(known).alias("__mn"), F.max(known).alias("__mx")]
+    lines = _stats_of(df, list(by), aggs).where("__n > 0")
+    grid = lines.withColumn("index", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn(
+        "x", F.col("__mn") + F.col("index") * (F.col("__mx") - F.col("__mn")) / F.lit(points - 1))
+    fit = F.col("__a") + F.col("__b") * F.col("x")
+    residual = F.greatest(F.col("__syy") - F.col("__b") * F.col("__sxy"), F.lit(0.0))
+    variance = F.when((F.col("__n") > 2) & (F.col("__sxx") > 0),
+                      F.try_divide(residual, F.col("__n") - 2) * (
+                          F.try_divide(F.lit(1.0), F.col("__n"))
+                          + F.try_divide(F.pow(F.col("x") - F.col("__m"), 2), F.col("__sxx"))))
+    half = F.lit(float(critical)) * F.sqrt(variance)
+    return grid.select(*by, "index", "x", fit.alias("fit"), (fit - half).alias("lower"),
+                       (fit + half).alias("upper"))
+
+
 def group_means(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                 suffix: str = "_avg") -> DataFrame:
     """VIZ12/VIZ13: mean of several columns per group, one pass."""
@@ -469,16 +491,16 @@ def stacked_area(df: DataFrame, x: str, series: str, y: str) -> DataFrame:
         .withColumn("ymin", F.col("ymax") - F.col(y))
 
 
-def scatter_sample(df: DataFrame, cols: Sequence[str], max_points: int = 10_000,
-                   seed: int = 42) -> DataFrame:
-    """VIZ16: the points of a scatter plot, thinned to about ``max_points``.
+def scatter_points(df: DataFrame, cols: Sequence[str], every: int = 1, key: str | None = None) -> DataFrame:
+    """VIZ16: the points of a scatter plot — all of them, or a repeatable part.
 
-    A Bernoulli sample with fraction ``max_points / count`` (one count job), so
-    the part that is later collected stays small whatever the table size.
+    With ``every`` > 1 only rows whose integer ``key`` is divisible by it are
+    kept: a fixed share, chosen by arithmetic that any engine can repeat.
     """
-    n = df.count()
-    frac = 1.0 if n <= max_points else max_points / n
-    return df.select(*cols).sample(False, frac, seed)
+    if every < 1 or (every > 1 and key is None):
+        raise ValueError("every must be positive, and needs a key beyond 1")
+    rows = df if every == 1 else df.where(F.col(key) % every == 0)
+    return rows.select(*cols)
 
 
 def bucket_means(df: DataFrame, score: str, value: str, by: Sequence[str] = (),

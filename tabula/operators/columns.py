@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabula.functions.scalar import if_else, safe_cast
 from tabula.plans.strategy import attach_scalars, cut_lineage
 
 # --------------------------------------------------------------------------
@@ -65,7 +66,7 @@ def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """PRJ11: cast several columns; text that does not convert becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    return df.withColumns({c: safe_cast(c, t) for c, t in types.items()})
 
 
 def share_of_total(df: DataFrame, count_col: str = "count",
@@ -139,7 +140,7 @@ def fill_missing(df: DataFrame, value, subset: Sequence[str] | None = None) -> D
 def replace_blank(df: DataFrame, col: str, replacement: str = "Unknown") -> DataFrame:
     """NA7: ``ifelse(x == "", replacement, x)``; NULL stays NULL."""
     c = F.col(col)
-    return df.withColumn(col, F.when(c == "", F.lit(replacement)).otherwise(c))
+    return df.withColumn(col, if_else(c == "", F.lit(replacement), c))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -200,23 +201,6 @@ def column_profile(df: DataFrame, preview: int = 0) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def schema_table(df: DataFrame) -> DataFrame:
-    """ACT6 (``dtypes``/``printSchema``): ``(position, column, data_type, nullable)``.
-
-    Built from the schema alone (no job); tiny by construction.
-    """
-    spark = df.sparkSession
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(df.schema.fields)]
-    schema = T.StructType([
-        T.StructField("position", T.IntegerType()),
-        T.StructField("column", T.StringType()),
-        T.StructField("data_type", T.StringType()),
-        T.StructField("nullable", T.BooleanType()),
-    ])
-    return spark.createDataFrame(rows, schema)
-
-
 def with_cache(df: DataFrame, fn: Callable[[DataFrame], DataFrame],
                storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """ACT7: keep ``df`` cached while ``fn`` derives a result from it, then release it.

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.dates import period_start
-from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, cut_lineage, sized_broadcast
+from tabula.plans.strategy import cut_lineage
 
 
 def group_agg(df: DataFrame, by: Sequence[str | Column], aggs: Mapping[str, Column]) -> DataFrame:
@@ -127,26 +127,18 @@ def top_k(df: DataFrame, k: int, *cols: str | Column, descending: bool = True) -
 
 
 def rank_categories(df: DataFrame, metric: str, name: str = "rank",
-                    tie_break: Sequence[str] = (), descending: bool = False,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    tie_break: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """SRT4: ``reorder(category, metric)`` — a dense 1-based rank of each row's metric.
 
-    Meant for aggregated tables (one row per category).  The ranks are
-    computed on the *distinct* metric values: when their number is within
-    ``max_rows`` (checked) they are ranked in one small window and broadcast
-    back; beyond that the rank comes from a distributed range sort with
-    per-partition offsets, so no single task sees all values.
+    The ranks are computed on the *distinct* metric values by a distributed
+    range sort with per-partition offsets, so no single task sees all values,
+    and joined back by a plain equality join.
     """
     order = [F.col(metric).desc() if descending else F.col(metric).asc(),
              *[F.col(t).asc() for t in tie_break]]
     keys = [metric, *tie_break]
     distinct_vals = df.select(*keys).distinct()
-    side, small = sized_broadcast(distinct_vals, max_rows)
-    if small:
-        ranked = F.broadcast(side.withColumn(
-            name, F.row_number().over(Window.orderBy(*order)).cast("long")))
-    else:
-        ranked = _distributed_rank(distinct_vals, order, name)
+    ranked = _distributed_rank(distinct_vals, order, name)
     # NULL-safe match, so a NULL metric keeps its row (ranked first ascending)
     ren = ranked.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
     cond = None

@@ -146,24 +146,27 @@ def glm_coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
         [(f, float(c)) for f, c in zip(names, coefs)], "feature string, estimate double")
 
 
-def glm_summary(model: PipelineModel, df: DataFrame, family: str | None = None) -> DataFrame:
-    """MLR9 summary: ``(family, feature, estimate, std_error, t_value, p_value,
-    deviance, null_deviance, aic)`` — one row per coefficient."""
-    glm = model.stages[-1]
+_GLM_ROW = ("family string, feature string, estimate double, std_error double, t_value double, "
+            "p_value double, deviance double, null_deviance double, aic double")
+
+
+def _glm_rows(glm, names: list[str], family: str) -> list[tuple]:
     s = glm.summary
-    names = feature_names(model, df)
     coefs = list(glm.coefficients.toArray()) + [glm.intercept]
-    feats = names + ["(Intercept)"]
     try:
         se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
     except Exception:  # solver without standard errors
         se = tv = pv = [None] * len(coefs)
-    fam = family or glm.getFamily()
-    rows = [(fam, f, float(c), _f(e), _f(t), _f(p), float(s.deviance), float(s.nullDeviance),
-             _f(s.aic)) for f, c, e, t, p in zip(feats, coefs, se, tv, pv)]
-    schema = ("family string, feature string, estimate double, std_error double, t_value double, "
-              "p_value double, deviance double, null_deviance double, aic double")
-    return df.sparkSession.createDataFrame(rows, schema)
+    return [(family, f, float(c), _f(e), _f(t), _f(p), float(s.deviance), float(s.nullDeviance),
+             _f(s.aic)) for f, c, e, t, p in zip(names + ["(Intercept)"], coefs, se, tv, pv)]
+
+
+def glm_summary(model: PipelineModel, df: DataFrame, family: str | None = None) -> DataFrame:
+    """MLR9 summary: ``(family, feature, estimate, std_error, t_value, p_value,
+    deviance, null_deviance, aic)`` — one row per coefficient."""
+    glm = model.stages[-1]
+    rows = _glm_rows(glm, feature_names(model, df), family or glm.getFamily())
+    return df.sparkSession.createDataFrame(rows, _GLM_ROW)
 
 
 def _f(v):
@@ -177,11 +180,20 @@ def fit_per_family(df: DataFrame, formula: str, families: Sequence[str]) -> Data
     table is itself a distributed job, so the loop runs on the driver and each
     iteration uses the whole cluster.
     """
-    parts = [glm_summary(fit_glm(df, formula, fam), df, fam) for fam in families]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rf = _formula(df, formula)
+    prepared = Pipeline(stages=[rf]).fit(df)
+    names = feature_names(prepared, df)
+    # the features are made once for all families and iterations, and released
+    data = prepared.transform(df).select(rf.getFeaturesCol(), rf.getLabelCol()).persist()
+    try:
+        rows = []
+        for family in families:
+            glm = GeneralizedLinearRegression(family=family, maxIter=25, featuresCol=rf.getFeaturesCol(),
+                                              labelCol=rf.getLabelCol()).fit(data)
+            rows += _glm_rows(glm, names, family)
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame(rows, _GLM_ROW)
 
 
 def index_labels(df: DataFrame, col: str, output: str = "label_index",

@@ -1,238 +1,80 @@
-"""Exact quantiles of large groups without holding a group in one task.
-
-Spark's ``percentile`` keeps a counter per distinct value of a group and
-merges them in one task per group; for a continuous column of a hot group
-that is the whole group.  Here exact order statistics are found by
-*bracketing*:
-
-1. per group, the row count gives the target ranks (``floor``/``ceil`` of
-   ``(n-1)·p`` for interpolated quantiles, ``ceil(p·n)-1`` for discrete ones);
-2. each round is one pass over the rows still inside a target's bracket: it
-   counts the rows below and inside the bracket proposed by the previous
-   round (so the proposal becomes exact, or is rejected if it would miss the
-   target — the result never depends on the sketch's error), and a
-   Greenwald-Khanna sketch (``percentile_approx``, memory bounded by
-   ``accuracy``) of the rows inside gives a grid of approximate quantiles
-   whose points around the target's relative rank are the next proposal;
-3. when every bracket holds at most ``max_candidates`` rows, the rows inside
-   are aggregated to ``(value, count)`` and ranked in a window partitioned by
-   target — a partition bounded by ``max_candidates``, never by group size.
-
-Every pass is a filter plus a mergeable aggregate; the per-target state
-(groups × ranks rows) is checkpointed into the shared checkpoint folder and
-joined back after a size check.
+"""Exact quantiles of any number of columns and groups, by one plan for every size.
+
+1. Equal values of a group are counted, partially before the shuffle.
+2. The counted values are range partitioned by (keys, value).  Spark balances
+   the ranges by sampling, so a group that holds a third of the rows spreads
+   over as many partitions as its values fill.
+3. A value's rank is the running count within its partition plus the counts of
+   the group in the partitions before (one row per group and partition).
+4. A target rank lies within exactly one counted value, which a conditional
+   maximum picks; all targets of all groups in one aggregate.
+
+Only built-in operators; no group is held by one task.  NaN is a value greater
+than all others, as in Spark's own order; NULLs are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, cut_lineage, keyed_join
+from tabula.plans.strategy import cut_lineage
 
-GRID = 1000            # grid of sketch quantiles per round
-MAX_CANDIDATES = 200_000
-MAX_ROUNDS = 8
 
+def _ranks(p: float, kind: str) -> tuple[Column, Column, Column]:
+    """Lower and upper target rank (from 0) of a probability, and their distance's share."""
+    n = F.col("__n")
+    if kind == "disc":
+        rank = F.greatest(F.ceil(F.lit(float(p)) * n) - 1, F.lit(0))
+        return rank, rank, F.lit(0.0)
+    place = F.lit(float(p)) * (n - 1)
+    return F.floor(place), F.ceil(place), place - F.floor(place)
 
-def _join_targets(vals: DataFrame, state: DataFrame, by: list[str], small: bool) -> DataFrame:
-    """Rows joined to the targets of their group; the target table (groups ×
-    ranks, counted once) is broadcast when ``small``, else joined by a salted
-    shuffle join so a hot group is spread over many tasks."""
-    side = state.select(*[F.col(k).alias(f"__k_{k}") for k in by],
-                        *[c for c in state.columns if c not in by])
-    if not by:
-        return vals.crossJoin(F.broadcast(side) if small else side)
-    return keyed_join(vals, side, by, small).drop(*[f"__k_{k}" for k in by])
-
-
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys`` (NULL-safe); the right side's copies are renamed
-    first, so tables that share lineage never produce ambiguous columns."""
-    ren = right.select(*[F.col(k).alias(f"__j_{k}") for k in keys],
-                       *[c for c in right.columns if c not in keys])
-    if not keys:
-        return left.crossJoin(ren)
-    cond = None
-    for k in keys:
-        e = left[k].eqNullSafe(ren[f"__j_{k}"])
-        cond = e if cond is None else cond & e
-    return left.join(ren, cond).drop(*[f"__j_{k}" for k in keys])
 
+def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                    kind: str = "cont") -> DataFrame:
+    """``(keys..., __n, __qs array<double>)`` of rows ``(keys..., __v double)``.
 
-def _inside(lo: str, hi: str) -> Column:
-    v = F.col("__v")
-    return (F.col(lo).isNull() | (v >= F.col(lo))) & (F.col(hi).isNull() | (v <= F.col(hi)))
-
-
-def order_statistics(vals: DataFrame, by: Sequence[str], ranks: DataFrame,
-                     accuracy: int = 10_000, max_candidates: int = MAX_CANDIDATES,
-                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Values at given 0-based ranks: ``ranks(by..., __r, __n)`` → ``(by..., __r, __value)``.
-
-    ``vals`` holds ``(by..., __v)`` without NULLs.
+    ``cont`` interpolates between neighbouring values (R type 7), ``disc``
+    takes the first value whose share of rows up to it reaches the probability.
+    Groups without values are absent; without keys an empty table has no row.
     """
-    by = list(by)
-    n_targets = ranks.count()
-    small = n_targets <= max_rows
-    nul = F.lit(None).cast("double")
-    state = ranks.select(*by, "__r", "__n", nul.alias("__lo"), nul.alias("__hi"),
-                         F.lit(0).cast("long").alias("__below"),
-                         F.col("__n").cast("long").alias("__cand"),
-                         nul.alias("__plo"), nul.alias("__phi"))
-    state = cut_lineage(state)
-    probs = [i / GRID for i in range(GRID + 1)]
-    previous = None
-    for round_no in range(MAX_ROUNDS + 1):
-        widest = state.agg(F.max("__cand")).first()[0]
-        # stop when small enough, or when a block of equal values cannot be
-        # split further (the final step counts equal values as one row); the
-        # first round only proposes, so progress is judged from the second on
-        if widest is None or widest <= max_candidates or (round_no >= 2
-                                                          and widest >= previous):
-            break
-        previous = widest
-        # one pass over the rows of the current (exact) bracket: counts that
-        # verify the proposed narrower bracket, a sketch inside the proposal
-        # for the next proposal, and a sketch of the whole bracket in case the
-        # proposal is rejected
-        v = F.col("__v")
-        in_prop = (v >= F.col("__plo")) & (v <= F.col("__phi"))
-        rows = _join_targets(vals, state, by, small).where(_inside("__lo", "__hi"))
-        passed = rows.groupBy(*by, "__r").agg(
-            F.count_if(v < F.col("__plo")).alias("__nbelow"),
-            F.count_if(in_prop).alias("__ncand"),
-            F.percentile_approx(F.when(in_prop, v), probs, accuracy).alias("__gin"),
-            F.percentile_approx(v, probs, accuracy).alias("__gall"))
-        merged = _join_on_keys(state, passed, by + ["__r"])
-        b2 = F.col("__below") + F.col("__nbelow")
-        ok = F.col("__plo").isNotNull() & (b2 <= F.col("__r")) & \
-            (F.col("__r") < b2 + F.col("__ncand"))
-        verified = merged.select(
-            *by, "__r", "__n",
-            F.when(ok, F.col("__plo")).otherwise(F.col("__lo")).alias("__lo"),
-            F.when(ok, F.col("__phi")).otherwise(F.col("__hi")).alias("__hi"),
-            F.when(ok, b2).otherwise(F.col("__below")).alias("__below"),
-            F.when(ok, F.col("__ncand")).otherwise(F.col("__cand")).alias("__cand"),
-            F.when(ok, F.col("__gin")).otherwise(F.col("__gall")).alias("__grid"))
-        # relative position of the target inside its bracket, on the grid
-        pos = (F.col("__r") - F.col("__below")).cast("double") / \
-            F.greatest(F.col("__cand") - 1, F.lit(1)).cast("double")
-        cell = F.floor(pos * GRID).cast("int")
-        state = cut_lineage(verified.select(
-            *by, "__r", "__n", "__lo", "__hi", "__below", "__cand",
-            F.element_at("__grid", F.greatest(cell - 1, F.lit(0)) + 1).alias("__plo"),
-            F.element_at("__grid", F.least(cell + 2, F.lit(GRID)) + 1).alias("__phi")))
-    # final: rank the (value, count) pairs inside each bracket
-    rows = _join_targets(vals, state, by, small).where(_inside("__lo", "__hi"))
-    pairs = rows.groupBy(*by, "__r", "__below", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*by, "__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = pairs.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)) + F.col("__below"))
-    hit = (F.col("__before") <= F.col("__r")) & (F.col("__r") < F.col("__before") + F.col("__c"))
-    return ranked.where(hit).select(*by, "__r", F.col("__v").alias("__value"))
-
-
-def exact_quantiles(vals: DataFrame, by: Sequence[str], probs: Sequence[float],
-                    kind: str = "cont", accuracy: int = 10_000,
-                    max_candidates: int = MAX_CANDIDATES,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Exact quantiles per group: ``(by..., __n, __qs array<double>)``.
-
-    ``kind="cont"`` interpolates (R type 7 / ``percentile_cont``),
-    ``kind="disc"`` returns the element at rank ``ceil(p·n) - 1``
-    (``percentile_disc``).
-    """
-    by = list(by)
-    n_expr = F.count(F.lit(1)).alias("__n")
-    counts = vals.groupBy(*by).agg(n_expr) if by else vals.agg(n_expr)
-    counts = cut_lineage(counts.where(F.col("__n") > 0))
-    n1 = (F.col("__n") - 1).cast("double")
-    if kind == "cont":
-        rank_exprs = [r for p in probs for r in (F.floor(n1 * p), F.ceil(n1 * p))]
-    elif kind == "disc":
-        rank_exprs = [F.greatest(F.ceil(F.col("__n").cast("double") * p) - 1, F.lit(0))
-                      for p in probs]
-    else:
-        raise ValueError("kind must be 'cont' or 'disc'")
-    ranks = counts.select(*by, "__n", F.explode(F.array_distinct(
-        F.array(*[e.cast("long") for e in rank_exprs]))).alias("__r"))
-    found = order_statistics(vals, by, ranks, accuracy, max_candidates, max_rows)
-    # a handful of ranks per group: gathered into one small map per group
-    per_group = found.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("__r", "__value"))).alias("__m"))
-    joined = _join_on_keys(counts, per_group, by).select(*by, "__n", "__m")
-    m = F.col("__m")
-    outs = []
-    for p in probs:
-        if kind == "cont":
-            h = n1 * p
-            lo = F.element_at(m, F.floor(h).cast("long"))
-            hi = F.element_at(m, F.ceil(h).cast("long"))
-            outs.append(lo + (h - F.floor(h)) * (hi - lo))
-        else:
-            r = F.greatest(F.ceil(F.col("__n").cast("double") * p) - 1, F.lit(0)).cast("long")
-            outs.append(F.element_at(m, r))
-    return joined.select(*by, "__n", F.array(*outs).alias("__qs"))
-
-
-def sorted_quantiles(vals: DataFrame, probs: Sequence[float], kind: str = "cont") -> DataFrame:
-    """Exact quantiles of one whole column by a distributed sort: ``(__n, __qs)``.
-
-    Values are first collapsed to ``(value, count)`` (map-side partial
-    aggregation, so a value repeated in a third of the rows becomes one row
-    and cannot skew the sort), then ``orderBy`` range-partitions and sorts the
-    distinct values in parallel.  The sorted partitions are checkpointed so
-    their sizes and contents are read consistently; the per-partition row
-    counts (one number per partition) locate each target rank, and one
-    ``mapInPandas`` pass finds the values at those ranks with a running sum of
-    the counts.  No task holds more than one partition of distinct values.
-    """
-    import pandas as pd
-    from pyspark import TaskContext
-
-    counted = vals.groupBy("__v").agg(F.count(F.lit(1)).alias("__c"))
-    ordered = cut_lineage(counted.orderBy("__v"))
-    sizes = {r["__p"]: r["__c"] for r in ordered.groupBy(F.spark_partition_id().alias("__p"))
-             .agg(F.sum("__c").alias("__c")).collect()}
-    n = int(sum(sizes.values()))
-    spark = vals.sparkSession
-    if n == 0:
-        return spark.createDataFrame([], "__n long, __qs array<double>")
-    if kind == "cont":
-        spots = [((n - 1) * p) for p in probs]
-        ranks = sorted({int(math.floor(h)) for h in spots} | {int(math.ceil(h)) for h in spots})
-    elif kind == "disc":
-        ranks = sorted({max(int(math.ceil(p * n)) - 1, 0) for p in probs})
-    else:
-        raise ValueError("kind must be 'cont' or 'disc'")
-    starts, acc = {}, 0
-    for pid in sorted(sizes):
-        starts[pid] = acc
-        acc += sizes[pid]
-    wanted: dict[int, list[tuple[int, int]]] = {}
-    for r in ranks:
-        pid = max(p for p in starts if starts[p] <= r and sizes[p] > 0)
-        wanted.setdefault(pid, []).append((r, r - starts[pid]))
-
-    def pick(batches):
-        targets = wanted.get(TaskContext.get().partitionId())
-        if not targets:
-            return
-        part = pd.concat(list(batches), ignore_index=True)
-        ends = part["__c"].cumsum().to_numpy()
-        rows = [(r, float(part["__v"].iloc[int((ends > local).argmax())])) for r, local in targets]
-        yield pd.DataFrame({"r": [r for r, _ in rows], "v": [v for _, v in rows]})
-
-    found = {r["r"]: r["v"] for r in ordered.mapInPandas(pick, "r long, v double").collect()}
-    out = []
-    for p in probs:
-        if kind == "cont":
-            h = (n - 1) * p
-            lo, hi = found[int(math.floor(h))], found[int(math.ceil(h))]
-            out.append(lo + (h - math.floor(h)) * (hi - lo))
-        else:
-            out.append(found[max(int(math.ceil(p * n)) - 1, 0)])
-    return spark.createDataFrame([(n, out)], "__n long, __qs array<double>")
+    keys = list(keys)
+    counted = (vals.where(F.col("__v").isNotNull()).groupBy(*keys, "__v")
+               .agg(F.count(F.lit(1)).alias("__c")))
+    # the partition numbers below must be those of one and the same deal
+    dealt = cut_lineage(counted.repartitionByRange(*keys, "__v")
+                        .withColumn("__part", F.spark_partition_id()))
+    sizes = dealt.groupBy(*keys, "__part").agg(F.sum("__c").alias("__size"))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__k_part"),
+        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
+        F.sum("__size").over(group).alias("__n"))
+    same = F.col("__part") == F.col("__k_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    here = (Window.partitionBy(*keys, "__part").orderBy("__v")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (dealt.withColumn("__upto", F.sum("__c").over(here)).join(offsets, same)
+              .withColumn("__upto", F.col("__upto") + F.col("__before"))
+              .withColumn("__from", F.col("__upto") - F.col("__c")))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__from") <= rank) & (rank < F.col("__upto")), F.col("__v")))
+
+    aggs = [F.max("__n").alias("__n")]
+    for j, p in enumerate(probs):
+        low, high, _ = _ranks(p, kind)
+        aggs += [at(low).alias(f"__lo{j}"), at(high).alias(f"__hi{j}")]
+    picked = ranked.groupBy(*keys).agg(*aggs) if keys else ranked.agg(*aggs).where("__n is not null")
+
+    def value(j: int, p: float) -> Column:
+        lo, hi, share = F.col(f"__lo{j}"), F.col(f"__hi{j}"), _ranks(p, kind)[2]
+        # equal neighbours stay as they are, infinite ones too
+        return F.when(lo == hi, lo).otherwise((F.lit(1.0) - share) * lo + share * hi)
+
+    return picked.select(*keys, "__n", F.array(*[value(j, p) for j, p in enumerate(probs)]).alias("__qs"))

@@ -1,15 +1,10 @@
 """Statistics on tables (STA1-STA13).
 
 All statistics are distributed aggregations that return small tables; none
-collects rows to the driver.  Quantiles come in three flavours:
-
-* ``exact``  — ``percentile`` (linear interpolation, R type 7).  Its buffer
-  holds one counter per *distinct* value of the group, merged map-side, so
-  memory grows with the number of distinct values, not rows;
-* ``approx`` — ``percentile_approx`` (Greenwald-Khanna sketch), memory bounded
-  by ``accuracy`` whatever the data size;
-* ``auto``   — exact when an HLL estimate of the distinct count is within
-  ``max_exact_distinct``, otherwise approx.
+collects rows to the driver.  Quantiles come in two kinds: exact ones
+(``exact`` interpolates as R type 7, ``disc`` takes an element of the data),
+by the one plan of :mod:`tabula.operators.selection` whatever the size, and
+``approx``, Spark's Greenwald-Khanna sketch, only when the caller asks for it.
 """
 
 from __future__ import annotations
@@ -20,10 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.operators.selection import MAX_CANDIDATES, exact_quantiles, sorted_quantiles
-from tabula.plans.strategy import DEFAULT_BROADCAST_ROWS, attach_scalars, join_group_stats
+from tabula.operators.selection import exact_quantiles
+from tabula.plans.strategy import attach_scalars, join_group_stats
 
-MAX_EXACT_DISTINCT = 200_000
 DEFAULT_ACCURACY = 10_000
 
 
@@ -66,91 +60,45 @@ def summary_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 # --------------------------------------------------------------------------
 
 
-def _max_distinct(vals: DataFrame, by: Sequence[str], col: str) -> int:
-    """HyperLogLog estimate of the largest number of distinct values in a group."""
-    est = F.approx_count_distinct(col).alias("__d")
-    per = vals.groupBy(*by).agg(est) if by else vals.agg(est)
-    got = per.agg(F.max("__d")).first()[0] if by else per.first()[0]
-    return int(got or 0)
-
-
-def quantile_exprs(col: str | Column, probs: Sequence[float], method: str = "exact",
-                   accuracy: int = DEFAULT_ACCURACY) -> Column:
-    """Array of quantiles of one column as one aggregate expression (in-memory
-    methods only; :func:`group_quantiles` also covers groups too large for them)."""
-    c = F.col(col) if isinstance(col, str) else col
-    if method == "exact":
-        return F.percentile(c, list(probs))
-    if method == "approx":
-        return F.percentile_approx(c, list(probs), accuracy)
-    if method == "disc":
-        if not isinstance(col, str):
-            raise ValueError("method 'disc' needs a column name")
-        return F.array(*[F.expr(f"percentile_disc({float(p)!r}) within group (order by `{col}`)")
-                         for p in probs])
-    raise ValueError("method must be 'exact', 'disc', 'approx' or 'auto'")
+_KINDS = {"exact": "cont", "disc": "disc"}
 
 
 def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
-                    max_exact_distinct: int = MAX_EXACT_DISTINCT,
-                    max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+                    method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Quantiles of one column per group: ``(by..., __n, __qs array<double>)``.
 
-    * ``approx`` — one sketch aggregate, memory bounded by ``accuracy``;
-    * ``exact`` / ``disc`` — an HLL estimate of the largest group's distinct
-      count decides the plan: within ``max_exact_distinct`` Spark's in-memory
-      ``percentile`` / ``percentile_disc`` (one counter per distinct value);
-      beyond it, for a whole column, a distributed sort with positional picks
-      and, per group, the bracketing selection of
-      :mod:`tabula.operators.selection` — neither holds a group in one task;
-    * ``auto`` — in-memory exact when small, otherwise the sketch.
-    NULLs are ignored; groups without values are absent.
+    ``exact`` and ``disc`` go through :func:`exact_quantiles`; ``approx`` is one
+    sketch aggregate whose memory ``accuracy`` bounds.  NULLs are ignored; groups
+    without values are absent.
     """
     by = list(by)
     vals = df.select(*by, F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    if method not in ("exact", "disc", "approx", "auto"):
-        raise ValueError("method must be 'exact', 'disc', 'approx' or 'auto'")
-    plan = method
+    if method in _KINDS:
+        return exact_quantiles(vals, by, probs, _KINDS[method])
     if method != "approx":
-        small = _max_distinct(vals, by, "__v") <= max_exact_distinct
-        if method == "auto":
-            plan = "exact" if small else "approx"
-        elif not small:
-            kind = "cont" if method == "exact" else "disc"
-            if not by:
-                return sorted_quantiles(vals, probs, kind)
-            return exact_quantiles(vals, by, probs, kind, accuracy, max_candidates)
+        raise ValueError("method must be 'exact', 'disc' or 'approx'")
     aggs = [F.count(F.lit(1)).alias("__n"),
-            quantile_exprs("__v", probs, plan, accuracy).alias("__qs")]
-    if by:
-        return vals.groupBy(*by).agg(*aggs)
-    return vals.agg(*aggs).where(F.col("__n") > 0)
+            F.percentile_approx("__v", list(probs), accuracy).alias("__qs")]
+    return vals.groupBy(*by).agg(*aggs) if by else vals.agg(*aggs).where(F.col("__n") > 0)
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
-              accuracy: int = DEFAULT_ACCURACY,
-              max_exact_distinct: int = MAX_EXACT_DISTINCT,
-              max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """STA2: quantiles of several columns, long ``(by..., column, prob, value)``.
 
-    ``exact`` interpolates between order statistics (R type 7, SQL
-    ``percentile_cont``); ``disc`` is the exact discrete quantile (SQL
-    ``percentile_disc``); ``approx`` returns an element of the data within
-    rank error ``n/accuracy``; ``auto`` is exact for columns with few distinct
-    values and the sketch otherwise.  See :func:`group_quantiles` for the plan.
+    All columns share one plan.  ``exact`` interpolates between order
+    statistics (R type 7, SQL ``percentile_cont``); ``disc`` is the exact
+    discrete quantile (SQL ``percentile_disc``); ``approx`` returns an element
+    of the data within rank error ``n/accuracy``.
     """
-    parts = []
-    for c in cols:
-        q = group_quantiles(df, c, probs, by, method, accuracy, max_exact_distinct, max_candidates)
-        rows = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
-                         F.col("__qs")[j].alias("value")) for j, p in enumerate(probs)]
-        parts.append(q.select(*by, F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    by = list(by)
+    long = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("__x")) for c in cols])))
+    q = group_quantiles(long, "__x", probs, [*by, "column"], method, accuracy)
+    rows = [F.struct(F.lit(float(p)).alias("prob"), F.col("__qs")[j].alias("value"))
+            for j, p in enumerate(probs)]
+    return q.select(*by, "column", F.inline(F.array(*rows)))
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -197,8 +145,8 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> D
     """STA5/STA6/VIZ17: correlation matrix in long form ``(var1, var2, value)``.
 
     All k(k-1)/2 pairs are computed in a single aggregation pass (each is a
-    mergeable 6-number buffer); the diagonal is 1 and the lower triangle
-    mirrors the upper one.
+    mergeable 6-number buffer); the diagonal is 1 (NULL for a constant
+    column) and the lower triangle mirrors the upper one.
     """
     cols = list(cols)
     aggs = []
@@ -206,14 +154,13 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> D
         for j in range(i + 1, len(cols)):
             aggs.append(safe_corr(F.col(cols[i]).cast("double"),
                                   F.col(cols[j]).cast("double")).alias(f"c{i}_{j}"))
-    wide = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("__n"))
+    aggs += [F.when(F.stddev_samp(F.col(c).cast("double")) > 0, F.lit(1.0)).alias(f"c{i}_{i}")
+             for i, c in enumerate(cols)]
+    wide = df.agg(*aggs)
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            if i == j:
-                v = F.lit(1.0)
-            else:
-                v = F.col(f"c{min(i, j)}_{max(i, j)}")
+            v = F.col(f"c{min(i, j)}_{max(i, j)}")
             if digits is not None:
                 v = F.round(v, digits)
             rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
@@ -238,26 +185,20 @@ def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None,
-             max_values: int = 10_000) -> DataFrame:
+def crosstab(df: DataFrame, a: str, b: str, values: Sequence) -> DataFrame:
     """STA7: contingency table, one row per value of ``a``, one column per value of ``b``.
 
     The first column is named ``"{a}_{b}"`` and holds ``a`` as text, as Spark's
-    ``crosstab`` does; column names are the values of ``b`` as text (``"null"``
-    for NULL, so no row is left out); cells are counts (0 for unseen pairs).
-    The column set must be known to build the plan: pass ``values`` or they
-    are read (at most ``max_values``, checked) from the distinct values of
-    ``b`` — a bounded list of names, not data.
+    ``crosstab`` does; ``values`` names the columns (as text, ``"null"`` for
+    NULL); cells are counts (0 for unseen pairs).  Rows with other values of
+    ``b`` are counted in the column ``"other"`` if there is one in ``values``
+    and are left to :func:`crosstab_long` otherwise, which needs no names.
     """
-    keyed = df.select(F.col(a).cast("string").alias(f"{a}_{b}"),
-                      F.coalesce(F.col(b).cast("string"), F.lit("null")).alias("__b"))
-    if values is None:
-        got = [r[0] for r in keyed.select("__b").distinct().orderBy("__b")
-               .limit(max_values + 1).collect()]
-        if len(got) > max_values:
-            raise ValueError(f"{b} has more than {max_values} distinct values")
-        values = got
     names = [str(v) for v in values]
+    text = F.coalesce(F.col(b).cast("string"), F.lit("null"))
+    if "other" in names:
+        text = F.when(text.isin(names), text).otherwise(F.lit("other"))
+    keyed = df.select(F.col(a).cast("string").alias(f"{a}_{b}"), text.alias("__b"))
     wide = keyed.groupBy(f"{a}_{b}").pivot("__b", names).agg(F.count(F.lit(1)))
     return wide.fillna(0, subset=names)
 
@@ -276,8 +217,7 @@ def frequency_table(df: DataFrame, col: str | Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def histogram(df: DataFrame, col: str, nbins: int = 10, by: Sequence[str] = (),
-              max_groups: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def histogram(df: DataFrame, col: str, nbins: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """STA8: equal-width histogram ``(by..., bin, lower, upper, centroid, count)``.
 
     Bins split ``[min, max]`` into ``nbins`` right-closed intervals (the first
@@ -291,7 +231,7 @@ def histogram(df: DataFrame, col: str, nbins: int = 10, by: Sequence[str] = (),
     vals = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
     stats = vals.groupBy(*by).agg(F.min("__x").alias("__mn"), F.max("__x").alias("__mx")) \
         if by else vals.agg(F.min("__x").alias("__mn"), F.max("__x").alias("__mx"))
-    withs = join_group_stats(vals, stats, by, max_groups)
+    withs = join_group_stats(vals, stats, by)
     mn, mx = F.col("__mn"), F.col("__mx")
     raw = F.ceil(F.lit(nbins) * ((F.col("__x") - mn) / (mx - mn))) - 1
     binned = withs.select(*by, F.when(mx == mn, F.lit(0))
@@ -368,10 +308,19 @@ def split_by_except(df: DataFrame, fraction: float, seed: int | None = None
     return train, except_rows(df, train)
 
 
-def split_invariants(train: DataFrame, test: DataFrame) -> DataFrame:
-    """One row ``(n_union, n_overlap)``: distinct rows in either part, rows in both."""
-    from tabula.operators.setops import intersect_rows
-    n_union = train.union(test).distinct().agg(F.count(F.lit(1)).alias("n_union"))
-    n_overlap = intersect_rows(train, test).agg(F.count(F.lit(1)).alias("n_overlap"))
-    return attach_scalars(n_union, n_overlap)
+def split_report(table: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
+    """One row about a split: ``(n, n_first, n_second, n_union, n_overlap)``.
 
+    ``n`` is the table's rows, ``n_first`` and ``n_second`` the parts';
+    ``n_union`` counts the distinct rows in either part, ``n_overlap`` those in
+    both.
+    """
+    from tabula.operators.setops import intersect_rows
+    parts = [table.agg(F.count(F.lit(1)).alias("n")), first.agg(F.count(F.lit(1)).alias("n_first")),
+             second.agg(F.count(F.lit(1)).alias("n_second")),
+             first.union(second).distinct().agg(F.count(F.lit(1)).alias("n_union")),
+             intersect_rows(first, second).agg(F.count(F.lit(1)).alias("n_overlap"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = attach_scalars(out, part)
+    return out

@@ -4,14 +4,15 @@ User code runs in Arrow batches (``mapInPandas`` / ``applyInPandas``), never
 row by row.  Two additions over the plain Spark calls:
 
 * **schema inference** (the "collect" variants of the recipes return whatever
-  the function returns): the function is run once on a bounded sample
-  (``sample_rows`` rows) on the driver to learn its output schema; the real
-  run stays distributed and returns a DataFrame;
+  the function returns): a first distributed pass runs the function on all
+  batches and reports only the types of its results; types that differ between
+  batches are widened (whole numbers and fractions to double, else to text);
 * **hot groups**: ``applyInPandas`` hands a whole group to one task.  When the
   per-group function is decomposable (max, sum, count, min ...), pass
-  ``salt_buckets`` and ``combine``: each group is split into sub-groups by a
-  salt hashed from the row, the function runs on the parts, and the built-in
-  aggregates in ``combine`` merge the partial results per real group.
+  ``combine``: each group is split into sub-groups by a salt hashed from the
+  row, the function runs on the parts, and the built-in aggregates in
+  ``combine`` merge the partial results per real group.  A function that needs
+  its group whole has to say so (``whole_group=True``).
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +30,7 @@ from tabula.plans.strategy import DEFAULT_SALT_BUCKETS, salt_column
 PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 GroupFn = Callable[[tuple, pd.DataFrame], pd.DataFrame]
 
-_COMBINE = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum, "first": F.first}
+_COMBINE = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
 
 
 def _batches(fn: PandasFn) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -49,101 +51,142 @@ def map_partitions(df: DataFrame, fn: PandasFn, schema: T.StructType | str) -> D
     return df.mapInPandas(_batches(fn), schema)
 
 
-def infer_schema(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                 sample_rows: int = 100) -> T.StructType:
-    """Output schema of ``fn`` learned from its result on ``sample_rows`` rows.
+_TYPES = "position int, name string, type string"
 
-    Types come from the Arrow schema of the result (an ``int32`` stays
-    ``int``); a column passed through unchanged keeps its input type exactly.
-    """
-    import pyarrow as pa
+
+def _types(out: pd.DataFrame) -> pd.DataFrame:
+    """One row per column of a result: its place, name and Spark type (``void``: only NULLs)."""
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    sample = df.limit(sample_rows).toPandas()
-    out = fn(sample)
-    if out is None or not isinstance(out, pd.DataFrame):
+    if not isinstance(out, pd.DataFrame):
         raise TypeError("the function must return a pandas DataFrame")
-    inferred = from_arrow_schema(pa.Schema.from_pandas(out, preserve_index=False))
-    source = {f.name: f.dataType for f in df.schema.fields}
-    fields = []
-    for f in inferred.fields:
-        same = (f.name in source and f.name in sample.columns
-                and out[f.name].dtype == sample[f.name].dtype)
-        fields.append(T.StructField(f.name, source[f.name] if same else f.dataType, True))
-    return T.StructType(fields)
-
-
-def map_partitions_inferred(df: DataFrame, fn: PandasFn, sample_rows: int = 100,
+    fields = from_arrow_schema(pa.Schema.from_pandas(out, preserve_index=False)).fields
+    return pd.DataFrame([(k, f.name, f.dataType.simpleString()) for k, f in enumerate(fields)],
+                        columns=["position", "name", "type"])
+
+
+def _wider(kinds: set[str]) -> str:
+    """One type that holds values of all the given ones."""
+    kinds = kinds - {"void"}
+    if len(kinds) < 2:
+        return next(iter(kinds), "string")
+    whole = ["tinyint", "smallint", "int", "bigint"]
+    if kinds <= set(whole):
+        return max(kinds, key=whole.index)
+    if kinds <= {*whole, "float", "double"}:
+        return "double"
+    if kinds == {"date", "timestamp"}:
+        return "timestamp"
+    return "string"
+
+
+def merged_schema(found: DataFrame, source: DataFrame) -> T.StructType:
+    """The schema that a table of ``_types`` rows adds up to.
+
+    A column that keeps an input column's name and type family keeps its exact
+    input type (a nullable integer that pandas turned into fractions).
+    """
+    rows = found.distinct().orderBy("position", "name", "type").collect()    # columns x types
+    kinds: dict[str, set[str]] = {}
+    for r in rows:
+        kinds.setdefault(r.name, set()).add(r.type)
+    inputs = {f.name: f.dataType for f in source.schema.fields}
+    columns = []
+    for name, own in kinds.items():
+        wide = _wider(own)
+        same = inputs.get(name)
+        kept = same is not None and (own - {"void"} <= {same.simpleString(), "double"} or own == {"void"}) \
+            and same.simpleString() in ("bigint", "int", "smallint", "tinyint", wide)
+        columns.append(f"`{name}` {same.simpleString() if kept else wide}")
+    if not columns:
+        raise ValueError("the function's columns cannot be learned from an empty table; pass schema")
+    return source.sparkSession.createDataFrame([], ", ".join(columns)).schema
+
+
+def map_partitions_inferred(df: DataFrame, fn: PandasFn,
                             schema: T.StructType | str | None = None) -> DataFrame:
     """UDF2 (``dapplyCollect``): like :func:`map_partitions` without a declared schema.
 
-    The result stays a distributed DataFrame.  A sample may see narrower types
-    than the full data; pass ``schema`` to override.
+    A first pass over all batches learns the types (see :func:`merged_schema`);
+    pass ``schema`` to save it.  An empty table is shown to the function as one
+    empty batch.
     """
     if schema is None:
-        schema = infer_schema(df, fn, sample_rows)
+        def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out = fn(pdf)
+                if out is not None:
+                    yield _types(out)
+        found = df.mapInPandas(report, _TYPES)
+        if found.limit(1).count() == 0:
+            found = df.sparkSession.createDataFrame(_types(fn(df.limit(0).toPandas())), _TYPES)
+        schema = merged_schema(found, df)
     return map_partitions(df, fn, schema)
 
 
+def _salted(df: DataFrame, salt_buckets: int) -> DataFrame:
+    return df.withColumn("__salt", salt_column(salt_buckets))
+
+
+def _part(fn: GroupFn, n_keys: int) -> GroupFn:
+    """``fn`` on a salted part of a group."""
+    def part(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return fn(key[:n_keys], pdf.drop(columns="__salt"))
+    return part
+
+
 def map_groups(df: DataFrame, keys: Sequence[str], fn: GroupFn, schema: T.StructType | str,
-               salt_buckets: int | None = None,
-               combine: Mapping[str, str] | None = None) -> DataFrame:
+               combine: Mapping[str, str] | None = None,
+               salt_buckets: int = DEFAULT_SALT_BUCKETS, whole_group: bool = False) -> DataFrame:
     """UDF3 (``gapply``): apply ``fn(key, pdf)`` to each group.
 
-    Without ``salt_buckets`` this is ``applyInPandas`` (one group per call).
-    With it, every group is split into ``salt_buckets`` parts, ``fn`` runs per
-    part, and ``combine`` (output column → ``max``/``min``/``sum``/``count``)
-    merges the parts per group — so no group is ever held by one task.
+    With ``combine`` (output column → ``max``/``min``/``sum``/``count``) every
+    group is split into ``salt_buckets`` parts, ``fn`` runs per part, and the
+    parts' results are merged per group, so no group is ever held by one task.
+    ``whole_group=True`` is ``applyInPandas``: one call, and one task, a group.
     """
     keys = list(keys)
-    if not salt_buckets:
+    if whole_group:
         return df.groupBy(*keys).applyInPandas(fn, schema)
     if not combine:
-        raise ValueError("salted groups need `combine` to merge the partial results")
-    salted = df.withColumn("__salt", salt_column(salt_buckets))
-
-    def part(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(key[:len(keys)], pdf.drop(columns="__salt"))
-
-    partial = salted.groupBy(*keys, "__salt").applyInPandas(part, schema)
+        raise ValueError("pass `combine` to merge the parts of a group, or whole_group=True")
+    partial = _salted(df, salt_buckets).groupBy(*keys, "__salt").applyInPandas(_part(fn, len(keys)), schema)
     out_keys = [c for c in partial.columns if c not in combine]
     return partial.groupBy(*out_keys).agg(
         *[_COMBINE[how](F.col(c)).alias(c) for c, how in combine.items()])
 
 
 def map_groups_inferred(df: DataFrame, keys: Sequence[str], fn: GroupFn,
-                        sample_rows: int = 1000, salt_buckets: int | None = DEFAULT_SALT_BUCKETS,
                         combine: Mapping[str, str] | None = None,
+                        salt_buckets: int = DEFAULT_SALT_BUCKETS, whole_group: bool = False,
                         schema: T.StructType | str | None = None) -> DataFrame:
-    """UDF4 (``gapplyCollect``): :func:`map_groups` with the schema learned from a sample.
+    """UDF4 (``gapplyCollect``): :func:`map_groups` without a declared schema.
 
-    The function is run on the groups present in the first ``sample_rows``
-    rows; the columns it names become the output schema.
+    A first pass runs the function on all groups (or their parts) and merges
+    the types of the results; an empty table needs ``schema``.
     """
     keys = list(keys)
+    if not (whole_group or combine):
+        raise ValueError("pass `combine` to merge the parts of a group, or whole_group=True")
     if schema is None:
-        def sample_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-            parts = [fn(k if isinstance(k, tuple) else (k,), g)
-                     for k, g in pdf.groupby(keys, dropna=False)]
-            return pd.concat(parts, ignore_index=True)
-        schema = infer_schema(df, sample_fn, sample_rows)
-    return map_groups(df, keys, fn, schema, salt_buckets if combine else None, combine)
+        run = fn if whole_group else _part(fn, len(keys))
+
+        def report(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            return _types(run(key, pdf))
+
+        groups = df.groupBy(*keys) if whole_group else _salted(df, salt_buckets).groupBy(*keys, "__salt")
+        schema = merged_schema(groups.applyInPandas(report, _TYPES), df)
+    return map_groups(df, keys, fn, schema, combine, salt_buckets, whole_group)
 
 
-def map_list(items: DataFrame, fn: PandasFn, schema: T.StructType | str,
-             one_per_task: bool = True, max_items: int = 100_000) -> DataFrame:
-    """UDF5 (``spark.lapply``): run ``fn`` over a list of work items, one task each.
+def map_list(items: DataFrame, keys: Sequence[str], fn: PandasFn, schema: T.StructType | str,
+             tasks: int | None = None) -> DataFrame:
+    """UDF5 (``spark.lapply``): run ``fn`` over a list of work items.
 
     ``items`` is a DataFrame of parameter rows (derived by Spark, not shipped
-    from the driver).  Each item gets an index 0..n-1 (n checked against
-    ``max_items``) and the items are range-partitioned on it into n
-    partitions, one item per task; ``fn`` maps each item's rows to result rows.
+    from the driver), dealt by the columns that name an item to ``tasks`` tasks
+    (by default the session's shuffle partitions); ``fn`` maps each batch of
+    items to result rows.
     """
-    if one_per_task:
-        n = int(items.count())
-        if n > max_items:
-            raise ValueError(f"{n} work items exceed max_items={max_items}")
-        order = Window.orderBy(F.monotonically_increasing_id())
-        items = (items.withColumn("__item", F.row_number().over(order))
-                      .repartitionByRange(max(n, 1), "__item").drop("__item"))
-    return map_partitions(items, fn, schema)
+    dealt = items.repartition(tasks, *keys) if tasks else items.repartition(*keys)
+    return map_partitions(dealt, fn, schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabula.functions.scalar import safe_cast
 from tabula.operators import columns as C
 from tabula.operators import groups as G
 from tabula.plans.registry import Tables, query, rnd
@@ -44,11 +45,11 @@ def filter_sql_text(spark, d):
 
 
 @query("filter_like", ids=("FLT5", "SQL1", "SQL2"), sql="""
-select p_partkey, p_name from part where p_name like '%a%' or p_name like '%A%'""")
+select p_partkey, p_type from part where p_type like 'PROMO%' or p_type like '%TIN'""")
 def filter_like(spark, d):
     Tables(spark, d).part.createOrReplaceTempView("part")
-    return spark.sql("select p_partkey, p_name from part "
-                     "where p_name like '%a%' or p_name like '%A%'")
+    return spark.sql("select p_partkey, p_type from part "
+                     "where p_type like 'PROMO%' or p_type like '%TIN'")
 
 
 @query("sql_view", ids=("SQL1", "SQL2", "FLT9"), sql="""
@@ -125,8 +126,8 @@ def cast_cols(spark, d):
     o = Tables(spark, d).orders
     return o.select(
         F.col("o_orderkey").cast("string").alias("orderkey_text"),
-        F.col("o_orderpriority").try_cast("int").alias("priority_bad"),
-        F.substring("o_orderpriority", 1, 1).try_cast("int").alias("priority_num"),
+        safe_cast("o_orderpriority", "int").alias("priority_bad"),
+        safe_cast(F.substring("o_orderpriority", 1, 1), "int").alias("priority_num"),
         F.col("o_orderdate").cast("date").alias("order_day"),
         # a double → integer cast truncates in Spark; round first for the
         # nearest whole number
@@ -194,21 +195,9 @@ def column_profile(spark, d):
 
 
 @query("filter_like_df", ids=("FLT5",), sql="""
-select p_partkey, p_name from part where p_name like '%a%' or p_name like '%A%'""")
+select p_partkey, p_type from part where p_type like '%ANODIZED%' or p_type like '%STEEL%'""")
 def filter_like_df(spark, d):
     # the same LIKE filter written with column expressions; it reaches the
     # Parquet reader as StringContains filters
     p = Tables(spark, d).part
-    return p.where(C.contains_any("p_name", ["%a%", "%A%"])).select("p_partkey", "p_name")
-
-
-@query("schema_rows", ids=("ACT6",), sql="""
-select (row_number() over ())::int as position, column_name as "column",
-       case column_type when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string'
-            when 'DOUBLE' then 'double' when 'TIMESTAMP' then 'timestamp_ntz'
-            when 'INTEGER' then 'int' else lower(column_type) end as data_type,
-       "null" = 'YES' as nullable
-from (describe orders)""")
-def schema_rows(spark, d):
-    # dtypes / printSchema as a table: built from the schema, no data is read
-    return C.schema_table(Tables(spark, d).orders)
+    return p.where(C.contains_any("p_type", ["%ANODIZED%", "%STEEL%"])).select("p_partkey", "p_type")

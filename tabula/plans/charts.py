@@ -84,10 +84,12 @@ def notch_stats(spark, d):
     return round_doubles(V.box_stats(Tables(spark, d).lineitem, "l_extendedprice", notch=True))
 
 
-def _density_sql(n: int, by: str | None) -> str:
+def _density_sql(n: int, by: str | None, bins: int) -> str:
+    """Linear binning onto ``bins`` points, then the kernel sum on ``n`` grid points."""
     g = f"{by}, " if by else ""
     grp = f"group by {by}" if by else ""
     using = f"using ({by})" if by else "on true"
+    last = bins - 1
     return f"""
 with v as (select {g}value as x from events where value is not null),
 s as (select {g}count(*) as n, min(x) as mn, max(x) as mx, stddev_samp(x) as sd,
@@ -95,7 +97,12 @@ s as (select {g}count(*) as n, min(x) as mn, max(x) as mx, stddev_samp(x) as sd,
 b as (select {g}n, mn, mx, 0.9 * (case when least(sd, iqr / 1.34) > 0 then least(sd, iqr / 1.34)
                                    when sd > 0 then sd when abs(mn) > 0 then abs(mn) else 1.0 end)
              * pow(n::double, -0.2) as bw from s),
-w as (select {g}x, count(*) as c from v group by {g}x),
+f as (select {g}case when mx - mn > 0 then (x - mn) / (mx - mn) * {last} else 0.0 end as g, mn, mx
+      from v join s {using}),
+l as (select {g}least(floor(g), {last - 1}) as lo, g - least(floor(g), {last - 1}) as frac, mn, mx from f),
+p as (select {g}lo as i, 1.0 - frac as w, mn, mx from l
+      union all select {g}lo + 1, frac, mn, mx from l),
+w as (select {g}mn + i * (mx - mn) / {last} as x, sum(w) as c from p group by {g}i, mn, mx having sum(w) > 0),
 k as (select {g}w.x, c, n, mn, mx, bw, i::int as idx,
              mn + i * (mx - mn) / {n - 1} as gx from w join b {using}, range({n}) r(i))
 select {g}idx as "index", gx as x,
@@ -104,39 +111,21 @@ select {g}idx as "index", gx as x,
 from k group by {g}idx, gx, n, bw"""
 
 
-@query("density_1d", ids=("VIZ6",), sql=sql_rounded(_density_sql(128, None),
+@query("density_1d", ids=("VIZ6",), sql=sql_rounded(_density_sql(128, None, 512),
                                                     ["x", "density", "bandwidth"], 9))
 def density_1d(spark, d):
     return round_doubles(V.density_1d(Tables(spark, d).events, "value", n=128), 9)
 
 
-@query("violin_density", ids=("VIZ7",), sql=sql_rounded(_density_sql(64, "event_type"),
+@query("violin_density", ids=("VIZ7",), sql=sql_rounded(_density_sql(64, "event_type", 512),
                                                         ["x", "density", "bandwidth"], 9))
 def violin_density(spark, d):
     return round_doubles(V.density_1d(Tables(spark, d).events, "value", by=["event_type"], n=64), 9)
 
 
-@query("density_binned", ids=("VIZ6",), sql=sql_rounded(f"""
-with v as (select value as x from events where value is not null),
-s as (select count(*) as n, min(x) as mn, max(x) as mx, stddev_samp(x) as sd,
-             quantile_cont(x, 0.75) - quantile_cont(x, 0.25) as iqr from v),
-b as (select n, mn, mx, 0.9 * (case when least(sd, iqr / 1.34) > 0 then least(sd, iqr / 1.34)
-                                   when sd > 0 then sd when abs(mn) > 0 then abs(mn) else 1.0 end)
-             * pow(n::double, -0.2) as bw from s),
-g as (select case when mx - mn > 0 then (x - mn) / (mx - mn) * 1023 else 0.0 end as g, mn, mx
-      from v, s),
-l as (select least(floor(g), 1022) as lo, g - least(floor(g), 1022) as frac, mn, mx from g),
-p as (select lo as i, 1.0 - frac as w, mn, mx from l union all select lo + 1, frac, mn, mx from l),
-w as (select mn + i * (mx - mn) / 1023 as x, sum(w) as c from p group by i, mn, mx having sum(w) > 0),
-k as (select w.x, c, n, mn, mx, bw, i::int as idx, mn + i * (mx - mn) / 127 as gx
-      from w, b, range(128) r(i))
-select idx as "index", gx as x,
-       sum(c * exp(-0.5 * ((gx - x) / bw) * ((gx - x) / bw))) / (n * bw * {math.sqrt(2 * math.pi)!r})
-         as density, bw as bandwidth
-from k group by idx, gx, n, bw""", ["x", "density", "bandwidth"], 9))
+@query("density_binned", ids=("VIZ6",), sql=sql_rounded(_density_sql(128, None, 1024),
+                                                        ["x", "density", "bandwidth"], 9))
 def density_binned(spark, d):
-    # linear binning onto 1,024 points: the work no longer grows with the
-    # number of distinct values
     return round_doubles(V.density_1d(Tables(spark, d).events, "value", n=128, bins=1024), 9)
 
 
@@ -148,7 +137,13 @@ s as (select count(*) as n, min(x) as xmn, max(x) as xmx, min(y) as ymn, max(y)
                * pow(count(*)::double, -0.2) / 4 as hx,
              4 * 1.06 * least(stddev_samp(y), (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / 1.34)
                * pow(count(*)::double, -0.2) / 4 as hy from v),
-p as (select x, y, count(*) as c from v group by 1, 2),
+f as (select (x - xmn) / (xmx - xmn) * 127 as fx, (y - ymn) / (ymx - ymn) * 127 as fy from v, s),
+l as (select least(floor(fx), 126) as i, fx - least(floor(fx), 126) as u,
+             least(floor(fy), 126) as j, fy - least(floor(fy), 126) as w from f),
+q as (select i, j, (1 - u) * (1 - w) as c from l union all select i + 1, j, u * (1 - w) from l
+      union all select i, j + 1, (1 - u) * w from l union all select i + 1, j + 1, u * w from l),
+p as (select xmn + i * (xmx - xmn) / 127 as x, ymn + j * (ymx - ymn) / 127 as y, c
+      from (select i, j, sum(c) as c from q group by 1, 2 having sum(c) > 0), s),
 g as (select i::int as i, j::int as j, xmn + i * (xmx - xmn) / 49 as gx,
              ymn + j * (ymx - ymn) / 49 as gy from s, range(50) a(i), range(50) b(j))
 select i, j, gx as x, gy as y,
@@ -212,6 +207,23 @@ def hexbin_subset(spark, d):
     return round_doubles(out, 9)
 
 
+@query("lm_band", ids=("VIZ11",), sql=sql_rounded("""
+with r as (select l_returnflag, regr_count(l_extendedprice, l_quantity) as n,
+                  regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a,
+                  regr_avgx(l_extendedprice, l_quantity) as m, regr_sxx(l_extendedprice, l_quantity) as sxx,
+                  regr_syy(l_extendedprice, l_quantity) as syy, regr_sxy(l_extendedprice, l_quantity) as sxy,
+                  min(l_quantity) as mn, max(l_quantity) as mx from lineitem group by 1),
+g as (select *, i::int as idx, mn + i * (mx - mn) / 19 as gx from r, range(20) t(i)),
+h as (select *, a + b * gx as fit,
+             1.96 * sqrt((syy - b * sxy) / (n - 2) * (1.0 / n + (gx - m) * (gx - m) / sxx)) as half from g)
+select l_returnflag, idx as "index", gx as x, fit, fit - half as lower, fit + half as upper from h""",
+    ["x", "fit", "lower", "upper"], 4))
+def lm_band(spark, d):
+    out = V.lm_band(Tables(spark, d).lineitem, "l_quantity", "l_extendedprice", ["l_returnflag"],
+                    points=20, critical=1.96)
+    return round_doubles(out, 4)
+
+
 @query("lm_line", ids=("VIZ11",), sql="""
 select l_returnflag, regr_count(l_extendedprice, l_quantity)::bigint as n,
        round(regr_slope(l_extendedprice, l_quantity), 6) as slope,
@@ -242,13 +254,11 @@ def group_mean_bars(spark, d):
 
 
 @query("heat_mean", ids=("VIZ13", "AGG16"), headline=True, sql="""
-select o_orderstatus, o_orderpriority, round(avg(o_totalprice), 2) as price_avg
+select o_orderstatus, o_orderpriority, round(avg(o_totalprice), 2) as o_totalprice_avg
 from orders group by 1, 2""")
 def heat_mean(spark, d):
-    o = Tables(spark, d).orders
-    return (o.select("o_orderstatus", "o_orderpriority", "o_totalprice")
-             .groupBy("o_orderstatus", "o_orderpriority")
-             .agg(rnd(F.avg("o_totalprice"), 2).alias("price_avg")))
+    out = V.group_means(Tables(spark, d).orders, ["o_orderstatus", "o_orderpriority"], ["o_totalprice"])
+    return out.withColumn("o_totalprice_avg", rnd("o_totalprice_avg", 2))
 
 
 @query("line_series", ids=("VIZ14",), sql="""
@@ -275,11 +285,18 @@ def stacked_area(spark, d):
     return V.stacked_area(agg, "year", "o_orderpriority", "n")
 
 
-@query("scatter_sample", ids=("VIZ16",))
+@query("scatter_points", ids=("VIZ16",), sql="""
+select l_quantity, l_extendedprice, l_returnflag from lineitem""")
+def scatter_points(spark, d):
+    return V.scatter_points(Tables(spark, d).lineitem, ["l_quantity", "l_extendedprice", "l_returnflag"])
+
+
+@query("scatter_sample", ids=("VIZ16",), sql="""
+select l_quantity, l_extendedprice, l_returnflag from lineitem where l_orderkey % 10 = 0""")
 def scatter_sample(spark, d):
-    # a bounded thinning of the points: checked by row count only
-    return V.scatter_sample(Tables(spark, d).lineitem, ["l_quantity", "l_extendedprice",
-                                                        "l_returnflag"], max_points=2000)
+    # every tenth order's points, by arithmetic on the key
+    return V.scatter_points(Tables(spark, d).lineitem, ["l_quantity", "l_extendedprice", "l_returnflag"],
+                            every=10, key="l_orderkey")
 
 
 @query("corr_heat", ids=("VIZ17", "STA5"), sql="""

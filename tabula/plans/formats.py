@@ -16,6 +16,7 @@ from tabula.functions.scalar import RANGE_BUCKETS, range_bucket
 from tabula.plans.derived import (GAPS_SQL, PARTIES_SQL, customers_as_parties,
                                   orders_with_gaps, suppliers_as_parties)
 from tabula.plans.registry import Tables, query, rnd
+from tabula.plans.strategy import attach_scalars
 from tabula.session import scratch_path
 from tabula.sources import files as IO
 
@@ -94,14 +95,15 @@ def libsvm_roundtrip(spark, d):
                                     rnd(F.sum(v[1]), 2).alias("sum_f1"))
 
 
-@query("single_file_export", ids=("SNK3", "ACT8"), sql="""
-select c_custkey, c_name, c_mktsegment, c_acctbal from customer""")
-def single_file_export(spark, d):
+@query("partitioned_export", ids=("SNK3", "ACT8"), sql="""
+select c_custkey, c_name, c_mktsegment, c_acctbal, 6::bigint as n_files from customer""")
+def partitioned_export(spark, d):
     cust = Tables(spark, d).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     path = scratch_path(spark, "customer-csv")
-    IO.write_single_file(cust, path, "csv", header=True)
+    IO.write_partitioned(cust, path, 6, "csv", header=True)
     got = IO.read_csv(spark, path, header=True, schema=cust.schema)
-    return got
+    files = got.select(F.input_file_name().alias("file")).agg(F.count_distinct("file").alias("n_files"))
+    return attach_scalars(got, files)
 
 
 @query("local_frame", ids=("SRC1",), sql="""

@@ -49,29 +49,29 @@ def dropna_thresh(spark, d):
 
 @query("fillna_value", ids=("NA5",), sql=GAPS_SQL + """
 select o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
-       case when o_totalprice is null or isnan(o_totalprice) then 12345.0
+       case when o_totalprice is null or isnan(o_totalprice) then -1.0
             else o_totalprice end as o_totalprice,
        o_orderdate
 from og""")
 def fillna_value(spark, d):
-    return C.fill_missing(_gaps(spark, d), 12345)
+    return C.fill_missing(_gaps(spark, d), -1)
 
 
 @query("fillna_map", ids=("NA6",), sql=GAPS_SQL + """
-select o_orderkey, o_custkey, coalesce(o_orderstatus, 'neutral') as o_orderstatus,
-       coalesce(o_orderpriority, 'unknown') as o_orderpriority, o_totalprice, o_orderdate
+select o_orderkey, o_custkey, coalesce(o_orderstatus, 'none') as o_orderstatus,
+       coalesce(o_orderpriority, '0-MISSING') as o_orderpriority, o_totalprice, o_orderdate
 from og""")
 def fillna_map(spark, d):
-    return C.fill_missing(_gaps(spark, d), {"o_orderstatus": "neutral",
-                                            "o_orderpriority": "unknown"})
+    return C.fill_missing(_gaps(spark, d), {"o_orderstatus": "none",
+                                            "o_orderpriority": "0-MISSING"})
 
 
 @query("ifelse_replace", ids=("NA7", "FN5"), sql=GAPS_SQL + """
-select o_orderkey, case when o_orderstatus = '' then 'Unknown' else o_orderstatus end
+select o_orderkey, case when o_orderstatus = '' then '?' else o_orderstatus end
        as o_orderstatus from og""")
 def ifelse_replace(spark, d):
     g = _gaps(spark, d).select("o_orderkey", "o_orderstatus")
-    return C.replace_blank(g, "o_orderstatus", "Unknown")
+    return C.replace_blank(g, "o_orderstatus", "?")
 
 
 @query("null_counts", ids=("NA8",), sql=GAPS_SQL + """

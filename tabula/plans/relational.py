@@ -78,15 +78,18 @@ def grid_points(spark, d):
 select o_orderkey, o_orderstatus, o_totalprice from orders""")
 def append_rows(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    parts = [o.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
-    return S.append_rows(*parts)
+    # a condition, its null-safe complement, and a part of that
+    done = F.col("o_orderstatus").eqNullSafe("F")
+    large = F.coalesce(F.col("o_totalprice") > 150_000, F.lit(False))
+    return S.append_rows(o.where(done), o.where(~done & large), o.where(~done & ~large))
 
 
 @query("union_all", ids=("SET4",), sql="""
 select o_orderkey, o_totalprice from orders""")
 def union_all(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice")
-    return S.union_all(o.where(F.col("o_orderkey") % 2 == 0), o.where(F.col("o_orderkey") % 2 == 1))
+    even = (F.col("o_orderkey") % 2).eqNullSafe(0)
+    return S.union_all(o.where(even), o.where(~even))
 
 
 @query("except_rows", ids=("SET2",), sql="""

@@ -66,16 +66,20 @@ def quantiles_sketch_error(spark, d):
     # but its rank must lie within 0.001·n of the asked one — checked on the
     # whole column (ties count as any rank they span)
     li = Tables(spark, d).lineitem.select(F.col("l_extendedprice").alias("v"))
-    q = S.approx_quantiles(li, ["v"], [0.25, 0.5, 0.75], relative_error=0.001)
-    n = li.agg(F.count(F.lit(1)).alias("n"))
-    ranks = attach_scalars(li, q.select("prob", F.col("value").alias("q"))) \
-        .groupBy("prob").agg(F.count_if(F.col("v") < F.col("q")).alias("below"),
-                             F.count_if(F.col("v") <= F.col("q")).alias("upto"))
+    probs = [0.25, 0.5, 0.75]
+    q = S.approx_quantiles(li, ["v"], probs, relative_error=0.001)
+    one = q.agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{j}")
+                  for j, p in enumerate(probs)])
+    counts = attach_scalars(li, one).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[e for j in range(3) for e in (F.count_if(F.col("v") < F.col(f"q{j}")).alias(f"below{j}"),
+                                        F.count_if(F.col("v") <= F.col(f"q{j}")).alias(f"upto{j}"))])
     tol = F.lit(0.001) * F.col("n")
-    target = F.col("prob") * F.col("n")
-    return attach_scalars(ranks, n).select(
-        F.lit("l_extendedprice").alias("column"), "prob",
-        ((F.col("below") - tol <= target) & (target <= F.col("upto") + tol)).alias("within_error"))
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit("l_extendedprice").alias("column"), F.lit(p).alias("prob"),
+        ((F.col(f"below{j}") - tol <= F.lit(p) * F.col("n"))
+         & (F.lit(p) * F.col("n") <= F.col(f"upto{j}") + tol)).alias("within_error"))
+        for j, p in enumerate(probs)])))
 
 
 @query("quantiles_by_group", ids=("STA2",), sql=sql_rounded("""
@@ -83,8 +87,7 @@ select event_type, 'value' as "column", unnest([0.5, 0.9]::double[]) as prob,
        unnest(quantile_cont(value, [0.5, 0.9])) as value
 from events group by event_type""", ["value"]))
 def quantiles_by_group(spark, d):
-    out = S.quantiles(Tables(spark, d).events, ["value"], [0.5, 0.9], by=["event_type"],
-                      method="auto")
+    out = S.quantiles(Tables(spark, d).events, ["value"], [0.5, 0.9], by=["event_type"])
     return round_doubles(out, only=["value"])
 
 
@@ -93,11 +96,9 @@ select l_returnflag, 'l_extendedprice' as "column", unnest([0.25, 0.5, 0.75]::do
        unnest(quantile_cont(l_extendedprice, [0.25, 0.5, 0.75])) as value
 from lineitem group by l_returnflag""", ["value"]))
 def quantiles_large_groups(spark, d):
-    # each return flag holds about a third of the rows; small thresholds force
-    # the bracketing plan that never holds a group in one task
+    # each return flag holds about a third of the rows
     out = S.quantiles(Tables(spark, d).lineitem, ["l_extendedprice"], [0.25, 0.5, 0.75],
-                      by=["l_returnflag"], method="exact", max_exact_distinct=1000,
-                      max_candidates=2000)
+                      by=["l_returnflag"])
     return round_doubles(out, only=["value"])
 
 
@@ -150,7 +151,8 @@ select o_orderstatus as o_orderstatus_o_orderpriority,
        count(*) filter (where o_orderpriority = '5-LOW') as "5-LOW"
 from orders group by 1""")
 def crosstab_counts(spark, d):
-    return S.crosstab(Tables(spark, d).orders, "o_orderstatus", "o_orderpriority")
+    return S.crosstab(Tables(spark, d).orders, "o_orderstatus", "o_orderpriority",
+                      ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
 
 
 @query("crosstab_long", ids=("STA7",), sql="""
@@ -210,24 +212,43 @@ def frequency_table(spark, d):
     return round_doubles(S.frequency_table(Tables(spark, d).part, "p_type"), 9)
 
 
-@query("sample_fraction", ids=("STA11",))
+@query("sample_fraction", ids=("STA11",), sql="""
+select count(*) as n, 0::bigint as n_outside, true as size_fits from events""")
 def sample_fraction(spark, d):
-    # seed- and layout-dependent rows: checked by row count only
-    return S.sample_fraction(Tables(spark, d).events, 0.01, seed=0)
+    # which rows are drawn depends on seed and layout; that they are rows of
+    # the table and that their number fits the fraction does not
+    events = Tables(spark, d).events
+    drawn = S.sample_fraction(events, 0.05, seed=0)
+    outside = drawn.join(events, "event_id", "left_anti").agg(F.count(F.lit(1)).alias("n_outside"))
+    sizes = attach_scalars(events.agg(F.count(F.lit(1)).alias("n")),
+                           drawn.agg(F.count(F.lit(1)).alias("__drawn")))
+    return attach_scalars(sizes, outside).select(
+        "n", "n_outside", _near(F.col("__drawn"), 0.05, F.col("n")).alias("size_fits"))
+
+
+def _near(size, weight, n):
+    """Whether a random part's size lies within five standard deviations of its weight."""
+    return F.abs(size - n * weight) <= 5 * F.sqrt(n * weight * (1 - weight)) + 1
 
 
 @query("random_split_sizes", ids=("STA12",), sql="""
-select count(*) as n_union, 0::bigint as n_overlap from lineitem""")
+select count(*) as n, count(*) as n_union, 0::bigint as n_overlap, true as adds_up, true as sizes_fit
+from lineitem""")
 def random_split_sizes(spark, d):
     # lineitem rows are distinct, so the parts must add up to the table
-    a, b = S.random_split(Tables(spark, d).lineitem, [0.7, 0.3], seed=42)
-    return S.split_invariants(a, b)
+    lines = Tables(spark, d).lineitem
+    a, b = S.random_split(lines, [0.7, 0.3], seed=42)
+    return S.split_report(lines, a, b).select(
+        "n", "n_union", "n_overlap", (F.col("n_first") + F.col("n_second") == F.col("n")).alias("adds_up"),
+        _near(F.col("n_first"), 0.7, F.col("n")).alias("sizes_fit"))
 
 
 @query("split_except_disjoint", ids=("STA13", "SET2"), sql="""
-select count(*) as n_union, 0::bigint as n_overlap
-from (select distinct o_custkey, o_orderstatus, o_orderpriority from orders)""")
+select count(*) as n, count(*) as n_union, 0::bigint as n_overlap, true as adds_up, true as sizes_fit
+from orders""")
 def split_except_disjoint(spark, d):
-    o = Tables(spark, d).orders.select("o_custkey", "o_orderstatus", "o_orderpriority")
-    train, test = S.split_by_except(o, 0.7, seed=42)
-    return S.split_invariants(train, test)
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    train, test = S.split_by_except(orders, 0.7, seed=42)
+    return S.split_report(orders, train, test).select(
+        "n", "n_union", "n_overlap", (F.col("n_first") + F.col("n_second") == F.col("n")).alias("adds_up"),
+        _near(F.col("n_first"), 0.7, F.col("n")).alias("sizes_fit"))

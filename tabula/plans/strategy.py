@@ -2,11 +2,10 @@
 
 Rules applied throughout the library:
 
-* A side is broadcast only when its size is *proven*: either it is a global
-  aggregate (exactly one row), a grid whose size is an argument, or a table
-  whose row count was checked against ``max_rows`` by :func:`sized_broadcast`.
-  Beyond the bound the join is a salted shuffle join (:func:`keyed_join`), so
-  a hot key is spread over many tasks even without AQE's skew handling.
+* A side is broadcast only when its size is *proven*: a global aggregate
+  (exactly one row), or a grid or list whose size is an argument.  Per-group
+  statistics are joined by a plain equality join: adaptive execution broadcasts
+  them if they turn out small and splits a hot group's rows otherwise.
 * Hot groups are split with a salt computed from the row (a hash mixed with
   the row's position, not a random number) and pre-aggregated before the
   shuffle on the real key.  Spark treats the position as nondeterministic, so
@@ -25,8 +24,6 @@ from pyspark.sql import functions as F
 
 from tabula.session import checkpoint_dir
 
-# Fixed bounds (rows) for broadcasting a checked side.
-DEFAULT_BROADCAST_ROWS = 200_000
 # Number of salt buckets used to split a hot group.
 DEFAULT_SALT_BUCKETS = 32
 
@@ -41,61 +38,18 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
-                    ) -> tuple[DataFrame, bool]:
-    """Return ``(side, broadcast?)`` after checking the row count of ``small``.
-
-    ``small`` is persisted first, so the count job and the later join read the
-    same materialised rows (it is meant for aggregated side tables: one row
-    per group or per category); a side over the bound is released again and
-    recomputed by the shuffle join that replaces the broadcast.
-    """
-    small = small.persist()
-    n = small.count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    # too large to pin in executor memory for the rest of the session
-    small.unpersist()
-    return small, False
-
-
-def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str],
-                     max_rows: int = DEFAULT_BROADCAST_ROWS,
-                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Join per-group statistics (one row per key) back to the rows.
 
     Keys are matched null-safely, so a NULL group gets its own statistics as in
     ``groupBy``.  With no keys this is :func:`attach_scalars`.
-
-    Within ``max_rows`` groups (checked) the statistics are broadcast.  Beyond
-    it the join is a shuffle join made skew-proof by salting: every row gets a
-    salt in ``[0, salt_buckets)`` from a hash, every statistics row is
-    replicated once per salt, and the join key includes the salt — so a group
-    holding a third of all rows is spread over ``salt_buckets`` tasks.
     """
     if not keys:
         return attach_scalars(df, stats)
-    renamed = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                           *[c for c in stats.columns if c not in keys])
-    side, small = sized_broadcast(renamed, max_rows)
-    joined = keyed_join(df, side, keys, small, salt_buckets)
-    return joined.drop(*[f"__k_{k}" for k in keys])
-
-
-def keyed_join(df: DataFrame, side: DataFrame, keys: list[str], small: bool,
-               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Inner join of rows to a side table whose key columns are named
-    ``__k_<key>`` (NULL-safe match): broadcast when ``small``, otherwise a
-    salted shuffle join (side rows replicated once per salt)."""
-    if small:
-        cond = [df[k].eqNullSafe(side[f"__k_{k}"]) for k in keys]
-        return df.join(F.broadcast(side), reduce(lambda a, b: a & b, cond), "inner")
-    salted = df.withColumn("__salt", salt_column(salt_buckets))
-    side = side.withColumn("__ksalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    cond = [salted[k].eqNullSafe(side[f"__k_{k}"]) for k in keys] + \
-        [salted["__salt"] == side["__ksalt"]]
-    joined = salted.join(side, reduce(lambda a, b: a & b, cond), "inner")
-    return joined.drop("__salt", "__ksalt")
+    side = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
+                        *[c for c in stats.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(side[f"__k_{k}"]) for k in keys])
+    return df.join(side, same).drop(*[f"__k_{k}" for k in keys])
 
 
 def salt_column(buckets: int = DEFAULT_SALT_BUCKETS, cols: list[str] | None = None) -> Column:

@@ -13,61 +13,59 @@ from tabula.operators import groups as G
 from tabula.operators import udf as U
 from tabula.plans.registry import Tables, query, rnd
 
-_KPG_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, kpg double"
+_NET_SCHEMA = "l_orderkey long, l_linenumber int, l_extendedprice double, l_discount double, net double"
 
 
-def add_kpg(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The recipe's per-partition function: a converted unit column."""
-    return pdf.assign(kpg=pdf["l_quantity"] * 1.60)
+def with_net(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per batch: the discounted price."""
+    return pdf.assign(net=pdf["l_extendedprice"] * (1 - pdf["l_discount"]))
 
 
-def max_kpg(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """The recipe's per-group function: the group's maximum."""
-    return pd.DataFrame({"l_returnflag": [key[0]], "max_kpg": [pdf["kpg"].max()]})
+def price_range(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per group (or part of one): extremes and total of the discounted lines' price."""
+    cheaper = pdf.loc[pdf["l_discount"] > 0, "l_extendedprice"]
+    return pd.DataFrame({"l_returnflag": [key[0]], "lowest": [cheaper.min()], "highest": [cheaper.max()],
+                         "lines": [len(cheaper)]})
 
 
-def max_kpg_named(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per-group function that names its own output columns."""
-    return pd.DataFrame({"flag": [key[0]], "kilometers_per_galon": [pdf["kpg"].max()]})
+def _lines(spark, d):
+    return Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
 
 
-def _lines(spark, d):
-    return Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+def _flagged(spark, d):
+    return Tables(spark, d).lineitem.select("l_returnflag", "l_extendedprice", "l_discount")
 
 
-def _with_kpg(spark, d):
-    return Tables(spark, d).lineitem.select("l_returnflag", "l_quantity") \
-        .withColumn("kpg", F.col("l_quantity") * 1.60)
+_RANGE = {"lowest": "min", "highest": "max", "lines": "sum"}
+_NET_SQL = """
+select l_orderkey, l_linenumber, l_extendedprice, l_discount,
+       l_extendedprice * (1 - l_discount) as net from lineitem"""
+_RANGE_SQL = """
+select l_returnflag, min(l_extendedprice) as lowest, max(l_extendedprice) as highest, count(*) as lines
+from lineitem where l_discount > 0 group by 1"""
 
 
-@query("map_partitions_fn", ids=("UDF1",), sql="""
-select l_orderkey, l_linenumber, l_quantity, l_quantity * 1.60 as kpg from lineitem""")
+@query("map_partitions_fn", ids=("UDF1",), sql=_NET_SQL)
 def map_partitions_fn(spark, d):
-    return U.map_partitions(_lines(spark, d), add_kpg, _KPG_SCHEMA)
+    return U.map_partitions(_lines(spark, d), with_net, _NET_SCHEMA)
 
 
-@query("map_partitions_inferred", ids=("UDF2",), sql="""
-select l_orderkey, l_linenumber, l_quantity, l_quantity * 1.60 as kpg from lineitem""")
+@query("map_partitions_inferred", ids=("UDF2",), sql=_NET_SQL)
 def map_partitions_inferred(spark, d):
-    return U.map_partitions_inferred(_lines(spark, d), add_kpg)
+    return U.map_partitions_inferred(_lines(spark, d), with_net)
 
 
-@query("map_groups_fn", ids=("UDF3",), sql="""
-select l_returnflag, max(l_quantity * 1.60) as max_kpg from lineitem group by 1""")
+@query("map_groups_fn", ids=("UDF3",), sql=_RANGE_SQL)
 def map_groups_fn(spark, d):
-    # each return flag holds about a third of the rows: split the groups by a
-    # salt, take the maximum per part, merge the parts with a built-in max
-    return U.map_groups(_with_kpg(spark, d), ["l_returnflag"], max_kpg,
-                        "l_returnflag string, max_kpg double",
-                        salt_buckets=16, combine={"max_kpg": "max"})
+    # each return flag holds about a third of the rows: parts of the groups,
+    # merged by built-in aggregates
+    return U.map_groups(_flagged(spark, d), ["l_returnflag"], price_range,
+                        "l_returnflag string, lowest double, highest double, lines long", _RANGE)
 
 
-@query("map_groups_inferred", ids=("UDF4",), sql="""
-select l_returnflag as flag, max(l_quantity * 1.60) as kilometers_per_galon
-from lineitem group by 1""")
+@query("map_groups_inferred", ids=("UDF4",), sql=_RANGE_SQL)
 def map_groups_inferred(spark, d):
-    return U.map_groups_inferred(_with_kpg(spark, d), ["l_returnflag"], max_kpg_named,
-                                 salt_buckets=16, combine={"kilometers_per_galon": "max"})
+    return U.map_groups_inferred(_flagged(spark, d), ["l_returnflag"], price_range, _RANGE)
 
 
 def ols_from_moments(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -92,18 +90,14 @@ def map_list_fn(spark, d):
     items = li.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
         F.sum(x * x).alias("sxx"), F.sum(x * y).alias("sxy"))
-    return U.map_list(items, ols_from_moments, "l_returnflag string, slope double, intercept double")
+    return U.map_list(items, ["l_returnflag"], ols_from_moments, "l_returnflag string, slope double, intercept double")
 
 
-@query("map_groups_sorted", ids=("SRT2", "UDF4"), sql="""
-select l_returnflag as flag, max(l_quantity * 1.60) as kilometers_per_galon
-from lineitem group by 1 order by kilometers_per_galon desc""")
+@query("map_groups_sorted", ids=("SRT2", "UDF4"), sql=_RANGE_SQL + " order by highest desc")
 def map_groups_sorted(spark, d):
-    # the recipe orders the collected per-group result on the client; here the
-    # distributed result is sorted before anything is collected
-    out = U.map_groups_inferred(_with_kpg(spark, d), ["l_returnflag"], max_kpg_named,
-                                salt_buckets=16, combine={"kilometers_per_galon": "max"})
-    return G.sort_by(out, "kilometers_per_galon", descending=True)
+    # the distributed result is sorted before anything is collected
+    out = U.map_groups_inferred(_flagged(spark, d), ["l_returnflag"], price_range, _RANGE)
+    return G.sort_by(out, "highest", descending=True)
 
 
 _MEAN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -126,7 +120,7 @@ def map_groups_means(spark, d):
     # mean is carried as (sum, count) and divided after the parts are merged
     li = Tables(spark, d).lineitem.select("l_returnflag", *_MEAN_COLS)
     schema = "l_returnflag string, n long, " + ", ".join(f"sum_{c} double" for c in _MEAN_COLS)
-    sums = U.map_groups(li, ["l_returnflag"], part_sums, schema, salt_buckets=16,
+    sums = U.map_groups(li, ["l_returnflag"], part_sums, schema,
                         combine={"n": "sum", **{f"sum_{c}": "sum" for c in _MEAN_COLS}})
     return sums.select("l_returnflag", *[rnd(F.col(f"sum_{c}") / F.col("n")).alias(f"mean_{c}")
                                          for c in _MEAN_COLS])

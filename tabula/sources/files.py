@@ -111,18 +111,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.save(path)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "csv",
-                      mode: str = "overwrite", max_rows: int | None = 10_000_000,
-                      **options) -> None:
-    """SNK3: export as one file.
-
-    One file means one task writes everything, so the result must fit one
-    executor.  ``max_rows`` checks that before the write (``None`` disables
-    the check).  ``repartition(1)`` is used rather than ``coalesce(1)`` so the
-    upstream work keeps its parallelism and only the final write is serial.
+def write_partitioned(df: DataFrame, path: str, files: int, fmt: str = "csv",
+                      mode: str = "overwrite", **options) -> None:
+    """SNK3/ACT8: export as a given number of files, written in parallel.
+
+    ``files=1`` is the recipe's single file; one task then writes everything,
+    so ask for it only when the result is known to be small.
     """
-    if max_rows is not None:
-        n = df.count()
-        if n > max_rows:
-            raise ValueError(f"{n} rows exceed max_rows={max_rows} for a single-file export")
-    write_table(df.repartition(1), path, fmt=fmt, mode=mode, **options)
+    write_table(df.repartition(files), path, fmt=fmt, mode=mode, **options)

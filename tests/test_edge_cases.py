@@ -141,8 +141,8 @@ def test_except_is_distinct_and_split_is_disjoint(spark):
     b = spark.createDataFrame([(3,)], "a int")
     assert sorted(r.a for r in S.except_rows(df, b).collect()) == [1, 2]
     train, test = ST.split_by_except(df, 0.5, seed=1)
-    inv = ST.split_invariants(train, test).first()
-    assert inv.n_overlap == 0 and inv.n_union == 3
+    inv = ST.split_report(df, train, test).first()
+    assert inv.n == 4 and inv.n_overlap == 0 and inv.n_union == 3
 
 
 def test_merge_suffixes_all_clashes(spark):
@@ -198,7 +198,7 @@ def test_cube_grouping_id_separates_null_key(spark):
 
 def test_crosstab_fills_zero(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "p string, q string")
-    out = {r["p_q"]: (r.x, r.y) for r in ST.crosstab(df, "p", "q").collect()}
+    out = {r["p_q"]: (r.x, r.y) for r in ST.crosstab(df, "p", "q", ["x", "y"]).collect()}
     assert out == {"a": (1, 1), "b": (1, 0)}
 
 
@@ -230,7 +230,7 @@ def test_density_2d_matches_bruteforce(spark):
     rng = np.random.default_rng(3)
     pts = rng.normal(size=(60, 2))
     df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
-    out = V.density_2d(df, "x", "y", n=5, h=(1.0, 2.0)).collect()
+    out = V.density_2d(df, "x", "y", n=5, h=(1.0, 2.0), bins=None).collect()
     hx, hy = 0.25, 0.5
     gx = np.linspace(pts[:, 0].min(), pts[:, 0].max(), 5)
     gy = np.linspace(pts[:, 1].min(), pts[:, 1].max(), 5)
@@ -250,21 +250,19 @@ def test_hexbin_counts_everything(spark):
     assert len({(r.hex_i, r.hex_j) for r in out}) == len(out)
 
 
-def test_broadcast_fallback_gives_same_result(spark):
-    df = spark.createDataFrame([(k % 3, float(k)) for k in range(30)], "g int, v double")
+def test_group_stats_join_back_to_null_groups_too(spark):
+    df = spark.createDataFrame([(None if k % 3 == 2 else k % 3, float(k)) for k in range(30)], "g int, v double")
     stats = df.groupBy("g").agg(F.avg("v").alias("m"))
-    a = strategy.join_group_stats(df, stats, ["g"], max_rows=100)
-    b = strategy.join_group_stats(df, stats, ["g"], max_rows=0)
-    key = lambda r: (r.g, r.v)
-    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+    out = strategy.join_group_stats(df, stats, ["g"]).collect()
+    assert len(out) == 30
+    assert {r.g: r.m for r in out} == {0: 13.5, 1: 14.5, None: 15.5}
 
 
-def test_rank_distributed_equals_window(spark):
-    df = spark.createDataFrame([(f"c{i}", float((i * 7) % 11)) for i in range(40)], "c string, m double")
-    small = {r.c: r["rank"] for r in G.rank_categories(df, "m", tie_break=["c"]).collect()}
-    big = {r.c: r["rank"] for r in G.rank_categories(df, "m", tie_break=["c"], max_rows=0).collect()}
-    assert small == big
-    assert sorted(small.values()) == list(range(1, 41))
+def test_rank_equals_order(spark):
+    rows = [(f"c{i}", float((i * 7) % 11)) for i in range(40)]
+    df = spark.createDataFrame(rows, "c string, m double")
+    got = {r.c: r["rank"] for r in G.rank_categories(df, "m", tie_break=["c"]).collect()}
+    assert got == {c: k + 1 for k, (c, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
 
 
 def test_salted_groups_equal_plain(spark):
@@ -275,7 +273,7 @@ def test_salted_groups_equal_plain(spark):
     def top(key, pdf):
         return pd.DataFrame({"g": [key[0]], "mx": [pdf["v"].max()]})
 
-    plain = U.map_groups(df, ["g"], top, "g int, mx double")
+    plain = U.map_groups(df, ["g"], top, "g int, mx double", whole_group=True)
     salted = U.map_groups(df, ["g"], top, "g int, mx double", salt_buckets=8, combine={"mx": "max"})
     assert sorted(plain.collect()) == sorted(salted.collect())
 
@@ -304,15 +302,13 @@ def test_cast_to_bad_type_is_null(spark):
 
 
 @pytest.mark.parametrize("method,kind", [("exact", "cont"), ("disc", "disc")])
-def test_bracketed_quantiles_match_numpy(spark, method, kind):
+def test_group_quantiles_match_numpy(spark, method, kind):
     rng = np.random.default_rng(11)
     vals = rng.normal(size=3000).round(2)
     grp = rng.integers(0, 2, size=3000)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
     probs = [0.0, 0.05, 0.5, 0.9, 1.0]
-    # tiny thresholds force the bracketing plan (no group held in one task)
-    out = ST.group_quantiles(df, "v", probs, ["g"], method=method, max_exact_distinct=10,
-                             max_candidates=100).collect()
+    out = ST.group_quantiles(df, "v", probs, ["g"], method=method).collect()
     assert len(out) == 2
     for r in out:
         sub = np.sort(vals[grp == r.g])
@@ -328,7 +324,7 @@ def test_binned_density_close_to_exact(spark):
     rng = np.random.default_rng(7)
     vals = rng.gamma(2.0, 3.0, size=4000)
     df = spark.createDataFrame([(float(v), int(i % 2)) for i, v in enumerate(vals)], "v double, g int")
-    exact = {(r.g, r["index"]): r.density for r in V.density_1d(df, "v", by=["g"], n=64).collect()}
+    exact = {(r.g, r["index"]): r.density for r in V.density_1d(df, "v", by=["g"], n=64, bins=None).collect()}
     binned = {(r.g, r["index"]): r.density for r in
               V.density_1d(df, "v", by=["g"], n=64, bins=2048).collect()}
     assert exact.keys() == binned.keys()
@@ -340,22 +336,36 @@ def test_binned_density_2d_close_to_exact(spark):
     rng = np.random.default_rng(9)
     pts = rng.normal(size=(3000, 2)) * [1.0, 3.0]
     df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
-    exact = {(r.i, r.j): r.density for r in V.density_2d(df, "x", "y", n=20).collect()}
+    exact = {(r.i, r.j): r.density for r in V.density_2d(df, "x", "y", n=20, bins=None).collect()}
     binned = {(r.i, r.j): r.density for r in V.density_2d(df, "x", "y", n=20, bins=256).collect()}
     assert exact.keys() == binned.keys()
     peak = max(exact.values())
     assert max(abs(exact[k] - binned[k]) for k in exact) < 5e-3 * peak
 
 
-def test_bracketed_quantiles_with_salted_target_join(spark):
-    rng = np.random.default_rng(13)
-    vals = rng.normal(size=2000).round(3)
-    grp = rng.integers(0, 3, size=2000)
-    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, __v double")
-    from tabula.operators import selection as SEL
-    out = SEL.exact_quantiles(df, ["g"], [0.5], max_candidates=50, max_rows=0).collect()
-    for r in out:
-        assert r["__qs"][0] == pytest.approx(float(np.median(vals[grp == r.g])))
+@pytest.mark.parametrize("method", ["exact", "disc"])
+def test_quantiles_of_nan_infinity_and_null(spark, method):
+    """NaN sorts last, NULL is ignored, infinities stay; groups and columns in one plan."""
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", 1.0, nan), ("a", 2.0, 5.0), ("a", nan, None), ("b", inf, 7.0), ("b", inf, 7.0),
+            (None, None, 3.0), (None, -inf, 4.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(3)
+    got = {(r.g, r.column, r.prob): r.value
+           for r in ST.quantiles(df, ["x", "y"], [0.0, 0.5, 1.0], by=["g"], method=method).collect()}
+    assert got["a", "x", 0.0] == 1.0 and got["a", "x", 0.5] == 2.0 and math.isnan(got["a", "x", 1.0])
+    assert got["a", "y", 0.0] == 5.0 and math.isnan(got["a", "y", 1.0])
+    assert [got["b", "x", p] for p in (0.0, 0.5, 1.0)] == [inf] * 3
+    assert got[None, "x", 0.5] == -inf
+    assert got[None, "y", 0.5] == (3.5 if method == "exact" else 3.0)
+    assert len(got) == 18
+
+
+def test_quantiles_leave_nothing_cached(spark):
+    df = spark.createDataFrame([(k % 3, float(k)) for k in range(100)], "g int, v double")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    V.box_stats(df, "v", by=["g"]).collect()
+    V.density_1d(df, "v", by=["g"], n=8).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 @pytest.mark.parametrize("method", ["exact", "disc"])
@@ -364,7 +374,7 @@ def test_sorted_quantiles_match_numpy(spark, method):
     vals = rng.exponential(size=5000).round(4)
     df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(7)
     probs = [0.0, 0.01, 0.33, 0.5, 0.999, 1.0]
-    r = ST.group_quantiles(df, "v", probs, method=method, max_exact_distinct=10).first()
+    r = ST.group_quantiles(df, "v", probs, method=method).first()
     sv = np.sort(vals)
     if method == "exact":
         want = np.percentile(sv, [p * 100 for p in probs])
@@ -379,7 +389,7 @@ def test_sorted_quantiles_with_a_hot_value(spark):
     vals = np.concatenate([np.full(3000, 5.0), rng.normal(size=6000).round(5)])
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     probs = [0.1, 0.5, 0.66, 0.9]
-    r = ST.group_quantiles(df, "v", probs, max_exact_distinct=10).first()
+    r = ST.group_quantiles(df, "v", probs).first()
     assert np.allclose(r["__qs"], np.percentile(vals, [p * 100 for p in probs]))
 
 
@@ -410,24 +420,23 @@ def test_profile_preview(spark):
 
 def test_rank_keeps_null_metric(spark):
     df = spark.createDataFrame([("a", 2.0), ("b", None), ("c", 1.0)], "c string, m double")
-    for max_rows in (100, 0):
-        got = {r.c: r["rank"] for r in G.rank_categories(df, "m", max_rows=max_rows).collect()}
-        assert got == {"b": 1, "c": 2, "a": 3}
+    got = {r.c: r["rank"] for r in G.rank_categories(df, "m").collect()}
+    assert got == {"b": 1, "c": 2, "a": 3}
 
 
 def test_crosstab_keeps_null_levels(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), (None, "x")], "p string, q string")
-    out = {r["p_q"]: (r.x, r["null"]) for r in ST.crosstab(df, "p", "q").collect()}
+    out = {r["p_q"]: (r.x, r["null"]) for r in ST.crosstab(df, "p", "q", ["x", "null"]).collect()}
     assert out == {"a": (1, 1), None: (1, 0)}
 
 
-def test_bracketed_quantiles_with_a_hot_value(spark):
+def test_group_quantiles_with_a_hot_value(spark):
     rng = np.random.default_rng(23)
     vals = np.concatenate([np.full(2500, 1.5), rng.normal(size=2500).round(4)])
     grp = np.zeros(len(vals), dtype=int)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
     probs = [0.2, 0.5, 0.75, 0.95]
-    r = ST.group_quantiles(df, "v", probs, ["g"], max_exact_distinct=10, max_candidates=100).first()
+    r = ST.group_quantiles(df, "v", probs, ["g"]).first()
     assert np.allclose(r["__qs"], np.percentile(vals, [p * 100 for p in probs]))
 
 
@@ -470,7 +479,7 @@ def test_inferred_udf_schema_keeps_types(spark):
     assert {r.grp: r.n for r in got.collect()} == {0: 7, 1: 7, 2: 6}
 
 
-def test_map_list_one_task_per_item(spark):
+def test_map_list_runs_every_item(spark):
     import pandas as pd
     from pyspark import TaskContext
     from tabula.operators import udf as U
@@ -479,9 +488,61 @@ def test_map_list_one_task_per_item(spark):
     def work(pdf):
         return pd.DataFrame({"item": pdf["item"], "task": TaskContext.get().partitionId()})
 
-    out = U.map_list(items, work, "item long, task int").collect()
+    out = U.map_list(items, ["item"], work, "item long, task int", tasks=64).collect()
     assert sorted(r.item for r in out) == [0, 1, 2, 3, 4]
-    assert len({r.task for r in out}) == 5
+    assert len({r.task for r in out}) > 1
+
+
+def test_inferred_schemas_see_all_batches(spark):
+    """A type that changes late in the table, and an empty table."""
+    import pandas as pd
+    from tabula.operators import udf as U
+    df = spark.range(0, 3000, 1, 1)
+
+    def late(pdf):
+        return pd.DataFrame({"id": pdf["id"], "v": [int(k) if k < 2500 else k + 0.5 for k in pdf["id"]],
+                             "w": [None if k < 2500 else "x" for k in pdf["id"]]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        out = U.map_partitions_inferred(df, late)
+        assert dict(out.dtypes) == {"id": "bigint", "v": "double", "w": "string"}
+        rows = {r.id: (r.v, r.w) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert rows[7] == (7.0, None) and rows[2999] == (2999.5, "x")
+    empty = U.map_partitions_inferred(df.limit(0), lambda pdf: pdf.assign(y=pdf["id"] * 0.5))
+    assert empty.columns == ["id", "y"] and empty.collect() == []
+
+    def count(key, pdf):
+        return pd.DataFrame({"g": [key[0]], "n": [len(pdf)]})
+
+    groups = df.selectExpr("id % 3 as g", "id")
+    got = U.map_groups_inferred(groups, ["g"], count, combine={"n": "sum"}).collect()
+    assert sorted((r.g, r.n) for r in got) == [(0, 1000), (1, 1000), (2, 1000)]
+    with pytest.raises(ValueError):
+        U.map_groups_inferred(groups, ["g"], count)
+    none = U.map_groups_inferred(groups.limit(0), ["g"], count, combine={"n": "sum"}, schema="g long, n long")
+    assert none.collect() == []
+
+
+def test_confidence_band_matches_numpy(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=60)
+    y = 2 * x + rng.normal(size=60)
+    rows = [(1, float(a), float(b)) for a, b in zip(x, y)] + [(2, 1.0, 2.0), (2, 1.0, 3.0), (1, None, 9.0)]
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    out = sorted((r for r in V.lm_band(df, "x", "y", ["g"], points=7, critical=2.0).collect() if r.g == 1),
+                 key=lambda r: r["index"])
+    b, a = np.polyfit(x, y, 1)
+    s = math.sqrt(np.sum((y - a - b * x) ** 2) / 58)
+    grid = np.linspace(x.min(), x.max(), 7)
+    half = 2.0 * s * np.sqrt(1 / 60 + (grid - x.mean()) ** 2 / np.sum((x - x.mean()) ** 2))
+    assert np.allclose([r.fit for r in out], a + b * grid)
+    assert np.allclose([r.lower for r in out], a + b * grid - half)
+    assert np.allclose([r.upper for r in out], a + b * grid + half)
+    constant = V.lm_band(df.where("g = 2"), "x", "y", ["g"], points=3).collect()
+    assert all(r.lower is None for r in constant)
 
 
 def test_constant_columns_do_not_divide_by_zero(spark):
@@ -495,7 +556,7 @@ def test_constant_columns_do_not_divide_by_zero(spark):
     assert V.density_1d(const, "x", n=4, bins=8).count() == 4
     assert V.pair_matrix(const, ["x", "y"], []).count() == 22
     corr = {(r.var1, r.var2): r.value for r in ST.corr_matrix(const, ["x", "y"]).collect()}
-    assert corr[("x", "y")] is None and corr[("x", "x")] == 1.0
+    assert corr[("x", "y")] is None and corr[("x", "x")] is None
     assert ST.corr_pair(const, "x", "y").first()["corr"] is None
 
 
@@ -508,9 +569,9 @@ _STAT_CASES = {
     "pairs": lambda d: V.pair_matrix(d, ["x", "y"], ["g"]),
     "histogram": lambda d: ST.histogram(d, "x", 3, by=["g"]),
     "bivariate": lambda d: ST.bivariate_histogram(d, "x", "y", 5),
-    "quantiles_sorted": lambda d: ST.quantiles(d, ["x"], [0.5], max_exact_distinct=0),
-    "quantiles_bracket": lambda d: ST.quantiles(d, ["x"], [0.5], by=["g"], max_exact_distinct=0),
-    "crosstab": lambda d: ST.crosstab(d, "g", "g"),
+    "quantiles_sorted": lambda d: ST.quantiles(d, ["x"], [0.5]),
+    "quantiles_bracket": lambda d: ST.quantiles(d, ["x"], [0.5], by=["g"]),
+    "crosstab": lambda d: ST.crosstab(d, "g", "g", ["a", "other"]),
     "rank": lambda d: G.rank_categories(d, "x"),
     "profile": lambda d: C.column_profile(d, preview=2),
 }

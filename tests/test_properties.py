@@ -32,8 +32,8 @@ def test_histogram_counts_sum_to_non_null(spark, vals, nbins):
 def test_random_split_parts_add_up(spark, n, w, seed):
     df = spark.range(n)
     a, b = ST.random_split(df, [w, 1 - w], seed)
-    inv = ST.split_invariants(a, b).first()
-    assert inv.n_overlap == 0 and inv.n_union == n
+    inv = ST.split_report(df, a, b).first()
+    assert inv.n_overlap == 0 and inv.n_union == n == inv.n_first + inv.n_second
 
 
 @SETTINGS
@@ -41,7 +41,7 @@ def test_random_split_parts_add_up(spark, n, w, seed):
 def test_sample_and_except_are_disjoint(spark, n, frac, seed):
     df = spark.range(n).selectExpr("id % 50 as k")
     train, test = ST.split_by_except(df, frac, seed)
-    inv = ST.split_invariants(train, test).first()
+    inv = ST.split_report(df, train, test).first()
     assert inv.n_overlap == 0
     assert inv.n_union == min(n, 50)
 
