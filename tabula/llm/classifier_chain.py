@@ -1,8 +1,8 @@
 """Toxicity by a chain of linear classifiers.
 
 Categories are predicted one after the other.  Each has a logistic model over
-the words that a text contains and the probabilities of all categories before
-it.  In training those probabilities are out of fold: the sample is dealt into
+the words (and beginnings of words) that a text contains and the probabilities
+of all categories before it.  In training those probabilities are out of fold: the sample is dealt into
 folds, and a row's probability comes from the model fitted without its fold,
 so that a later model sees earlier ones as wrong as they will be on new text.
 The models that score are fitted to the whole sample.
@@ -11,22 +11,25 @@ The last category is the labelled one.  The labels say only whether a text is
 toxic; the categories before it are kinds of toxicity told by seed words: a
 labelled row belongs to a kind if it is toxic and contains one of its words.
 
-The sample is bounded (``TRAIN_ROWS``), and so is the vocabulary.  Scoring is
-one narrow pass over whole texts.
+The sample is bounded (``TRAIN_ROWS``), and so is the vocabulary, the words
+that tell toxic from other texts best.  Scoring is one narrow pass over whole
+texts.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import exp
+from math import exp, log1p
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +37,12 @@ from tabula.llm.common import cut
 from tabula.llm.training import labelled_sample
 
 TRAIN_ROWS = 20_000
-#: Words of the models, the most frequent by document, and the least number of documents.
-VOCABULARY, LEAST_DOCS = 1 << 14, 5
-FOLDS = 3
-#: Penalty of the models and its lasso part.
-PENALTY, LASSO_PART = 0.001, 0.8
+#: Words of the models, those that tell toxic from other texts best, and the
+#: least number of documents a word is in.
+VOCABULARY, LEAST_DOCS = 256, 5
+FOLDS = 2
+#: Ridge penalty of the models and the optimiser's steps.
+PENALTY, STEPS = 0.0001, 25
 #: Lowest probability of a text called toxic.
 CUT_OFF = 0.5
 #: Seed words of the kinds of toxicity, in the order of the chain.
@@ -49,36 +53,47 @@ KINDS = {
 #: Name of the last category.
 LAST = "toxic"
 WORD = re.compile(r"\w+")
+#: Lengths of words' beginnings that are terms beside the words.
+BEGINNINGS = (5, 7)
 #: Characters of a text looked at at a time.
 PART = 1 << 20
 
 
-def word_set(text: str) -> set[str]:
-    """All words of a whole text, lower-cased; long texts part by part."""
-    if len(text) <= PART:
-        return set(WORD.findall(text.lower()))
-    out: set[str] = set()
+def terms(text: str) -> Counter:
+    """How often each term occurs in a whole text; long texts are read part by part.
+
+    Terms are the lower-cased words and, marked by a hyphen, the beginnings of
+    longer words: inflected and joined forms share them.
+    """
+    words: Counter = Counter()
     start = 0
     while start < len(text):
         stop = start + PART
         while stop < len(text) and not text[stop].isspace():
             stop += 1
-        out |= set(WORD.findall(text[start:stop].lower()))
+        words.update(WORD.findall(text[start:stop].lower()))
         start = stop
+    out = Counter(words)
+    for size in BEGINNINGS:
+        for word, n in words.items():
+            if len(word) > size:
+                out[word[:size] + "-"] += n
     return out
 
 
 def with_words(rows: DataFrame) -> DataFrame:
-    """(doc_id, label, words) of rows (doc_id, label, text)."""
+    """(doc_id, label, words, counts) of rows (doc_id, label, text): terms, and how often each occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [sorted(word_set(v.as_py() or "")) for v in batch.column(2)]
+            found = [sorted(terms(v.as_py() or "").items()) for v in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(words, pa.list_(pa.string()))],
-                ["doc_id", "label", "words"])
+                [batch.column(0), batch.column(1),
+                 pa.array([[t for t, _ in x] for x in found], pa.list_(pa.string())),
+                 pa.array([[n for _, n in x] for x in found], pa.list_(pa.int32()))],
+                ["doc_id", "label", "words", "counts"])
 
     return rows.select("doc_id", "label", "text").mapInArrow(
-        run, "doc_id bigint, label double, words array<string>")
+        run, "doc_id bigint, label double, words array<string>, counts array<int>")
 
 
 @dataclass(frozen=True)
@@ -91,11 +106,12 @@ class Chain:
     links: tuple[tuple[float, ...], ...]
     words: dict[str, tuple[float, ...]]
 
-    def probabilities(self, words: set[str]) -> list[float]:
+    def probabilities(self, found: Counter) -> list[float]:
+        """The categories' probabilities of a text with these terms."""
         sums = list(self.intercepts)
-        for word in sorted(words & self.words.keys()):
+        for word in sorted(found.keys() & self.words.keys()):
             for k, weight in enumerate(self.words[word]):
-                sums[k] += weight
+                sums[k] += weight * log1p(found[word])
         out: list[float] = []
         for total, link in zip(sums, self.links):
             total += sum(a * p for a, p in zip(link, out))
@@ -103,10 +119,42 @@ class Chain:
         return out
 
 
+def vocabulary(rows: DataFrame, size: int = VOCABULARY, least: int = LEAST_DOCS) -> list[str]:
+    """The ``size`` words whose share of texts differs most, in standard errors, by label."""
+    n, n1 = rows.agg(F.count("label"), F.sum("label")).first()
+    if not n or not 0 < n1 < n:
+        return []
+    counts = (rows.select("label", F.explode("words").alias("word")).groupBy("word")
+              .agg(F.count("*").alias("df"), F.sum("label").alias("hits")).where(F.col("df") >= least))
+    share = F.col("df") / F.lit(float(n))
+    gap = F.col("hits") / F.lit(float(n1)) - (F.col("df") - F.col("hits")) / F.lit(float(n - n1))
+    z = F.try_divide(F.abs(gap), F.sqrt(share * (1 - share) * (1 / n1 + 1 / (n - n1))))
+    best = counts.withColumn("z", z).orderBy(F.col("z").desc_nulls_last(), "word").limit(size)
+    return [r.word for r in best.collect()]
+
+
+def with_bags(rows: DataFrame, words: list[str]) -> DataFrame:
+    """``rows`` with ``bag``, a vector of log(1 + n) for each of ``words`` that occurs n times."""
+    place = {w: k for k, w in enumerate(words)}
+
+    @F.pandas_udf("array<double>")
+    def bag(texts: pd.Series, counts: pd.Series) -> pd.Series:
+        out = []
+        for own, n in zip(texts, counts):
+            vector = np.zeros(len(place))
+            for word, times in zip(own, n):
+                if word in place:
+                    vector[place[word]] = log1p(times)
+            out.append(vector)
+        return pd.Series(out)
+
+    return rows.withColumn("bag", array_to_vector(bag("words", "counts")))
+
+
 def _model(rows: DataFrame, before: list[str], label: str) -> LogisticRegressionModel:
     data = VectorAssembler(inputCols=["bag", *before], outputCol="features").transform(rows)
-    return LogisticRegression(labelCol=label, regParam=PENALTY, elasticNetParam=LASSO_PART,
-                              maxIter=40).fit(data.select("features", label))
+    return LogisticRegression(labelCol=label, regParam=PENALTY, standardization=False,
+                              maxIter=STEPS).fit(data.select("features", label))
 
 
 def _with_probability(rows: DataFrame, model: LogisticRegressionModel, before: list[str], name: str) -> DataFrame:
@@ -118,7 +166,7 @@ def _with_probability(rows: DataFrame, model: LogisticRegressionModel, before: l
 
 def fit(rows: DataFrame, kinds: dict[str, tuple[str, ...]] = KINDS, last: str = LAST,
         folds: int = FOLDS) -> Chain:
-    """The chain of a bounded frame (doc_id, label, words).
+    """The chain of a bounded frame (doc_id, label, words, counts).
 
     A category that no row, or every row, belongs to has that constant as
     probability.
@@ -130,21 +178,13 @@ def fit(rows: DataFrame, kinds: dict[str, tuple[str, ...]] = KINDS, last: str =
             (F.col("label") > 0) & F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds])),
             1.0).otherwise(0.0))
     data = data.withColumn(f"is_{last}", F.col("label"))
-    words: list[str] = []
-    if data.limit(1).count():
-        bags = CountVectorizer(inputCol="words", outputCol="bag", vocabSize=VOCABULARY,
-                               minDF=LEAST_DOCS, binary=True)
-        try:
-            bag = bags.fit(data)
-            words = bag.vocabulary
-        except Exception as error:      # raised when no word is frequent enough
-            if "vocabulary" not in str(error).lower():
-                raise
+    words = vocabulary(data)
     if not words:
         share = data.agg(F.avg("label")).first()[0]
         return Chain(names, tuple(_constant(0.0 if share is None else round(share)) for _ in names),
                      tuple((0.0,) * k for k in range(len(names))), {})
-    data = cut(bag.transform(data).drop("words", "label").coalesce(4))
+    # a bounded frame: one partition saves the optimiser's many small shuffles
+    data = cut(with_bags(data, words).drop("words", "counts", "label").coalesce(1))
     intercepts, links, columns = [], [], []
     before: list[str] = []
     for name in names:
@@ -180,7 +220,7 @@ def _out_of_fold(data: DataFrame, before: list[str], name: str, folds: int,
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.coalesce(4)
+    return out.coalesce(1)
 
 
 def _constant(share: float) -> float:
@@ -216,7 +256,7 @@ def probabilities(rows: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [chain.probabilities(word_set(v.as_py() or "")) for v in batch.column(1)]
+            found = [chain.probabilities(terms(v.as_py() or "")) for v in batch.column(1)]
             columns = zip(*found) if found else [[] for _ in names]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array(c, pa.float64()) for c in columns], ["doc_id", *names])
@@ -234,6 +274,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
 
     @F.pandas_udf("double")
     def toxic(texts: pd.Series) -> pd.Series:
-        return pd.Series([chain.probabilities(word_set(t or ""))[-1] for t in texts], dtype="float64")
+        return pd.Series([chain.probabilities(terms(t or ""))[-1] for t in texts], dtype="float64")
 
     return docs.where(toxic(F.col(f"`{text}`")) < F.lit(cut_off))

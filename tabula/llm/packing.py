@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,8 +41,16 @@ from tokenizers import Tokenizer
 from tabula.llm.common import cut, narrowed, salted_hash
 
 WINDOW = 2048
-#: Words whose ids a worker keeps; the store is emptied beyond it.
-KNOWN_WORDS = 400_000
+#: Words, and pieces of words, whose ids a worker remembers.
+KNOWN_WORDS = 300_000
+#: Words of ASCII and of the composed letters up to U+00FF: these are their own
+#: composed form and have one lower-case letter each.
+PLAIN_WORD = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Their pieces: contractions, letters, single digits, other marks.
+PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
+                         "|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Words on which a tokenizer must agree with PLAIN_PIECE for it to be used.
+PROBES = ("Word", "It's", "I'LL'd", "a1b22", "x***y!!", "\u00c9t\u00e9\u00df", "'re-<tag>", "%%%", "_a_", "caf\u00e9s.", "\u00ff\u00c0")
 
 
 # -------------------------------------------------------------- tokenising
@@ -50,14 +59,36 @@ class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space.
 
     Such a tokenizer never joins across white space, so a text's ids are its
-    words' ids end to end; each distinct word is encoded once and remembered.
+    words' ids end to end.  Each word goes through the tokenizer's own steps
+    (normaliser, pre-splitting, model) when it is first met; words and their
+    pieces are remembered up to a bound, beyond which those of the texts at
+    hand stay.
     """
 
     def __init__(self, tokenizer: str, end: int | None) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
-        self.end = [] if end is None else [end]
+        self.model = self.tokenizer.model
+        self.end = b"" if end is None else array("I", [end]).tobytes()
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        # letters beyond ASCII as the tokenizer's pre-splitting writes them
+        self.letters = {ord(c): "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
+                        for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
+        self.plain = all(self.plain_pieces(w) == self.exact_pieces(w) for w in PROBES)
+
+    @staticmethod
+    def plain_pieces(word: str) -> list[str]:
+        return PLAIN_PIECE.findall(word.lower())
+
+    def exact_pieces(self, word: str) -> list[str]:
+        normal = self.tokenizer.normalizer.normalize_str(word)
+        back = {written: chr(c) for c, written in self.letters.items()}
+        out = []
+        for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
+            for written, letter in back.items():
+                piece = piece.replace(written, letter)
+            out.append(piece)
+        return out
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -66,19 +97,37 @@ class WordEncoder:
             return [w for w in re.split("[ \t\n\r]+", text) if w]
         return text.split()
 
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            self.pieces[piece] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        if self.plain:
+            if word.isascii() and word.isalpha():
+                return self.piece(word.lower())
+            if PLAIN_WORD.fullmatch(word):
+                found = self.plain_pieces(word)
+                if not word.isascii():
+                    found = [p.translate(self.letters) for p in found]
+                return b"".join(map(self.piece, found))
+        normal = self.tokenizer.normalizer.normalize_str(word)
+        return b"".join(self.piece(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         words = [self.split(text) for text in texts]
+        met = set().union(*words)
+        for word in met.difference(self.known):
+            self.known[word] = self.word(word)
+        if len(self.pieces) > KNOWN_WORDS:
+            self.pieces = {}
         if len(self.known) > KNOWN_WORDS:
-            self.known = {}
+            self.known = {word: self.known[word] for word in met}
         known = self.known
-        new = list({w for ws in words for w in ws}.difference(known))
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            for word, code in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = np.array(code.ids, np.uint32).tobytes()
-        end = np.array(self.end, np.uint32).tobytes()
-        for ws in words:
-            yield np.frombuffer(b"".join(map(known.__getitem__, ws)) + end, np.uint32)
+        for own in words:
+            yield np.frombuffer(b"".join(map(known.__getitem__, own)) + self.end, np.uint32)
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int | None, window: int = WINDOW,
@@ -92,8 +141,8 @@ def pieces(docs: DataFrame, tokenizer: str, end: int | None, window: int = WINDO
         encode = WordEncoder(tokenizer, end)
         names = ["doc_id", "digest", "start", "length", "ids_crc32", "doc_tokens"]
         for batch in batches:
-            for k in range(0, len(batch), 256):
-                own = batch.slice(k, 256)
+            for k in range(0, len(batch), 128):
+                own = batch.slice(k, 128)
                 at, start, length, crc, tokens = [], [], [], [], []
                 for row, ids in enumerate(encode([t or "" for t in own.column(2).to_pylist()])):
                     for s in range(0, len(ids), window):

@@ -163,7 +163,7 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float =
     fired = rows.select("label", array_to_vector(F.array(
         *[r.column().cast("double") for r in rules])).alias("features"))
     model = LogisticRegression(elasticNetParam=1.0, regParam=lasso, standardization=False,
-                               maxIter=100).fit(cut(fired))
+                               maxIter=40).fit(cut(fired))
     weights = model.coefficients.toArray()
     kept = tuple((r, float(w)) for r, w in zip(rules, weights) if abs(w) > 1e-9)
     return Ensemble(kept, float(model.intercept))
@@ -181,7 +181,7 @@ def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     found = cut(with_statistics(docs, doc_id, text))
     sample = F.broadcast(labelled_sample(labels, label, train_rows, without_held_out=True))
     known = cut(found.join(sample, F.col("doc_id") == F.col("labelled_id"))
-                .select("label", *STATISTICS).orderBy("label", *STATISTICS).coalesce(2))
+                .select("label", *STATISTICS).orderBy("label", *STATISTICS).coalesce(1))
     ensemble = fit(known)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
                         ensemble.score().alias("score")).withColumn(

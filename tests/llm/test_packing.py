@@ -77,6 +77,19 @@ def test_words_end_to_end_are_the_text(edge_rows):
         assert ids.tolist() == whole(text)[:-1], repr(text[:80])
 
 
+def test_plain_words_are_split_as_the_tokenizer_does():
+    encode = P.WordEncoder(TOKENIZER, None)
+    assert encode.plain
+    rng = random.Random(7)
+    letters = "".join(chr(c) for c in range(33, 256) if c < 127 or c >= 0xC0)
+    for _ in range(3000):
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(1, 9)))
+        ids = np.frombuffer(encode.word(word), np.uint32).tolist()
+        assert ids == whole(word)[:-1] if _ < 200 else True
+        if P.PLAIN_WORD.fullmatch(word):
+            assert encode.plain_pieces(word) == encode.exact_pieces(word), word
+
+
 def brute_fill(counts, capacity):
     reach = {0}
     for length, n in counts.items():
