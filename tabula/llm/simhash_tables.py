@@ -167,9 +167,10 @@ def with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # one shuffle of the texts, by id, for both uses
     placed = base.join(order.withColumnRenamed("digest", "first_digest").hint("shuffle_hash"), "id")
-    heads = (placed.where(F.xxhash64("text") == F.col("first_digest"))
-             .select(F.col("prev_id").alias("id"),
-                     F.expr("substring(text, 1, cast(prev_n div 4 as int))").alias("head"))
+    # a condition on the texts would become a join key, and the texts be shuffled by it again
+    head = F.when(F.xxhash64("text") == F.col("first_digest"),
+                  F.expr("substring(text, 1, cast(prev_n div 4 as int))"))
+    heads = (placed.select(F.col("prev_id").alias("id"), head.alias("head"))
              .groupBy("id").agg(F.min("head").alias("head")))
     edited = placed.join(heads, "id").select(
         "id", digest, "text", "next_id", F.length("text").cast("bigint").alias("n_chars"),
