@@ -293,6 +293,14 @@ def aligned(a: list, b: list, i: int = 0, j: int = 0) -> Iterator[tuple[int, int
         yield from aligned(xs[m], ys[n], at[m], bt[n])
 
 
+def flat(node: list) -> list[list]:
+    """A skeleton's nodes in preorder."""
+    out = [node]
+    for child in node[3]:
+        out.extend(flat(child))
+    return out
+
+
 def size(node: list) -> int:
     return 1 + sum(map(size, node[3]))
 
@@ -352,9 +360,10 @@ def salted(hosts: DataFrame) -> DataFrame:
 
 def references(trees: DataFrame) -> DataFrame:
     """(host, reference): of each host's most frequent shape, the first tree in order."""
-    shapes = trees.groupBy("host", "shape").agg(F.count("*").alias("pages"), F.min("skeleton").alias("skeleton"))
-    return shapes.groupBy("host").agg(F.max(F.struct("pages", "shape", "skeleton")).alias("best")).select(
-        "host", F.col("best.skeleton").alias("reference"))
+    shapes = trees.groupBy("host", "shape").agg(F.count("*").alias("pages"),
+                                                F.min(F.struct("skeleton", "salt")).alias("least"))
+    return shapes.groupBy("host").agg(F.max(F.struct("pages", "shape", "least")).alias("best")).select(
+        "host", F.col("best.least.skeleton").alias("reference"), F.col("best.shape").alias("own_shape"))
 
 
 def constants(trees: DataFrame, found: DataFrame) -> DataFrame:
@@ -363,7 +372,7 @@ def constants(trees: DataFrame, found: DataFrame) -> DataFrame:
         read: dict[str, list] = {}
         for batch in batches:
             counts: Counter = Counter()
-            for host, tree, reference in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for host, tree, reference, alike in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if reference not in read:
                     if len(read) > 2000:
                         read.clear()
@@ -372,7 +381,10 @@ def constants(trees: DataFrame, found: DataFrame) -> DataFrame:
                 if ours[1] == theirs[1]:        # a copy of the reference says nothing
                     continue
                 counts[host, -1, 0] += 1
-                for i, _, a, b in aligned(ours, theirs):
+                # trees of one shape match node by node
+                pairs = enumerate(zip(flat(ours), flat(theirs))) if alike else (
+                    (i, (a, b)) for i, _, a, b in aligned(ours, theirs))
+                for i, (a, b) in pairs:
                     if a[1] == b[1] and a[1]:
                         counts[host, i, a[2]] += 1
             if counts:
@@ -382,7 +394,8 @@ def constants(trees: DataFrame, found: DataFrame) -> DataFrame:
                      pa.array([k[2] for k in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())],
                     ["host", "node", "inside", "pages"])
 
-    met = trees.join(salted(found), ["host", "salt"]).select("host", "skeleton", "reference")
+    met = trees.join(salted(found), ["host", "salt"]).select(
+        "host", "skeleton", "reference", (F.col("shape") == F.col("own_shape")).alias("alike"))
     same = (met.mapInArrow(run, "host string, node int, inside int, pages bigint")
             .groupBy("host", "node", "inside").agg(F.sum("pages").alias("pages")))
     per_host = same.where("node < 0").select("host", F.col("pages").alias("differ"))
@@ -402,9 +415,10 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     results; an empty table gives an empty table.
     """
     rows = with_host(pages, page_id, url, html)
-    trees = skeletons(rows)
+    # dealt once, as the alignment needs them, for both uses: pages are parsed once for it
+    trees = skeletons(rows).repartition("host", "salt")
     found = references(trees)
-    wrappers = found.join(constants(trees, found), "host")
+    wrappers = found.join(constants(trees, found), "host").drop("own_shape")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read: dict[str, list] = {}
