@@ -103,3 +103,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no plan needs any more."""
+    if "/tabula-scratch/" not in path:
+        raise ValueError(f"{path} is no scratch path")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
