@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabula.llm import classifier_chain, golay_dedup, importance, packing, suffix_dedup
 from tabula.llm.common import table
-from tabula.session import scratch_path
+from tabula.session import drop_scratch, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,9 +60,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_scratch(spark, before)     # what was written after it does not need it
+        before = path
     return docs
