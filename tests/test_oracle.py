@@ -5,13 +5,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tabula.plans.catalog import all_queries
 from tabula.plans.oracle import compare, duckdb_connection
 
 from .conftest import SF_SMALL
 
 SF = os.environ.get("TABULA_TEST_SF", SF_SMALL)
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: q.fn for name, q in all_queries().items()}
+SQL = {name: q.sql for name, q in all_queries().items() if q.sql}
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,6 @@ def test_query_without_sql_runs(spark, name):
 
 
 def test_every_query_has_survey_ids():
-    from tabula.plans.catalog import all_queries
     for name, q in all_queries().items():
         assert q.ids, name
 
@@ -42,3 +42,8 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(df.columns) >= {"range", "c_mktsegment", "l_extendedprice_avg", "range_order"}
+
+
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())

@@ -6,11 +6,11 @@ from contextlib import redirect_stdout
 
 import pytest
 
-import __spark_entry__ as entry
+from tabula.plans.catalog import all_queries
 
 from .conftest import SF_SMALL
 
-QUERIES = entry.queries()
+QUERIES = {name: q.fn for name, q in all_queries().items()}
 
 
 def plan_of(df) -> str:
