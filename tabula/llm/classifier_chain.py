@@ -24,12 +24,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp, log1p
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +39,10 @@ from tabula.llm.training import labelled_sample
 TRAIN_ROWS = 20_000
 #: Words of the models, those that tell toxic from other texts best, and the
 #: least number of documents a word is in.
-VOCABULARY, LEAST_DOCS = 256, 5
-FOLDS = 2
+VOCABULARY, LEAST_DOCS = 1 << 14, 5
+FOLDS = 3
 #: Ridge penalty of the models and the optimiser's steps.
-PENALTY, STEPS = 0.0001, 25
+PENALTY, STEPS = 0.0001, 40
 #: Lowest probability of a text called toxic.
 CUT_OFF = 0.5
 #: Seed words of the kinds of toxicity, in the order of the chain.
@@ -134,21 +134,14 @@ def vocabulary(rows: DataFrame, size: int = VOCABULARY, least: int = LEAST_DOCS)
 
 
 def with_bags(rows: DataFrame, words: list[str]) -> DataFrame:
-    """``rows`` with ``bag``, a vector of log(1 + n) for each of ``words`` that occurs n times."""
+    """``rows`` with ``bag``, a sparse vector of log(1 + n) for each of ``words`` that occurs n times."""
     place = {w: k for k, w in enumerate(words)}
 
-    @F.pandas_udf("array<double>")
-    def bag(texts: pd.Series, counts: pd.Series) -> pd.Series:
-        out = []
-        for own, n in zip(texts, counts):
-            vector = np.zeros(len(place))
-            for word, times in zip(own, n):
-                if word in place:
-                    vector[place[word]] = log1p(times)
-            out.append(vector)
-        return pd.Series(out)
-
-    return rows.withColumn("bag", array_to_vector(bag("words", "counts")))
+    @F.udf(VectorUDT())
+    def bag(own: list[str], counts: list[int]) -> SparseVector:
+        return Vectors.sparse(len(place), {place[w]: log1p(n) for w, n in zip(own, counts) if w in place})
+
+    return rows.withColumn("bag", bag("words", "counts"))
 
 
 def _model(rows: DataFrame, before: list[str], label: str) -> LogisticRegressionModel:

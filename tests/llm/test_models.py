@@ -128,6 +128,17 @@ def test_out_of_fold_probabilities_come_from_other_folds(spark):
     assert chain.probabilities(Counter(["idiot"]))[2] > 0.5 > chain.probabilities(Counter(["w1"]))[2]
 
 
+def test_rare_toxic_words_are_terms(spark):
+    """300 toxic words, each in a few texts: all of them are known, and told."""
+    toxic = [f"t{k}" for k in range(300)]
+    rows = [(k, 1.0, [toxic[k % 300], "the"], [1, 1]) for k in range(1800)]
+    rows += [(2000 + k, 0.0, [f"c{k % 40}", "the"], [1, 1]) for k in range(1800)]
+    chain = C.fit(spark.createDataFrame(
+        rows, "doc_id bigint, label double, words array<string>, counts array<int>"))
+    assert set(toxic) <= chain.words.keys()
+    assert all(chain.probabilities(Counter([t, "the"]))[-1] > 0.5 for t in toxic)
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     text = " ".join(f"word{k}" for k in range(5000)) + " scum"
     whole = C.terms(text)
