@@ -10,8 +10,8 @@ the same input always gives the same verdict.
 Everything is built-in expressions.  The corpus counts cover all documents in
 one pass with map-side partial aggregation down to ``buckets`` rows; the
 weights are a literal of that many numbers, so scoring is a narrow pass.
-The trusted texts' ids are a bounded sample of the labels (``TRUSTED_ROWS``),
-the lowest by hash, and may therefore be broadcast.
+All documents labelled good are trusted text; their ids are joined by a plain
+equality join on doc_id, so the trusted counts grow with the labels.
 """
 
 from __future__ import annotations
@@ -22,14 +22,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import cut, let
+from tabula.llm.common import let
 
 #: Feature buckets: the size of both multinomials.
 BUCKETS = 10_000
 #: Added to every bucket's count.
 SMOOTHING = 1.0
-#: Labelled rows that stand for trusted text.
-TRUSTED_ROWS = 20_000
 #: Lowest mean log ratio of a kept document.
 THRESHOLD = -0.15
 #: Runs of letters and digits, and runs of other marks.
@@ -50,21 +48,21 @@ def features(text: Column, buckets: int) -> Column:
                     lambda t, i: bucket(t, F.get(tokens, i + 1)))))
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """(doc_id) of at most ``rows`` documents labelled good, lowest by hash first."""
-    good = labels.where("quality = 1 and doc_id is not null").select(
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id) of all documents labelled good, each once."""
+    return labels.where("quality = 1 and doc_id is not null").select(
         F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()
-    return good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(rows)
 
 
 def bucket_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                   smoothing: float = SMOOTHING, rows: int = TRUSTED_ROWS) -> list[float]:
+                   smoothing: float = SMOOTHING) -> list[float]:
     """log(target share / raw share) of every bucket, over all documents (doc_id, text).
 
     ``buckets`` numbers come to the driver, however large the corpus.  Without
     trusted text all weights are 0.
     """
-    trusted = F.broadcast(cut(trusted_ids(labels, rows)))       # at most ``rows`` ids
+    # one kind of join at every size: the work grows in proportion to the input
+    trusted = trusted_ids(labels).hint("merge")
     flagged = docs.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
     counts = (flagged.select(F.col("trusted_id").isNotNull().cast("int").alias("is_target"),
                              F.explode(features(F.col("text"), buckets)).alias("bucket"))
@@ -135,7 +133,7 @@ def base_counts(text: Column) -> Column:
 
 
 def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-           buckets: int = BUCKETS, threshold: float = THRESHOLD, rows: int = TRUSTED_ROWS) -> DataFrame:
+           buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """Every row's counts and verdict.
 
     Columns: row (struct of all input columns), doc_id, the base counts,
@@ -145,7 +143,7 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """
     rows_ = docs.select(F.struct("*").alias("row"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
                         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    weights = bucket_weights(rows_.select("doc_id", "text"), labels, buckets, rows=rows)
+    weights = bucket_weights(rows_.select("doc_id", "text"), labels, buckets)
     scored = rows_.select("row", "doc_id", base_counts(F.col("text")).alias("base"),
                           score(F.col("text"), weights).alias("score"))
     return scored.select("row", "doc_id", "base.*", "score").withColumn(

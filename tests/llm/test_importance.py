@@ -86,3 +86,12 @@ def test_junk_is_told_from_clean_text(spark):
     good = [r.kept for r in rows if r.quality == 1]
     junk = [r.kept for r in rows if r.quality == 0]
     assert sum(good) >= 0.95 * len(good) and sum(junk) <= 0.35 * len(junk)
+
+
+def test_all_trusted_documents_count(spark):
+    """More good labels than the 20,000 that once were the bound."""
+    n = 20_500
+    ids = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    labels = ids.select("doc_id", F.lit(1).alias("quality"))
+    # every document is trusted: both multinomials are one and the same
+    assert Q.bucket_weights(ids, labels, 50) == pytest.approx([0.0] * 50, abs=1e-12)
