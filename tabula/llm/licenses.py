@@ -9,8 +9,8 @@ and goes to the tasks with the function.
 Hits of one template that go on from each other on neighbouring diagonals are
 one candidate.  From its first hit the alignment with the template is extended
 to both sides within a band around the hit's diagonal (matching words count
-one, gaps cost a little); if the matched words cover enough of the template,
-the match is reported with its coverage and its span in the text.  Of matches
+one, gaps cost a little); if the matched words cover enough of the template and
+have the numbers and words that tell it from its siblings, the match is reported with its coverage and its span in the text.  Of matches
 that overlap, the one with the most words stands.
 """
 
@@ -36,6 +36,41 @@ WORD = re.compile(r"[^\W_]+")
 #: Characters of a text scanned at a time, and by how many two parts overlap.
 PART, OVERLAP = 1 << 20, 1 << 15
 
+#: Parts of the BSD licenses, which differ in the clauses between the first and the last.
+BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met: Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+    "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.")
+BSD_THIRD = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission.")
+BSD_ADVERTISING = (
+    " All advertising materials mentioning features or use of this software must display the following "
+    "acknowledgement: This product includes software developed by the organization.")
+BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+    "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+    "DAMAGE.")
+
+
+def gnu(thing: str, name: str, version: str) -> str:
+    """The usual header of a GNU license."""
+    return (f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the GNU "
+            f"{name} Public License as published by the Free Software Foundation; either version {version} of the "
+            "License, or (at your option) any later version.")
+
+
+#: Words that tell a license from its nearest siblings, as all numbers do: a
+#: match has every one that the template has.
+TELLING = frozenset("advertising affero endorse lesser nc nd neither noderivatives noncommercial sa sharealike".split())
+
 #: Short notices and the usual headers of public licenses.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
@@ -46,13 +81,19 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."),
+    "AGPL-3.0": (
+        gnu("program", "Affero General", "3"),),
+    "BSD-2-Clause": (
+        BSD_HEAD,
+        "Licensed under the BSD 2-Clause License.",
+        BSD_HEAD + BSD_DISCLAIMER),
     "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met: Redistributions of source code must retain the above copyright "
-        "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
-        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution.",
-        "Licensed under the BSD 3-Clause License."),
+        BSD_HEAD + BSD_THIRD,
+        "Licensed under the BSD 3-Clause License.",
+        BSD_HEAD + BSD_THIRD + BSD_DISCLAIMER),
+    "BSD-4-Clause": (
+        BSD_HEAD + BSD_ADVERTISING + BSD_THIRD,
+        BSD_HEAD + BSD_ADVERTISING + BSD_THIRD + BSD_DISCLAIMER),
     "CC-BY-4.0": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0."),
@@ -62,13 +103,32 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC-4.0": (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0."),
+    "CC-BY-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0."),
+    "CC-BY-NC-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+        "License.",
+        "Licensed under CC BY-NC-SA 4.0."),
+    "CC-BY-NC-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "License.",
+        "Licensed under CC BY-NC-ND 4.0."),
     "GPL-2.0": (
-        "This work is licensed under the GNU General Public License, version 2.",),
+        "This work is licensed under the GNU General Public License, version 2.",
+        gnu("program", "General", "2")),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
         "or (at your option) any later version."),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
+    "LGPL-2.0": (
+        gnu("library", "Library General", "2"),),
+    "LGPL-2.1": (
+        gnu("library", "Lesser General", "2.1"),),
     "LGPL-3.0": (
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
         "Lesser General Public License as published by the Free Software Foundation; either version 3 of the "
@@ -120,6 +180,7 @@ class Scanner:
     def __init__(self, templates: dict[str, tuple[str, ...]], coverage: float = COVERAGE) -> None:
         self.templates = [(name, words_of(text)) for name in sorted(templates) for text in templates[name]]
         self.coverage = coverage
+        self.telling = [{w for w in words if w in TELLING or w.isdigit()} for _, words in self.templates]
         self.index: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
         for k, (_, words) in enumerate(self.templates):
             for place, run in winnowed(words):
@@ -168,17 +229,24 @@ class Scanner:
             at, diagonal = group[0]
             place = at - diagonal
             reach = len(template) + BAND
-            before = extension(template[:place][::-1], words[max(0, at - reach):at][::-1])
-            after = extension(template[place + GRAM:], words[at + GRAM:at + GRAM + reach])
+            before = pairs(template[:place][::-1], words[max(0, at - reach):at][::-1])
+            after = pairs(template[place + GRAM:], words[at + GRAM:at + GRAM + reach])
             n = len(before) + GRAM + len(after)
-            if n >= self.coverage * len(template):
-                first = at - 1 - before[-1] if before else at
-                last = at + GRAM + after[-1] if after else at + GRAM - 1
+            met = {*template[place:place + GRAM], *(template[place - 1 - i] for i, _ in before),
+                   *(template[place + GRAM + i] for i, _ in after)}
+            if n >= self.coverage * len(template) and self.telling[k] <= met:
+                first = at - 1 - before[-1][1] if before else at
+                last = at + GRAM + after[-1][1] if after else at + GRAM - 1
                 yield Match(name, n / len(template), base + places[first][0], base + places[last][1], n)
 
 
 def extension(template: list[str], words: list[str], band: int = BAND) -> list[int]:
-    """Words matched by the best alignment that goes on from a hit, within a band around it.
+    """Places of the words of ``pairs``."""
+    return [j for _, j in pairs(template, words, band)]
+
+
+def pairs(template: list[str], words: list[str], band: int = BAND) -> list[tuple[int, int]]:
+    """Words (template, text) matched by the best alignment that goes on from a hit, within a band around it.
 
     A match counts 1, a word left out or exchanged costs GAP; the alignment
     ends where its score is highest.
@@ -210,7 +278,7 @@ def extension(template: list[str], words: list[str], band: int = BAND) -> list[i
         i, c = where
         move = step[i][c]
         if move == 1:
-            matched.append(i + c - band - 2)
+            matched.append((i - 1, i + c - band - 2))
         where = {1: (i - 1, c), 2: (i - 1, c), 3: (i - 1, c + 1), 4: (i, c - 1)}.get(move)
     return matched[::-1]
 

@@ -36,6 +36,23 @@ def test_changed_words_lower_the_coverage():
     assert [f[0] for f in found] == ["MIT"] and 0.8 <= found[0][3] < 0.97
 
 
+def test_siblings_are_told_apart():
+    gpl = ("Foo is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public "
+           "License as published by the Free Software Foundation; either version {} of the License, or (at your "
+           "option) any later version.")
+    for name, version, want in (("General", "2", "GPL-2.0"), ("General", "3", "GPL-3.0"),
+                                ("Lesser General", "2.1", "LGPL-2.1"), ("Lesser General", "3", "LGPL-3.0"),
+                                ("Affero General", "3", "AGPL-3.0"), ("Library General", "2", "LGPL-2.0")):
+        assert [f[0] for f in scan(gpl.format(name, version))] == [want]
+    assert scan(gpl.format("General", "7")) == []
+    head, third, end = L.BSD_HEAD, L.BSD_THIRD, L.BSD_DISCLAIMER
+    for text, want in ((head, "BSD-2-Clause"), (head + end, "BSD-2-Clause"), (head + third, "BSD-3-Clause"),
+                       (head + third + end, "BSD-3-Clause"), (head + L.BSD_ADVERTISING + third + end, "BSD-4-Clause")):
+        assert [f[0] for f in scan("Copyright X. " + text)] == [want]
+    assert [f[0] for f in scan("Licensed under CC BY-NC-SA 4.0.")] == ["CC-BY-NC-SA-4.0"]
+    assert scan("Licensed under CC BY-SA 3.0.") == []
+
+
 def test_other_text_has_no_match():
     assert scan("") == [] and scan("the license") == []
     assert scan("Licensed under the table, version two of the story, and released under the bridge.") == []
