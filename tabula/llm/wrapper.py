@@ -68,6 +68,8 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td"
 NEVER = frozenset("head nav footer aside form button select datalist dialog menu template svg canvas object "
                   "audio video map math script style noscript iframe textarea title input".split())
 MAIN = frozenset(("article", "main"))
+#: Elements whose names say nothing about what lies in them.
+WHOLE = MAIN | {"html", "body"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Words of class, id and role values that name something other than the article.
 OTHER = frozenset(
@@ -85,15 +87,17 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "other", "children")
+    """An element; ``other`` if it is not the article, ``named`` if only its names say so."""
 
-    def __init__(self, tag: str, label: str, other: bool) -> None:
-        self.tag, self.label, self.other = tag, label, other
+    __slots__ = ("tag", "label", "other", "named", "children")
+
+    def __init__(self, tag: str, label: str, other: bool, named: bool = False) -> None:
+        self.tag, self.label, self.other, self.named = tag, label, other or named, named and not other
         self.children: list[Node | str] = []
 
 
 def element(tag: str, attributes: str) -> Node:
-    names, other = [], tag in NEVER
+    names, other, named = [], tag in NEVER, False
     if attributes and ("=" in attributes or "hidden" in attributes):
         for m in NAMES.finditer(attributes):
             value = (m[2] or m[3] or m[4] or "").lower()
@@ -102,21 +106,29 @@ def element(tag: str, attributes: str) -> Node:
                 other |= key == "hidden" or value == "true"
                 continue
             words = SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", m[2] or m[3] or m[4] or "").lower())
-            other |= not OTHER.isdisjoint(words)
+            named |= tag not in WHOLE and not OTHER.isdisjoint(words)
             if key != "id":
                 names.append(value)
-    return Node(tag, f"{tag}.{' '.join(names)}" if names else tag, other)
+    return Node(tag, f"{tag}.{' '.join(names)}" if names else tag, other, named)
 
 
 def parse(page: str) -> Node:
-    """The tree of a page; wrongly nested and unclosed tags are put right as they come."""
+    """The tree of a page; wrongly nested and unclosed tags are put right as they come.
+
+    If names mark something around every article or main part, what is around
+    the first is not marked: it is the page's frame.
+    """
     root = Node("#root", "#root", False)
     stack, at = [root], 0
+    free, frame = False, None
     while True:
         m = TAG.search(page, at)
         if m is None:
             if at < len(page):
                 stack[-1].children.append(page[at:])
+            for node in () if free else frame or ():
+                if node.named:
+                    node.other = node.named = False
             return root
         if m.start() > at:
             stack[-1].children.append(page[at:m.start()])
@@ -135,6 +147,9 @@ def parse(page: str) -> Node:
         elif tag in ENDS or tag in ("tfoot", "optgroup"):
             _close(stack, {t for t, by in ENDS.items() if tag in by}, {"ul", "ol", "dl", "table", "select"})
         node = element(tag, m[3])
+        if tag in MAIN and not free and not node.other and not any(n.other and not n.named for n in stack):
+            free = not any(n.named for n in stack)
+            frame = frame or stack[:]
         stack[-1].children.append(node)
         if tag in RAW:
             end = RAW_END[tag].search(page, at)

@@ -28,6 +28,16 @@ def test_article_without_the_rest():
     assert text_of(page) == ("Head & line One bolder text. Next line <tag> café AB Two item 1 item 2 c1 c2")
 
 
+def test_names_of_a_page_or_article_do_not_hide_it():
+    assert text_of('<html class="no-js skip"><body class="no-sidebar"><article><p>Story</p></article></body></html>') == "Story"
+    assert text_of('<article class="post tag-social category-search"><p>Story</p></article>') == "Story"
+    assert text_of('<div class="layout has-sidebar"><main id="reader"><p>Story</p></main><p>more</p></div>') == "Story"
+    # beside a story that is not marked, marked articles are what their names say
+    assert text_of('<article>Story</article><div class="comments"><article>reply</article></div>') == "Story"
+    assert text_of('<div class="has-sidebar"><article>Story</article>'
+                   '<div class="comments"><article>reply</article></div></div>') == "Story"
+
+
 def test_plain_and_broken_pages():
     assert text_of("") == "" and text_of("just  text\n here") == "just text here"
     assert text_of("<p>a<p>b</div></p><b>c") == "a b c"
