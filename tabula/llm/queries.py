@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import (bpe, classifier_chain, golay_dedup, importance, licenses, packing,
+from tabula.llm import (bpe, chat_format, classifier_chain, golay_dedup, importance, licenses, packing,
                         rule_ensemble, simhash_tables, suffix_dedup, wrapper)
 from tabula.llm.common import table
 
@@ -131,3 +131,35 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = golay_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                          "component_id")
+
+
+#: Turns as they are in the table; markers in texts are lengthened as the template's escape does.
+CHAT_SQL = r"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked as (
+  select *, coalesce(lag(role) over w = role, false) as goes_on, coalesce(lead(role) over w = role, false) as held,
+    length(regexp_replace(regexp_replace(text, '(<\\*)(s>|/s>)', '\1\\\2', 'g'),
+      '(\[\\*)(INST\]|/INST\]|SYS\]|ROLE\]|/ROLE\]|\+\])', '\1\\\2', 'g')) as n_chars
+  from said window w as (partition by conv_id order by turn, role, text))
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  (3 + sum(n_chars + case when goes_on then 3 else case role when 'system' then 5 when 'user' then 6
+             when 'assistant' then 7 else 13 + length(role) end end
+           + case when role = 'assistant' and not held then 4 else 0 end))::bigint as formatted_chars
+from marked group by conv_id
+"""
+
+
+@registered("op12_chat_format", CHAT_SQL)
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that quotes the template's markers, formatted and read back."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoting = spark.createDataFrame(
+        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
+        "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.digests(chat_format.formatted(said.unionByName(quoting)))
