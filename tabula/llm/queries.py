@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.llm import (bpe, chat_format, classifier_chain, golay_dedup, importance, licenses, packing,
-                        rule_ensemble, simhash_tables, suffix_dedup, wrapper)
+                        rule_ensemble, simhash_tables, spelling, suffix_dedup, wrapper)
 from tabula.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +133,12 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+@registered("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their forms and roots."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 #: Turns as they are in the table; markers in texts are lengthened as the template's escape does.
 CHAT_SQL = r"""
 with said as (
