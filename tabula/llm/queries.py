@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import (bpe, chat_format, classifier_chain, golay_dedup, importance, licenses, packing,
+from tabula.llm import (alignment, bpe, chat_format, classifier_chain, golay_dedup, importance, licenses, packing,
                         rule_ensemble, simhash_tables, spelling, suffix_dedup, wrapper)
 from tabula.llm.common import table
 
@@ -169,3 +169,13 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
         "conv_id bigint, turn bigint, role string, text string")
     return chat_format.digests(chat_format.formatted(said.unionByName(quoting)))
+
+
+@registered("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens of all documents."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        first = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        second = file.read()
+    return alignment.link_statistics(table(spark, sf_dir, "documents"), first, second)
