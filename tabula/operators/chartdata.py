@@ -21,11 +21,15 @@ Scale notes
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabula.functions.distributions import t_quantile
 from tabula.functions.scalar import range_bucket, range_bucket_order
 from tabula.operators.stats import DEFAULT_ACCURACY, group_quantiles, safe_corr
 from tabula.plans.strategy import attach_scalars, cut_lineage, join_group_stats
@@ -41,18 +45,6 @@ def _stats_of(vals: DataFrame, by: list[str], aggs: list[Column]) -> DataFrame:
     return vals.groupBy(*by).agg(*aggs) if by else vals.agg(*aggs)
 
 
-def _join_small(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
-    """Join two per-group tables (one row per group each) on the group keys."""
-    if not by:
-        return a.crossJoin(b)
-    ren = b.select(*[F.col(k).alias(f"__b_{k}") for k in by], *[c for c in b.columns if c not in by])
-    cond = None
-    for k in by:
-        e = a[k].eqNullSafe(ren[f"__b_{k}"])
-        cond = e if cond is None else cond & e
-    return a.join(ren, cond).drop(*[f"__b_{k}" for k in by])
-
-
 # --------------------------------------------------------------------------
 # counts and shares (VIZ1-VIZ3, VIZ9, VIZ10)
 # --------------------------------------------------------------------------
@@ -76,6 +68,33 @@ def bar_share(df: DataFrame, x: str, fill: str, facets: Sequence[str] = ()) -> D
     return out.withColumn("share", F.col("count") / F.col("__total")).drop("__total")
 
 
+def mosaic_cells(df: DataFrame, x: str, fill: str, facets: Sequence[str] = ()) -> DataFrame:
+    """VIZ2: the rectangles of a spine or mosaic plot.
+
+    ``(facets..., x, fill, count, x0, x1, y0, y1)``: a category of ``x`` is as
+    wide as its share of the facet's rows, a cell of it as high as its share of
+    that category; both axes run from 0 to 1, categories in ascending order.
+    The running shares are windows over the counts, one row per cell.
+    """
+    facets = list(facets)
+    counts = df.groupBy(*facets, x, fill).agg(F.count(F.lit(1)).alias("count"))
+    whole = Window.partitionBy(*facets, x)
+    upto = whole.orderBy(fill).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = counts.select(*facets, x, fill, "count", F.sum("count").over(whole).alias("__own"),
+                          F.sum("count").over(upto).alias("__upto"))
+    bars = counts.groupBy(*facets, x).agg(F.sum("count").alias("__width"))
+    facet = Window.partitionBy(*facets) if facets else Window.partitionBy(F.lit(0))
+    along = facet.orderBy(x).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bars = bars.select(*facets, x, F.sum("__width").over(along).alias("__right"),
+                       F.sum("__width").over(facet).alias("__total"))
+    placed = join_group_stats(cells, bars, [*facets, x])
+    return placed.select(*facets, x, fill, "count",
+                         ((F.col("__right") - F.col("__own")) / F.col("__total")).alias("x0"),
+                         (F.col("__right") / F.col("__total")).alias("x1"),
+                         ((F.col("__upto") - F.col("count")) / F.col("__own")).alias("y0"),
+                         (F.col("__upto") / F.col("__own")).alias("y1"))
+
+
 def dotplot_bins(df: DataFrame, col: str, binwidth: float = 1.0,
                  by: Sequence[str] = ()) -> DataFrame:
     """VIZ3: dot-plot stacks — counts per bin of width ``binwidth`` (``[k·w, (k+1)·w)``)."""
@@ -86,6 +105,112 @@ def dotplot_bins(df: DataFrame, col: str, binwidth: float = 1.0,
               .withColumn("center", (F.col("bin") + F.lit(0.5)) * F.lit(binwidth)))
 
 
+#: A value this close to a bin's end still belongs to the bin, as in the usual dot plots.
+DOT_SLACK = 1e-8
+
+
+def dotplot_density(df: DataFrame, col: str, binwidth: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
+    """VIZ3: dot-density bins, which start at data points.
+
+    The first bin of a group starts at its smallest value; each next one at the
+    first value that lies ``binwidth`` or more beyond the start of the one
+    before.  Output ``(by..., low, high, count, center)``: the bin's smallest
+    and largest value, its rows, and the middle of the two (where the stack of
+    dots stands).  NULL and NaN values are left out.
+
+    Where a bin starts depends on all bins before it, yet the values never meet
+    in one task.  They are counted and range partitioned; every partition says
+    where it is left if it is entered at one of the values that may start its
+    first bin (those within a bin's width of its smallest).  A walk over these
+    few rows, in order and with one number as its state, gives each partition
+    its entry, and all partitions then cut their own bins at once; a bin that
+    spans a border comes out in two parts, which the last aggregate joins.
+    """
+    by = list(by)
+    if not binwidth > 0:
+        raise ValueError("binwidth must be positive")
+    step = float(binwidth) + DOT_SLACK
+    keys = [f"__k{i}" for i in range(len(by))]
+    vals = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], _num(col).alias("__v"))
+    counted = (vals.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+               .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")))
+    dealt = cut_lineage(counted.repartitionByRange(*keys, "__v").withColumn("__part", F.spark_partition_id()))
+    types = {f.name: f.dataType.simpleString() for f in dealt.schema.fields}
+    names = [*keys, "__part"]
+
+    def schema(*own: str) -> str:
+        return ", ".join([*(f"`{k}` {types[k]}" for k in names), *own])
+
+    def entries(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        values = np.sort(pdf["__v"].to_numpy())
+        after = np.searchsorted(values, values + step, "left")     # where the next bin starts
+        after = np.maximum(after, np.arange(len(values)) + 1)      # a step too small for the value's size
+        left = np.arange(len(values))
+        for i in range(len(values) - 1, -1, -1):
+            if after[i] < len(values):
+                left[i] = left[after[i]]
+        n = min(int(after[0]) + 1, len(values))                     # the last bin before may reach so far
+        out = pd.DataFrame({"__v": values[:n], "__left": values[left[:n]]})
+        return _with_keys(out, names, key)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = part = start = None
+        passed = False
+        for batch in batches:
+            out = []
+            for *own, number, value, left in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != group:
+                    group, part, start = own, None, None
+                if number != part:
+                    part, passed = number, False
+                if not passed and (start is None or value >= start + step):
+                    out.append((*own, number, value))
+                    start, passed = left, True
+            if out:
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*out), batch.schema)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "__first"])
+
+    def bins(key: tuple, pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__v")
+        values, counts = pdf["__v"].to_numpy(), pdf["__c"].to_numpy()
+        at = int(np.searchsorted(values, entry["__first"].iloc[0])) if len(entry) else len(values)
+        starts = [0] if at else []                                  # the rest of the bin before
+        while at < len(values):
+            starts.append(at)
+            at = max(int(np.searchsorted(values, values[at] + step, "left")), at + 1)
+        ends = np.array([*starts[1:], len(values)]) - 1
+        first = int(np.searchsorted(values, entry["__first"].iloc[0])) if len(entry) else len(values)
+        out = pd.DataFrame({
+            "__start": [None if s < first else values[s] for s in starts], "__low": values[starts],
+            "__high": values[ends], "__n": np.add.reduceat(counts, starts)})
+        out["__start"] = out["__start"].astype("float64")
+        return _with_keys(out, names, key)
+
+    found = dealt.groupBy(*names).applyInPandas(entries, schema("__v double", "__left double"))
+    ordered = (found.repartition(*keys) if keys else found.repartition(1)).sortWithinPartitions(*names, "__v")
+    firsts = cut_lineage(ordered.select(*names, "__v", "__left").mapInArrow(walk, schema("__first double")))
+    pieces = cut_lineage(dealt.groupBy(*names).cogroup(firsts.groupBy(*names)).applyInPandas(
+        bins, schema("__start double", "__low double", "__high double", "__n bigint")))
+    # a rest belongs to the last bin that starts in an earlier partition of its group
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    last = (pieces.groupBy(*names).agg(F.max("__start").alias("__last"))
+            .select(*names, F.last("__last", ignorenulls=True).over(before).alias("__carried")))
+    joined = join_group_stats(pieces, last, names)
+    start = F.coalesce("__start", "__carried")
+    return (joined.groupBy(*keys, start.alias("__start"))
+            .agg(F.min("__low").alias("low"), F.max("__high").alias("high"), F.sum("__n").alias("count"))
+            .select(*[F.col(k).alias(c) for k, c in zip(keys, by)], "low", "high", "count",
+                    ((F.col("low") + F.col("high")) / 2).alias("center")))
+
+
+def _with_keys(out: pd.DataFrame, names: list[str], key: tuple) -> pd.DataFrame:
+    """``out`` behind constant columns that hold a group's key."""
+    for name, value in zip(reversed(names), reversed(key)):
+        out.insert(0, name, pd.Series([value] * len(out), dtype=object if value is None else None))
+    return out
+
+
 def bin2d(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:
     """VIZ9: rectangular 2-D bin counts over the data range, ``bins`` per axis.
 
@@ -266,17 +391,15 @@ def density_1d(df: DataFrame, col: str, by: Sequence[str] = (), n: int = 512,
     if n < 2:
         raise ValueError("n must be at least 2")
     vals = df.select(*by, _num(col).alias("__v")).where(F.col("__v").isNotNull())
-    aggs = [F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx")]
-    if bw is None:
-        aggs.append(F.stddev_samp("__v").alias("__sd"))
-    stats = _stats_of(vals, by, aggs)
+    ends = {"__mn": F.min("__v"), "__mx": F.max("__v")}
     if bw is None:
-        q = group_quantiles(vals, "__v", [0.25, 0.75], by, method, accuracy) \
-            .select(*by, F.col("__qs").alias("__q"))
-        stats = _join_small(stats, q, by)
-        stats = stats.withColumn("__bw", _nrd0(F.col("__sd"), F.col("__q")[1] - F.col("__q")[0],
-                                               F.col("__n"), F.col("__mn")))
+        # range, spread and the quartiles' first guesses come from one pass
+        stats = group_quantiles(vals, "__v", [0.25, 0.75], by, method, accuracy,
+                                {**ends, "__sd": F.stddev_samp("__v")})
+        iqr = F.col("__qs")[1] - F.col("__qs")[0]
+        stats = cut_lineage(stats.withColumn("__bw", _nrd0(F.col("__sd"), iqr, F.col("__n"), F.col("__mn"))))
     else:
+        stats = _stats_of(vals, by, [F.count(F.lit(1)).alias("__n"), *[c.alias(k) for k, c in ends.items()]])
         stats = stats.withColumn("__bw", F.lit(float(bw)))
     stats = stats.select(*by, "__n", "__mn", "__mx", "__bw")
     if bins is None:
@@ -364,29 +487,27 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
     vx, vy = _num(x), _num(y)
     vals = df.select(vx.alias("__x"), vy.alias("__y")) \
         .where(F.col("__x").isNotNull() & F.col("__y").isNotNull())
-    aggs = [F.count(F.lit(1)).alias("__n"),
-            F.min("__x").alias("__xmn"), F.max("__x").alias("__xmx"),
-            F.min("__y").alias("__ymn"), F.max("__y").alias("__ymx")]
     if h is None:
-        aggs += [F.stddev_samp("__x").alias("__sx"), F.stddev_samp("__y").alias("__sy")]
-    stats = vals.agg(*aggs)
-    if h is None:
-        # both axes' quartiles in one quantile plan, keyed by axis
+        # both axes in one plan, keyed by axis: range, spread and quartiles
         axes = vals.select(F.explode(F.array(
             F.struct(F.lit("x").alias("__axis"), F.col("__x").alias("__a")),
             F.struct(F.lit("y").alias("__axis"), F.col("__y").alias("__a")))).alias("__e")) \
             .select("__e.*")
-        q = group_quantiles(axes, "__a", [0.25, 0.75], ["__axis"], method, accuracy)
-        qxy = q.agg(F.max(F.when(F.col("__axis") == "x", F.col("__qs"))).alias("__qx"),
-                    F.max(F.when(F.col("__axis") == "y", F.col("__qs"))).alias("__qy"))
-        stats = stats.crossJoin(qxy)
-        stats = stats.select(
-            "__n", "__xmn", "__xmx", "__ymn", "__ymx",
-            (_nrd(F.col("__sx"), F.col("__qx")[1] - F.col("__qx")[0], F.col("__n"),
-                  F.col("__xmn")) / 4).alias("__hx"),
-            (_nrd(F.col("__sy"), F.col("__qy")[1] - F.col("__qy")[0], F.col("__n"),
-                  F.col("__ymn")) / 4).alias("__hy"))
+        own = group_quantiles(axes, "__a", [0.25, 0.75], ["__axis"], method, accuracy,
+                              {"__mn": F.min("__v"), "__mx": F.max("__v"), "__sd": F.stddev_samp("__v")})
+        iqr = F.col("__qs")[1] - F.col("__qs")[0]
+        own = own.withColumn("__h", _nrd(F.col("__sd"), iqr, F.col("__n"), F.col("__mn")) / 4)
+
+        def of(axis: str, name: str, alias: str) -> Column:
+            return F.max(F.when(F.col("__axis") == axis, F.col(name))).alias(alias)
+
+        stats = cut_lineage(own.agg(
+            F.max("__n").alias("__n"), of("x", "__mn", "__xmn"), of("x", "__mx", "__xmx"), of("y", "__mn", "__ymn"),
+            of("y", "__mx", "__ymx"), of("x", "__h", "__hx"), of("y", "__h", "__hy")))
     else:
+        stats = vals.agg(F.count(F.lit(1)).alias("__n"),
+                         F.min("__x").alias("__xmn"), F.max("__x").alias("__xmx"),
+                         F.min("__y").alias("__ymn"), F.max("__y").alias("__ymx"))
         stats = stats.withColumn("__hx", F.lit(h[0] / 4.0)).withColumn("__hy", F.lit(h[1] / 4.0))
     if bins is None:
         pairs = vals.groupBy("__x", "__y").agg(F.count(F.lit(1)).alias("__w"))
@@ -414,6 +535,93 @@ def density_2d(df: DataFrame, x: str, y: str, n: int = 50,
         .alias("density"))
 
 
+def pretty_step(low: Column, high: Column, n: int) -> Column:
+    """The step of about ``n`` round levels between two numbers: 1, 2, 5 or 10 times a power of ten.
+
+    The rule of R's ``pretty``: the next larger step is taken if the cell is
+    nearer to it, with a bias of 1.5 (2.75 at the step to 5).
+    """
+    cell = (high - low) / F.lit(n)
+    base = F.pow(F.lit(10.0), F.floor(F.log10(cell)))
+    return base * (F.when(10 * base - cell < 1.5 * (cell - 5 * base), 10)
+                   .when(5 * base - cell < 2.75 * (cell - 2 * base), 5)
+                   .when(2 * base - cell < 1.5 * (cell - base), 2).otherwise(1))
+
+
+#: Corners of a grid cell, counter-clockwise from the lower left; edge k joins corner k and the next.
+_CORNERS = ((0, 0), (1, 0), (1, 1), (0, 1))
+
+
+def _crossed(case: int, centre: bool) -> list[tuple[int, int]]:
+    """The pairs of edges that a level line joins in a cell.
+
+    Bit k of ``case`` says whether corner k lies at or above the level.  In a
+    saddle the line cuts off the two corners that differ from the cell's centre.
+    """
+    up = [bool(case >> k & 1) for k in range(4)]
+    cut = [k for k in range(4) if up[k] != up[(k + 1) % 4]]
+    if len(cut) < 4:
+        return [tuple(cut)] if cut else []
+    return [(0, 1), (2, 3)] if up[0] == centre else [(0, 3), (1, 2)]
+
+
+def contour_lines(surface: DataFrame, levels: int | Sequence[float] = 10, value: str = "density") -> DataFrame:
+    """VIZ8: level lines of a surface on a grid, by marching squares.
+
+    ``surface`` has one row per grid point ``(i, j, x, y, value)``.  Output, one
+    row per piece of a line: ``(level, i, j, edge0, edge1, x0, y0, x1, y1)``;
+    (i, j) is the cell's lower left point, the ends lie on two of its edges (0
+    lower, 1 right, 2 upper, 3 left), where the value is interpolated linearly.
+    Neighbouring cells have the same point on their common edge, so pieces join
+    without gaps.  ``levels`` is a list, or a number of round levels wanted.
+    """
+    z = F.col(value)
+    corners = [F.struct((F.col("i") - di).alias("i"), (F.col("j") - dj).alias("j"), F.lit(k).alias("k"),
+                        F.col("x"), F.col("y"), z.alias("z")) for k, (di, dj) in enumerate(_CORNERS)]
+    cells = (surface.where(z.isNotNull()).select(F.inline(F.array(*corners))).groupBy("i", "j")
+             .agg(F.count(F.lit(1)).alias("__n"), F.min("x").alias("__xl"), F.max("x").alias("__xr"),
+                  F.min("y").alias("__yl"), F.max("y").alias("__yu"),
+                  *[F.max(F.when(F.col("k") == k, F.col("z"))).alias(f"__z{k}") for k in range(4)])
+             .where("__n = 4").drop("__n"))
+    if isinstance(levels, int):
+        span = surface.agg(F.min(z).alias("__lo"), F.max(z).alias("__hi")).where("__hi > __lo")
+        step = pretty_step(F.col("__lo"), F.col("__hi"), levels)
+        places = F.sequence(F.floor(F.col("__lo") / step + 1e-7), F.ceil(F.col("__hi") / step - 1e-7))
+        wanted = span.select(F.transform(places, lambda k: k * step).alias("__levels"))
+    else:
+        wanted = surface.agg(F.array(*[F.lit(float(v)) for v in levels]).alias("__levels"))
+    # one row holds all levels, and a cell's lines need no other cell
+    at = attach_scalars(cells, wanted).withColumn("level", F.explode("__levels"))
+    level, zs = F.col("level"), [F.col(f"__z{k}") for k in range(4)]
+
+    def between(a: Column, b: Column, za: Column, zb: Column) -> Column:
+        return a + F.try_divide(level - za, zb - za) * (b - a)
+
+    xl, xr, yl, yu = (F.col(c) for c in ("__xl", "__xr", "__yl", "__yu"))
+    ends = [(between(xl, xr, zs[0], zs[1]), yl), (xr, between(yl, yu, zs[1], zs[2])),
+            (between(xl, xr, zs[3], zs[2]), yu), (xl, between(yl, yu, zs[0], zs[3]))]
+    case = sum((F.when(v >= level, 1 << k).otherwise(0) for k, v in enumerate(zs)), F.lit(0))
+    case = case + F.when((zs[0] + zs[1] + zs[2] + zs[3]) / 4 >= level, 16).otherwise(0)
+    none = F.array().cast("array<struct<edge0:int,edge1:int>>")
+    table = F.array(*[F.array(*[F.struct(F.lit(a).alias("edge0"), F.lit(b).alias("edge1")) for a, b in pairs])
+                      if pairs else none for c in range(32) for pairs in [_crossed(c & 15, c > 15)]])
+    found = at.select("level", "i", "j", F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ends])
+                      .alias("__e"), F.inline(F.get(table, case)))
+    first, second = F.get("__e", F.col("edge0")), F.get("__e", F.col("edge1"))
+    return found.select("level", "i", "j", "edge0", "edge1", first["x"].alias("x0"), first["y"].alias("y0"),
+                        second["x"].alias("x1"), second["y"].alias("y1"))
+
+
+def density_contours(df: DataFrame, x: str, y: str, n: int = 50, levels: int | Sequence[float] = 10,
+                     h: tuple[float, float] | None = None, bins: int | None = 128) -> DataFrame:
+    """VIZ8: level lines of the 2-D density (:func:`density_2d`), see :func:`contour_lines`.
+
+    The grid of n × n points is computed once and kept; everything after it is
+    as large as the grid.
+    """
+    return contour_lines(cut_lineage(density_2d(df, x, y, n, h, bins=bins)), levels)
+
+
 # --------------------------------------------------------------------------
 # lines, means, areas (VIZ11-VIZ15, VIZ19)
 # --------------------------------------------------------------------------
@@ -434,14 +642,15 @@ def lm_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def lm_band(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int = 80,
-            critical: float = 1.959963984540054) -> DataFrame:
+            level: float = 0.95, critical: float | None = None) -> DataFrame:
     """VIZ11: the fitted line with its confidence band on ``points`` evenly spaced x.
 
-    ``(by..., index, x, fit, lower, upper)``; the band is ``fit ± critical ·
-    s · √(1/n + (x - mean)²/Sxx)`` with ``s² = (Syy - slope·Sxy)/(n - 2)``, all
-    from one mergeable pass.  ``critical`` is the t quantile that the caller
-    wants (by default the normal one, for large n).  Groups with fewer than
-    three points or constant x have a NULL band.
+    ``(by..., index, x, fit, lower, upper)``; the band is ``fit ± t · s ·
+    √(1/n + (x - mean)²/Sxx)`` with ``s² = (Syy - slope·Sxy)/(n - 2)``, all from
+    one mergeable pass.  ``t`` is Student's quantile for each group's own n - 2
+    degrees of freedom, so that the band covers the line with probability
+    ``level`` in small groups too; ``critical`` puts another number in its place.
+    Groups with fewer than three points or constant x have a NULL band.
     """
     if points < 2:
         raise ValueError("points must be at least 2")
@@ -452,6 +661,8 @@ def lm_band(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int =
             F.regr_sxx(vy, vx).alias("__sxx"), F.regr_syy(vy, vx).alias("__syy"),
             F.regr_sxy(vy, vx).alias("__sxy"), F.min(known).alias("__mn"), F.max(known).alias("__mx")]
     lines = _stats_of(df, list(by), aggs).where("__n > 0")
+    factor = t_quantile(level, F.col("__n") - 2) if critical is None else F.lit(float(critical))
+    lines = lines.withColumn("__t", factor)
     grid = lines.withColumn("index", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn(
         "x", F.col("__mn") + F.col("index") * (F.col("__mx") - F.col("__mn")) / F.lit(points - 1))
     fit = F.col("__a") + F.col("__b") * F.col("x")
@@ -460,7 +671,7 @@ def lm_band(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int =
                       F.try_divide(residual, F.col("__n") - 2) * (
                           F.try_divide(F.lit(1.0), F.col("__n"))
                           + F.try_divide(F.pow(F.col("x") - F.col("__m"), 2), F.col("__sxx"))))
-    half = F.lit(float(critical)) * F.sqrt(variance)
+    half = F.col("__t") * F.sqrt(variance)
     return grid.select(*by, "index", "x", fit.alias("fit"), (fit - half).alias("lower"),
                        (fit + half).alias("upper"))
 

@@ -126,6 +126,21 @@ def top_k(df: DataFrame, k: int, *cols: str | Column, descending: bool = True) -
     return sort_by(df, *cols, descending=descending).limit(k)
 
 
+def head(df: DataFrame, n: int = 6) -> DataFrame:
+    """ACT1/ACT6: the first ``n`` rows of a Parquet table in the order of its files.
+
+    ``df`` is a table as read.  Rows are ordered by the hidden path of their
+    file and their place in it, so the result does not depend on which task
+    ends first; it is planned as ``TakeOrderedAndProject``, and rows beyond the
+    n-th of a file never reach it.
+    """
+    if n < 0:
+        raise ValueError("n must be 0 or more")
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    placed = df.select("*", path.alias("__path"), place.alias("__place")).where(F.col("__place") < n)
+    return placed.orderBy("__path", "__place").limit(n).drop("__path", "__place")
+
+
 def rank_categories(df: DataFrame, metric: str, name: str = "rank",
                     tie_break: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """SRT4: ``reorder(category, metric)`` — a dense 1-based rank of each row's metric.
@@ -138,7 +153,7 @@ def rank_categories(df: DataFrame, metric: str, name: str = "rank",
              *[F.col(t).asc() for t in tie_break]]
     keys = [metric, *tie_break]
     distinct_vals = df.select(*keys).distinct()
-    ranked = _distributed_rank(distinct_vals, order, name)
+    ranked = distributed_rank(distinct_vals, order, name)
     # NULL-safe match, so a NULL metric keeps its row (ranked first ascending)
     ren = ranked.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
     cond = None
@@ -148,7 +163,7 @@ def rank_categories(df: DataFrame, metric: str, name: str = "rank",
     return df.join(ren, cond, "inner").drop(*[f"__r_{k}" for k in keys])
 
 
-def _distributed_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def distributed_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Row number over a total order without a single-partition window.
 
     1. ``orderBy`` range-partitions and sorts the rows;

@@ -13,28 +13,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.plans.strategy import attach_scalars, salt_column
+from tabula.operators.hotkeys import copy_rows, hot_keys, split_rows
+from tabula.plans.strategy import attach_scalars
 
 
 def join_drop_key(left: DataFrame, right: DataFrame, key: str | Sequence[str],
-                  how: str = "inner", salt_buckets: int | None = None) -> DataFrame:
+                  how: str = "inner", salt_buckets: int | None = None,
+                  split_hot: bool = False) -> DataFrame:
     """JOIN1: equi-join that keeps a single copy of the key column(s).
 
     The strategy is Catalyst's (broadcast-hash for a small side, sort-merge
     otherwise, AQE splitting skewed partitions at run time).  With
-    ``salt_buckets`` the join is salted explicitly for a known hot key: every
-    left row gets a hashed salt, every right row is replicated once per salt
-    (``inner`` and ``left`` joins only, where replicating the right side keeps
-    the result exact).
+    ``split_hot`` the left side's hot keys are found first
+    (:mod:`tabula.operators.hotkeys`): their left rows are dealt to as many
+    parts as their share is worth, and only their right rows are copied, once
+    per part.  ``salt_buckets`` does the same and sets the share above which a
+    key is hot, one ``salt_buckets``-th of the rows.  ``inner`` and ``left``
+    joins only, where copying right rows keeps the result exact.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if not salt_buckets:
+    if not (salt_buckets or split_hot):
         return left.join(right, keys, how)
     if how not in ("inner", "left", "left_outer"):
-        raise ValueError("salted joins replicate the right side: inner or left joins only")
-    salted = left.withColumn("__salt", salt_column(salt_buckets))
-    spread = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(spread, keys + ["__salt"], how).drop("__salt")
+        raise ValueError("split joins copy right rows: inner or left joins only")
+    hot = hot_keys(left, keys, salt_buckets)
+    return (split_rows(left, keys, hot).join(copy_rows(right, keys, hot), [*keys, "__part"], how)
+            .drop("__part"))
 
 
 def merge(left: DataFrame, right: DataFrame, by: str | Sequence[str],

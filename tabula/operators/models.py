@@ -14,12 +14,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.feature import IndexToString, RFormula, StringIndexer
+from pyspark.ml.feature import IndexToString, RFormula
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabula.operators.groups import distributed_rank
+
 
 def _free_name(df: DataFrame, base: str) -> str:
     name, i = base, 0
@@ -196,11 +198,27 @@ def fit_per_family(df: DataFrame, formula: str, families: Sequence[str]) -> Data
     return df.sparkSession.createDataFrame(rows, _GLM_ROW)
 
 
-def index_labels(df: DataFrame, col: str, output: str = "label_index",
-                 order: str = "frequencyDesc") -> tuple[DataFrame, object]:
-    """MLR11: text/factor → 0-based double index (most frequent first)."""
-    model = StringIndexer(inputCol=col, outputCol=output, stringOrderType=order).fit(df)
-    return model.transform(df), model
+def label_table(df: DataFrame, col: str, output: str = "label_index") -> DataFrame:
+    """MLR11: ``(label, count, index)`` of a text column's values, the most frequent with index 0.
+
+    Ties go by the label.  The labels are ranked by a range sort with
+    per-partition offsets; they are never gathered in one place, however many
+    there are.  NULL is no label.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    ranked = distributed_rank(counts, [F.col("count").desc(), F.col(col).asc()], "__rank")
+    return ranked.select(col, "count", (F.col("__rank") - 1).cast("double").alias(output))
+
+
+def index_labels(df: DataFrame, col: str, output: str = "label_index") -> tuple[DataFrame, DataFrame]:
+    """MLR11: text/factor → 0-based double index (most frequent first), and the label table.
+
+    The index is joined to the rows by the label; rows without a label keep a
+    NULL index.
+    """
+    labels = label_table(df, col, output)
+    side = labels.select(F.col(col).alias("__label"), output)
+    return df.join(side, F.col(col) == F.col("__label"), "left").drop("__label"), labels
 
 
 def index_to_text(df: DataFrame, col: str, labels: Sequence[str], output: str) -> DataFrame:

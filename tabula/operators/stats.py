@@ -3,20 +3,20 @@
 All statistics are distributed aggregations that return small tables; none
 collects rows to the driver.  Quantiles come in two kinds: exact ones
 (``exact`` interpolates as R type 7, ``disc`` takes an element of the data),
-by the one plan of :mod:`tabula.operators.selection` whatever the size, and
+by the mergeable passes of :mod:`tabula.operators.selection`, and
 ``approx``, Spark's Greenwald-Khanna sketch, only when the caller asks for it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabula.operators.selection import exact_quantiles
-from tabula.plans.strategy import attach_scalars, join_group_stats
+from tabula.operators.selection import exact_quantiles, select_ranks
+from tabula.plans.strategy import attach_scalars, cut_lineage, join_group_stats
 
 DEFAULT_ACCURACY = 10_000
 
@@ -64,20 +64,22 @@ _KINDS = {"exact": "cont", "disc": "disc"}
 
 
 def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Quantiles of one column per group: ``(by..., __n, __qs array<double>)``.
+                    method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
+                    also: Mapping[str, Column] | None = None) -> DataFrame:
+    """Quantiles of one column per group: ``(by..., __n, also..., __qs array<double>)``.
 
     ``exact`` and ``disc`` go through :func:`exact_quantiles`; ``approx`` is one
-    sketch aggregate whose memory ``accuracy`` bounds.  NULLs are ignored; groups
-    without values are absent.
+    sketch aggregate whose memory ``accuracy`` bounds.  ``also`` names aggregates of
+    ``__v`` that come from the same pass.  NULLs are ignored; groups without
+    values are absent.
     """
     by = list(by)
     vals = df.select(*by, F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     if method in _KINDS:
-        return exact_quantiles(vals, by, probs, _KINDS[method])
+        return exact_quantiles(vals, by, probs, _KINDS[method], also)
     if method != "approx":
         raise ValueError("method must be 'exact', 'disc' or 'approx'")
-    aggs = [F.count(F.lit(1)).alias("__n"),
+    aggs = [F.count(F.lit(1)).alias("__n"), *[c.alias(name) for name, c in (also or {}).items()],
             F.percentile_approx("__v", list(probs), accuracy).alias("__qs")]
     return vals.groupBy(*by).agg(*aggs) if by else vals.agg(*aggs).where(F.col("__n") > 0)
 
@@ -308,6 +310,90 @@ def split_by_except(df: DataFrame, fraction: float, seed: int | None = None
     return train, except_rows(df, train)
 
 
+#: Hexadecimal digits of a row's draw that serve as a number: 52 bits, exact in a double.
+DRAW_DIGITS = 13
+
+
+def _drawn(df: DataFrame, key: Sequence[str] | None, seed: int) -> DataFrame:
+    """``df`` with ``__draw``, the MD5 of seed and key in hex, the same in any layout and engine.
+
+    With a key that names the rows the text is ``seed|key...``.  Without one
+    the rows are numbered among their equals and the text is
+    ``seed|number|column...``; equal rows are counted (partially before the
+    shuffle) and written out again, so a row that occurs very often is no burden.
+    """
+    columns = df.columns
+
+    def text(parts: list[Column]) -> Column:
+        return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
+
+    if key is not None:
+        return df.withColumn("__draw", text([F.lit(seed), *[F.col(k) for k in key]]))
+    runs = (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
+            .withColumn("__run", F.explode(F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / 1024)))))
+    last = F.least(F.col("__copies"), (F.col("__run") + 1) * 1024)
+    numbered = runs.select(*columns, F.explode(F.sequence(F.col("__run") * 1024 + 1, last)).alias("__copy"))
+    return numbered.withColumn("__draw", text([F.lit(seed), F.col("__copy"), *[F.col(c) for c in columns]])) \
+        .drop("__copy")
+
+
+def _draw_number() -> Column:
+    return F.conv(F.substring("__draw", 1, DRAW_DIGITS), 16, 10).cast("double")
+
+
+def sample_exact(df: DataFrame, fraction: float | None = None, rows: int | None = None,
+                 seed: int = 0, key: Sequence[str] | None = None) -> DataFrame:
+    """STA11: a repeatable sample of exactly ``rows`` rows (or ``fraction`` of them, rounded).
+
+    The rows with the smallest draws (MD5 of seed and row) are taken, so the
+    sample depends on the rows alone: not on files, partitions or engine.  The
+    largest draw that belongs to it is found by rank selection, without a sort.
+    ``key`` names columns that are unique for every row and saves the numbering
+    of equal rows; without it all columns together name a row.
+    """
+    if (fraction is None) == (rows is None):
+        raise ValueError("give either fraction or rows")
+    drawn = _drawn(df, key, seed)
+    if key is None:
+        drawn = cut_lineage(drawn)      # numbers of equal rows belong to one deal
+    wanted = (lambda n: F.lit(int(rows))) if rows is not None else (lambda n: F.floor(F.lit(float(fraction)) * n + 0.5))
+    last = select_ranks(drawn.select(_draw_number().alias("__v")), [],
+                        [lambda n: F.greatest(F.least(wanted(n), n) - 1, F.lit(0))],
+                        [fraction if fraction is not None else 0.5])
+    limits = last.select(F.col("__s0").alias("__last"), F.least(wanted(F.col("__n")), F.col("__n")).alias("__want"))
+    placed = attach_scalars(drawn.withColumn("__number", _draw_number()), limits).where("__want > 0")
+    below = placed.where("__number < __last")
+    # draws that agree in all digits of the number, if any: the rest of the MD5 decides
+    missing = attach_scalars(limits, below.agg(F.count(F.lit(1)).alias("__have")))
+    level = placed.where("__number = __last").select(*df.columns, "__draw")
+    order = Window.partitionBy(F.lit(0)).orderBy("__draw")
+    level = (attach_scalars(level.withColumn("__place", F.row_number().over(order)), missing)
+             .where(F.col("__place") <= F.col("__want") - F.col("__have")))
+    return below.select(*df.columns).union(level.select(*df.columns))
+
+
+def split_exact(df: DataFrame, weights: Sequence[float], seed: int = 0,
+                key: Sequence[str] | None = None) -> list[DataFrame]:
+    """STA12/STA13: disjoint parts that keep every row, duplicates included.
+
+    A row goes where its draw falls among the running weights: the parts add up
+    to the table whatever its layout, equal rows are split like any others, and
+    any engine repeats the split.  Sizes follow the weights as chance has it.
+    ``key`` as in :func:`sample_exact`.
+    """
+    total = float(sum(weights))
+    if not weights or min(weights) < 0 or total <= 0:
+        raise ValueError("weights must be numbers of 0 or more, not all 0")
+    drawn, span = _drawn(df, key, seed), 16 ** DRAW_DIGITS
+    ends = [math.floor(sum(weights[:k + 1]) / total * span) for k in range(len(weights))]
+    ends[-1] = span
+    number, parts, start = F.conv(F.substring("__draw", 1, DRAW_DIGITS), 16, 10).cast("bigint"), [], 0
+    for end in ends:
+        parts.append(drawn.where((number >= start) & (number < end)).drop("__draw"))
+        start = end
+    return parts
+
+
 def split_report(table: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """One row about a split: ``(n, n_first, n_second, n_union, n_overlap)``.
 

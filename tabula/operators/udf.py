@@ -9,10 +9,11 @@ row by row.  Two additions over the plain Spark calls:
   batches are widened (whole numbers and fractions to double, else to text);
 * **hot groups**: ``applyInPandas`` hands a whole group to one task.  When the
   per-group function is decomposable (max, sum, count, min ...), pass
-  ``combine``: each group is split into sub-groups by a salt hashed from the
-  row, the function runs on the parts, and the built-in aggregates in
-  ``combine`` merge the partial results per real group.  A function that needs
-  its group whole has to say so (``whole_group=True``).
+  ``combine``: groups that hold more than a task's share of the rows are split
+  into as many parts as that share is worth (:mod:`tabula.operators.hotkeys`),
+  the function runs on the parts, and the built-in aggregates in ``combine``
+  merge the partial results per real group.  All other groups stay whole.  A
+  function that needs its group whole has to say so (``whole_group=True``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.plans.strategy import DEFAULT_SALT_BUCKETS, salt_column
+from tabula.operators.hotkeys import hot_keys, split_rows
 
 PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 GroupFn = Callable[[tuple, pd.DataFrame], pd.DataFrame]
@@ -124,33 +125,35 @@ def map_partitions_inferred(df: DataFrame, fn: PandasFn,
     return map_partitions(df, fn, schema)
 
 
-def _salted(df: DataFrame, salt_buckets: int) -> DataFrame:
-    return df.withColumn("__salt", salt_column(salt_buckets))
+def _split(df: DataFrame, keys: list[str], parts: int | None) -> DataFrame:
+    return split_rows(df, keys, hot_keys(df, keys, parts))
 
 
 def _part(fn: GroupFn, n_keys: int) -> GroupFn:
-    """``fn`` on a salted part of a group."""
+    """``fn`` on a part of a group."""
     def part(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(key[:n_keys], pdf.drop(columns="__salt"))
+        return fn(key[:n_keys], pdf.drop(columns="__part"))
     return part
 
 
 def map_groups(df: DataFrame, keys: Sequence[str], fn: GroupFn, schema: T.StructType | str,
                combine: Mapping[str, str] | None = None,
-               salt_buckets: int = DEFAULT_SALT_BUCKETS, whole_group: bool = False) -> DataFrame:
+               salt_buckets: int | None = None, whole_group: bool = False) -> DataFrame:
     """UDF3 (``gapply``): apply ``fn(key, pdf)`` to each group.
 
-    With ``combine`` (output column → ``max``/``min``/``sum``/``count``) every
-    group is split into ``salt_buckets`` parts, ``fn`` runs per part, and the
-    parts' results are merged per group, so no group is ever held by one task.
-    ``whole_group=True`` is ``applyInPandas``: one call, and one task, a group.
+    With ``combine`` (output column → ``max``/``min``/``sum``/``count``) a group
+    that holds more than one ``salt_buckets``-th of the rows (by default the
+    session's shuffle partitions) is split into as many parts as its share is
+    worth, ``fn`` runs per part, and the parts' results are merged per group,
+    so no task holds a hot group.  ``whole_group=True`` is ``applyInPandas``:
+    one call, and one task, a group.
     """
     keys = list(keys)
     if whole_group:
         return df.groupBy(*keys).applyInPandas(fn, schema)
     if not combine:
         raise ValueError("pass `combine` to merge the parts of a group, or whole_group=True")
-    partial = _salted(df, salt_buckets).groupBy(*keys, "__salt").applyInPandas(_part(fn, len(keys)), schema)
+    partial = _split(df, keys, salt_buckets).groupBy(*keys, "__part").applyInPandas(_part(fn, len(keys)), schema)
     out_keys = [c for c in partial.columns if c not in combine]
     return partial.groupBy(*out_keys).agg(
         *[_COMBINE[how](F.col(c)).alias(c) for c, how in combine.items()])
@@ -158,7 +161,7 @@ def map_groups(df: DataFrame, keys: Sequence[str], fn: GroupFn, schema: T.Struct
 
 def map_groups_inferred(df: DataFrame, keys: Sequence[str], fn: GroupFn,
                         combine: Mapping[str, str] | None = None,
-                        salt_buckets: int = DEFAULT_SALT_BUCKETS, whole_group: bool = False,
+                        salt_buckets: int | None = None, whole_group: bool = False,
                         schema: T.StructType | str | None = None) -> DataFrame:
     """UDF4 (``gapplyCollect``): :func:`map_groups` without a declared schema.
 
@@ -174,7 +177,7 @@ def map_groups_inferred(df: DataFrame, keys: Sequence[str], fn: GroupFn,
         def report(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             return _types(run(key, pdf))
 
-        groups = df.groupBy(*keys) if whole_group else _salted(df, salt_buckets).groupBy(*keys, "__salt")
+        groups = df.groupBy(*keys) if whole_group else _split(df, keys, salt_buckets).groupBy(*keys, "__part")
         schema = merged_schema(groups.applyInPandas(report, _TYPES), df)
     return map_groups(df, keys, fn, schema, combine, salt_buckets, whole_group)
 

@@ -177,6 +177,13 @@ def head_rows(spark, d):
     return G.top_k(o, 10, "o_orderkey", descending=False)
 
 
+@query("head_file_order", ids=("ACT1", "ACT6"), sql="""
+select l_orderkey, l_linenumber, l_quantity, l_extendedprice from lineitem limit 25""")
+def head_file_order(spark, d):
+    # the file's first rows, whatever they hold (the SQL reader keeps file order)
+    return G.head(Tables(spark, d).lineitem, 25).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
 @query("table_dims", ids=("ACT5",), sql="""
 select count(*) as n_rows, 11::bigint as n_cols from lineitem""")
 def table_dims(spark, d):

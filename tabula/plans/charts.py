@@ -129,7 +129,7 @@ def density_binned(spark, d):
     return round_doubles(V.density_1d(Tables(spark, d).events, "value", n=128, bins=1024), 9)
 
 
-@query("density_2d", ids=("VIZ8", "JOIN4"), sql=sql_rounded(f"""
+_DENSITY_2D_SQL = f"""
 with v as (select l_quantity as x, l_discount as y from lineitem
            where l_quantity is not null and l_discount is not null),
 s as (select count(*) as n, min(x) as xmn, max(x) as xmx, min(y) as ymn, max(y) as ymx,
@@ -150,11 +150,104 @@ select i, j, gx as x, gy as y,
        sum(c * exp(-0.5 * ((gx - p.x) / hx) * ((gx - p.x) / hx))
              * exp(-0.5 * ((gy - p.y) / hy) * ((gy - p.y) / hy))) / (n * hx * hy * {2 * math.pi!r})
          as density
-from g, p, s group by i, j, gx, gy, n, hx, hy""", ["x", "y", "density"], 9))
+from g, p, s group by i, j, gx, gy, n, hx, hy"""
+
+
+@query("density_2d", ids=("VIZ8", "JOIN4"), sql=sql_rounded(_DENSITY_2D_SQL, ["x", "y", "density"], 9))
 def density_2d(spark, d):
     return round_doubles(V.density_2d(Tables(spark, d).lineitem, "l_quantity", "l_discount", n=50), 9)
 
 
+# every cell's crossings in the order bottom, right, top, left; a saddle joins
+# them around the corners that differ from its centre
+_CONTOUR_SQL = """
+with z as ({density}),
+m as (select min(density) as lo, max(density) as hi from z),
+u as (select *, (hi - lo) / {levels} as cell, pow(10, floor(log10((hi - lo) / {levels}))) as base from m),
+k as (select lo, hi, base * case when 10 * base - cell < 1.5 * (cell - 5 * base) then 10
+                                 when 5 * base - cell < 2.75 * (cell - 2 * base) then 5
+                                 when 2 * base - cell < 1.5 * (cell - base) then 2 else 1 end as unit from u),
+l as (select i * unit as level from k, range(0, 60) r(i)
+      where i between floor(lo / unit + 1e-7) and ceil(hi / unit - 1e-7)),
+c as (select a.i, a.j, a.x as xl, a.y as yl, d.x as xr, d.y as yu, a.density as z0, b.density as z1,
+             d.density as z2, e.density as z3, level
+      from z a join z b on b.i = a.i + 1 and b.j = a.j join z d on d.i = a.i + 1 and d.j = a.j + 1
+               join z e on e.i = a.i and e.j = a.j + 1, l),
+p as (select i, j, level, [z0 >= level, z1 >= level, z2 >= level, z3 >= level] as up,
+             (z0 + z1 + z2 + z3) / 4 >= level as mid,
+             [{{'x': xl + (level - z0) / (z1 - z0) * (xr - xl), 'y': yl}},
+              {{'x': xr, 'y': yl + (level - z1) / (z2 - z1) * (yu - yl)}},
+              {{'x': xl + (level - z3) / (z2 - z3) * (xr - xl), 'y': yu}},
+              {{'x': xl, 'y': yl + (level - z0) / (z3 - z0) * (yu - yl)}}] as e from c),
+q as (select *, list_filter([1, 2, 3, 4], lambda k: up[k] <> up[k % 4 + 1]) as cut from p),
+s as (select i, j, level, unnest(case when len(cut) = 4 and up[1] = mid then [[1, 2], [3, 4]]
+                                      when len(cut) = 4 then [[1, 4], [2, 3]] else [cut] end) as ends, e
+      from q where len(cut) > 0)
+select level, i, j, (ends[1] - 1)::int as edge0, (ends[2] - 1)::int as edge1, e[ends[1]].x as x0, e[ends[1]].y as y0,
+       e[ends[2]].x as x1, e[ends[2]].y as y1 from s"""
+
+
+@query("density_contours", ids=("VIZ8",), sql=sql_rounded(
+    _CONTOUR_SQL.format(density=_DENSITY_2D_SQL, levels=10), ["level", "x0", "y0", "x1", "y1"], 6))
+def density_contours(spark, d):
+    out = V.density_contours(Tables(spark, d).lineitem, "l_quantity", "l_discount", n=50, levels=10)
+    return round_doubles(out, 6)
+
+
+@query("mosaic_cells", ids=("VIZ2",), sql=sql_rounded("""
+with c as (select o_orderpriority, o_orderstatus, count(*) as count from orders group by 1, 2),
+b as (select *, sum(count) over (partition by o_orderpriority) as own, sum(count) over () as total,
+             sum(count) over (partition by o_orderpriority order by o_orderstatus) as upto from c),
+x as (select o_orderpriority, sum(own) over (order by o_orderpriority) as right_edge
+      from (select distinct o_orderpriority, own from b))
+select o_orderpriority, o_orderstatus, count, (right_edge - own) / total as x0, right_edge / total as x1,
+       (upto - count) / own as y0, upto / own as y1
+from b join x using (o_orderpriority)""", ["x0", "x1", "y0", "y1"], 9))
+def mosaic_cells(spark, d):
+    return round_doubles(V.mosaic_cells(Tables(spark, d).orders, "o_orderpriority", "o_orderstatus"), 9)
+
+
+@query("mosaic_facets", ids=("VIZ2",), sql=sql_rounded("""
+with c as (select o_orderstatus, o_orderpriority, year(o_orderdate)::int as year, count(*) as count
+           from orders group by 1, 2, 3),
+b as (select *, sum(count) over (partition by o_orderstatus, o_orderpriority) as own,
+             sum(count) over (partition by o_orderstatus) as total,
+             sum(count) over (partition by o_orderstatus, o_orderpriority order by year) as upto from c),
+x as (select o_orderstatus, o_orderpriority,
+             sum(own) over (partition by o_orderstatus order by o_orderpriority) as right_edge
+      from (select distinct o_orderstatus, o_orderpriority, own from b))
+select o_orderstatus, o_orderpriority, year, count, (right_edge - own) / total as x0,
+       right_edge / total as x1, (upto - count) / own as y0, upto / own as y1
+from b join x using (o_orderstatus, o_orderpriority)""", ["x0", "x1", "y0", "y1"], 9))
+def mosaic_facets(spark, d):
+    o = Tables(spark, d).orders.withColumn("year", F.year("o_orderdate"))
+    return round_doubles(V.mosaic_cells(o, "o_orderpriority", "year", ["o_orderstatus"]), 9)
+
+
+# bins one after another: each starts at the first value beyond the one before
+_DOT_SQL = """
+with recursive v as (select {keys} as g, value as x, count(*) as c from events where value is not null group by all),
+b as (select g, min(x) as start from v group by g
+      union all
+      select b.g, (select min(x) from v where v.g = b.g and x >= b.start + {width} + 1e-8) as start
+      from b where b.start is not null),
+s as (select g, start, lead(start) over (partition by g order by start) as stop from b where start is not null)
+select {out} min(x) as low, max(x) as high, sum(c)::bigint as count, (min(x) + max(x)) / 2 as center
+from v join s on v.g = s.g and x >= start and (stop is null or x < stop) group by s.g, start"""
+
+
+@query("dotplot_density", ids=("VIZ3",), sql=sql_rounded(
+    _DOT_SQL.format(keys="0", out="", width="5.0"), ["low", "high", "center"], 9))
+def dotplot_density(spark, d):
+    return round_doubles(V.dotplot_density(Tables(spark, d).events, "value", 5.0), 9)
+
+
+@query("dotplot_density_groups", ids=("VIZ3",), sql=sql_rounded(
+    _DOT_SQL.format(keys="event_type", out="s.g as event_type,", width="2.5"), ["low", "high", "center"], 9))
+def dotplot_density_groups(spark, d):
+    return round_doubles(V.dotplot_density(Tables(spark, d).events, "value", 2.5, ["event_type"]), 9)
+
+
 _BIN2D_SQL = """
 with s as (select min(l_quantity) as xmn, max(l_quantity) as xmx,
                   min(l_extendedprice) as ymn, max(l_extendedprice) as ymx from lineitem),
@@ -207,23 +300,55 @@ def hexbin_subset(spark, d):
     return round_doubles(out, 9)
 
 
-@query("lm_band", ids=("VIZ11",), sql=sql_rounded("""
-with r as (select l_returnflag, regr_count(l_extendedprice, l_quantity) as n,
+# Student's quantile around the normal one, in powers of 1/df
+_Z = 1.959963984540054
+_T_SQL = " + ".join(f"({g!r}) / pow({{0}}, {k})" for k, g in enumerate((
+    _Z, (_Z**3 + _Z) / 4, (5 * _Z**5 + 16 * _Z**3 + 3 * _Z) / 96,
+    (3 * _Z**7 + 19 * _Z**5 + 17 * _Z**3 - 15 * _Z) / 384)))
+_BAND_SQL = """
+with r as (select {keys}, regr_count(l_extendedprice, l_quantity) as n,
                   regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a,
                   regr_avgx(l_extendedprice, l_quantity) as m, regr_sxx(l_extendedprice, l_quantity) as sxx,
                   regr_syy(l_extendedprice, l_quantity) as syy, regr_sxy(l_extendedprice, l_quantity) as sxy,
-                  min(l_quantity) as mn, max(l_quantity) as mx from lineitem group by 1),
+                  min(l_quantity) as mn, max(l_quantity) as mx from lineitem group by all),
 g as (select *, i::int as idx, mn + i * (mx - mn) / 19 as gx from r, range(20) t(i)),
 h as (select *, a + b * gx as fit,
-             1.96 * sqrt((syy - b * sxy) / (n - 2) * (1.0 / n + (gx - m) * (gx - m) / sxx)) as half from g)
-select l_returnflag, idx as "index", gx as x, fit, fit - half as lower, fit + half as upper from h""",
-    ["x", "fit", "lower", "upper"], 4))
+             {t} * sqrt((syy - b * sxy) / (n - 2) * (1.0 / n + (gx - m) * (gx - m) / sxx)) as half from g)
+select {keys}, idx as "index", gx as x, fit, fit - half as lower, fit + half as upper from h"""
+_BAND = ["x", "fit", "lower", "upper"]
+
+
+@query("lm_band", ids=("VIZ11",), sql=sql_rounded(
+    _BAND_SQL.format(keys="l_returnflag", t=f"({_T_SQL.format('(n - 2)::double')})"), _BAND, 4))
 def lm_band(spark, d):
-    out = V.lm_band(Tables(spark, d).lineitem, "l_quantity", "l_extendedprice", ["l_returnflag"],
-                    points=20, critical=1.96)
+    # hundreds of degrees of freedom and more: SQL has the expansion
+    out = V.lm_band(Tables(spark, d).lineitem, "l_quantity", "l_extendedprice", ["l_returnflag"], points=20)
     return round_doubles(out, 4)
 
 
+@query("lm_band_small", ids=("VIZ11",), sql=sql_rounded("""
+with s as (select regionkey, count(*) over (partition by regionkey) as k, x, y from (
+             select n_regionkey as regionkey, n_nationkey::double as x, count(*)::double as y
+             from nation join customer on c_nationkey = n_nationkey group by 1, 2)),
+r as (select regionkey, regr_count(y, x) as n, regr_slope(y, x) as b, regr_intercept(y, x) as a,
+             regr_avgx(y, x) as m, regr_sxx(y, x) as sxx, regr_syy(y, x) as syy, regr_sxy(y, x) as sxy,
+             min(x) as mn, max(x) as mx from s group by 1),
+t(df, q) as (values (1, 12.706204736432095), (2, 4.302652729911275), (3, 3.182446305284263),
+                    (4, 2.7764451051977987), (5, 2.570581835636314), (6, 2.4469118511449692)),
+g as (select *, i::int as idx, mn + i * (mx - mn) / 9 as gx from r, range(10) u(i)),
+h as (select g.*, a + b * gx as fit,
+             q * sqrt(greatest(syy - b * sxy, 0) / (n - 2) * (1.0 / n + (gx - m) * (gx - m) / sxx)) as half
+      from g left join t on df = n - 2)
+select regionkey, idx as "index", gx as x, fit, fit - half as lower, fit + half as upper from h""", _BAND, 6))
+def lm_band_small(spark, d):
+    # a handful of nations in each region: few degrees of freedom, tabulated in SQL
+    t = Tables(spark, d)
+    n, c = t.nation, t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("y"))
+    rows = n.join(c, n["n_nationkey"] == c["c_nationkey"]).select(
+        F.col("n_regionkey").alias("regionkey"), F.col("n_nationkey").cast("double").alias("x"), "y")
+    return round_doubles(V.lm_band(rows, "x", "y", ["regionkey"], points=10), 6)
+
+
 @query("lm_line", ids=("VIZ11",), sql="""
 select l_returnflag, regr_count(l_extendedprice, l_quantity)::bigint as n,
        round(regr_slope(l_extendedprice, l_quantity), 6) as slope,

@@ -30,6 +30,19 @@ def parquet_roundtrip(spark, d):
     return IO.read_parquet(spark, path)
 
 
+@query("replace_own_source", ids=("SNK1",), sql="""
+select o_orderstatus, count(*) as n, round(sum(o_totalprice * 1.1), 2) as total
+from orders where o_orderstatus <> 'F' group by 1""")
+def replace_own_source(spark, d):
+    # the table is replaced by a result that is read from it, twice
+    path = scratch_path(spark, "orders-replaced")
+    IO.write_table(Tables(spark, d).orders, path, "parquet")
+    IO.replace_table(IO.read_parquet(spark, path).where("o_orderstatus <> 'F'"), path)
+    IO.replace_table(IO.read_parquet(spark, path).withColumn("o_totalprice", F.col("o_totalprice") * 1.1), path)
+    return IO.read_parquet(spark, path).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), rnd(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @query("json_roundtrip", ids=("SRC2", "SNK1"), sql="""
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 from orders""")

@@ -131,15 +131,19 @@ def logit_holdout(spark, d):
 
 
 _SIDE_SQL = """
-select (l_extendedprice > 40000)::int::double as side, round({0}, 4) as share
+select (2000 * l_quantity + l_extendedprice > 100000)::int::double as side, round({0}, 4) as share
 from lineitem group by 1"""
 
 
 def _sides(spark, d):
-    """A 0/1 predictor that goes with the label without determining it."""
+    """A 0/1 predictor that goes with the label without determining it.
+
+    Its sides lie on either side of one half: a tree whose leaves predict the
+    same class would be pruned to one leaf.
+    """
     return Tables(spark, d).lineitem.select(
         (F.col("l_quantity") > 25).cast("double").alias("big"),
-        (F.col("l_extendedprice") > 40_000).cast("double").alias("side"))
+        (2000 * F.col("l_quantity") + F.col("l_extendedprice") > 100_000).cast("double").alias("side"))
 
 
 @query("tree_share", ids=("MLR6",), sql=_SIDE_SQL.format("avg((l_quantity > 25)::int)"))
@@ -202,6 +206,27 @@ def tree_importance(spark, d):
     return M.tree_summary(model, df)
 
 
+_ENSEMBLE_SQL = """
+select 'l_quantity' as feature, 1.0::double as importance, 10::int as num_trees, 1::int as depth
+union all select 'l_discount', 0.0, 10, 1"""
+
+
+@query("forest_importance", ids=("MLR7",), sql=_ENSEMBLE_SQL)
+def forest_importance(spark, d):
+    # every tree sees both features; one of them determines the label
+    df = _labelled(spark, d)
+    model = M.fit_tree(df, "big ~ l_quantity + l_discount", "random_forest", numTrees=10, maxBins=64,
+                       featureSubsetStrategy="all", seed=42)
+    return M.tree_summary(model, df)
+
+
+@query("gbt_importance", ids=("MLR8",), sql=_ENSEMBLE_SQL)
+def gbt_importance(spark, d):
+    df = _labelled(spark, d)
+    model = M.fit_tree(df, "big ~ l_quantity + l_discount", "gbt", maxIter=10, maxBins=64, maxDepth=1, seed=42)
+    return M.tree_summary(model, df)
+
+
 @query("glm_gaussian", ids=("MLR9",), sql="""
 select 'l_quantity' as feature, round(regr_slope(l_extendedprice, l_quantity), 4) as estimate
 from lineitem

@@ -139,12 +139,24 @@ def append_fill_text(spark, d):
 select o_orderstatus, count(*) as n, round(sum(l_extendedprice), 2) as revenue
 from lineitem join orders on l_orderkey = o_orderkey group by 1""")
 def join_salted(spark, d):
-    # the same key join with an explicit salt, as used when one order key is
-    # known to be hot: lineitem rows get a hashed salt, orders are replicated
-    # once per salt, and the result is unchanged
+    # the same key join with hot order keys split, if there are any: only their
+    # orders rows are copied, and the result is unchanged
     t = Tables(spark, d)
     li = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_extendedprice")
     o = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus")
-    j = J.join_drop_key(li, o, "orderkey", salt_buckets=8)
+    j = J.join_drop_key(li, o, "orderkey", split_hot=True)
     return j.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"),
                                           rnd(F.sum("l_extendedprice"), 2).alias("revenue"))
+
+
+@query("join_hot_key", ids=("JOIN1",), sql="""
+select l_orderkey, l_linenumber, l_returnflag, n, round(l_extendedprice / mean, 9) as ratio
+from lineitem join (select l_returnflag, count(*) as n, avg(l_extendedprice) as mean
+                    from lineitem group by 1) using (l_returnflag)""")
+def join_hot_key(spark, d):
+    # every return flag holds a third of the rows or so: each is a hot key
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    stats = li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.avg("l_extendedprice").alias("mean"))
+    joined = J.join_drop_key(li, stats, "l_returnflag", split_hot=True)
+    return joined.select("l_orderkey", "l_linenumber", "l_returnflag", "n",
+                         rnd(F.col("l_extendedprice") / F.col("mean"), 9).alias("ratio"))

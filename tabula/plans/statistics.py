@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabula.operators import stats as S
-from tabula.plans.registry import Tables, query, round_doubles, sql_rounded
+from tabula.plans.registry import Tables, query, rnd, round_doubles, sql_rounded
 from tabula.plans.strategy import attach_scalars
 
 _LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -24,10 +24,18 @@ def describe_table(spark, d):
     return round_doubles(S.summary_table(Tables(spark, d).lineitem, _LI_NUM))
 
 
-@query("describe_text", ids=("STA1",))
+def _described(fn: str) -> str:
+    return ", ".join(f"{fn.format(c)} as {c}" for c in _LI_NUM)
+
+
+# the rows of Spark's text summary, its numbers read back from the text
+@query("describe_text", ids=("STA1",), sql=sql_rounded(" union all ".join(
+    f"select '{name}' as summary, {_described(fn)} from lineitem" for name, fn in (
+        ("count", "count({})::double"), ("mean", "avg({})::double"), ("stddev", "stddev_samp({})::double"),
+        ("min", "min({})::double"), ("max", "max({})::double"))), _LI_NUM, 4))
 def describe_text(spark, d):
-    # Spark's own text summary (values are strings); checked by rows only
-    return S.describe(Tables(spark, d).lineitem, *_LI_NUM)
+    found = S.describe(Tables(spark, d).lineitem, *_LI_NUM)
+    return found.select("summary", *[rnd(F.col(c).cast("double"), 4).alias(c) for c in _LI_NUM])
 
 
 @query("quantiles_exact", ids=("STA2",), sql=sql_rounded("""
@@ -252,3 +260,36 @@ def split_except_disjoint(spark, d):
     return S.split_report(orders, train, test).select(
         "n", "n_union", "n_overlap", (F.col("n_first") + F.col("n_second") == F.col("n")).alias("adds_up"),
         _near(F.col("n_first"), 0.7, F.col("n")).alias("sizes_fit"))
+
+
+@query("sample_exact", ids=("STA11",), sql="""
+select o_orderkey, o_custkey, o_totalprice from orders
+qualify row_number() over (order by md5('7|' || o_orderkey)) <= round(0.05 * count(*) over ())""")
+def sample_exact(spark, d):
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return S.sample_exact(orders, 0.05, seed=7, key=["o_orderkey"])
+
+
+@query("sample_duplicates", ids=("STA11",), sql="""
+with v as (select event_type, floor(value)::bigint as whole from events),
+c as (select *, row_number() over (partition by event_type, whole) as copy from v)
+select event_type, whole from c
+qualify row_number() over (order by md5(concat_ws('|', 3, copy, event_type, coalesce(whole::varchar, '')))) <= 1000""")
+def sample_duplicates(spark, d):
+    # many events are alike in these columns: equal rows are drawn one by one
+    events = Tables(spark, d).events.select("event_type", F.floor("value").cast("bigint").alias("whole"))
+    return S.sample_exact(events, rows=1000, seed=3)
+
+
+@query("split_exact", ids=("STA12", "STA13"), sql="""
+with v as (select l_returnflag, l_linestatus, l_quantity::bigint as quantity from lineitem),
+c as (select *, row_number() over (partition by l_returnflag, l_linestatus, quantity) as copy from v),
+h as (select *, substr(md5(concat_ws('|', 42, copy, l_returnflag, l_linestatus, quantity)), 1, 13) as draw from c)
+select case when draw < printf('%013x', floor(0.7 * pow(16, 13))::bigint) then 'train' else 'test' end as part,
+       l_returnflag, l_linestatus, quantity, count(*) as n from h group by all""")
+def split_exact(spark, d):
+    lines = Tables(spark, d).lineitem.select("l_returnflag", "l_linestatus",
+                                             F.col("l_quantity").cast("bigint").alias("quantity"))
+    train, test = S.split_exact(lines, [0.7, 0.3], seed=42)
+    both = train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return both.groupBy("part", "l_returnflag", "l_linestatus", "quantity").agg(F.count(F.lit(1)).alias("n"))

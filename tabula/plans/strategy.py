@@ -6,11 +6,8 @@ Rules applied throughout the library:
   (exactly one row), or a grid or list whose size is an argument.  Per-group
   statistics are joined by a plain equality join: adaptive execution broadcasts
   them if they turn out small and splits a hot group's rows otherwise.
-* Hot groups are split with a salt computed from the row (a hash mixed with
-  the row's position, not a random number) and pre-aggregated before the
-  shuffle on the real key.  Spark treats the position as nondeterministic, so
-  after an executor loss it reruns the dependent stages as a whole rather than
-  mixing old and new outputs.
+* Hot keys are found by a bounded summary and only they are split
+  (:mod:`tabula.operators.hotkeys`); parts are hashes of the row's values.
 * Lineage is cut with ``DataFrame.checkpoint()`` into ``spark.checkpoint.dir``
   (a shared folder), never ``localCheckpoint``.
 """
@@ -19,14 +16,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.session import checkpoint_dir
 
-# Number of salt buckets used to split a hot group.
-DEFAULT_SALT_BUCKETS = 32
-
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row table (a global aggregate) to every row.
@@ -52,16 +46,6 @@ def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFr
     return df.join(side, same).drop(*[f"__k_{k}" for k in keys])
 
 
-def salt_column(buckets: int = DEFAULT_SALT_BUCKETS, cols: list[str] | None = None) -> Column:
-    """A salt in ``[0, buckets)`` from a hash of the row.
-
-    ``monotonically_increasing_id`` is mixed in so that identical rows (a hot
-    group of copies) still spread over the buckets.
-    """
-    parts = [F.col(c) for c in cols] if cols else []
-    return F.pmod(F.xxhash64(*parts, F.monotonically_increasing_id()), F.lit(buckets))
-
-
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared ``spark.checkpoint.dir``."""
     checkpoint_dir(df.sparkSession)

@@ -8,6 +8,7 @@ a ``nullValue`` option, and a guarded single-file export.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +112,40 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.save(path)
 
 
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
+                  partition_by: Sequence[str] | None = None, **options) -> None:
+    """SNK1: replace a table by ``df`` in one step, also by a result read from the table itself.
+
+    The new table is written beside the old one and takes its name when it is
+    whole; only then is the old one deleted.  If the job fails, the old table
+    stays as it was.  Both moves are renames within one folder of the table's
+    own file system; between them the name is free for a moment, and a reader
+    of that moment finds no table, never a mixed one.
+    """
+    spark = df.sparkSession
+    jvm, mark = spark.sparkContext._jvm, uuid.uuid4().hex
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fresh, old = (jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{kind}-{mark}")
+                  for kind in ("new", "old"))
+    try:
+        write_table(df, fresh.toString(), fmt, "errorifexists", partition_by, **options)
+    except Exception:
+        fs.delete(fresh, True)
+        raise
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        fs.delete(fresh, True)
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(fresh, target):
+        if replaced:
+            fs.rename(old, target)
+        raise OSError(f"the new table cannot take the name {path}")
+    if replaced:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_partitioned(df: DataFrame, path: str, files: int, fmt: str = "csv",
                       mode: str = "overwrite", **options) -> None:
     """SNK3/ACT8: export as a given number of files, written in parallel.
