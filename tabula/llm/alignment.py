@@ -14,18 +14,26 @@ are a broadcast of known size, the others go through a shuffle by pair.  The
 border lies at a power of two found from a histogram of the counts, so the
 common pairs, which would be the hot keys of that shuffle, never enter it.
 
-*Long texts* are encoded in parts of about ``PART`` characters, cut before a
-blank that follows something other than white space: neither side has a token
-across such a place (the second side's vocabulary is searched for one), so both
-have an end there.
+*Segments.*  No token of either side goes on from something other than white
+space into a blank (the second side's vocabulary is searched for one), so both
+have an end before every such blank, and what lies between two of them is
+tokenized and aligned by itself.  A text is cut there into segments, mostly
+words.  Each worker keeps what it found for ``STORED`` segments, and for as many
+that it met before those, so common words are tokenized once; memory is bounded
+by that store and the longest segment.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
+import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
+from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +43,13 @@ from pyspark.sql import functions as F
 from tabula.llm.common import cut, narrowed
 from tabula.session import scratch_path
 
-#: Characters encoded at a time, and texts (by their characters) in a batch.
-PART = 1 << 16
-BATCH = 1 << 18
+#: Characters of the texts that are taken together.
+BATCH = 1 << 20
+#: Segments in each of the two generations that a worker remembers, and the longest one worth it.
+STORED = 1 << 17
+SHORT = 64
+#: The places between something other than white space and a blank that is not the last character.
+SAFE = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 #: Pairs that are broadcast at most.
 COMMON = 1 << 17
 BLANK = "▁"
@@ -69,20 +81,6 @@ def piece_tokens(pieces: list[str]) -> list[bytes]:
             else p.replace(BLANK, " ").encode() for p in pieces]
 
 
-def parts(text: str, size: int = PART) -> Iterator[str]:
-    """``text`` cut before blanks that follow something other than white space."""
-    start = 0
-    while len(text) - start > size:
-        stop = text.find(" ", start + size)
-        while stop > 0 and text[stop - 1].isspace():
-            stop = text.find(" ", stop + 1)
-        if stop < 0:
-            break
-        yield text[start:stop]
-        start = stop
-    yield text[start:]
-
-
 class Sides:
     """The two tokenizers; one instance per Python worker.
 
@@ -105,6 +103,10 @@ class Sides:
         self.length_b = [len(t) for t in self.bytes_b]
         self.whole = any(BLANK in p.lstrip(BLANK) for p in pieces)  # a token may cross a cut
 
+    def segments(self, text: str) -> list[str]:
+        """A blank and ``text``, cut at the safe places; every segment begins with a blank."""
+        return [" " + text] if self.whole else SAFE.split(" " + text)
+
     def ids(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both sides for texts that begin with a blank."""
         a = self.first.encode_batch_fast(texts, add_special_tokens=False)
@@ -113,47 +115,76 @@ class Sides:
 
     def agree(self, text: str, a: list[int], b: list[int]) -> bool:
         raw = text.encode()
-        return (b"".join(map(self.bytes_a.__getitem__, a)) == raw
-                and b"".join(map(self.bytes_b.__getitem__, b)) == raw)
+        return (b"".join([self.bytes_a[k] for k in a]) == raw
+                and b"".join([self.bytes_b[k] for k in b]) == raw)
 
     def slices(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
         """(tokens of a, tokens of b) up to every common end, in order."""
-        ends_a = dict(zip(accumulate(map(self.length_a.__getitem__, a)), range(1, len(a) + 1)))
-        ends_b = dict(zip(accumulate(map(self.length_b.__getitem__, b)), range(1, len(b) + 1)))
+        ends_a = {end: k for k, end in enumerate(accumulate([self.length_a[x] for x in a]), 1)}
+        ends_b = {end: k for k, end in enumerate(accumulate([self.length_b[x] for x in b]), 1)}
         return [(ends_a[end], ends_b[end]) for end in sorted(ends_a.keys() & ends_b.keys())]
 
 
-class _Document:
-    """One text's groups while its parts come in."""
+class _Aligned(NamedTuple):
+    """What a segment's tokens come to: counts, groups as text, linked pairs in order."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    pairs: list[int]
 
-    def __init__(self) -> None:
-        self.n_a = self.n_b = self.n_groups = 0
-        self.hash, self.pairs, self.fine = hashlib.sha256(), [], True
 
-    def add(self, sides: Sides, text: str, a: list[int], b: list[int], decimal: list[str]) -> None:
-        if not self.fine or not sides.agree(text, a, b):
-            self.fine = False
-            return
-        groups, pairs = [], []
+class _Store:
+    """Segments and their alignment; None where the two sides do not give the bytes back."""
+
+    def __init__(self, sides: Sides, stored: int) -> None:
+        self.sides, self.stored = sides, stored
+        self.recent, self.earlier = {}, {}
+        self.decimal = [str(k) for k in range(max(len(sides.bytes_a), len(sides.bytes_b)))]
+
+    def aligned(self, segment: str, a: list[int], b: list[int]) -> _Aligned | None:
+        if not self.sides.agree(segment, a, b):
+            return None
+        groups, pairs, decimal = [], [], self.decimal
         i = j = 0
-        for to_i, to_j in sides.slices(a, b):
-            groups.append(",".join(map(decimal.__getitem__, a[i:to_i])) + "|"
-                          + ",".join(map(decimal.__getitem__, b[j:to_j])))
-            pairs.append(a[to_i - 1] << 32 | b[to_j - 1])
+        for to_i, to_j in self.sides.slices(a, b):
+            last_a, last_b = a[to_i - 1], b[to_j - 1]
+            if to_i - i == 1 and to_j - j == 1:
+                groups.append(f"{last_a}|{last_b}")
+            else:
+                groups.append(",".join([decimal[k] for k in a[i:to_i]]) + "|"
+                              + ",".join([decimal[k] for k in b[j:to_j]]))
+            pairs.append(last_a << 32 | last_b)
             i, j = to_i, to_j
-        self.hash.update(((";" if self.n_groups else "") + ";".join(groups)).encode())
-        self.n_a += len(a)
-        self.n_b += len(b)
-        self.n_groups += len(groups)
-        self.pairs.append(np.unique_counts(np.array(pairs, np.int64)))
-
-    def row(self) -> tuple:
-        if not self.fine or not self.n_groups:
-            return 0, 0, 0, "", [], []
-        pairs, place = np.unique(np.concatenate([p for p, _ in self.pairs]), return_inverse=True)
-        times = np.zeros(len(pairs), np.int64)
-        np.add.at(times, place, np.concatenate([n for _, n in self.pairs]))
-        return self.n_a, self.n_b, self.n_groups, self.hash.hexdigest(), pairs, times
+        return _Aligned(len(a), len(b), len(groups), ";".join(groups), pairs)
+
+    def of(self, segments: set[str]) -> dict[str, _Aligned | None]:
+        """The alignments of these segments, the new ones tokenized together."""
+        out = {s: self.recent[s] for s in segments if s in self.recent}
+        again = {s: self.earlier[s] for s in segments if s not in out and s in self.earlier}
+        new = [s for s in segments if s not in out and s not in again]
+        found = {s: self.aligned(s, a, b) for s, (a, b) in zip(new, self.sides.ids(new))} if new else {}
+        # what was met lately stays; a full generation takes the place of the one before
+        self.recent |= again | {s: own for s, own in found.items() if len(s) <= SHORT}
+        if len(self.recent) > self.stored:
+            self.recent, self.earlier = {}, self.recent
+        return out | again | found
+
+
+def _row(segments: list[str], aligned: dict[str, _Aligned | None]) -> tuple:
+    """A text's row but for its id; zeros if a segment has no tokens."""
+    own = [aligned[s] for s in segments]
+    if not own or None in own:
+        return 0, 0, 0, "", [], []
+    groups = hashlib.sha256(";".join([s.groups for s in own]).encode()).hexdigest()
+    n_a, n_b, n_groups = (sum(map(itemgetter(k), own)) for k in range(3))
+    often = Counter(segments)
+    parts = [aligned[s].pairs for s in often]
+    pairs, place = np.unique(np.array(list(chain.from_iterable(parts)), np.int64), return_inverse=True)
+    times = np.zeros(len(pairs), np.int64)
+    np.add.at(times, place, np.repeat(list(often.values()), [len(p) for p in parts]))
+    return n_a, n_b, n_groups, groups, pairs, times
 
 
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, "
@@ -161,7 +192,7 @@ ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha25
 
 
 def aligned(docs: DataFrame, first: str, second: bytes, doc_id: str = "doc_id",
-            text: str = "text", part: int = PART) -> DataFrame:
+            text: str = "text", stored: int = STORED) -> DataFrame:
     """One row per document: token and group counts, hash of the groups, distinct linked pairs.
 
     ``groups_sha256`` is of ``a1,a2|b1;a3|b2,b3`` (decimal ids in order).  A
@@ -172,29 +203,12 @@ def aligned(docs: DataFrame, first: str, second: bytes, doc_id: str = "doc_id",
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = Sides(first, second)
-        decimal = [str(k) for k in range(max(len(sides.bytes_a), len(sides.bytes_b)))]
+        store = _Store(sides, stored)
 
         def finished(ids: list, texts: list[str]) -> pa.RecordBatch:
-            found = [_Document() for _ in texts]
-            held: list[tuple[int, str]] = []
-            size = 0
-
-            def encode() -> None:
-                for (k, own), (a, b) in zip(held, sides.ids([own for _, own in held])):
-                    found[k].add(sides, own, a, b, decimal)
-                held.clear()
-
-            for k, whole in enumerate(texts):
-                if whole:
-                    pieces = [" " + whole] if sides.whole else parts(" " + whole, part)
-                    for own in pieces:
-                        held.append((k, own))
-                        size += len(own)
-                        if size >= part:
-                            encode()
-                            size = 0
-            encode()
-            columns = list(zip(*(d.row() for d in found)))
+            cut_up = [sides.segments(t) if t else [] for t in texts]
+            found = store.of(set().union(*cut_up))
+            columns = list(zip(*(_row(own, found) for own in cut_up)))
             arrays = [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.string())]
             for lists in columns[4:]:
                 at = np.cumsum([0, *map(len, lists)])
@@ -204,6 +218,13 @@ def aligned(docs: DataFrame, first: str, second: bytes, doc_id: str = "doc_id",
                 [pa.array(ids, pa.int64()), *arrays],
                 ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"])
 
+        gc.disable()        # the store has no cycles, and walking it over and over costs a fifth of the time
+        try:
+            yield from results(batches, finished)
+        finally:
+            gc.enable()
+
+    def results(batches: Iterator[pa.RecordBatch], finished) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts, size = [], [], 0
             for number, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -243,7 +264,7 @@ def common_border(counts: DataFrame, common: int) -> int:
 
 
 def link_statistics(docs: DataFrame, first: str, second: bytes, doc_id: str = "doc_id",
-                    text: str = "text", part: int = PART, common: int = COMMON) -> DataFrame:
+                    text: str = "text", stored: int = STORED, common: int = COMMON) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every document.
 
     ``n_links`` counts the document's links, ``count_sum`` adds up the corpus-wide
@@ -255,7 +276,7 @@ def link_statistics(docs: DataFrame, first: str, second: bytes, doc_id: str = "d
     spark = docs.sparkSession
     path = scratch_path(spark, "aligned")
     # the place of a row names it; it is fixed once the table is written
-    aligned(docs, first, second, doc_id, text, part).withColumn(
+    aligned(docs, first, second, doc_id, text, stored).withColumn(
         "row", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
     links = rows.select("row", F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("times").alias("times"))))

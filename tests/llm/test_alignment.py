@@ -79,15 +79,16 @@ def test_common_and_other_pairs_give_all_links(spark, edge_docs, edge_rows, comm
     assert got == brute([r[:2] for r in edge_rows])
 
 
-@pytest.mark.parametrize("part", [1, 30, 500])
-def test_parts_do_not_change_the_result(spark, edge_rows, part):
-    rng = random.Random(part)
+@pytest.mark.parametrize("stored", [0, 7, 1 << 16])
+def test_segments_do_not_change_the_result(spark, edge_rows, stored):
+    rng = random.Random(stored)
     pieces = [" ", "  ", "\n", " \n", "\t ", "word", "Zé", "'s", "12", "!?", "文", "\x1c", "\xa0", "▁"]
     rows = [(k, "".join(rng.choice(pieces) for _ in range(300))) for k in range(40)]
     rows += [r[:2] for r in edge_rows[:4]]
-    assert all("".join(A.parts(t or "", part)) == (t or "") for _, t in rows)
+    sides = A.Sides(FIRST, SECOND)
+    assert all("".join(sides.segments(t or "")) == " " + (t or "") for _, t in rows) and not sides.whole
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert collected(A.link_statistics(docs, FIRST, SECOND, part=part)) == brute(rows)
+    assert collected(A.link_statistics(docs, FIRST, SECOND, stored=stored)) == brute(rows)
 
 
 def test_query_equals_brute_force(spark):
