@@ -31,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (columns a, b; both bigint).
+    """(node, root) for every node of ``edges`` (columns a, b of one type that has an order).
 
     ``root`` is the smallest node of the component.  Loops and repeated edges
     are allowed; an empty table gives an empty table.

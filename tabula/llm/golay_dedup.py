@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tabula.llm.common import buffers, cut, narrowed, salted_hash
 from tabula.llm.components import connected_components
@@ -282,6 +283,26 @@ def near_edges(fps: DataFrame, bits: int = MAX_BITS, salts: int = 4) -> DataFram
     return dealt.mapInArrow(linked, "a bigint, b bigint")
 
 
+def _labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, bits: int) -> DataFrame:
+    """(doc_id, fp, root struct<first_id, fp>) of every row with a doc_id.
+
+    A fingerprint is named by its smallest doc_id and itself, so that two
+    fingerprints of one doc_id stay apart; the root of a group is its smallest
+    name, and the group's smallest doc_id is read from it without another join.
+    """
+    fps = cut(fingerprints(docs, doc_id, text, shingle)).where("doc_id is not null")
+    named = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+                .select("fp", F.struct("first_id", "fp").alias("name")))
+    edges = near_edges(named, bits)
+    for end in ("a", "b"):
+        side = named.select(F.col("fp").alias(end), F.col("name").alias(f"name_{end}"))
+        edges = edges.join(side, end)
+    groups = connected_components(edges.select(F.col("name_a").alias("a"), F.col("name_b").alias("b")))
+    roots = named.join(groups.withColumnRenamed("node", "name"), "name", "left").select(
+        "fp", F.coalesce("root", "name").alias("root"))
+    return fps.join(roots, "fp")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = 3, bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``.
@@ -291,33 +312,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_id are rows like any other.  A row without doc_id takes no part: its
     component_id is NULL.  An empty table gives an empty table.
     """
-    fps = cut(fingerprints(docs, doc_id, text, shingle))
-    distinct = cut(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    groups = connected_components(near_edges(distinct, bits))
-    roots = (distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = roots.join(least, "root").select("fp", "component_id")
-    return (fps.join(labels, "fp", "left")
-            .select("doc_id", "fp",
-                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+    known = _labelled(docs, doc_id, text, shingle, bits).select(
+        "doc_id", "fp", F.col("root.first_id").alias("component_id"))
+    unknown = fingerprints(docs.where(F.col(f"`{doc_id}`").isNull()), doc_id, text, shingle)
+    return known.union(unknown.select("doc_id", "fp", F.lit(None).cast("bigint")))
+
+
+def _with_fingerprints(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` with the fingerprint of their column ``own`` in its place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = buffers(batch.column(batch.num_columns - 1))
+            fps = [simhash(data[a:b].tobytes(), shingle) for a, b in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps, pa.int64())],
+                                             [*batch.schema.names[:-1], "fp"])
+
+    schema = rows.drop("own").schema.add("fp", LongType())
+    return rows.select(*[c for c in rows.columns if c != "own"], "own").mapInArrow(run, schema)
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          shingle: int = 3, bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, all columns kept.
 
-    The row with the smallest doc_id stays (of several with that doc_id, the
-    one whose text sorts first); rows without doc_id all stay.
+    The row with the smallest doc_id stays; of several rows with that doc_id
+    the one whose fingerprint gives the group its name, and of those with that
+    fingerprint the one whose text sorts first.  Groups that share a doc_id
+    keep a row each.  Rows without doc_id all stay.
     """
-    groups = near_duplicates(docs, doc_id, text, shingle, bits)
-    stays = (groups.where("doc_id = component_id").groupBy("doc_id")
-             .agg(F.count("*").alias("rows")))
+    labelled = cut(_labelled(docs, doc_id, text, shingle, bits))
+    # the group's name says which row stays: one (doc_id, fp) for each group
+    own_name = (F.col("root.first_id") == F.col("doc_id")) & (F.col("root.fp") == F.col("fp"))
+    marks = (labelled.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(own_name).alias("stays"))
+             .where("stays").drop("stays"))
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"))
-    kept = rows.join(stays.hint("shuffle_hash"), "doc_id")
-    order = Window.partitionBy("doc_id").orderBy(F.col(f"row.`{text}`").asc_nulls_first())
-    several = (kept.where("rows > 1").withColumn("place", F.row_number().over(order))
-               .where("place = 1"))
+    kept = rows.join(marks.hint("shuffle_hash"), "doc_id")
+    # a doc_id with several rows: their fingerprints tell them apart
+    several = kept.where("rows > 1").select("row", "doc_id", F.col(f"row.`{text}`").alias("own"))
+    order = Window.partitionBy("doc_id", "fp").orderBy(F.col(f"row.`{text}`").asc_nulls_first())
+    first = (_with_fingerprints(several, shingle)
+             .join(labelled.where(own_name).select("doc_id", "fp").distinct(), ["doc_id", "fp"])
+             .withColumn("place", F.row_number().over(order)).where("place = 1"))
     return (kept.where("rows = 1").select("row.*")
-            .union(several.select("row.*"))
+            .union(first.select("row.*"))
             .union(rows.where("doc_id is null").select("row.*")))

@@ -39,10 +39,29 @@ def test_equals_brute_force_on_edge_cases(edge_docs, edge_rows):
 def test_one_row_of_each_group_stays(edge_docs, edge_rows):
     out = G.drop_near_duplicates(edge_docs)
     assert out.columns == edge_docs.columns
-    label = brute_components([(r[0], reference_fp(r[1])) for r in edge_rows])
-    ids = [r.doc_id for r in out.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(set(label.values()))
-    assert ids.count(None) == sum(r[0] is None for r in edge_rows)
+    # a group of fingerprints has one name: its smallest doc_id and that one's fingerprint
+    groups = brute_groups([(r[0], reference_fp(r[1])) for r in edge_rows if r[0] is not None])
+    got = [(r.doc_id, reference_fp(r.text)) for r in out.collect() if r.doc_id is not None]
+    assert sorted(got) == sorted(min(g) for g in groups)
+    assert out.where("doc_id is null").count() == sum(r[0] is None for r in edge_rows)
+
+
+def brute_groups(prints):
+    """The sets of (doc_id, fingerprint) that links of three bits or fewer connect."""
+    groups = []
+    for own in set(prints):
+        near = [g for g in groups if any((own[1] ^ f).bit_count() <= 3 for _, f in g)]
+        groups = [g for g in groups if g not in near] + [{own}.union(*near)]
+    return groups
+
+
+def test_groups_that_share_a_doc_id_keep_a_row_each(spark):
+    a, b = " ".join(f"alpha{k}" for k in range(80)), " ".join(f"beta{k}" for k in range(80))
+    for rows in ([(15, a), (15, b), (20, b), (21, a)], [(15, a), (15, b), (3, b), (21, a)], [(1, a), (1, a), (1, a)]):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        kept = sorted(tuple(r) for r in G.drop_near_duplicates(docs).collect())
+        want = {t: min(i for i, own in rows if own == t) for _, t in rows}
+        assert kept == sorted((i, t) for t, i in want.items())
 
 
 def test_empty_table(no_docs):
