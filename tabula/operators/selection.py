@@ -24,6 +24,8 @@ Spark's own order; NULLs are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,64 +85,70 @@ def select_ranks(vals: DataFrame, keys: Sequence[str], ranks: Sequence[Rank],
                     f"__size{t}": F.when(r < F.col("__m"), F.col("__m")).otherwise(0),
                     f"__a{t}": F.get("__g", F.lit(low)), f"__b{t}": F.get("__g", F.lit(high))}
     state, groups, widest = _state(first, keys, columns, len(ranks))
-    names = [c for c in state.columns if c not in keys]
-
-    def with_state() -> DataFrame:
-        side = F.broadcast(state) if groups <= FEW_GROUPS else state
-        return join_group_stats(rows, side, keys)
+    def to_rows(*columns: str) -> DataFrame:
+        """The rows with these columns of their group's state."""
+        wanted = state.select(*keys, *[f"{c}{t}" for t in targets for c in columns])
+        return join_group_stats(rows, F.broadcast(wanted) if groups <= FEW_GROUPS else wanted, keys)
 
     def inside(t: int) -> Column:
         lo, hi = F.col(f"__lo{t}"), F.col(f"__hi{t}")
-        return (number & F.col(f"__s{t}").isNull() & (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi)))
+        return number & F.col(f"__s{t}").isNull() & (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
 
-    def kept() -> list[Column]:
-        return [F.first(c).alias(c) for c in names]
+    def summed(table: DataFrame, aggs: list[Column]) -> DataFrame:
+        """One row per group: its aggregates beside its state."""
+        return join_group_stats(grouped(table, aggs), state, keys)
 
     while widest:
-        aggs = kept()
-        for t in targets:
-            a, b = F.col(f"__a{t}"), F.col(f"__b{t}")
-            aggs += [F.count_if(inside(t) & (v < a)).alias(f"__under{t}"),
-                     F.count_if(inside(t) & (v == a)).alias(f"__at_a{t}"),
-                     F.count_if(inside(t) & (v > a) & (v < b)).alias(f"__mid{t}"),
-                     F.count_if(inside(t) & (v == b) & (a < b)).alias(f"__at_b{t}")]
+        zones = to_rows("__lo", "__hi", "__s", "__a", "__b").select(*keys, *[
+            F.when(inside(t), F.when(v < F.col(f"__a{t}"), 0).when(v == F.col(f"__a{t}"), 1)
+                   .when(v < F.col(f"__b{t}"), 2).when(v == F.col(f"__b{t}"), 3)).alias(f"__zone{t}") for t in targets])
+        counts = summed(zones, [F.count_if(F.col(f"__zone{t}") == k).alias(f"__c{k}_{t}") for t in targets for k in range(4)])
         columns = dict(carried)
         for t in targets:
-            c = {k: F.col(f"__{k}{t}") for k in ("r", "below", "lo", "hi", "s", "size", "a", "b",
-                                                "under", "at_a", "mid", "at_b")}
+            c = {k: F.col(f"__{k}{t}") for k in ("r", "below", "lo", "hi", "s", "size", "a", "b")}
+            under, at_a, mid, at_b = (F.col(f"__c{k}_{t}") for k in range(4))
             place = c["r"] - c["below"]
-            from_mid = c["under"] + c["at_a"]
-            from_b = from_mid + c["mid"]
-            above = from_b + c["at_b"]
-            low, middle, high = place < c["under"], (place >= from_mid) & (place < from_b), place >= above
+            from_mid = under + at_a
+            from_b = from_mid + mid
+            above = from_b + at_b
+            low, middle, high = place < under, (place >= from_mid) & (place < from_b), place >= above
             found = F.coalesce(c["s"], F.when(low | middle | high, None).when(place < from_mid, c["a"]).otherwise(c["b"]))
             columns |= {
                 f"__r{t}": c["r"], f"__s{t}": found,
                 f"__below{t}": c["below"] + F.when(low, 0).when(middle, from_mid).when(high, above).otherwise(0),
                 f"__lo{t}": F.when(low, c["lo"]).when(middle, c["a"]).otherwise(c["b"]),
                 f"__hi{t}": F.when(low, c["a"]).when(middle, c["b"]).otherwise(c["hi"]),
-                f"__size{t}": F.when(found.isNotNull(), 0).when(low, c["under"]).when(middle, c["mid"])
-                .otherwise(c["size"] - above),
-                f"__a{t}": F.lit(None).cast("double"), f"__b{t}": F.lit(None).cast("double")}
-        state, groups, widest = _state(grouped(with_state(), aggs), keys, columns, len(ranks))
+                f"__size{t}": F.when(found.isNotNull(), 0).when(low, under).when(middle, mid)
+                .otherwise(c["size"] - above)}
+        state, groups, widest = _state(counts, keys, columns, len(ranks))
         if widest <= listed:
             break
         grid = [k / GRID for k in range(GRID + 1)]
-        aggs = kept() + [F.percentile_approx(F.when(inside(t), v), grid, ACCURACY).alias(f"__g{t}") for t in targets]
-        columns = {c: F.col(c) for c in names if c[:3] not in ("__a", "__b") or c.startswith("__below")}
+        sketches = summed(to_rows("__lo", "__hi", "__s"), [
+            F.percentile_approx(F.when(inside(t), v), grid, ACCURACY).alias(f"__g{t}") for t in targets])
+        columns = {c: F.col(c) for c in state.columns if c not in keys}
         for t in targets:
             at = (F.col(f"__r{t}") - F.col(f"__below{t}")) * F.lit(GRID) / F.greatest(F.col(f"__size{t}"), F.lit(1))
             columns |= {f"__a{t}": F.get(f"__g{t}", F.greatest(F.floor(at).cast("int") - 1, F.lit(0))),
                         f"__b{t}": F.get(f"__g{t}", F.least(F.ceil(at).cast("int") + 1, F.lit(GRID)))}
-        state, groups, widest = _state(grouped(with_state(), aggs), keys, columns, len(ranks))
+        state, groups, widest = _state(sketches, keys, columns, len(ranks))
 
     if not widest:
         return state.select(*keys, *carried, *[f"__s{t}" for t in targets])
-    aggs = kept() + [F.sort_array(F.collect_list(F.when(inside(t), v))).alias(f"__left{t}") for t in targets]
-    last = grouped(with_state(), aggs)
-    return last.select(*keys, *carried, *[
-        F.coalesce(f"__s{t}", F.get(f"__left{t}", (F.col(f"__r{t}") - F.col(f"__below{t}")).cast("int")))
-        .alias(f"__s{t}") for t in targets])
+    last = summed(to_rows("__lo", "__hi", "__s").where(reduce(or_, [inside(t) for t in targets])), [
+        F.sort_array(F.collect_list(F.when(inside(t), v))).alias(f"__left{t}") for t in targets])
+    last = last.select(*keys, *[F.get(f"__left{t}", (F.col(f"__r{t}") - F.col(f"__below{t}")).cast("int"))
+                                .alias(f"__pick{t}") for t in targets])
+    # groups that have all their ranks already have no listed rows
+    done = join_group_stats(state, last, keys) if not keys else _left_join(state, last, keys)
+    return done.select(*keys, *carried, *[F.coalesce(f"__s{t}", f"__pick{t}").alias(f"__s{t}") for t in targets])
+
+
+def _left_join(state: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Every group of ``state`` with what was found for it, if anything; keys match null-safely."""
+    side = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in found.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return state.join(side, same, "left")
 
 
 def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float],
