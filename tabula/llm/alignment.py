@@ -29,10 +29,9 @@ import gc
 import hashlib
 import os
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
-from operator import itemgetter
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -126,13 +125,13 @@ class Sides:
 
 
 class _Aligned(NamedTuple):
-    """What a segment's tokens come to: counts, groups as text, linked pairs in order."""
+    """What a segment's tokens come to: counts, groups as text, linked pairs in order (8 bytes each)."""
 
     n_a: int
     n_b: int
     n_groups: int
     groups: str
-    pairs: list[int]
+    pairs: bytes
 
 
 class _Store:
@@ -157,7 +156,7 @@ class _Store:
                               + ",".join([decimal[k] for k in b[j:to_j]]))
             pairs.append(last_a << 32 | last_b)
             i, j = to_i, to_j
-        return _Aligned(len(a), len(b), len(groups), ";".join(groups), pairs)
+        return _Aligned(len(a), len(b), len(groups), ";".join(groups), array("q", pairs).tobytes())
 
     def of(self, segments: set[str]) -> dict[str, _Aligned | None]:
         """The alignments of these segments, the new ones tokenized together."""
@@ -177,14 +176,10 @@ def _row(segments: list[str], aligned: dict[str, _Aligned | None]) -> tuple:
     own = [aligned[s] for s in segments]
     if not own or None in own:
         return 0, 0, 0, "", [], []
-    groups = hashlib.sha256(";".join([s.groups for s in own]).encode()).hexdigest()
-    n_a, n_b, n_groups = (sum(map(itemgetter(k), own)) for k in range(3))
-    often = Counter(segments)
-    parts = [aligned[s].pairs for s in often]
-    pairs, place = np.unique(np.array(list(chain.from_iterable(parts)), np.int64), return_inverse=True)
-    times = np.zeros(len(pairs), np.int64)
-    np.add.at(times, place, np.repeat(list(often.values()), [len(p) for p in parts]))
-    return n_a, n_b, n_groups, groups, pairs, times
+    n_a, n_b, n_groups, groups, links = zip(*own)
+    pairs, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
+    return (sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(groups).encode()).hexdigest(),
+            pairs, times)
 
 
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, "
