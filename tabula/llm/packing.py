@@ -14,8 +14,9 @@ counts allow, so a pattern ends at least one length and the plan has at most
 about ``window`` patterns; its size does not depend on the number of documents.
 
 *Assignment.*  Remainders of one length are interchangeable: each gets its
-rank within the length (counts by salted groups, then a running offset, so a
-length that many documents share is ranked in many tasks), and the rank names
+rank within the length (counts by salted groups, as many as the length's rows
+need, then a running offset, so a length that many documents share is ranked in
+many tasks), and the rank names
 pattern, repetition and place by an equality join with the broadcast plan.
 
 *Loose ends.*  The remainders of windows that no multiset fills are laid end to
@@ -30,7 +31,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabula.llm.common import cut, narrowed, salted_hash
+from tabula.llm.common import cut, narrowed
 
 WINDOW = 2048
 #: Words, and pieces of words, whose ids a worker remembers.
@@ -48,29 +49,45 @@ KNOWN_WORDS = 300_000
 PLAIN_WORD = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: Their pieces: contractions, letters, single digits, other marks.
 PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
-                         "|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+                         "|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff \t\n\r]+")
+#: What a text of plain words does not hold.
+OTHER_CHARACTER = re.compile("[^ \t\n\r!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
 #: Words on which a tokenizer must agree with PLAIN_PIECE for it to be used.
 PROBES = ("Word", "It's", "I'LL'd", "a1b22", "x***y!!", "\u00c9t\u00e9\u00df", "'re-<tag>", "%%%", "_a_", "caf\u00e9s.", "\u00ff\u00c0")
 
 
 # -------------------------------------------------------------- tokenising
 
+class Remembered(dict):
+    """Values of a function by its argument, each computed when first asked for."""
+
+    def __init__(self, compute: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.compute(key)
+        return value
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space.
 
     Such a tokenizer never joins across white space, so a text's ids are its
     words' ids end to end.  Each word goes through the tokenizer's own steps
-    (normaliser, pre-splitting, model) when it is first met; words and their
-    pieces are remembered up to a bound, beyond which those of the texts at
-    hand stay.
+    (normaliser, pre-splitting, model) when it is first met; texts of plain
+    characters are split into pieces by one expression instead.  Words and
+    pieces are remembered up to a bound, beyond which they are met anew.
     """
 
     def __init__(self, tokenizer: str, end: int | None) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.model = self.tokenizer.model
         self.end = b"" if end is None else array("I", [end]).tobytes()
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = Remembered(self.word)
+        self.pieces = Remembered(self.model_ids)
+        self.plain_ids = Remembered(
+            lambda piece: self.model_ids(piece if piece.isascii() else piece.translate(self.letters)))
         # letters beyond ASCII as the tokenizer's pre-splitting writes them
         self.letters = {ord(c): "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
                         for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
@@ -97,37 +114,27 @@ class WordEncoder:
             return [w for w in re.split("[ \t\n\r]+", text) if w]
         return text.split()
 
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-            self.pieces[piece] = ids
-        return ids
+    def model_ids(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def word(self, word: str) -> bytes:
         if self.plain:
-            if word.isascii() and word.isalpha():
-                return self.piece(word.lower())
             if PLAIN_WORD.fullmatch(word):
-                found = self.plain_pieces(word)
-                if not word.isascii():
-                    found = [p.translate(self.letters) for p in found]
-                return b"".join(map(self.piece, found))
+                return b"".join(map(self.plain_ids.__getitem__, self.plain_pieces(word)))
         normal = self.tokenizer.normalizer.normalize_str(word)
-        return b"".join(self.piece(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+        return b"".join(self.pieces[p] for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        words = [self.split(text) for text in texts]
-        met = set().union(*words)
-        for word in met.difference(self.known):
-            self.known[word] = self.word(word)
-        if len(self.pieces) > KNOWN_WORDS:
-            self.pieces = {}
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {word: self.known[word] for word in met}
-        known = self.known
-        for own in words:
-            yield np.frombuffer(b"".join(map(known.__getitem__, own)) + self.end, np.uint32)
+        for text in texts:
+            # no piece spans white space, so plain texts are split into pieces at once
+            if self.plain and not OTHER_CHARACTER.search(text):
+                ids = b"".join(map(self.plain_ids.__getitem__, PLAIN_PIECE.findall(text.lower())))
+            else:
+                ids = b"".join(map(self.known.__getitem__, self.split(text)))
+            for remembered in (self.known, self.plain_ids, self.pieces):
+                if len(remembered) > KNOWN_WORDS:
+                    remembered.clear()
+            yield np.frombuffer(ids + self.end, np.uint32)
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int | None, window: int = WINDOW,
@@ -246,22 +253,29 @@ PLAN = ("length bigint, first bigint, ranks bigint, each bigint, base bigint, "
         "stride bigint, begin bigint, loose boolean")
 #: Cut pieces that are broadcast to find their texts; more are joined by a shuffle.
 CUT_ROWS = 100_000
+#: Rows of one length that are ranked together.
+RANKED_ROWS = 20_000
 
 
-def ranked(table: DataFrame, salts: int = 64) -> DataFrame:
+def ranked(table: DataFrame, histogram: dict[int, int], rows: int = RANKED_ROWS) -> DataFrame:
     """``table`` with each row's rank (from 0) among the rows of its length.
 
-    A length's rows are spread over ``salts`` groups; only the groups' counts
-    (at most window x salts rows) meet to give every group its first rank.
+    ``histogram`` tells how many rows a length has; they are spread over as
+    many groups as hold about ``rows`` each, however many that are.  Only the
+    groups' counts meet to give every group its first rank; they are joined
+    on the key by which the rows have been dealt.
     """
-    salted = table.withColumn("salt", salted_hash("doc_id", "digest", "start", parts=salts))
+    parts = table.sparkSession.createDataFrame(
+        [(length, -(-n // rows)) for length, n in histogram.items()], "length bigint, parts int")
+    salted = table.join(F.broadcast(parts), "length").withColumn(    # bounded: one row per length
+        "salt", F.pmod(F.xxhash64("doc_id", "digest", "start"), F.col("parts"))).drop("parts")
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     firsts = groups.select("length", "salt",
                            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("lead"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "digest", "start")
     return (salted.withColumn("place", F.row_number().over(order) - 1)
-            .join(F.broadcast(firsts), ["length", "salt"])     # bounded: window x salts
+            .join(firsts, ["length", "salt"])
             .withColumn("rank", F.col("lead") + F.col("place")).drop("salt", "lead", "place"))
 
 
@@ -280,7 +294,7 @@ def packed(docs: DataFrame, tokenizer: str, end: int | None, window: int = WINDO
                  table.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows, windows, loose_ids = laid_out(plan(histogram, window), window)
     lookup = F.broadcast(docs.sparkSession.createDataFrame(rows, PLAN))
-    placed = (ranked(table).join(lookup, "length")
+    placed = (ranked(table, histogram).join(lookup, "length")
               .where("rank >= first and rank < first + ranks")
               .withColumn("at", F.expr("base + ((rank - first) div each) * stride"))
               .withColumn("begin", F.expr("begin + ((rank - first) % each) * length")))

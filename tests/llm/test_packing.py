@@ -123,3 +123,21 @@ def test_plan_uses_the_histogram_up(lengths):
     print(lengths, len(patterns), slack / sum(x * n for x, n in histogram.items()),
           sum(t for p, t in patterns if sum(x * n for x, n in p.items()) < 2048) / sum(t for _, t in patterns))
     assert slack < 0.2 * sum(x * n for x, n in histogram.items())
+
+
+def test_ranks_count_every_row_of_a_length_once(spark):
+    rows = [(k % 40, k, 0, 7 if k % 3 else 9) for k in range(300)] + [(None, 5, 0, 7)] * 30
+    table = spark.createDataFrame(rows, "doc_id bigint, digest bigint, start bigint, length bigint")
+    histogram = Counter(r[3] for r in rows)
+    found = P.ranked(table, histogram, rows=8).collect()
+    for length, n in histogram.items():
+        assert sorted(r.rank for r in found if r.length == length) == list(range(n))
+
+
+def test_texts_of_plain_characters_take_the_short_way():
+    encode = P.WordEncoder(TOKENIZER, None)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(" \n\t\raZsétm19.'!<ÉßÿÀx") for _ in range(200)) for _ in range(200)]
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == whole(text)[:-1], repr(text)
+    assert encode.plain and encode.plain_ids and not encode.known
