@@ -2,15 +2,17 @@
 
 1. *Trees.*  A page's tags become a tree of block elements; runs of equally
    built siblings (menu entries, paragraphs) are folded into one node, so a
-   tree has a few dozen nodes however long the page.
+   tree has a few dozen nodes however long the page.  A folded node keeps a
+   digest of each sibling.
 2. *Reference.*  For every host the most frequent tree shape gives the
    reference tree.
 3. *Alignment.*  Every other page of the host is aligned with the reference by
    simple tree matching: nodes match if their labels do, and their children
    are matched in order for the largest number of matching nodes.
-4. *Template.*  A reference node whose text is the same in nearly all pages
-   that differ from the reference elsewhere is constant: it belongs to the
-   template.  All other nodes are slots that vary.
+4. *Template.*  A node of the reference, or one sibling of a folded node, whose
+   text is found in the matching node of nearly all pages that differ from the
+   reference elsewhere is constant: it belongs to the template.  All others are
+   slots that vary.
 5. *Content.*  A page's text is that of its varying slots, without those that
    the elements around them declare to be something other than the article
    (navigation, adverts, forms, comments ...), and, if the page marks an
@@ -18,12 +20,15 @@
 
 The host is the grouping key of steps 2 to 5.  Shapes and constant counts are
 aggregated partially before any shuffle, and the joins with a host's one
-reference are salted, so a host with a third of all pages is spread over
-``SALTS`` tasks.
+reference are dealt by (host, salt): a host with more pages than one task
+should have (``tabula.operators.hotkeys``) gets as many salts as its share is
+worth, all others one.  Trees are written to the shared scratch folder once and
+read for steps 2 to 4.
 """
 
 from __future__ import annotations
 
+import base64
 import html as entities
 import json
 import re
@@ -35,9 +40,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import salted_hash
+from tabula.llm.common import cut
+from tabula.operators.hotkeys import hot_keys
+from tabula.session import drop_scratch, scratch_path
 
-SALTS = 16
 #: A node is constant if its text is the same in this share of the pages that
 #: differ from the reference, of which there are at least so many; the second
 #: pair holds within a marked article, where repeated text is mostly content.
@@ -171,14 +177,25 @@ def _close(stack: list[Node], tags: set[str], bounds) -> None:
 # -------------------------------------------------------------- folded trees
 
 class Folded:
-    """A block element or a run of equally built ones: label, text, children, blocks."""
+    """A block element or a run of equally built ones: label, text, children, blocks.
 
-    __slots__ = ("label", "signature", "children", "blocks")
+    ``siblings`` are the blocks of each element of a run; empty for a single element.
+    """
+
+    __slots__ = ("label", "signature", "children", "blocks", "siblings")
 
     def __init__(self, label: str, children: list[Folded], blocks: list[Block]) -> None:
         self.label, self.children, self.blocks = label, children, blocks
+        self.siblings: list[list[Block]] = []
         self.signature = f"{label}({','.join(c.signature for c in children)})"
 
+    def absorb(self, sibling: Folded) -> None:
+        if not self.siblings:
+            self.siblings.append(list(self.all_blocks()))
+        own = list(sibling.all_blocks())
+        self.siblings.append(own)
+        self.blocks.extend(own)
+
     def all_blocks(self) -> Iterator[Block]:
         yield from self.blocks
         for child in self.children:
@@ -238,7 +255,7 @@ def fold(root: Node) -> tuple[Folded, list[Block]]:
         for child in children:
             last = folded[-1] if folded else None
             if last is not None and last.signature == child.signature:
-                last.blocks.extend(child.all_blocks())
+                last.absorb(child)
             else:
                 folded.append(child)
         if len(folded) > WIDEST:
@@ -246,7 +263,7 @@ def fold(root: Node) -> tuple[Folded, list[Block]]:
             for child in folded:
                 kept = by_signature.setdefault(child.signature, child)
                 if kept is not child:
-                    kept.blocks.extend(child.all_blocks())
+                    kept.absorb(child)
             folded = list(by_signature.values())
         return Folded(node.label, folded, [])
 
@@ -260,13 +277,39 @@ def preorder(tree: Folded) -> list[Folded]:
     return out
 
 
+def digest(blocks: list[Block]) -> int:
+    """Of the blocks' texts; 0 if there are none."""
+    text = "\n".join(b.text for b in blocks)
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) if blocks else 0
+
+
+#: Characters by which a sibling is known in a skeleton.
+KEY = 8
+
+
+def key(number: int) -> str:
+    """The first 48 bits of a digest as ``KEY`` characters."""
+    return base64.b64encode(number.to_bytes(8, "big")[:6]).decode()
+
+
 def skeleton(tree: Folded) -> list:
-    """[label, digest of the text, inside an article, children], nested, for JSON."""
+    """[label, digest of the text, inside an article, children, keys], nested, for JSON.
+
+    ``keys`` (of a run's siblings, end to end) is there for runs that may hold content.
+    """
     children = [skeleton(c) for c in tree.children]
     own = list(tree.all_blocks())
-    text = "\n".join(b.text for b in own)
-    digest = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) if own else 0
-    return [tree.label, digest, int(bool(own) and all(b.inside for b in own)), children]
+    out = [tree.label, digest(own), int(bool(own) and all(b.inside for b in own)), children]
+    if tree.siblings and not all(b.other for b in own):
+        out.append("".join(key(digest(blocks)) for blocks in tree.siblings))
+    return out
+
+
+def keys(node: list) -> list[str]:
+    """The keys of a skeleton node's siblings; of the node itself if it is a single one."""
+    if len(node) > 4:
+        return [node[4][k:k + KEY] for k in range(0, len(node[4]), KEY)]
+    return [key(node[1])]
 
 
 def match(a: list, b: list) -> int:
@@ -330,14 +373,18 @@ def content(blocks: list[Block], template: set[int]) -> str:
     return " ".join(b.text for b in chosen if b.linked < LINK_SHARE)
 
 
-def extracted(page: str, reference: list | None, constant: list[int]) -> str:
+def extracted(page: str, reference: list | None, constant: list[tuple[int, str]]) -> str:
+    """The main text of a page; ``constant`` names nodes of the reference and siblings in them."""
     tree, blocks = fold(parse(page))
     template: set[int] = set()
     if reference and constant:
         nodes, fixed = preorder(tree), set(constant)
-        for i, j, a, b in aligned(reference, skeleton(tree)):
-            if i in fixed and a[1] == b[1]:
-                template.update(block.order for block in nodes[j].all_blocks())
+        numbers = {i for i, _ in fixed}
+        for i, j, _, b in aligned(reference, skeleton(tree)):
+            if i in numbers:
+                for own, name in zip(nodes[j].siblings or [list(nodes[j].all_blocks())], keys(b)):
+                    if (i, name) in fixed:
+                        template.update(block.order for block in own)
     return content(blocks, template)
 
 
@@ -347,8 +394,14 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 def with_host(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
     rows = pages.select(F.col(f"`{page_id}`").cast("bigint").alias("page_id"), F.col(f"`{url}`").alias("url"),
                         F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("html"))
-    return rows.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))).withColumn(
-        "salt", salted_hash("page_id", "url", parts=SALTS))
+    return rows.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)))
+
+
+def dealt(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with ``salt``: one of the parts of a hot host, 0 for all others."""
+    return (rows.withColumn("__hot", F.xxhash64("host")).join(F.broadcast(hot), "__hot", "left")
+            .withColumn("salt", F.pmod(F.xxhash64("page_id", "url", "html"), F.coalesce("__parts", F.lit(1))).cast("int"))
+            .drop("__hot", "__parts"))
 
 
 def skeletons(pages: DataFrame) -> DataFrame:
@@ -368,9 +421,11 @@ def skeletons(pages: DataFrame) -> DataFrame:
         run, "host string, salt int, shape bigint, skeleton string")
 
 
-def salted(hosts: DataFrame) -> DataFrame:
-    """Every host's row once for each salt."""
-    return hosts.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(SALTS)])))
+def salted(hosts: DataFrame, hot: DataFrame) -> DataFrame:
+    """A hot host's row once for each of its salts, all others once."""
+    every = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+    return (hosts.withColumn("__hot", F.xxhash64("host")).join(F.broadcast(hot), "__hot", "left")
+            .withColumn("salt", F.explode(every)).drop("__hot", "__parts"))
 
 
 def references(trees: DataFrame) -> DataFrame:
@@ -381,8 +436,8 @@ def references(trees: DataFrame) -> DataFrame:
         "host", F.col("best.least.skeleton").alias("reference"), F.col("best.shape").alias("own_shape"))
 
 
-def constants(trees: DataFrame, found: DataFrame) -> DataFrame:
-    """(host, constant): numbers of each reference's constant nodes, for hosts that have some."""
+def constants(trees: DataFrame, found: DataFrame, hot: DataFrame) -> DataFrame:
+    """(host, constant): constant (node, sibling) of each reference, for hosts that have some."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read: dict[str, list] = {}
         for batch in batches:
@@ -395,30 +450,32 @@ def constants(trees: DataFrame, found: DataFrame) -> DataFrame:
                 ours, theirs = read[reference], json.loads(tree)
                 if ours[1] == theirs[1]:        # a copy of the reference says nothing
                     continue
-                counts[host, -1, 0] += 1
+                counts[host, -1, 0, ""] += 1
                 # trees of one shape match node by node
                 pairs = enumerate(zip(flat(ours), flat(theirs))) if alike else (
                     (i, (a, b)) for i, _, a, b in aligned(ours, theirs))
                 for i, (a, b) in pairs:
-                    if a[1] == b[1] and a[1]:
-                        counts[host, i, a[2]] += 1
+                    if a[1] and b[1]:
+                        for name in set(keys(a)).intersection(keys(b)):
+                            counts[host, i, a[2], name] += 1
             if counts:
-                keys = list(counts)
+                found = list(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()),
-                     pa.array([k[2] for k in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())],
-                    ["host", "node", "inside", "pages"])
+                    [pa.array([k[0] for k in found]), pa.array([k[1] for k in found], pa.int32()),
+                     pa.array([k[2] for k in found], pa.int32()), pa.array([k[3] for k in found]),
+                     pa.array(list(counts.values()), pa.int64())],
+                    ["host", "node", "inside", "sibling", "pages"])
 
-    met = trees.join(salted(found), ["host", "salt"]).select(
+    met = trees.join(salted(found, hot), ["host", "salt"]).select(
         "host", "skeleton", "reference", (F.col("shape") == F.col("own_shape")).alias("alike"))
-    same = (met.mapInArrow(run, "host string, node int, inside int, pages bigint")
-            .groupBy("host", "node", "inside").agg(F.sum("pages").alias("pages")))
+    same = cut(met.mapInArrow(run, "host string, node int, inside int, sibling string, pages bigint")
+               .groupBy("host", "node", "inside", "sibling").agg(F.sum("pages").alias("pages")))
     per_host = same.where("node < 0").select("host", F.col("pages").alias("differ"))
     share = F.col("pages") / F.col("differ")
     return (same.where("node >= 0").join(per_host, "host")
             .where(((F.col("inside") == 0) & (share >= CONSTANT) & (F.col("differ") >= LEAST_PAGES))
                    | ((share >= CONSTANT_INSIDE) & (F.col("differ") >= LEAST_PAGES_INSIDE)))
-            .groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("constant")))
+            .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "sibling"))).alias("constant")))
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -429,11 +486,16 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     a host (NULL or odd url) form one host; repeated rows give repeated
     results; an empty table gives an empty table.
     """
+    spark = pages.sparkSession
     rows = with_host(pages, page_id, url, html)
-    # dealt once, as the alignment needs them, for both uses: pages are parsed once for it
-    trees = skeletons(rows).repartition("host", "salt")
-    found = references(trees)
-    wrappers = found.join(constants(trees, found), "host").drop("own_shape")
+    hot = cut(hot_keys(rows, ["host"]))
+    rows = dealt(rows, hot)
+    path = scratch_path(spark, "trees")         # written once, read for references and for constants
+    skeletons(rows).write.parquet(path)
+    trees = spark.read.parquet(path)
+    found = cut(references(trees))
+    wrappers = cut(found.join(constants(trees, found, hot), "host").drop("own_shape"))
+    drop_scratch(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read: dict[str, list] = {}
@@ -446,11 +508,12 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
                         if len(read) > 2000:
                             read.clear()
                         read[reference] = json.loads(reference)
-                    texts.append(extracted(page, read.get(reference), constant or []))
+                    texts.append(extracted(page, read.get(reference),
+                                           [(c["node"], c["sibling"]) for c in constant or ()]))
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0), own.column(1), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    joined = rows.join(salted(wrappers), ["host", "salt"], "left")
+    joined = rows.join(salted(wrappers, hot), ["host", "salt"], "left")
     return joined.select("page_id", "url", "html", "reference", "constant").mapInArrow(
         run, "page_id bigint, url string, text string, n_chars bigint")

@@ -61,6 +61,34 @@ def test_constant_nodes_of_a_host_are_template(spark):
     assert out[100] == "Welcome to the site Story 0 more of 0 Imprint"
 
 
+def test_constant_siblings_of_varying_ones_are_template(spark):
+    page = "<p>Story {0}</p><p>Subscribe to our letter</p><p>More of {0}</p>"
+    menu = "<ul><li>Home</li><li>Today {0}</li><li>Contact</li></ul><div>{1}</div>"
+    rows = [(k, f"https://s.example.org/{k}", page.format(k)) for k in range(30)]
+    # the constant sibling's place and the number of siblings may vary
+    rows += [(100 + k, f"https://t.example.org/{k}", "".join(f"<p>{k} {i}</p>" for i in range(k % 4))
+              + "<p>Subscribe to our letter</p>" + f"<p>end {k}</p>") for k in range(30)]
+    rows += [(200 + k, f"https://m.example.org/{k}", menu.format(k, f"text {k}")) for k in range(30)]
+    rows += [(300 + k, f"https://a.example.org/{k}", f"<article>{page.format(k)}</article>") for k in range(30)]
+    out = got(spark, rows)
+    for k in range(30):
+        assert out[k] == out[300 + k] == f"Story {k} More of {k}"
+        assert out[100 + k] == " ".join([f"{k} {i}" for i in range(k % 4)] + [f"end {k}"])
+        assert out[200 + k] == f"Today {k} text {k}"
+
+
+def test_a_host_with_most_pages_is_split(spark):
+    page = "<div>Welcome</div><p>Story {0}</p>"
+    rows = [(k, f"https://{'big' if k % 10 else f'small{k}'}.example.org/{k}", page.format(k)) for k in range(400)]
+    pages = W.with_host(spark.createDataFrame(rows, PAGES), "page_id", "url", "html")
+    hot = W.hot_keys(pages, ["host"], parts=8)
+    salts = {(r.host, r.salt): r["count"] for r in W.dealt(pages, hot).groupBy("host", "salt").count().collect()}
+    big = [n for (host, _), n in salts.items() if host == "big.example.org"]
+    assert len(big) == 8 and max(big) < 100 and all(s == 0 for h, s in salts if h != "big.example.org")
+    hosts = W.salted(pages.select("host").distinct(), hot)
+    assert {(r.host, r.salt) for r in hosts.collect()} == set(salts)
+
+
 def test_copies_are_no_evidence(spark):
     page = "<div><p class='a'>Same text</p></div>"
     rows = [(k, "http://c.example.org/x", page) for k in range(30)]
