@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -729,6 +730,43 @@ def bucket_means(df: DataFrame, score: str, value: str, by: Sequence[str] = (),
 # --------------------------------------------------------------------------
 
 
+def _panel_counts(df: DataFrame, numeric: list[str], categorical: list[str], nbins: int,
+                  stats: DataFrame | None) -> DataFrame:
+    """(var1, var2, kind, level1, level2, __n): histogram bins and level counts of a pairs plot.
+
+    One aggregate whose grouping sets are the panels; ``stats`` holds each
+    numeric column's range as ``__mn<i>`` and ``__mx<i>``.
+    """
+    def bin_of(i: int) -> Column:
+        v, mn, mx = _num(numeric[i]), F.col(f"__mn{i}"), F.col(f"__mx{i}")
+        raw = F.greatest(F.lit(0), F.ceil(F.lit(nbins) * ((v - mn) / (mx - mn))) - 1).cast("int")
+        return F.when(v.isNotNull(), F.when(mx == mn, F.lit(0)).otherwise(raw)).cast("string")
+
+    names = [f"__b{i}" for i in range(len(numeric))] + [f"__g{j}" for j in range(len(categorical))]
+    rows = df.select(*dict.fromkeys(numeric + categorical))
+    if stats is not None:
+        rows = attach_scalars(rows, stats)
+    rows = rows.select(*[bin_of(i).alias(f"__b{i}") for i in range(len(numeric))],
+                       *[F.col(c).cast("string").alias(f"__g{j}") for j, c in enumerate(categorical)])
+    nul = F.lit(None).cast("string")
+    panels = [([f"__b{i}"], c, c, "hist") for i, c in enumerate(numeric)]
+    panels += [([f"__g{i}"] + [f"__g{j}"] * (j > i), a, categorical[j], "count")
+               for i, a in enumerate(categorical) for j in range(i, len(categorical))]
+    counted = rows.groupingSets([keys for keys, *_ in panels], *names).agg(
+        F.grouping_id().alias("__id"), F.count(F.lit(1)).alias("__n"))
+
+    def left_out(keys: list[str]) -> int:       # grouping_id: one bit per column, the first is the highest
+        return sum(1 << (len(names) - 1 - k) for k, name in enumerate(names) if name not in keys)
+
+    panel = F.coalesce(*[
+        F.when(F.col("__id") == left_out(keys), F.struct(
+            F.lit(var1).alias("var1"), F.lit(var2).alias("var2"), F.lit(kind).alias("kind"),
+            F.col(keys[0]).alias("level1"), (F.col(keys[1]) if len(keys) > 1 else nul).alias("level2")))
+        for keys, var1, var2, kind in panels])
+    return (counted.select(panel.alias("__p"), "__n").select("__p.*", "__n")
+            .where("kind = 'count' or level1 is not null"))
+
+
 def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                 nbins: int = 10, method: str = "exact") -> DataFrame:
     """VIZ18: the statistic of every panel of a mixed-type pairs plot, long form.
@@ -740,14 +778,16 @@ def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     * categorical × categorical → ``count`` per level pair; diagonal → counts;
     * numeric × categorical → ``q1``/``median``/``q3`` of the numeric per level.
 
-    Panels of one kind share a pass: one aggregate for every correlation and
-    range, one for every histogram, one for every categorical count and one
-    quantile plan for every numeric-by-level box — four scans whatever the
-    number of columns, instead of one per panel.
+    Panels share passes whatever the number of columns: one aggregate for
+    every correlation and range, one aggregate by grouping sets for all
+    histograms and categorical counts, and one quantile plan for every
+    numeric-by-level box.
     """
     numeric, categorical = list(numeric), list(categorical)
     nul = F.lit(None).cast("string")
     parts: list[DataFrame] = []
+    counted: list[DataFrame] = []
+    stats = None
     if numeric:
         k = len(numeric)
         aggs = [e for i, c in enumerate(numeric)
@@ -761,41 +801,18 @@ def pair_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
                      for i in range(k) for j in range(k) if i != j]
         if corr_rows:
             parts.append(stats.select(F.inline(F.array(*corr_rows))))
-        # every histogram in one pass: each row contributes one (variable, bin)
-        # per numeric column
-        withs = attach_scalars(df.select(*[_num(c).alias(f"__v{i}") for i, c in enumerate(numeric)]),
-                               stats)
-
-        def bin_of(i: int) -> Column:
-            v, mn, mx = F.col(f"__v{i}"), F.col(f"__mn{i}"), F.col(f"__mx{i}")
-            raw = F.greatest(F.lit(0), F.ceil(F.lit(nbins) * ((v - mn) / (mx - mn))) - 1).cast("int")
-            return F.when(v.isNull(), F.lit(None).cast("int")).when(mx == mn, F.lit(0)).otherwise(raw)
-
-        binned = withs.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("var"), bin_of(i).alias("bin")) for i, c in enumerate(numeric)]))
-            .alias("__e")).select("__e.var", "__e.bin").where(F.col("bin").isNotNull())
-        counts = binned.groupBy(F.col("var").alias("__cvar"), F.col("bin").alias("__cbin")) \
-            .agg(F.count(F.lit(1)).alias("__c"))
-        frame = stats.select(F.explode(F.array(*[
+        # every bin of every histogram, also those without rows
+        counted.append(stats.select(F.explode(F.array(*[
             F.when(F.col(f"__mn{i}").isNotNull(), F.lit(c)) for i, c in enumerate(numeric)]))
-            .alias("var")).where(F.col("var").isNotNull()) \
-            .select("var", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
-        hist = frame.join(counts, (frame["var"] == counts["__cvar"]) & (frame["bin"] == counts["__cbin"]),
-                          "left")
-        parts.append(hist.select(F.col("var").alias("var1"), F.col("var").alias("var2"),
-                                 F.lit("hist").alias("kind"), F.col("bin").cast("string").alias("level1"),
-                                 nul.alias("level2"),
-                                 F.coalesce(F.col("__c"), F.lit(0)).cast("double").alias("value")))
-    if categorical:
-        combos = [(a, b) for i, a in enumerate(categorical) for b in categorical[i:]]
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                     F.col(a).cast("string").alias("level1"),
-                     (F.col(b).cast("string") if a != b else nul).alias("level2"))
-            for a, b in combos])).alias("__e")).select("__e.*")
-        parts.append(pairs.groupBy("var1", "var2", "level1", "level2")
-                          .agg(F.count(F.lit(1)).cast("double").alias("value"))
-                          .withColumn("kind", F.lit("count")))
+            .alias("var1")).where(F.col("var1").isNotNull())
+            .select("var1", F.col("var1").alias("var2"), F.lit("hist").alias("kind"),
+                    F.explode(F.sequence(F.lit(0), F.lit(nbins - 1)).cast("array<string>")).alias("level1"),
+                    nul.alias("level2"), F.lit(0).cast("long").alias("__n")))
+    if numeric or categorical:
+        counted.append(_panel_counts(df, numeric, categorical, nbins, stats))
+        panels = ["var1", "var2", "kind", "level1", "level2"]
+        parts.append(reduce(DataFrame.unionByName, counted).groupBy(*panels)
+                     .agg(F.sum("__n").cast("double").alias("value")))
     if numeric and categorical:
         boxes = df.select(F.explode(F.array(*[
             F.struct(F.lit(v).alias("var1"), F.lit(cat).alias("var2"),

@@ -299,3 +299,32 @@ def test_labels_by_frequency_then_name(spark):
     assert sorted((r.t, r["count"], r.label_index) for r in labels.collect()) == [("a", 3, 1.0), ("b", 3, 2.0), ("c", 5, 0.0)]
     assert {r.t: r.label_index for r in indexed.collect()} == {"a": 1.0, "b": 2.0, "c": 0.0, None: None}
     assert indexed.count() == 12
+
+
+# ------------------------------------------------------- pairs plot by grouping sets
+
+def test_pair_matrix_counts_null_levels_and_empty_bins(spark):
+    rows = [(1.0, "a", None), (1.0, "a", "u"), (None, None, "u"), (5.0, None, None), (4.0, "b", "u")]
+    df = spark.createDataFrame(rows, "x double, g string, h string")
+    found = {(r.var1, r.var2, r.level1, r.level2): r.value
+             for r in V.pair_matrix(df, ["x"], ["g", "h"], nbins=4).collect() if r.kind in ("hist", "count")}
+    assert found == {
+        ("x", "x", "0", None): 2, ("x", "x", "1", None): 0, ("x", "x", "2", None): 1, ("x", "x", "3", None): 1,
+        ("g", "g", "a", None): 2, ("g", "g", "b", None): 1, ("g", "g", None, None): 2,
+        ("h", "h", "u", None): 3, ("h", "h", None, None): 2,
+        ("g", "h", "a", None): 1, ("g", "h", "a", "u"): 1, ("g", "h", "b", "u"): 1,
+        ("g", "h", None, "u"): 1, ("g", "h", None, None): 1}
+
+
+def test_pair_matrix_of_a_column_in_both_roles(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,)], "x int")
+    found = sorted((r.kind, r.level1, r.value) for r in V.pair_matrix(df, ["x"], ["x"], nbins=2).collect()
+                   if r.kind in ("hist", "count"))
+    assert found == [("count", "1", 1.0), ("count", "2", 2.0), ("hist", "0", 1.0), ("hist", "1", 2.0)]
+
+
+def test_pair_matrix_counts_by_grouping_sets(spark):
+    df = spark.createDataFrame([(1.0, "a", "u")], "x double, g string, h string")
+    plan = V._panel_counts(df, ["x"], ["g", "h"], 4, df.agg(F.min("x").alias("__mn0"), F.max("x").alias("__mx0"))
+                           )._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "Generate" not in plan
