@@ -110,11 +110,41 @@ _TREES = {
 }
 
 
+#: Bytes of training rows that one task of a tree learner holds and reads, and
+#: bytes of a row's objects without its bins (224 measured for boosting on two features).
+TASK_BYTES = 340 * 1024**2
+ROW_BYTES = 216
+
+
+def _even_tasks(df: DataFrame, row_bytes: int) -> DataFrame:
+    """The rows, dealt out evenly if a partition has more than ``TASK_BYTES`` of them.
+
+    The tree learners keep the training rows as objects in the partitions they
+    come in and read them again for every level of every tree.  A scan's
+    partitions follow the bytes of its files, and a few bytes there may be a
+    row; so the rows of each partition are counted first (no column is read).
+    """
+    per_task = max(1, TASK_BYTES // row_bytes)
+    rows, most = df.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    if not rows or most <= per_task:
+        return df
+    return df.repartition(max(-(-rows // per_task), df.sparkSession.sparkContext.defaultParallelism))
+
+
 def fit_tree(df: DataFrame, formula: str, kind: str = "decision_tree", **params) -> PipelineModel:
-    """MLR6-MLR8: decision tree, random forest (``numTrees``) or boosted trees (``maxIter``)."""
+    """MLR6-MLR8: decision tree, random forest (``numTrees``) or boosted trees (``maxIter``).
+
+    Every row is used; a task holds at most ``TASK_BYTES`` of them.
+    """
     if kind not in _TREES:
         raise ValueError(f"kind must be one of {list(_TREES)}")
-    return _pipeline(df, formula, _TREES[kind](**params))
+    rf = _formula(df, formula)
+    prepared = Pipeline(stages=[rf]).fit(df)
+    tree = _TREES[kind](**params).setFeaturesCol(rf.getFeaturesCol()).setLabelCol(rf.getLabelCol())
+    # a bin per feature and, in a forest, a count per tree
+    row_bytes = ROW_BYTES + 4 * (len(feature_names(prepared, df)) + (tree.getNumTrees() if kind == "random_forest" else 0))
+    # dealt out before the formula, whose vectors are wider than the columns they are made of
+    return PipelineModel([*prepared.stages, tree.fit(prepared.transform(_even_tasks(df, row_bytes)))])
 
 
 def tree_summary(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -58,6 +58,35 @@ def test_tree_classifiers_recipe(binary, kind, params):
     assert abs(sum(r.importance for r in summary.collect()) - 1.0) < 1e-6
 
 
+@pytest.mark.parametrize("kind,params", [("decision_tree", {}), ("random_forest", {"numTrees": 3}),
+                                         ("gbt", {"maxIter": 2})])
+@pytest.mark.parametrize("parts", ["one", "uneven"])
+def test_tree_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch, kind, params, parts):
+    seen = []
+
+    class Seen(M._TREES[kind]):
+        def fit(self, dataset, params=None):
+            seen.extend(r["count"] for r in dataset.groupBy(F.spark_partition_id()).count().collect())
+            return super().fit(dataset, params)
+
+    monkeypatch.setitem(M._TREES, kind, Seen)
+    monkeypatch.setattr(M, "TASK_BYTES", 1000 * 224, raising=False)  # at most 1,000 rows a task
+    df = spark.range(0, 20_000, 1, 1).select((F.col("id") % 50).cast("double").alias("x"),
+                                             (F.col("id") % 7).cast("double").alias("z"),
+                                             (F.col("id") % 50 > 25).cast("double").alias("y"))
+    if parts == "uneven":
+        df = df.where("x < 49").union(df.where("x >= 49"))  # 19,600 and 400 rows
+    model = M.fit_tree(df, "y ~ x + z", kind, maxBins=64, seed=1, **params)
+    assert sum(seen) == 20_000 and max(seen) <= 1050
+    assert _accuracy(M.predict(model, df).withColumn("label", F.col("y"))) == 1.0
+
+
+def test_tree_tasks_that_are_small_enough_are_left_alone(spark):
+    df = spark.range(0, 1000, 1, 3).toDF("x")
+    assert M._even_tasks(df, 200) is df
+    assert M._even_tasks(df.where("x < 0"), 200).count() == 0
+
+
 def test_glm_per_family(spark):
     rows = [(float(x), float(2 + 0.5 * x + (x % 3)), "a" if x % 2 else "b") for x in range(60)]
     df = spark.createDataFrame(rows, "x double, y double, g string")
