@@ -112,7 +112,7 @@ _TREES = {
 
 #: Bytes of training rows that one task of a tree learner holds and reads, and
 #: bytes of a row's objects without its bins (224 measured for boosting on two features).
-TASK_BYTES = 340 * 1024**2
+TASK_BYTES = 128 * 1024**2
 ROW_BYTES = 216
 
 
